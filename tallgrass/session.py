@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,3 +30,17 @@ def local_session(cores: int | None = None, memory: str = "8g", name: str = "tal
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application: its functions run there, installed or not."""
+    context = spark.sparkContext
+    if getattr(context, "_tallgrass_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tallgrass-")) / "tallgrass.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._tallgrass_shipped = True
