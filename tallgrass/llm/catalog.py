@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import exact_dedup, mixing, url_filters
+from tallgrass.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, url_filters
+from tallgrass.session import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -17,20 +19,38 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), language_id.held_out())
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, docs.filter(~language_id.held_out()))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_quality_rules": op2_quality_rules,
         "op3_mixing": op3_mixing,
+        "op4_quality_classifier": op4_quality_classifier,
         "op6_url_filters": op6_url_filters,
+        "op10_language_id": op10_language_id,
     }
 
 

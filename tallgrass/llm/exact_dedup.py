@@ -62,12 +62,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     """
     spark = df.sparkSession
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []))
-    norm = ascii_lower(F.col("row").getField(text_col) if carry else F.col("text"))
-    splitters = sample_splitters(rows.select("id", norm.alias("norm")), ranges)
-    rows = rows.withColumn("range", _range_of(_range_key(norm, F.col("id")), splitters))
-    # The texts move once, as they are; they are normalised again behind the exchange.
-    rows = (rows.drop("text") if carry else rows).repartition("range").withColumn("norm", norm)
+    # Either the normalised text moves, or the row as it is, which is then normalised again behind the exchange.
+    rows = df.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("norm"), *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []))
+    splitters = sample_splitters(rows.select("id", "norm"), ranges)
+    rows = rows.withColumn("key", _range_key(F.col("norm"), F.col("id"))).withColumn("range", _range_of(F.col("key"), splitters)).drop("key")
+    if carry:
+        rows = rows.drop("norm").repartition("range").withColumn("norm", ascii_lower(F.col("row").getField(text_col)))
 
     best, order = (F.min, F.asc_nulls_last("id")) if keep == "min" else (F.max, F.desc_nulls_last("id"))
     sort = Window.partitionBy("range").orderBy("norm", order)
@@ -76,7 +76,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         rows.withColumns({"starts": before.isNull() | (before != F.col("norm")), "edge": F.when(before.isNull() | after.isNull(), F.col("norm"))})
         .withColumn("sha", F.sha2("norm", 256))
         .withColumn("run", F.sum(F.col("starts").cast("int")).over(sort.rowsBetween(Window.unboundedPreceding, 0)))
-        .drop("norm", "text")
+        .drop("norm")
     )
     run = Window.partitionBy("range", "run")
     runs = stage(runs.withColumns({"best": best("id").over(run), "size": F.count(F.lit(1)).over(run)}), "dedup-runs")

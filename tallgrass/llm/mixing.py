@@ -144,11 +144,24 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
     other = rows.filter(F.col("cut_slot").isNull() | (F.col("slot") != F.col("cut_slot")))
     other = other.withColumn("more", F.col("rest").cast("double") > 0)
     other = other.withColumn("more", F.col("more") & (F.col("cut_slot").isNull() | (F.col("slot") < F.col("cut_slot"))))
+    picked = other.unionByName(last).select("id", "sources", "size", "at", "times", "rest", "more")
+    picked = _fill(_fill(stage(picked, "mix-picked")))
     repeats = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.col("times") + F.col("more").cast("int"), F.lit(MAX_REPEATS)))
-    out = other.unionByName(last).withColumn("repeats", repeats)
+    out = picked.withColumn("repeats", repeats)
     return out.select(F.col("id").alias(id_col), "sources", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def _fill(picked: DataFrame) -> DataFrame:
+    """Takes, for each pattern, the largest document left that still fits into what its rest lacks."""
+    lacks = F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(F.lit(0)))
+    gap = picked.groupBy("sources").agg(lacks.alias("gap")).select(F.col("sources").alias("of"), "gap")  # a row a pattern
+    spare = picked.filter(~F.col("more") & (F.col("size") > 0)).join(F.broadcast(gap), F.col("sources") == F.col("of")).filter("size <= gap")
+    pick = spare.groupBy("of").agg(F.max(F.struct("size", "at", "id")).alias("pick"))
+    out = picked.join(F.broadcast(pick), F.col("sources") == F.col("of"), "left")
+    chosen = F.coalesce(F.struct("size", "at", "id") == F.col("pick"), F.lit(False))
+    return stage(out.withColumn("more", F.col("more") | chosen).drop("of", "pick"), "mix-picked")
+
+
 def sources_target(mixed: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
     """``source``, ``source_size`` and ``target`` of a mixed table, a row for each source."""
     spark = mixed.sparkSession
