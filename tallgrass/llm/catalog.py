@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, url_filters
+from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, quality_classifier, quality_rules, url_filters
 from tallgrass.session import ship_package
 
 
@@ -33,6 +33,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), language_id.held_out())
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), language_id.held_out(parts=5, part=1))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": op2_quality_rules,
         "op3_mixing": op3_mixing,
         "op4_quality_classifier": op4_quality_classifier,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_url_filters": op6_url_filters,
         "op10_language_id": op10_language_id,
     }
