@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, quality_classifier, quality_rules, url_filters
+from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters
 from tallgrass.session import ship_package
 
 
@@ -41,6 +42,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(docs, docs.filter(~language_id.held_out()))
@@ -55,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_classifier": op4_quality_classifier,
         "op5_lm_scoring": op5_lm_scoring,
         "op6_url_filters": op6_url_filters,
+        "op7_packing": op7_packing,
         "op10_language_id": op10_language_id,
     }
 
