@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters
+from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters, warc_zip
 from tallgrass.session import ship_package
 
 
@@ -46,6 +46,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.round_trip(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(docs, docs.filter(~language_id.held_out()))
@@ -61,9 +66,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_lm_scoring": op5_lm_scoring,
         "op6_url_filters": op6_url_filters,
         "op7_packing": op7_packing,
+        "op8_warc_zip": op8_warc_zip,
         "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
+    return {"op1_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL, "op8_warc_zip": warc_zip.SQL}
