@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters, warc_zip
+from tallgrass.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters, warc_zip
 from tallgrass.session import ship_package
 
 
@@ -51,6 +51,10 @@ def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(docs, docs.filter(~language_id.held_out()))
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_filters": op6_url_filters,
         "op7_packing": op7_packing,
         "op8_warc_zip": op8_warc_zip,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_language_id": op10_language_id,
     }
 
