@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallgrass.plans import vector_queries  # noqa: F401
+from tallgrass.plans import archive_queries, search_queries, transcript_queries, vector_queries  # noqa: F401
 from tallgrass.plans.registry import ORACLES, QUERIES, Query
 
 
