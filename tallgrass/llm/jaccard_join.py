@@ -9,7 +9,7 @@ prefixes) must share some; extended prefixes must share more. The join is exact,
 4. stars: in the groups of a few tokens everyone is verified against the most central document, linear work that joins nearly
    all members of large groups of near copies into components;
 5. what is left, pairs in different components, is found through single rare tokens and through combinations of two
-   frequent tokens, and verified. Pairs inside a component change nothing and are not looked at.
+   frequent tokens, and verified in blocks of whole sets. Pairs inside a component change nothing and make no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ EXTENSION = 0.1
 SAMPLE_DOCS, SAMPLE_HITS = 4096, 10
 #: Tokens in more sets than this are the frequent class: indexed by combinations of two.
 RARE_DF = 48
+#: Sets in a block when what is left of a family is compared.
+BLOCK_SETS = 256
 #: Tables of keys up to this number of rows are broadcast; larger ones are joined.
 BROADCAST_ROWS = 500_000
 _U = np.uint64
@@ -157,19 +159,93 @@ def _mixed(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select(key)
 
 
-def _across(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """All pairs in different components that share a rare token or two frequent ones in their prefixes, and whose sizes fit."""
+def _families(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """``node``, ``c`` (its component) and ``family``: candidates in different components, gathered through their keys.
+
+    Two sets that reach the threshold share a rare token or two frequent ones in their prefixes, so they are in one
+    family. Each key links its members with its smallest one: as many edges as members.
+    """
     rows = index.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    rows = stage(rows.join(_mixed(rows, "t"), "t").select("node", "n", "shared", "c", "t", "df"), "mixed-tokens")
-    single = rows.filter(F.col("df") <= RARE_DF).select("node", "n", "shared", "c", F.col("t").alias("key"))
-    often = rows.filter(F.col("df") > RARE_DF).groupBy("node", "n", "shared", "c").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    rows = stage(rows.join(_mixed(rows, "t"), "t").select("node", "c", "t", "df"), "mixed-tokens")
+    single = rows.filter(F.col("df") <= RARE_DF).select("node", "c", F.col("t").alias("key"))
+    often = rows.filter(F.col("df") > RARE_DF).groupBy("node", "c").agg(F.array_sort(F.collect_list("t")).alias("ts"))
     two = F.expr("flatten(transform(ts, (x, i) -> transform(slice(ts, i + 2, size(ts)), y -> xxhash64(x, y))))")
-    double = often.filter(F.size("ts") > 1).select("node", "n", "shared", "c", F.explode(two).alias("key"))
-    keyed = single.union(double)
+    double = often.filter(F.size("ts") > 1).select("node", "c", F.explode(two).alias("key"))
+    keyed = stage(single.union(double), "keys")
     keyed = keyed.join(_mixed(keyed, "key"), "key")
-    other = keyed.select("key", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("shared").alias("shared2"), F.col("c").alias("c2"))
-    pairs = keyed.join(other, "key").filter((F.col("node") < F.col("b")) & (F.col("c") != F.col("c2")) & _fits("n", "shared", "n2", "shared2"))
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+    heads = keyed.groupBy("key").agg(F.min("node").alias("head"))
+    edges = keyed.join(heads, "key").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    families = components(edges).withColumnRenamed("component", "family")
+    return stage(keyed.select("node", "c").distinct().join(families, "node"), "families")
+
+
+def join_sets(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets: products of membership matrices, some tokens at a time."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    rows_x, rows_y = np.repeat(np.arange(len(left)), [len(v) for v in left]), np.repeat(np.arange(len(right)), [len(v) for v in right])
+    both = np.intersect1d(x, y)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    at_x, at_y = np.searchsorted(both, x), np.searchsorted(both, y)
+    in_x = at_x < len(both)
+    in_x[in_x] = both[at_x[in_x]] == x[in_x]
+    in_y = at_y < len(both)
+    in_y[in_y] = both[at_y[in_y]] == y[in_y]
+    for first in range(0, len(both), columns):
+        some = []
+        for at, found, rows, n in ((at_x, in_x, rows_x, len(left)), (at_y, in_y, rows_y, len(right))):
+            here = found & (at >= first) & (at < first + columns)
+            matrix = np.zeros((n, columns), np.float32)
+            matrix[rows[here], at[here] - first] = 1
+            some.append(matrix)
+        shared += some[0] @ some[1].T
+    return shared.astype(np.int64)
+
+
+def _links_of_block(part: pa.Table) -> pa.Table:
+    """Verified links between a block of outsiders and a block of the family that join components not yet joined."""
+    asks = np.array(part.column("asks").to_pylist(), bool)
+    nodes, comps = part.column("node").to_pylist(), part.column("c").to_pylist()
+    sets = [np.asarray(t, np.int64) for t in part.column("tokens").to_numpy(zero_copy_only=False)]
+    mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
+    found: list[tuple] = []
+    if len(mine) and len(theirs):
+        shared = join_sets([sets[i] for i in mine], [sets[i] for i in theirs])
+        sizes = np.array([len(t) for t in sets])
+        linked = 7 * shared >= 3 * (sizes[mine][:, None] + sizes[theirs][None, :])
+        above = {c: c for c in comps}
+
+        def top(c):
+            while above[c] != c:
+                above[c] = above[above[c]]
+                c = above[c]
+            return c
+
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            a, b = top(comps[mine[i]]), top(comps[theirs[j]])
+            if a != b:
+                above[max(a, b)] = min(a, b)
+                found.append((nodes[mine[i]], nodes[theirs[j]]))
+    kind = part.schema.field("node").type
+    return pa.table({"a": pa.array([f[0] for f in found], kind), "b": pa.array([f[1] for f in found], kind)})
+
+
+def _links_across(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between components of a family that the stars have missed, as far as they join components.
+
+    The members outside the family's largest component are compared with all of its members, block by block. No pairs
+    are made into rows: a member goes to as many blocks as there are blocks of outsiders, an outsider to as many as the
+    family has, and a block gives at most as many links as it has components.
+    """
+    sizes = families.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("family")
+    sizes = sizes.agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m")).select("family", F.col("most.c").alias("main"), "m", (F.col("m") - F.col("most.n")).alias("out"))
+    rows = families.join(sizes, "family").withColumns({"blocks": F.ceil(F.col("m") / BLOCK_SETS), "out_blocks": F.ceil(F.col("out") / BLOCK_SETS)}).filter("out > 0")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    hashed = lambda c, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(c))
+    ask = rows.filter(F.col("c") != F.col("main")).select("node", "c", "family", hashed("out_blocks", 1).alias("x"), upto("blocks").alias("y"), F.lit(True).alias("asks"))
+    have = rows.select("node", "c", "family", upto("out_blocks").alias("x"), hashed("blocks", 2).alias("y"), F.lit(False).alias("asks"))
+    kind = sets.schema["node"].dataType.simpleString()
+    whole = ask.unionByName(have).join(sets.select("node", "tokens"), "node")
+    return whole.groupBy("family", "x", "y").applyInArrow(_links_of_block, f"a {kind}, b {kind}")
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,7 +284,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     index = _index(sets)
     links = stage(verify(_stars(index), sets), "star-links")
     groups = stage(components(links), "star-groups")
-    more = stage(verify(stage(_across(index, groups), "pairs"), sets), "links")
+    more = stage(_links_across(_families(index, groups), sets), "links")
     groups = components(links.union(more)) if more.limit(1).count() else groups
     out = signed.select("id", "n", "rep").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
