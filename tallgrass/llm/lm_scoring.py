@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import LOWER, Chunk, chunks, mix64
-from tallgrass.llm.workspace import stage
+from tallgrass.llm.workspace import small_batches, stage
 
 ORDERS = 6
 SLOT_BITS = 21
@@ -30,9 +30,9 @@ GATES = 25 * 8
 MAP_STEPS = 33
 RATE = 0.03
 #: Runs gathered before their counts are used.
-BUFFER = 1 << 23
+BUFFER = 1 << 22
 #: Words whose counts every task holds; the counts of all others are joined.
-COMMON_WORDS = 1 << 20
+COMMON_WORDS = 1 << 19
 _U = np.uint64
 
 
@@ -194,9 +194,9 @@ def learn_model(texts: DataFrame) -> Model:
     """Fit on the column ``text`` of ``texts``. Tasks are as many as twice the cores, so what they send doesn't grow with the input."""
     spark = texts.sparkSession
     few = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
-    blocks = few.mapInArrow(_count, "block int, counts binary").groupBy("block").applyInArrow(lambda part: _table_of(part), "block int, counts binary").collect()
+    blocks = few.mapInArrow(_count, "block int, counts binary").groupBy("block").applyInArrow(lambda part: _table_of(part), "block int, counts binary")
     counts = np.zeros((2, SLOTS), np.float32)
-    for row in blocks:
+    for row in blocks.toLocalIterator():  # a partition at a time
         counts[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.float32).reshape(2, BLOCK)
     shared = spark.sparkContext.broadcast(counts)
 
@@ -209,6 +209,7 @@ def learn_model(texts: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([mixer.weights.tobytes()]), pa.array([mixer.map.tobytes()])], ["n", "weights", "map"])
 
     mixer, parts = Mixer(), few.mapInArrow(train, "n long, weights binary, map binary").collect()
+    shared.destroy()
     parts.sort(key=lambda r: (r["n"], r["weights"]))
     if total := sum(r["n"] for r in parts):
         mixer.weights = (sum(np.frombuffer(r["weights"], np.float32).reshape(GATES, ORDERS).astype(float) * r["n"] for r in parts) / total).astype(np.float32)
@@ -256,6 +257,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     often as they come where they are learned from; null identifiers are learned from unless ``held_out`` says otherwise.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out.alias("held_out"))
     train = rows.filter(~F.col("held_out"))
@@ -273,10 +275,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         if number > COMMON_WORDS:
             least = r["c"] + 1
             break
-    common = vocabulary.filter(F.col("c") >= least).toPandas()
-    keys = common["w"].to_numpy().view(np.uint64)
+    common = vocabulary.filter(F.col("c") >= least).toArrow()
+    keys, logs = common.column("w").to_numpy().view(np.uint64), np.log10(common.column("c").to_numpy() + 0.5).astype(np.float64)
+    del common
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((model, keys[order], np.log10(common["c"].to_numpy()[order] + 0.5)))
+    shared = spark.sparkContext.broadcast((model, keys[order], logs[order]))
     end_log = math.log10(ends + 0.5)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows that go to Python at once. Texts are long: Spark's 10,000 would be tens of megabytes on both sides of each task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the rows of an Arrow batch to ``BATCH_ROWS``, unless the session asks for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: this cuts lineage and survives lost executors."""
     spark = df.sparkSession
