@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm.components import components
 from tallgrass.llm.textops import Chunk, chunks, mix64, per_row, window_hashes
-from tallgrass.llm.workspace import stage
+from tallgrass.llm.workspace import small_batches, stage
 
 SHINGLE = 5
 #: Share of a set by which prefixes are extended in step 2, and which they must then share.
@@ -256,6 +256,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are one class, however many. Rows that share an identifier count as one document. A row with a null identifier
     gets the component of its copies, and null where it has none. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = stage(_signatures(rows, kind), "signatures")

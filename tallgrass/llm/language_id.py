@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import LOWER, Chunk, chunks
+from tallgrass.llm.workspace import small_batches
 
 BUCKETS = 1 << 16
 #: Most languages that are learned; more are refused, since each needs a table of BUCKETS numbers.
@@ -112,6 +113,7 @@ def identify(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", tex
     every text where nothing could be learned are ``und`` with score 0 and an empty set. Whole texts count; repeated
     rows give repeated rows.
     """
+    small_batches(docs.sparkSession)
     names, logs = learn(learn_from, text_col, lang_col)
     model = docs.sparkSession.sparkContext.broadcast((names, logs))  # MAX_LANGUAGES * BUCKETS floats at most
 
@@ -142,6 +144,7 @@ def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 def recognised(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least`` of the text; all columns."""
+    small_batches(docs.sparkSession)
     names, logs = learn(docs.filter(~held_out()), "text", "lang")
     model = docs.sparkSession.sparkContext.broadcast((names, logs))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import chunks
-from tallgrass.llm.workspace import stage
+from tallgrass.llm.workspace import small_batches, stage
 
 LENGTH = 2048
 END_ID = 1
@@ -25,7 +25,7 @@ END_ID = 1
 UNIT = 8
 MAX_COLUMNS = 6000
 #: Words whose ids a worker remembers.
-MEMO_WORDS = 1_500_000
+MEMO_WORDS = 400_000
 
 
 class WordIds:
@@ -49,7 +49,9 @@ class WordIds:
         at = np.minimum(np.searchsorted(self.keys, found), max(len(self.keys) - 1, 0))
         new = np.flatnonzero(self.keys[at] != found) if len(self.keys) else np.arange(len(found))
         if len(new):
-            codes = [e.ids for e in self.tokenizer.encode_batch_fast([text_at(i) for i in first[new]], add_special_tokens=False)]
+            codes = []
+            for at_word in range(0, len(new), 2000):  # encodings hold far more than ids: not all at once
+                codes += [e.ids for e in self.tokenizer.encode_batch_fast([text_at(i) for i in first[new[at_word : at_word + 2000]]], add_special_tokens=False)]
             sizes = np.fromiter(map(len, codes), np.int64, len(codes))
             begin = len(self.arena) + np.cumsum(sizes) - sizes
             self.arena = np.concatenate([self.arena, np.fromiter((x for c in codes for x in c), np.uint32, int(sizes.sum()))])
@@ -174,6 +176,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     of a sequence lie without gaps from 0; every id of a document is in exactly one piece. An empty table gives none.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = stage(cut_documents(docs, path, id_col, text_col, length), "pieces")
     sized = pieces.withColumn("size", F.ceil(F.col("length") / UNIT).cast("int"))
     # Ranks within a size: numbers by (size, salt), then rows within. No task holds all rows of a size.

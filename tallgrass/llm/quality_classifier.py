@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import Chunk, chunks, window_hashes
+from tallgrass.llm.workspace import small_batches
 
 #: Most labelled documents of each class that are learned from; those whose identifiers hash lowest.
 MAX_TRAIN_PER_CLASS = 2000
@@ -145,6 +146,7 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     texts get the score of a document without n-grams. Repeated rows get repeated scores; with no labels of one of
     the classes every score is 0.5.
     """
+    small_batches(docs.sparkSession)
     model = learn(docs, labels.filter(~held_out), id_col, text_col, label_col)
     table = docs.sparkSession.sparkContext.broadcast(model)  # KINDS * BUCKETS floats
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import Chunk, Words, chunks, per_row, span_hashes, window_hashes
+from tallgrass.llm.workspace import small_batches
 
 #: Hash buckets of each kind of n-gram.
 BUCKETS = 1 << 16
@@ -137,6 +138,7 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     not kept whatever their ratio. Repeated rows count as often as they come; null identifiers are never trusted. With
     an empty trusted table both sides say the same and every ratio is 0.
     """
+    small_batches(docs.sparkSession)
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, trusted, text_col, id_col))  # KINDS * BUCKETS floats
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

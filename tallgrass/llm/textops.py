@@ -7,6 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+# Workers live on between tasks: what Arrow frees should go back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text that one step works on; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
 

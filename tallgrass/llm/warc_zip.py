@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.workspace import shared_folder, stage
+from tallgrass.llm.workspace import shared_folder, small_batches, stage
 
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payloads below this many bytes are never revisits.
@@ -246,6 +246,7 @@ def round_trip(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     smallest identifier are all responses; a null identifier stays null and refers to the smallest one if there is
     one. An empty table writes nothing and gives an empty result.
     """
+    small_batches(pages.sparkSession)
     folder = folder or f"{shared_folder(pages.sparkSession)}/tallgrass/warc-{uuid.uuid4().hex}"
     return read_packages(write_packages(pages, folder, id_col, url_col, html_col))
 
