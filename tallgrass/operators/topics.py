@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -185,3 +187,31 @@ def map_2d(df: DataFrame, vector: str) -> DataFrame:
     rows = df.withColumn("__v", array_to_vector(V.unit(F.col(vector))))
     out = PCA(k=2, inputCol="__v", outputCol="__p").fit(rows).transform(rows).withColumn("__p", vector_to_array("__p"))
     return out.withColumns({"x": F.col("__p")[0], "y": F.col("__p")[1]}).drop("__v", "__p")
+
+
+#: Most clusters of a tree: it is built on the driver from their mean vectors.
+MAX_LEAVES = 2000
+
+
+def merge_tree(centroids: DataFrame, ident: str, vector: str) -> DataFrame:
+    """Average-linkage tree over clusters: a row for each merge, with the two parts, the distance and the leaves below.
+
+    Merged nodes are numbered from the largest id on. At most MAX_LEAVES centroids (checked) come to the driver.
+    """
+    rows = centroids.select(ident, vector).orderBy(ident).limit(MAX_LEAVES + 1).collect()
+    if len(rows) > MAX_LEAVES:
+        raise ValueError(f"more than {MAX_LEAVES} clusters")
+    names, leaves = [int(r[0]) for r in rows], [1] * len(rows)
+    v = np.array([r[1] for r in rows], float).reshape(len(rows), -1)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    apart = 1 - v @ v.T
+    np.fill_diagonal(apart, np.inf)
+    after, out = max(names, default=0) + 1, []
+    for step in range(len(rows) - 1):
+        i, j = sorted(divmod(int(apart.argmin()), len(rows)))
+        out.append((step, names[i], names[j], after, float(apart[i, j]), leaves[i] + leaves[j]))
+        merged = (apart[i] * leaves[i] + apart[j] * leaves[j]) / (leaves[i] + leaves[j])
+        merged[[i, j]] = np.inf
+        apart[i], apart[:, i], apart[j], apart[:, j] = merged, merged, np.inf, np.inf
+        names[i], leaves[i], after = after, leaves[i] + leaves[j], after + 1
+    return centroids.sparkSession.createDataFrame(out, "step int, part_a long, part_b long, node long, distance double, leaves int")

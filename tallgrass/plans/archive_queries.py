@@ -232,3 +232,21 @@ def prefix_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     rise = F.greatest(F.lit(0.0), F.col("l_extendedprice") - F.coalesce(F.lag("l_extendedprice").over(line), F.col("l_extendedprice")))
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.sum("l_quantity").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("prefix"), F.round(rise, 2).alias("rise"))
+
+
+@query("""WITH w AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders SEMI JOIN (SELECT c_custkey AS o_custkey FROM customer WHERE c_mktsegment = 'BUILDING') USING (o_custkey) ORDER BY o_orderdate, o_orderkey LIMIT 200)
+SELECT o_orderkey, CASE WHEN l.doc_id IS NULL THEN 'fetch' ELSE 'cached' END AS origin FROM w LEFT JOIN labels l ON l.doc_id = w.o_orderkey""")
+def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 200 wanted episodes in their order, and which of them the cache has."""
+    wanted = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    first = table(spark, sf_dir, "orders").join(wanted, "o_custkey", "left_semi").orderBy("o_orderdate", "o_orderkey").limit(200)
+    cache = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("o_orderkey"), F.lit(True).alias("hit"))
+    return first.join(cache, "o_orderkey", "left").select("o_orderkey", F.when(F.col("hit"), "cached").otherwise("fetch").alias("origin"))
+
+
+@query("""WITH a AS (SELECT o_custkey, CASE WHEN o_orderkey % 4 <> 0 THEN year(o_orderdate) - 1950 END AS age FROM orders) SELECT o_custkey, round(avg(age), 6) AS mean_age, count(*) - count(age) AS unknown FROM a GROUP BY o_custkey""")
+def mean_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the ages that are known; null without any."""
+    age = F.when(F.col("o_orderkey") % 4 != 0, F.year("o_orderdate") - 1950)
+    rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.avg(age).alias("m"), F.count(F.lit(1)).alias("n"), F.count(age).alias("k"))
+    return rows.select("o_custkey", F.round("m", 6).alias("mean_age"), (F.col("n") - F.col("k")).alias("unknown"))

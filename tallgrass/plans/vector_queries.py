@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import incremental, neighbours, search, segment, topics
+from tallgrass.operators import export, incremental, neighbours, search, segment, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -264,3 +264,38 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def pca_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.map_2d(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "x", "y")
+
+
+@query()
+def topic_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average-linkage tree over the mean vectors of the labels."""
+    return topics.merge_tree(V.mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding"), "label", "embedding")
+
+
+@query("""WITH n AS (SELECT label, list(vec_id ORDER BY vec_id)[1:2] AS v FROM embeddings GROUP BY label) SELECT label AS topic_id, generate_subscripts(v, 1) - 1 AS example, unnest(v) AS vec_id, len(v) = 2 AS complete FROM n""")
+def negative_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two examples a topic, flattened with their places; whether a topic has both is checked beside it."""
+    first = Window.partitionBy("label").orderBy("vec_id")
+    rows = table(spark, sf_dir, "embeddings").withColumn("q", F.row_number().over(first)).filter("q <= 2")
+    lists = rows.groupBy("label").agg(F.array_sort(F.collect_list("vec_id")).alias("v"))
+    flat = lists.select(F.col("label").alias("topic_id"), F.posexplode("v").alias("example", "vec_id"), (F.size("v") == 2).alias("complete"))
+    return flat.withColumn("example", F.col("example").cast("long"))
+
+
+@query("""WITH c AS (SELECT vec_id % 50 AS sr_episode_id, label AS topic_id, vec_id, 100 + vec_id % 400 AS w FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY sr_episode_id, topic_id ORDER BY w DESC, vec_id) AS k FROM c)
+SELECT sr_episode_id, topic_id, vec_id AS representative, w AS words FROM r WHERE k = 1""")
+def longest_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest chunk of an episode's topic stands for it; of equally long ones the first."""
+    best = F.max(F.struct("word_count", (-F.col("chunk_id")).alias("m"), "chunk_id")).alias("b")
+    rows = chunks(spark, sf_dir).groupBy("sr_episode_id", F.col("label").alias("topic_id")).agg(best)
+    return rows.select("sr_episode_id", "topic_id", F.col("b.chunk_id").alias("representative"), F.col("b.word_count").alias("words"))
+
+
+@query("""WITH s AS (SELECT label AS topic_id, count(*) AS n FROM embeddings GROUP BY label), e AS (SELECT label AS topic_id, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id % 3, vec_id % 50, vec_id) AS r FROM embeddings WHERE vec_id % 3 < 2)
+SELECT s.topic_id, n AS chunk_count, '## Topic ' || s.topic_id || ' (' || n || ')' || chr(10) || string_agg('- chunk ' || vec_id, chr(10) ORDER BY r) AS section FROM s JOIN e ON e.topic_id = s.topic_id AND r <= 5 GROUP BY s.topic_id, n""")
+def report_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markdown of the topics with up to five examples each, of rank 0 and 1 here."""
+    rows = chunks(spark, sf_dir)
+    summary = rows.groupBy(F.col("label").alias("topic_id")).agg(F.count(F.lit(1)).alias("chunk_count")).withColumn("label", F.concat(F.lit("Topic "), F.col("topic_id").cast("string")))
+    examples = rows.select(F.col("label").alias("topic_id"), (F.col("chunk_id") % 3).alias("rank"), F.struct(F.col("sr_episode_id"), "chunk_id").alias("sr_episode_id"), F.concat(F.lit("chunk "), F.col("chunk_id").cast("string")).alias("excerpt")).filter("rank < 2")
+    return export.report_lines(summary, examples)

@@ -127,3 +127,9 @@ def test_clusters_and_map(spark):
     got = topics.cluster(df, "v", k=2).collect()
     assert len({(r.id % 2, r.topic_id) for r in got}) == 2
     assert topics.map_2d(df, "v").filter(F.col("x").isNotNull()).count() == 20
+
+
+def test_tree(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.99, 0.1]), (5, [0.0, 1.0])], "id int, v array<double>")
+    got = [(r.part_a, r.part_b, r.node, r.leaves) for r in topics.merge_tree(df, "id", "v").orderBy("step").collect()]
+    assert got == [(1, 2, 6, 2), (6, 5, 7, 3)]
