@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,6 +119,14 @@ def window_hashes(words: Words, size: int, whole_if_fewer: bool) -> tuple[np.nda
     return mix64(total), rows, at
 
 
+def release() -> None:
+    """Gives freed memory back to the system, where the C library can: workers stay, and would keep their peak for good."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
 def chunks(column: pa.Array | pa.ChunkedArray, max_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """A string column in pieces of about ``max_bytes``; nulls are empty texts. Every row comes in exactly one piece."""
     parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
@@ -135,6 +144,7 @@ def chunks(column: pa.Array | pa.ChunkedArray, max_bytes: int = CHUNK_BYTES) ->
             yield Chunk(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], first + i)
             i = j
         first += len(part)
+    release()
 
 
 def per_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
