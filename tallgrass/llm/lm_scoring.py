@@ -25,10 +25,10 @@ SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
 #: Slots to a row of the table when the tasks' counts are added up.
 BLOCK = 1 << 11
-PRIOR = 0.35
+PRIOR = 0.1
 GATES = 25 * 8
 MAP_STEPS = 33
-RATE = 0.03
+RATE = 0.06
 #: Runs gathered before their counts are used.
 BUFFER = 1 << 22
 #: Words whose counts every task holds; the counts of all others are joined.
