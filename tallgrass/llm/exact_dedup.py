@@ -3,8 +3,8 @@
 Sampled splitters range-partition the normalised texts, each range is sorted externally so that equal texts are
 neighbours, and neighbours are compared in full. The range key is (first characters, 64-bit hash, hash of the
 identifier): equal texts share its first two parts, and the third one lets splitters fall inside a large group
-of copies, so that no group has to fit into one task. Runs that go on across the edge of a range are joined
-through a table of at most two rows a range.
+of copies, so that no group has to fit into one task. A group can be cut only by a splitter with its own hash: the
+runs of all such hashes are joined through a table of about two rows a splitter.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ OVERSAMPLING = 24
 
 
 def _range_key(norm: Column, ident: Column) -> Column:
-    return F.concat(F.substring(norm, 1, PREFIX_CHARS), F.lit("\x00"), F.hex(F.xxhash64(norm)), F.lit("\x00"), F.hex(F.xxhash64(ident)))
+    # No zero character but the two separators, so that keys are in the order of their parts.
+    return F.concat(F.replace(F.substring(norm, 1, PREFIX_CHARS), F.lit("\x00"), F.lit("\x01")), F.lit("\x00"), F.hex(F.xxhash64(norm)), F.lit("\x00"), F.hex(F.xxhash64(ident)))
 
 
 def sample_splitters(rows: DataFrame, ranges: int) -> list[str]:
@@ -71,9 +72,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
 
     best, order = (F.min, F.asc_nulls_last("id")) if keep == "min" else (F.max, F.desc_nulls_last("id"))
     sort = Window.partitionBy("range").orderBy("norm", order)
-    before, after = F.lag("norm").over(sort), F.lead("norm").over(sort)
+    before = F.lag("norm").over(sort)
+    # A splitter between two keys of equal texts begins like both, so it has their hash.
+    cut = F.hex(F.xxhash64("norm")).isin(sorted({s.split("\x00")[1] for s in splitters}))
     runs = (
-        rows.withColumns({"starts": before.isNull() | (before != F.col("norm")), "edge": F.when(before.isNull() | after.isNull(), F.col("norm"))})
+        rows.withColumn("starts", before.isNull() | (before != F.col("norm")))
+        .withColumn("edge", F.when(F.col("starts") & cut, F.col("norm")))
         .withColumn("sha", F.sha2("norm", 256))
         .withColumn("run", F.sum(F.col("starts").cast("int")).over(sort.rowsBetween(Window.unboundedPreceding, 0)))
         .drop("norm")
@@ -81,8 +85,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     run = Window.partitionBy("range", "run")
     runs = stage(runs.withColumns({"best": best("id").over(run), "size": F.count(F.lit(1)).over(run)}), "dedup-runs")
 
-    # The first and the last run of each range, by whole text: at most two rows a range, whatever the input.
-    edges = runs.filter(F.col("edge").isNotNull()).groupBy("range", "run").agg(F.first("edge").alias("edge"), F.first("best").alias("best"), F.first("size").alias("size"))
+    # Runs with a splitter's hash, by whole text: one row for each run, in few ranges unless a group fills many.
+    edges = runs.filter(F.col("edge").isNotNull()).select("range", "run", "edge", "best", "size")
     joined = edges.groupBy("edge").agg(best("best").alias("all_best"), F.sum("size").alias("all_size"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("range", "run")).alias("parts"))
     joined = joined.filter("n > 1").select("all_best", "all_size", F.explode("parts").alias("p")).select("all_best", "all_size", "p.range", "p.run")
     # Of several parts of a group, only the one that holds the best identifier (or, without one, the first part) keeps a row.
