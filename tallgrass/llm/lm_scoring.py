@@ -10,6 +10,7 @@ six bytes, so that equal runs are computed once and looked up afterwards.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,10 @@ from tallgrass.llm.textops import LOWER, Chunk, chunks, mix64
 from tallgrass.llm.workspace import small_batches, stage
 
 ORDERS = 6
-SLOT_BITS = 21
-SLOTS = 1 << SLOT_BITS
+#: Slots of the smallest table. Larger ones have at least twice as many slots as there are distinct (order, context, node).
+SLOTS = 1 << 21
+#: Of the hashes of (order, context, node), one in 2^SHARE_BITS is counted to find the number of all.
+SHARE_BITS = 10
 #: Slots to a row of the table when the tasks' counts are added up.
 BLOCK = 1 << 11
 PRIOR = 0.1
@@ -64,13 +67,18 @@ def _contexts(gram: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bits(gram: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Position, slots (ORDERS, n), node in the byte's tree, and value of each of the eight decisions."""
+def _hashes(gram: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Position, hashes (ORDERS, n) of context and node, node in the byte's tree, and value of each of the eight decisions."""
     base, symbol = _contexts(gram), (gram & _U(255)).astype(np.int64)
     for i in range(8):
         node = (256 | symbol) >> (8 - i)
-        slots = ((base + node.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) * _U(0xA0761D6478BD642F | 1)) >> _U(64 - SLOT_BITS)
-        yield i, slots.astype(np.int64), node, (symbol >> (7 - i)) & 1
+        yield i, (base + node.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) * _U(0xA0761D6478BD642F | 1), node, (symbol >> (7 - i)) & 1
+
+
+def _bits(gram: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Like ``_hashes``, with slots in a table of ``size``, a power of two."""
+    for i, hashes, node, bit in _hashes(gram):
+        yield i, (hashes >> _U(65 - int(size).bit_length())).astype(np.int64), node, bit
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -87,21 +95,46 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
         yield np.unique(np.concatenate(held), return_counts=True)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros((2, SLOTS))
-    seen = False
+def _some_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A fixed share of the hashes of all (order, context, node) of a partition, each once in a buffer."""
+    for gram, _ in _gathered(batches):
+        found = []
+        for part in range(0, len(gram), 1 << 18):
+            for _, hashes, _, _ in _hashes(gram[part : part + (1 << 18)]):
+                # Middle bits: the upper ones are the slot.
+                found.append(hashes[(hashes >> _U(20)) & _U((1 << SHARE_BITS) - 1) == 0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["h"])
+
+
+def _unpacked(counts: bytes, mixer: Mixer) -> Model:
+    return Model(np.frombuffer(zlib.decompress(counts), np.float32).reshape(2, -1), mixer)
+
+
+def slots_for(texts: DataFrame) -> int:
+    """Slots for the contexts of the column ``text``: at most every second one is filled, however many there are."""
+    number = texts.select("text").mapInArrow(_some_hashes, "h long").distinct().count() << SHARE_BITS
+    return max(SLOTS, 1 << (2 * number - 1).bit_length() if number else 0)
+
+
+def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    table = np.zeros((2, size), np.uint32)
+    flat = table.reshape(-1)
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for at in range(0, size, BLOCK):
+            part = table[:, at : at + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([part.astype(np.int64).tobytes()])], ["block", "counts"])
+
     for gram, number in _gathered(batches):
-        seen = True
+        if int(table.max()) + 8 * ORDERS * int(number.sum()) >= 1 << 32:
+            yield from rows()
+            table[:] = 0
         for part in range(0, len(gram), 1 << 18):
-            some, weight = gram[part : part + (1 << 18)], np.broadcast_to(number[part : part + (1 << 18)], (ORDERS, len(gram[part : part + (1 << 18)])))
-            for _, slots, _, bit in _bits(some):
-                one = bit == 1
-                table[1] += np.bincount(slots[:, one].ravel(), weight[:, one].ravel(), SLOTS)
-                table[0] += np.bincount(slots[:, ~one].ravel(), weight[:, ~one].ravel(), SLOTS)
-    for at in range(0, SLOTS if seen else 0, BLOCK):
-        part = table[:, at : at + BLOCK].astype(np.int64)
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([part.tobytes()])], ["block", "counts"])
+            weight = np.tile(number[part : part + (1 << 18)].astype(np.uint32), ORDERS)
+            for _, slots, _, bit in _bits(gram[part : part + (1 << 18)], size):
+                np.add.at(flat, (slots + size * bit).ravel(), weight)
+    yield from rows()
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +170,7 @@ class Mixer:
         for at in range(0, len(gram), 8192):
             some = order[at : at + 8192]
             weight = number[some].astype(np.float64)
-            for i, slots, node, bit in _bits(gram[some]):
+            for i, slots, node, bit in _bits(gram[some], counts.shape[1]):
                 zeros, ones = counts[0][slots], counts[1][slots]
                 ones, zeros = np.maximum(ones - bit, 0), np.maximum(zeros - (1 - bit), 0)  # without this occurrence
                 odds, gate, mixed = self.predict(zeros, ones, i)
@@ -156,7 +189,7 @@ class Mixer:
         refined = (self.map[0] + 8 * centre) / (self.map[1] + 8)
         for at in range(0, len(gram), 1 << 16):
             some = slice(at, at + (1 << 16))
-            for i, slots, node, bit in _bits(gram[some]):
+            for i, slots, node, bit in _bits(gram[some], counts.shape[1]):
                 _, _, mixed = self.predict(counts[0][slots], counts[1][slots], i)
                 p = 0.5 / (1 + np.exp(-mixed)) + 0.5 * refined[node, self.step(mixed)]
                 total[some] -= np.log2(np.where(bit == 1, p, 1 - p))
@@ -171,6 +204,9 @@ class Model:
     def __init__(self, counts: np.ndarray, mixer: Mixer):
         self.counts, self.mixer, self.keys = counts, mixer, None
 
+    def __reduce__(self):
+        return _unpacked, (zlib.compress(self.counts, 1), self.mixer)  # mostly zeros and small numbers
+
     def bits(self, chunk: Chunk) -> np.ndarray:
         """Total bits of every text of the chunk, its end included."""
         if self.keys is None:
@@ -191,19 +227,20 @@ class Model:
 
 
 def learn_model(texts: DataFrame) -> Model:
-    """Fit on the column ``text`` of ``texts``. Tasks are as many as twice the cores, so what they send doesn't grow with the input."""
+    """Fit on the column ``text`` of ``texts``. Tasks are as many as twice the cores: each sends a table, whose size follows the number of distinct contexts."""
     spark = texts.sparkSession
     few = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
-    blocks = few.mapInArrow(_count, "block int, counts binary").groupBy("block").applyInArrow(lambda part: _table_of(part), "block int, counts binary")
-    counts = np.zeros((2, SLOTS), np.float32)
+    size = slots_for(few)
+    blocks = few.mapInArrow(lambda batches: _count(batches, size), "block int, counts binary").groupBy("block").applyInArrow(lambda part: _table_of(part), "block int, counts binary")
+    counts = np.zeros((2, size), np.float32)
     for row in blocks.toLocalIterator():  # a partition at a time
         counts[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.float32).reshape(2, BLOCK)
-    shared = spark.sparkContext.broadcast(counts)
+    shared = spark.sparkContext.broadcast(Model(counts, Mixer()))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer, rng, weight = Mixer(), np.random.default_rng(1), 0
         for gram, number in _gathered(batches):
-            mixer.learn(gram, number, shared.value, rng)
+            mixer.learn(gram, number, shared.value.counts, rng)
             weight += int(number.sum())
         if weight:
             yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([mixer.weights.tobytes()]), pa.array([mixer.map.tobytes()])], ["n", "weights", "map"])
