@@ -102,15 +102,15 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
 
     ``sources`` is an array (a null entry is a source of its own; an empty or null array belongs to none and is never
     taken). Null sizes count as 0. A pattern whose flow is r and a fraction times its tokens takes every document r
-    times, and documents in the order of a seeded hash of (id, size) once more while the fraction lasts; rows that repeat
-    an identifier count as rows of their own. Documents of size 0 are never taken. Reruns agree. Empty tables give
+    times, and documents in the order of a seeded hash of (id, size) once more as far as they fit into the fraction, until
+    none that is left does; rows that repeat an identifier count as rows of their own. Documents of size 0 are never taken. Reruns agree. Empty tables give
     empty results. ``sources_target`` comes from ``quotas``.
     """
     spark = df.sparkSession
     pattern = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
     rows = df.select(F.col(id_col).alias("id"), pattern.alias("sources"), F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("size"))
     at = F.xxhash64(F.col("id").cast("string"), "size", F.lit(seed))
-    rows = stage(rows.withColumn("at", at).withColumn("slot", F.pmod("at", F.lit(SLOTS))), "mix-sizes")
+    rows = stage(rows.withColumn("at", at).withColumn("slot", F.pmod("at", F.lit(SLOTS))).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
     totals = rows.groupBy("sources").agg(F.sum("size").alias("tokens")).limit(MAX_PATTERNS + 1).collect()
     if len(totals) > MAX_PATTERNS:
@@ -130,36 +130,58 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
         want = sum(flow.get(p, {}).values())
         times = min(MAX_REPEATS, int(want / tokens + 1e-9)) if tokens else 0
         plan.append((list(p), times, max(0.0, want - times * tokens)))
-    plan_df = spark.createDataFrame(plan, "sources array<string>, times int, rest double")  # at most MAX_PATTERNS rows
-
-    # Tokens by slot of the hash show in which slot the rest runs out; only that slot's documents are summed one by one.
-    upto = Window.partitionBy("sources").orderBy("slot")
-    slots = rows.groupBy("sources", "slot").agg(F.sum("size").alias("tokens")).withColumn("below", F.sum("tokens").over(upto) - F.col("tokens"))
-    rows = rows.join(F.broadcast(plan_df), rows["sources"].eqNullSafe(plan_df["sources"])).drop(plan_df["sources"])
-    cut = slots.join(F.broadcast(plan_df.select(F.col("sources").alias("of"), "rest")), F.col("sources") == F.col("of"))
-    cut = cut.filter("below <= rest and rest < below + tokens").select("of", F.col("slot").alias("cut_slot"), "below")  # a row a pattern
-    rows = rows.join(F.broadcast(cut), F.col("sources") == F.col("of"), "left").drop("of")
-    within = Window.partitionBy("sources").orderBy("at", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    last = rows.filter(F.col("slot") == F.col("cut_slot")).withColumn("more", (F.col("below") + F.sum("size").over(within)) <= F.col("rest"))
-    other = rows.filter(F.col("cut_slot").isNull() | (F.col("slot") != F.col("cut_slot")))
-    other = other.withColumn("more", F.col("rest").cast("double") > 0)
-    other = other.withColumn("more", F.col("more") & (F.col("cut_slot").isNull() | (F.col("slot") < F.col("cut_slot"))))
-    picked = other.unionByName(last).select("id", "sources", "size", "at", "times", "rest", "more")
-    picked = _fill(_fill(stage(picked, "mix-picked")))
+    bounds = _bounds(rows, {tuple(p): rest for p, _, rest in plan})
+    # At most MAX_PATTERNS rows, each with the few rounds of its pattern.
+    plan_df = spark.createDataFrame([(p, times, bounds[tuple(p)]) for p, times, _ in plan], f"of array<string>, times int, bounds {_BOUNDS}")
+    picked = rows.join(F.broadcast(plan_df), F.col("sources").eqNullSafe(F.col("of"))).withColumn("more", _within(F.col("bounds")))
     repeats = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.col("times") + F.col("more").cast("int"), F.lit(MAX_REPEATS)))
     out = picked.withColumn("repeats", repeats)
     return out.select(F.col("id").alias(id_col), "sources", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
-def _fill(picked: DataFrame) -> DataFrame:
-    """Takes, for each pattern, the largest document left that still fits into what its rest lacks."""
-    lacks = F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(F.lit(0)))
-    gap = picked.groupBy("sources").agg(lacks.alias("gap")).select(F.col("sources").alias("of"), "gap")  # a row a pattern
-    spare = picked.filter(~F.col("more") & (F.col("size") > 0)).join(F.broadcast(gap), F.col("sources") == F.col("of")).filter("size <= gap")
-    pick = spare.groupBy("of").agg(F.max(F.struct("size", "at", "id")).alias("pick"))
-    out = picked.join(F.broadcast(pick), F.col("sources") == F.col("of"), "left")
-    chosen = F.coalesce(F.struct("size", "at", "id") == F.col("pick"), F.lit(False))
-    return stage(out.withColumn("more", F.col("more") | chosen).drop("of", "pick"), "mix-picked")
+_BOUNDS = "array<struct<most:double,slot:long,at:long,row:long>>"
+
+
+def _within(bounds: Column) -> Column:
+    """Whether a row was taken in one of the rounds: not too large for what was lacking, and not behind the round's last document."""
+    place = F.struct(F.col("slot").cast("long"), "at", "row")
+    return (F.col("size") > 0) & F.exists(bounds, lambda b: (F.col("size") <= b["most"]) & (place <= F.struct(b["slot"], b["at"], b["row"])))
+
+
+def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple]]:
+    """For each pattern the rounds in which documents are taken in the order of the hash, until none that is left fits.
+
+    A round passes over the documents that are larger than what is lacking at its start, and ends before the first one that
+    no longer fits. So a later round lacks less than the size of that document.
+    """
+    spark, gap = rows.sparkSession, {p: r for p, r in rest.items() if p and r > 0}
+    bounds: dict[tuple, list[tuple]] = {p: [] for p in rest}
+    while gap:
+        state = spark.createDataFrame([(list(p), g, bounds[p]) for p, g in gap.items()], f"of array<string>, gap double, bounds {_BOUNDS}")
+        left = rows.join(F.broadcast(state), F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds")))
+        # Tokens by slot of the hash show in which slot the rest runs out; only that slot's documents are summed one by one.
+        slots = left.groupBy("of", "gap", "slot").agg(F.sum("size").alias("tokens"))
+        slots = slots.withColumn("below", F.sum("tokens").over(Window.partitionBy("of").orderBy("slot")) - F.col("tokens"))
+        slots = slots.withColumn("cut", (F.col("below") <= F.col("gap")) & (F.col("gap") < F.col("below") + F.col("tokens")))
+        cuts = slots.groupBy("of").agg(F.sum("tokens").alias("all"), F.max(F.when(F.col("cut"), F.struct("slot", "below"))).alias("cut")).collect()  # a row a pattern
+        ends = {}
+        if inside := [(r["of"], r["cut"]["slot"], float(r["cut"]["below"])) for r in cuts if r["cut"]]:
+            cut = spark.createDataFrame(inside, "cut_of array<string>, cut_slot long, below double")
+            last = left.join(F.broadcast(cut), (F.col("of") == F.col("cut_of")) & (F.col("slot") == F.col("cut_slot")))
+            upto = Window.partitionBy("of").orderBy("at", "row").rowsBetween(Window.unboundedPreceding, 0)
+            last = last.withColumn("upto", F.sum("size").over(upto)).filter(F.col("below") + F.col("upto") <= F.col("gap"))
+            ends = {tuple(r["of"]): r for r in last.groupBy("of").agg(F.max(F.struct("at", "row")).alias("end"), F.max("upto").alias("upto")).collect()}
+        lacking = {}
+        for r in cuts:
+            p = tuple(r["of"])
+            if r["cut"] is None:  # all that fit one by one fit together, and what is left is larger
+                bounds[p].append((gap[p], SLOTS, 0, 0))
+                continue
+            end = ends.get(p)
+            bounds[p].append((gap[p], r["cut"]["slot"], end["end"]["at"], end["end"]["row"]) if end else (gap[p], r["cut"]["slot"] - 1, (1 << 63) - 1, (1 << 63) - 1))
+            lacking[p] = gap[p] - r["cut"]["below"] - (end["upto"] if end else 0)
+        gap = lacking
+    return bounds
 
 
 def sources_target(mixed: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
@@ -184,7 +206,16 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 def take_mix(docs: DataFrame) -> DataFrame:
     """The documents of the mix, all columns: each as often as it is taken."""
-    taken = mix_documents(docs).filter("repeats > 0").groupBy("doc_id", "source", "size").agg(F.max("repeats").alias("__repeats"))
-    same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["source"]) & (words_in(docs["text"]) == taken["size"])
-    rows = docs.join(taken, same).select(*[docs[c] for c in docs.columns], "__repeats")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).drop("__repeats", "__copy")
+    found = mix_documents(docs).groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("repeats")).alias("__each"))
+    found = stage(found.filter(F.array_max("__each") > 0), "mix-taken")
+
+    def rows_of(taken: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["source"]) & (words_in(docs["text"]) == taken["size"])
+        return docs.join(taken, same).select(*[docs[c] for c in docs.columns], "__each", taken["size"].alias("__size"))
+
+    uneven = F.array_min("__each") < F.array_max("__each")
+    rows = rows_of(found.filter(~uneven)).withColumn("__repeats", F.element_at("__each", 1))
+    if found.filter(uneven).limit(1).count():  # repeated rows of which the selection ends between two
+        number = F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(F.xxhash64("text")))
+        rows = rows.unionByName(rows_of(found.filter(uneven)).withColumn("__repeats", number).withColumn("__repeats", F.expr("element_at(__each, __repeats)")).filter("__repeats > 0"))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).drop("__each", "__size", "__repeats", "__copy")
