@@ -143,7 +143,11 @@ def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 
 def recognised(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least ``least`` of the text; all columns."""
+    """The rows of ``docs`` that have a letter and whose languages, as ``identify`` selects them, are known; all columns.
+
+    Several languages must together make up ``least`` of the text. One that outweighs any mixture is enough, which keeps texts
+    that are too short to tell; where nothing could be learned, every text with a letter stays.
+    """
     small_batches(docs.sparkSession)
     names, logs = learn(docs.filter(~held_out()), "text", "lang")
     model = docs.sparkSession.sparkContext.broadcast((names, logs))
@@ -154,8 +158,8 @@ def recognised(docs: DataFrame, least: float = 0.4) -> DataFrame:
             text = _lowered(batch.column(batch.schema.get_field_index("text")))
             known = np.array(pc.match_substring_regex(text.fill_null(""), r"\p{L}").to_pylist(), bool)
             for chunk in chunks(text) if names else ():
-                shares, _ = infer(chunk, logs)
-                known[chunk.first : chunk.first + chunk.rows] &= shares.max(axis=0) >= least
-            yield batch.filter(pa.array(known & bool(names)))
+                shares, chosen = infer(chunk, logs)
+                known[chunk.first : chunk.first + chunk.rows] &= (chosen.sum(axis=0) == 1) | (np.where(chosen, shares, 0).sum(axis=0) >= least)
+            yield batch.filter(pa.array(known))
 
     return docs.mapInArrow(keep, docs.schema)
