@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.llm.textops import chunks
+from tallgrass.llm.textops import Words, chunks
 from tallgrass.llm.workspace import small_batches, stage
 
 LENGTH = 2048
@@ -24,42 +24,141 @@ END_ID = 1
 #: Lengths are rounded up to this many tokens in the linear program only.
 UNIT = 8
 MAX_COLUMNS = 6000
-#: Words whose ids a worker remembers.
-MEMO_WORDS = 400_000
+#: Bytes of the words whose ids a worker remembers for good, and number of those met lately.
+MEMO_BYTES, YOUNG_WORDS = 24 << 20, 1 << 17
+#: Words to a text when new words are encoded.
+JOINED_WORDS = 500
+#: Bytes of words that keep their length when the tokenizer normalises them: printable ASCII but for the start of a
+#: special token, and U+00C0 to U+01FF.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[0x21:0x7F] = _PLAIN[0xC3:0xC8] = _PLAIN[0x80:0xC0] = True
+_PLAIN[ord("<")] = False
+
+
+class Generation:
+    """Words and their ids: ascending hashes, where each one's ids stand in ``arena``, and which words were met again."""
+
+    def __init__(self) -> None:
+        self.keys, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.again, self.arena = np.zeros(0, bool), np.zeros(0, np.uint32)
+
+    def places(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each of ``wanted`` (ascending), -1 where it is not held."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, at, -1)
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the words at ``places``, and their ids one after another."""
+        sizes = self.sizes[places].astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        return sizes, self.arena[np.repeat(self.starts[places] - begin, sizes) + np.arange(int(sizes.sum()))]
+
+    def add(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Words that are not held yet."""
+        starts = len(self.arena) + np.cumsum(sizes) - sizes
+        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = np.concatenate([self.keys, keys])[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])[order]
+        self.again = np.concatenate([self.again, np.zeros(len(keys), bool)])[order]
+        self.arena = np.concatenate([self.arena, ids])
+
+    def only(self, places: np.ndarray) -> Generation:
+        out = Generation()
+        sizes, ids = self.take(places)
+        out.add(self.keys[places], sizes, ids)
+        return out
+
+    def size(self) -> int:
+        return 21 * len(self.keys) + 4 * len(self.arena)
 
 
 class WordIds:
-    """Ids of words, each word encoded once: no token of the vocabulary goes across white space."""
+    """Ids of words, as far as they are remembered each word encoded once: no token of the vocabulary goes across white space.
+
+    New words stand in a young generation. When that is full, those met a second time move to the old one, and where the
+    old one is full as well, the words not met since its last clearing go.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.reset()
-
-    def reset(self) -> None:
-        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.starts, self.sizes, self.arena = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def places_of(self, hashes: np.ndarray, text_at) -> np.ndarray:
-        """Where each word stands in ``starts`` and ``sizes``; ``text_at`` gives the text of the word at an index."""
-        found, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(found) > MEMO_WORDS:
-            self.reset()
-        at = np.minimum(np.searchsorted(self.keys, found), max(len(self.keys) - 1, 0))
-        new = np.flatnonzero(self.keys[at] != found) if len(self.keys) else np.arange(len(found))
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        for name, i in names.items():  # one character a byte
+            self.bytes_of[i] = len(name.removesuffix("</w>"))
+        self.young, self.old = Generation(), Generation()
+
+    def encode(self, words: Words, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of the words at ``wanted``. Plain words go through the tokenizer as texts of many, all others one by one."""
+        sizes = np.zeros(len(wanted), np.int64)
+        odd = np.concatenate([[0], np.cumsum(~_PLAIN[words.data])])
+        plain = odd[words.ends[wanted]] == odd[words.starts[wanted]]
+        dotted = np.flatnonzero((words.data[:-1] == 0xC4) & (words.data[1:] == 0xB0))  # a capital whose small form is longer
+        if len(dotted):
+            plain &= np.searchsorted(dotted, words.starts[wanted]) == np.searchsorted(dotted, words.ends[wanted])
+        found: list[tuple[int, np.ndarray]] = []
+        some = np.flatnonzero(plain)
+        for at in range(0, len(some), 32 * JOINED_WORDS):
+            part = some[at : at + 32 * JOINED_WORDS]
+            length = words.ends[wanted[part]] - words.starts[wanted[part]]
+            edge = np.cumsum(length + 1)
+            line = np.full(int(edge[-1]), 0x20, np.uint8)
+            line[np.arange(int(length.sum())) + np.repeat(np.arange(len(part)), length)] = words.data[np.repeat(words.starts[wanted[part]] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))]
+            cuts = [*range(0, len(part), JOINED_WORDS), len(part)]
+            texts = [line[(edge[a - 1] if a else 0) : edge[b - 1]].tobytes().decode() for a, b in zip(cuts, cuts[1:], strict=False)]
+            codes = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.fromiter((x for c in codes for x in c), np.uint32, sum(map(len, codes)))
+            upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(length)
+            last = np.searchsorted(upto, ends)
+            if int(upto[-1]) == int(ends[-1]) and (upto[last] == ends).all():
+                sizes[part] = np.diff(last, prepend=-1)
+                found.append((at, ids))
+            else:  # not one character a byte: a vocabulary of another kind
+                plain[part] = False
+        plain_ids = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.uint32)
+        rest, alone = np.flatnonzero(~plain), []
+        for at in range(0, len(rest), 2000):  # encodings hold far more than ids: not all at once
+            alone += [e.ids for e in self.tokenizer.encode_batch_fast([words.text(i) for i in wanted[rest[at : at + 2000]]], add_special_tokens=False)]
+        sizes[rest] = np.fromiter(map(len, alone), np.int64, len(alone))
+        ids = np.zeros(int(sizes.sum()), np.uint32)
+        own = np.repeat(plain, sizes)
+        ids[own] = plain_ids
+        ids[~own] = np.fromiter((x for c in alone for x in c), np.uint32, len(ids) - len(plain_ids))
+        return sizes, ids
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the words of a chunk: the place of each among the distinct ones, and sizes and ids of those."""
+        distinct, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        old, young = self.old.places(distinct), self.young.places(distinct)
+        self.old.again[old[old >= 0]] = True
+        self.young.again[young[young >= 0]] = True
+        new = np.flatnonzero((old < 0) & (young < 0))
+        sizes, parts = np.zeros(len(distinct), np.int64), []
+        for where, (n, ids) in ((np.flatnonzero(old >= 0), self.old.take(old[old >= 0])), (np.flatnonzero(young >= 0), self.young.take(young[young >= 0])), (new, self.encode(words, first[new]))):
+            sizes[where] = n
+            parts.append((where, n, ids))
+        begin = np.cumsum(sizes) - sizes
+        arena = np.zeros(int(sizes.sum()), np.uint32)
+        for where, n, ids in parts:
+            arena[np.repeat(begin[where] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
         if len(new):
-            codes = []
-            for at_word in range(0, len(new), 2000):  # encodings hold far more than ids: not all at once
-                codes += [e.ids for e in self.tokenizer.encode_batch_fast([text_at(i) for i in first[new[at_word : at_word + 2000]]], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-            begin = len(self.arena) + np.cumsum(sizes) - sizes
-            self.arena = np.concatenate([self.arena, np.fromiter((x for c in codes for x in c), np.uint32, int(sizes.sum()))])
-            places = len(self.starts) + np.arange(len(new))
-            self.starts, self.sizes = np.concatenate([self.starts, begin]), np.concatenate([self.sizes, sizes])
-            where = np.searchsorted(self.keys, found[new])
-            self.keys, self.places = np.insert(self.keys, where, found[new]), np.insert(self.places, where, places)
-        return self.places[np.searchsorted(self.keys, found)][back]
+            self.young.add(distinct[new], parts[2][1], parts[2][2])
+            if len(self.young.keys) > YOUNG_WORDS:
+                self.turn()
+        return back, sizes, arena
+
+    def turn(self) -> None:
+        stay = self.young.only(np.flatnonzero(self.young.again))
+        if self.old.size() + stay.size() > MEMO_BYTES:
+            self.old = self.old.only(np.flatnonzero(self.old.again))
+            if self.old.size() + stay.size() > MEMO_BYTES:
+                self.old = Generation()
+        self.old.add(stay.keys, stay.sizes.astype(np.int64), stay.arena)
+        self.young = Generation()
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -70,13 +169,12 @@ def token_ids(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np
     memo = _WORKER.get(path) or _WORKER.setdefault(path, WordIds(path))
     for chunk in chunks(column):
         words = chunk.words()
-        places = memo.places_of(words.hashes, words.text) if len(words.starts) else np.zeros(0, np.int64)
-        # The end is a place of its own, -1, behind the words of each row.
-        places = np.insert(places, words.first[1:], -1)
-        sizes, starts = np.append(memo.sizes, 1)[places], np.append(memo.starts, len(memo.arena))[places]
+        back, own_sizes, own_ids = memo.of(words)
+        # The end is a place of its own, behind the words of each row.
+        places = np.insert(back, words.first[1:], len(own_sizes))
+        sizes, starts = np.append(own_sizes, 1)[places], np.append(np.cumsum(own_sizes) - own_sizes, len(own_ids))[places]
         before = np.cumsum(sizes) - sizes
-        take = np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
-        ids = np.append(memo.arena, np.uint32(END_ID))[take]
+        ids = np.append(own_ids, np.uint32(END_ID))[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
         edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], words.first[1:] + np.arange(1, chunk.rows + 1)])]
         yield chunk.first, ids, edges
 

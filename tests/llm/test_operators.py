@@ -305,9 +305,14 @@ def test_memo_forgets(monkeypatch, texts):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     want = [ids.tolist() for _, ids, _ in packing.token_ids(pa.array(texts), path)]
-    monkeypatch.setattr(packing, "MEMO_WORDS", 50)
+    tokenizer = Tokenizer.from_file(path)
+    assert [i for ids in want for i in ids] == [i for t in texts for i in (*tokenizer.encode(t or "", add_special_tokens=False).ids, 1)]
+    monkeypatch.setattr(packing, "MEMO_BYTES", 2000)
+    monkeypatch.setattr(packing, "YOUNG_WORDS", 50)
+    monkeypatch.setattr(packing, "JOINED_WORDS", 7)
     monkeypatch.setattr(packing, "_WORKER", {})
-    assert [ids.tolist() for _, ids, _ in packing.token_ids(pa.array(texts), path)] == want
+    for _ in range(3):
+        assert [ids.tolist() for _, ids, _ in packing.token_ids(pa.array(texts), path)] == want
 
 
 def test_warc(spark):
