@@ -1,16 +1,22 @@
 """LM scoring by logistic context mixing, beside a unigram base score.
 
-Every byte is coded as eight binary decisions. Predictors for the last 0 to 5 bytes keep hashed counts of zeros and ones;
-their log odds are added up with weights that a gate picks by how much two of the contexts have seen, and an adaptive
-map refines the mixed probability. Counts cover all training texts. Weights and map are learned online over all
-training texts too, where each occurrence is left out of its own counts. A text's bits are then a sum over its runs of
-six bytes, so that equal runs are computed once and looked up afterwards.
+A symbol is a byte (A-Z lower-cased) or the end of a text, and is coded as the binary decisions of a prefix code, short for
+frequent symbols. Predictors for the last 0 to 6 symbols count how a decision went after their context, and each hands on
+to the next one what the shorter context says. Their log odds are added up with weights that a gate picks by the longest
+context met before, and an adaptive map refines the sum. Weights and map are learned online: every shard of training text
+is a stream whose decisions are first predicted from what was counted before, then learned from, then counted.
+
+Counts are summed over all shards by buckets of contexts, so no task holds the whole model, and a symbol's cost in its
+context becomes a row of a table. A text costs the sum over its symbols; what is beyond the most frequent runs of
+symbols is joined. Longer repetition is seen by a copy model: a text falls into segments, cut where a word's hash says so,
+and a segment that occurs elsewhere in the training texts can be coded as a whole. An adaptive predictor tells which.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,328 +24,625 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.textops import LOWER, Chunk, chunks, mix64
-from tallgrass.llm.workspace import small_batches, stage
+from tallgrass.llm.textops import LOWER, Chunk, Words, chunks, span_hashes
+from tallgrass.llm.workspace import stage
 
+#: Symbols of the longest context. A run of ORDERS + 1 symbols of 9 bits is one number.
 ORDERS = 6
-#: Slots of the smallest table. Larger ones have at least twice as many slots as there are distinct (order, context, node).
-SLOTS = 1 << 21
-#: Of the hashes of (order, context, node), one in 2^SHARE_BITS is counted to find the number of all.
-SHARE_BITS = 10
-#: Slots to a row of the table when the tasks' counts are added up.
-BLOCK = 1 << 11
-PRIOR = 0.1
-GATES = 25 * 8
+END = 256
+SYMBOLS = 257
+WIDTH = 9
+#: Weight, in decisions, of what the shorter context says.
+INHERIT = 2.0
+#: Gates: longest context met before x how often.
+SEEN_STEPS = (1, 3, 12, 60)
+GATES = (ORDERS + 1) * (len(SEEN_STEPS) + 1)
 MAP_STEPS = 33
-RATE = 0.06
-#: Runs gathered before their counts are used.
-BUFFER = 1 << 22
-#: Words whose counts every task holds; the counts of all others are joined.
-COMMON_WORDS = 1 << 19
+RATE = 0.05
+#: Symbols that a shard gathers at its start, and later at most, before they are learned from; symbols of a whole shard.
+START, BUFFER, SHARD = 1 << 14, 1 << 23, 1 << 25
+#: Distinct runs that are looked at together, and steps of the weights in these.
+SLICE, STEPS = 1 << 17, 24
+#: Most runs, and most words, whose costs and counts every task holds; those of all others are joined.
+COMMON_RUNS, COMMON_WORDS = 1 << 21, 1 << 19
+#: Fixed-point unit of weights when they are summed over shards: sums of whole numbers do not depend on their order.
+FIXED = 1 << 16
+#: Tables of repeated segments up to this number of rows are broadcast; larger ones are joined.
+BROADCAST_SEGMENTS = 500_000
+#: A word ends a segment if its hash is 0 modulo this.
+SEGMENT_WORDS = 16
 _U = np.uint64
 
 
-def grams(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte, and the end of each text as a zero byte: the five bytes before and itself as one number; and the row of each."""
-    lead = ORDERS - 1
+class Code:
+    """A prefix code of the symbols; a symbol's rank is its place among the code words, so each node covers a range of ranks."""
+
+    def __init__(self, number: np.ndarray):
+        heap = [(int(n) + 1, s, (s,)) for s, n in enumerate(number)]
+        heapq.heapify(heap)
+        depth, tick = np.zeros(SYMBOLS, np.int64), SYMBOLS
+        while len(heap) > 1:
+            a, b = heapq.heappop(heap), heapq.heappop(heap)
+            depth[list(a[2] + b[2])] += 1
+            heapq.heappush(heap, (a[0] + b[0], tick, a[2] + b[2]))
+            tick += 1
+        order = np.lexsort((np.arange(SYMBOLS), depth))
+        self.rank = np.zeros(SYMBOLS, np.uint64)
+        self.rank[order] = np.arange(SYMBOLS, dtype=np.uint64)
+        self.length = depth[order]
+        # Code words as whole numbers of the deepest level, ascending with the rank.
+        deepest = int(self.length.max())
+        word, words = 0, []
+        for n in self.length.tolist():
+            words.append(word)
+            word += 1 << (deepest - n)
+        self.at = np.cumsum(self.length) - self.length
+        low, high, bit = [], [], []
+        for r, n in enumerate(self.length.tolist()):
+            for j in range(1, n + 1):
+                span = 1 << (deepest - j)
+                first = words[r] // span * span
+                low.append(int(np.searchsorted(words, first)))
+                high.append(int(np.searchsorted(words, first + span)))
+                bit.append(words[r] >> (deepest - j) & 1)
+        #: For each decision of each rank, the ranks below the node that it leads to, and the decision.
+        self.low, self.high, self.bit = np.array(low, np.uint64), np.array(high, np.uint64), np.array(bit, bool)
+
+    def decisions(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of symbols one after another: the first decision of each, the symbol of each decision, and its place in ``low``, ``high``, ``bit``."""
+        n = self.length[ranks]
+        first = np.cumsum(n) - n
+        owner = np.repeat(np.arange(len(ranks)), n)
+        return first, owner, np.arange(len(owner)) + (self.at[ranks] - first)[owner]
+
+
+def runs(chunk: Chunk, rank: np.ndarray, context: int = ORDERS) -> np.ndarray:
+    """For each symbol of each text, its end included: its rank before those of ``context`` symbols, nearest first, as one number.
+
+    In front of a text stand ends. The symbol has the highest bits, so that ascending runs have all contexts side by side.
+    """
     size = np.diff(chunk.offsets)
     rows = np.repeat(np.arange(chunk.rows), size)
-    line = np.zeros(len(chunk.data) + (lead + 1) * chunk.rows + lead, np.uint8)
-    line[np.arange(len(chunk.data)) + (lead + 1) * rows + lead] = LOWER[chunk.data]
-    ends = chunk.offsets[1:] + (lead + 1) * np.arange(chunk.rows) + lead
-    coded = np.ones(len(line), bool)
-    starts = np.concatenate([[0], ends + 1])
-    for k in range(lead):
-        coded[np.minimum(starts + k, len(line) - 1)] = False
-    at = np.flatnonzero(coded[lead : int(ends[-1]) + 1]) if chunk.rows else np.zeros(0, np.int64)
-    gram = np.zeros(len(at), np.uint64)
-    for k in range(ORDERS):
-        gram = (gram << _U(8)) | line[at + k]
-    return gram, np.repeat(np.arange(chunk.rows), size + 1)
-
-
-def _contexts(gram: np.ndarray) -> np.ndarray:
-    """A hash of the context for each order, (ORDERS, n)."""
-    before = gram >> _U(8)
-    out = np.empty((ORDERS, len(gram)), np.uint64)
-    for k in range(ORDERS):
-        out[k] = mix64((before & _U((1 << 8 * k) - 1)) * _U(0x9E3779B97F4A7C15) + _U(k + 1))
-    return out
-
-
-def _hashes(gram: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Position, hashes (ORDERS, n) of context and node, node in the byte's tree, and value of each of the eight decisions."""
-    base, symbol = _contexts(gram), (gram & _U(255)).astype(np.int64)
-    for i in range(8):
-        node = (256 | symbol) >> (8 - i)
-        yield i, (base + node.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) * _U(0xA0761D6478BD642F | 1), node, (symbol >> (7 - i)) & 1
-
-
-def _bits(gram: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Like ``_hashes``, with slots in a table of ``size``, a power of two."""
-    for i, hashes, node, bit in _hashes(gram):
-        yield i, (hashes >> _U(65 - int(size).bit_length())).astype(np.int64), node, bit
-
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct runs of a partition's texts with their numbers, a buffer at a time."""
-    held, size = [], 0
-    for batch in batches:
-        for chunk in chunks(batch.column(0)):
-            held.append(grams(chunk)[0])
-            size += len(held[-1])
-            if size >= BUFFER:
-                yield np.unique(np.concatenate(held), return_counts=True)
-                held, size = [], 0
-    if size:
-        yield np.unique(np.concatenate(held), return_counts=True)
-
-
-def _some_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A fixed share of the hashes of all (order, context, node) of a partition, each once in a buffer."""
-    for gram, _ in _gathered(batches):
-        found = []
-        for part in range(0, len(gram), 1 << 18):
-            for _, hashes, _, _ in _hashes(gram[part : part + (1 << 18)]):
-                # Middle bits: the upper ones are the slot.
-                found.append(hashes[(hashes >> _U(20)) & _U((1 << SHARE_BITS) - 1) == 0])
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["h"])
-
-
-def _unpacked(counts: bytes, mixer: Mixer) -> Model:
-    return Model(np.frombuffer(zlib.decompress(counts), np.float32).reshape(2, -1), mixer)
+    line = np.full(len(chunk.data) + (context + 1) * chunk.rows + context, rank[END], np.uint64)
+    line[np.arange(len(chunk.data)) + (context + 1) * rows + context] = rank[LOWER[chunk.data]]
+    run = np.zeros(len(line) - context, np.uint64)
+    for k in range(context + 1):
+        run <<= _U(WIDTH)
+        run |= line[context - k : len(line) - k]
+    return run[np.arange(len(chunk.data) + chunk.rows) + context * rows_of(chunk)]
+
+
+def rows_of(chunk: Chunk) -> np.ndarray:
+    """The row of each symbol."""
+    return np.repeat(np.arange(chunk.rows), np.diff(chunk.offsets) + 1)
+
+
+def table_keys(part: np.ndarray, k: int) -> np.ndarray:
+    """Of symbols with ``k`` symbols of context: the context in the high bits and the symbol's rank in the low ones."""
+    return ((part & _U((1 << WIDTH * k) - 1)) << _U(WIDTH)) | (part >> _U(WIDTH * k))
+
+
+def summed(keys: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys, number = keys[order], number[order]
+    if not len(keys):
+        return keys, number
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(number, first)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+class Counts:
+    """How often each symbol followed each context, for contexts of some lengths: ascending keys and running sums."""
+
+    def __init__(self, tables: dict[int, tuple[np.ndarray, np.ndarray]]):
+        self.tables = {}
+        for k, (keys, n) in tables.items():
+            context = keys >> _U(WIDTH)
+            edges = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            self.tables[k] = keys, np.concatenate([[0], np.cumsum(n)]), context[edges], np.append(edges, len(keys)).astype(np.int32)
+
+    @staticmethod
+    def tables_of(run: np.ndarray, number: np.ndarray, least: int, most: int = ORDERS) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """From ascending runs of ``most`` symbols of context."""
+        out = {}
+        for k in range(most, least - 1, -1):
+            order = np.argsort(keys := table_keys(run, k), kind="stable")
+            out[k] = keys[order], number[order]
+            if k > least and len(run):
+                run = run >> _U(WIDTH)
+                first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+                run, number = run[first], np.add.reduceat(number, first)
+        return out
+
+    def visits(self, keys: np.ndarray, k: int, code: Code) -> tuple[np.ndarray, np.ndarray]:
+        """For ascending keys, decision by decision: how often the context came to the node, and how often it then went as here."""
+        held, running, contexts, edges = self.tables[k]
+        base = keys & ~_U((1 << WIDTH) - 1)
+        first, owner, at = code.decisions((keys & _U((1 << WIDTH) - 1)).astype(np.int64))
+        if not len(held):
+            return np.zeros(len(owner), np.float32), np.zeros(len(owner), np.float32)
+        place = np.minimum(np.searchsorted(contexts, base >> _U(WIDTH)), len(contexts) - 1)
+        a, b = edges[place], edges[place + 1]
+        b = np.where(contexts[place] == base >> _U(WIDTH), b, a)
+        total = (running[b] - running[a]).astype(np.float32)
+        went = np.zeros(len(owner), np.float32)
+        one = np.flatnonzero((b == a + 1)[owner])  # after most long contexts came one symbol only
+        then, node = (held[a[owner[one]]] & _U((1 << WIDTH) - 1)), at[one]
+        went[one] = np.where((code.low[node] <= then) & (then < code.high[node]), total[owner[one]], 0)
+        more = np.flatnonzero((b > a + 1)[owner])
+        own, node = base[owner[more]], at[more]
+        went[more] = running[np.searchsorted(held, own + code.high[node])] - running[np.searchsorted(held, own + code.low[node])]
+        came = np.empty_like(went)
+        came[1:] = went[:-1]
+        came[first] = total
+        return came, went
+
+
+def _pieces(run: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of ascending runs, about SLICE at a time: a mixed lot of symbols, but together those with equal near contexts."""
+    number = -(-len(run) // SLICE)
+    at = ((run >> _U(WIDTH * 3)) * _U(0x9E3779B97F4A7C15) >> _U(40)) % _U(max(number, 1))
+    for piece in range(number):
+        if len(found := np.flatnonzero(at == _U(piece))):
+            yield found
 
 
-def slots_for(texts: DataFrame) -> int:
-    """Slots for the contexts of the column ``text``: at most every second one is filled, however many there are."""
-    number = texts.select("text").mapInArrow(_some_hashes, "h long").distinct().count() << SHARE_BITS
-    return max(SLOTS, 1 << (2 * number - 1).bit_length() if number else 0)
-
-
-def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    table = np.zeros((2, size), np.uint32)
-    flat = table.reshape(-1)
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        for at in range(0, size, BLOCK):
-            part = table[:, at : at + BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([part.astype(np.int64).tobytes()])], ["block", "counts"])
+class Mixer:
+    """Weights by gate, and the map that refines the mixed log odds by gate."""
 
-    for gram, number in _gathered(batches):
-        if int(table.max()) + 8 * ORDERS * int(number.sum()) >= 1 << 32:
-            yield from rows()
-            table[:] = 0
-        for part in range(0, len(gram), 1 << 18):
-            weight = np.tile(number[part : part + (1 << 18)].astype(np.uint32), ORDERS)
-            for _, slots, _, bit in _bits(gram[part : part + (1 << 18)], size):
-                np.add.at(flat, (slots + size * bit).ravel(), weight)
-    yield from rows()
+    def __init__(self) -> None:
+        self.weights = np.zeros((GATES, ORDERS + 1))
+        self.weights[np.arange(GATES), np.arange(GATES) // (len(SEEN_STEPS) + 1)] = 1  # the longest context that was met
+        self.moved = np.full(self.weights.shape, 0.01)
+        self.map = np.zeros((2, GATES, MAP_STEPS))  # ones and all, by step of the log odds
+        self.learned = 0
+
+    @staticmethod
+    def visits(run: np.ndarray, counts: Counts, code: Code) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """For the decisions of ascending distinct runs: by length of context, visits of the node and of the node behind it; then decision and run."""
+        first, owner, at = code.decisions((run >> _U(WIDTH * ORDERS)).astype(np.int64))
+        out = []
+        for k in range(ORDERS + 1):
+            part = run >> _U(WIDTH * (ORDERS - k))
+            new = np.concatenate([[True], part[1:] != part[:-1]])
+            keys = table_keys(part[new], k)
+            order = np.argsort(keys, kind="stable")
+            came, went = counts.visits(keys[order], k, code)
+            place = np.empty(len(keys), np.int64)
+            n = code.length[(keys[order] & _U((1 << WIDTH) - 1)).astype(np.int64)]
+            place[order] = np.cumsum(n) - n
+            mine = np.arange(len(owner)) + (place[np.cumsum(new) - 1] - first)[owner]
+            out.append((came[mine], went[mine]))
+        return out, code.bit[at], owner
+
+    @staticmethod
+    def inputs(visits: list[tuple[np.ndarray, np.ndarray]], own: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of going as here (a row for each predictor), and gate. ``own`` is taken off all visits: the occurrence that is to be predicted."""
+        odds = np.empty((ORDERS + 1, len(visits[0][0])), np.float32)
+        gate = np.zeros(odds.shape[1], np.int8)
+        chance = None
+        for k, (came, went) in enumerate(visits):
+            if own:
+                came, went = np.maximum(came - own, 0), np.maximum(went - own, 0)
+            chance = (went + 0.4) / (came + 0.8) if chance is None else (went + INHERIT * chance) / (came + INHERIT)
+            np.clip(chance, 1e-5, 1 - 1e-5, out=chance)
+            odds[k] = np.log(chance / (1 - chance))
+            met = came > 0
+            step = np.full(len(met), k * (len(SEEN_STEPS) + 1), np.int8)
+            for least in SEEN_STEPS:
+                step += came > least
+            gate = np.where(met, step, gate)
+        return odds, gate
+
+    def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        total, weights = np.zeros(odds.shape[1], np.float32), self.weights.astype(np.float32)
+        for k in range(ORDERS + 1):
+            total += weights[:, k][gate] * odds[k]
+        return np.clip(total, -16, 16, out=total)
+
+    @staticmethod
+    def step(mixed: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """The map's step, by the log odds of a one."""
+        return np.clip(np.rint((np.where(bit, mixed, -mixed) + 8) * 2), 0, MAP_STEPS - 1).astype(np.int64)
+
+    def learn(self, run: np.ndarray, number: np.ndarray, counts: Counts, code: Code) -> None:
+        """Predict the decisions of distinct runs, and move the weights and the map by how they went. A gate's weights move in up to STEPS steps a slice."""
+        for piece in _pieces(run):
+            visits, bit, owner = self.visits(run[piece], counts, code)
+            odds, gate = self.inputs(visits)
+            del visits
+            weight = number[piece].astype(np.float32)[owner]
+            order = np.argsort(gate, kind="stable")
+            edges = np.searchsorted(gate[order], np.arange(GATES + 1))
+            for g in np.flatnonzero(edges[1:] > edges[:-1]):
+                mine = order[edges[g] : edges[g + 1]]
+                x, w, ones, mixed = odds[:, mine], weight[mine], bit[mine], np.empty(len(mine), np.float32)
+                steps = min(STEPS, -(-len(mine) // 256))
+                for i in range(steps):
+                    some = slice(i, None, steps)
+                    mixed[some] = np.clip(self.weights[g].astype(np.float32) @ x[:, some], -16, 16)
+                    push = (x[:, some] @ (w[some] / (1 + np.exp(mixed[some])))) / w[some].sum()  # the decision went as here
+                    self.moved[g] += push * push
+                    self.weights[g] += RATE * push / np.sqrt(self.moved[g])
+                key = self.step(mixed, ones)
+                self.map[0, g] += np.bincount(key, w * ones, MAP_STEPS)
+                self.map[1, g] += np.bincount(key, w, MAP_STEPS)
+        self.learned += int(number.sum())
+
+    def cost(self, run: np.ndarray, counts: Counts, code: Code) -> np.ndarray:
+        """Bits of the symbol of each of ascending distinct runs after its context; in the second row, with one occurrence less counted."""
+        total = np.zeros((2, len(run)))
+        centre = 1 / (1 + np.exp(8 - np.arange(MAP_STEPS) / 2))
+        refined = (self.map[0] + 8 * centre) / (self.map[1] + 8)
+        for piece in _pieces(run):
+            visits, bit, owner = self.visits(run[piece], counts, code)
+            for own in (0, 1):
+                odds, gate = self.inputs(visits, own)
+                mixed = self.mixed(odds, gate)
+                again = refined[gate, self.step(mixed, bit)]
+                chance = 0.5 / (1 + np.exp(-mixed.astype(float))) + 0.5 * np.where(bit, again, 1 - again)
+                total[own, piece] = np.bincount(owner, -np.log2(chance), len(piece))
+        return total
 
+    def parameters(self) -> np.ndarray:
+        """Weights times what was learned from, that amount, and the map, as whole numbers that can be added up over shards."""
+        return np.rint(np.concatenate([FIXED * self.learned * self.weights.ravel(), [self.learned], self.map.ravel()])).astype(np.int64)
+
+    @staticmethod
+    def from_sums(sums: np.ndarray) -> Mixer:
+        out, n = Mixer(), GATES * (ORDERS + 1)
+        if sums[n]:
+            out.weights = (sums[:n] / (FIXED * float(sums[n]))).reshape(out.weights.shape)
+            out.map = sums[n + 1 :].astype(float).reshape(out.map.shape)
+        return out
+
+
+class Shard:
+    """A stream of training text: what was counted so far, and the mixer that learns from what comes next."""
+
+    def __init__(self, code: Code):
+        self.code, self.mixer = code, Mixer()
+        self.reset()
+
+    def reset(self) -> None:
+        self.run, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.counts, self.counted, self.symbols = None, 0, 0
+        self.held, self.waiting = [], 0
+
+    def add(self, run: np.ndarray) -> None:
+        """The next symbols of the stream. They wait as distinct runs until they are three times what was counted, or BUFFER."""
+        at = 0
+        while at < len(run):
+            room = min(BUFFER, max(START, 3 * self.symbols)) - self.waiting
+            some = np.sort(run[at : at + room])
+            first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+            self.held.append((some[first], np.diff(first, append=len(some))))
+            self.waiting += len(some)
+            at += len(some)
+            while len(self.held) > 1 and 2 * len(self.held[-1][0]) > len(self.held[-2][0]):
+                a, b = self.held.pop(), self.held.pop()
+                self.held.append(summed(np.concatenate([b[0], a[0]]), np.concatenate([b[1], a[1]])))
+            if len(some) == room:
+                self.flush()
+
+    def flush(self) -> None:
+        if not self.waiting:
+            return
+        run, number = summed(np.concatenate([h[0] for h in self.held]), np.concatenate([h[1] for h in self.held]))
+        self.symbols += self.waiting
+        self.held, self.waiting = [], 0
+        if self.counts is not None:
+            self.mixer.learn(run, number, self.counts, self.code)
+        self.run, self.number = summed(np.concatenate([self.run, run]), np.concatenate([self.number, number]))
+        if self.symbols >= 1.5 * self.counted:
+            self.counts, self.counted = Counts(Counts.tables_of(self.run, self.number, 0)), self.symbols
+
+
+def bucket_of(run: np.ndarray, buckets: int) -> np.ndarray:
+    """A number below ``buckets`` for the three nearest symbols of the context."""
+    near = (run >> _U(WIDTH * (ORDERS - 3))) & _U((1 << 3 * WIDTH) - 1)
+    return (((near * _U(0x9E3779B97F4A7C15)) >> _U(32)) % _U(buckets)).astype(np.int64)
+
+
+#: Contexts up to this length are counted before, and every task has their counts: at most SYMBOLS ** (NEAR + 1) numbers.
+NEAR = 2
+
+
+
+def packed(run: np.ndarray, number: np.ndarray) -> bytes:
+    """Ascending runs and their numbers: differences, byte planes apart, compressed."""
+    steps = np.diff(run, prepend=_U(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    planes = number.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return len(run).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(np.concatenate([steps, planes])).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(block[:8], "little")
+    planes = np.frombuffer(pa.decompress(block[8:], 12 * n, codec="zstd", asbytes=True), np.uint8).reshape(12, n)
+    return np.cumsum(np.ascontiguousarray(planes[:8].T).view("<u8").ravel(), dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view("<u4").ravel().astype(np.int64)
+
+
+#: Parameters of shards are added up in so many groups before they come to the driver.
+PARTS = 16
+
+
+def _learn(batches: Iterator[pa.RecordBatch], code: Code, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Codes a partition's training texts, shard by shard: blocks of counted runs by bucket, those of held-out texts with 0, and the mixer's parameters."""
+    shard, others, size = Shard(code), [], 0
+
+    def blocks() -> Iterator[pa.RecordBatch]:
+        shard.flush()
+        run = np.concatenate([shard.run, *others])
+        run, number = summed(run, np.concatenate([shard.number, np.zeros(len(run) - len(shard.run), np.int64)]))
+        bucket = bucket_of(run, buckets)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        run, number = run[order], number[order]
+        used = [b for b in range(buckets) if edges[b] < edges[b + 1]]
+        for at in range(0, len(used), 64):
+            some = used[at : at + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([packed(run[edges[b] : edges[b + 1]], number[edges[b] : edges[b + 1]]) for b in some], pa.binary())], ["bucket", "block"])
+        shard.reset()
+        others.clear()
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, block = np.zeros((2, BLOCK), np.int64), 0
     for batch in batches:
-        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            total += np.frombuffer(counts, np.int64).reshape(2, BLOCK)
-    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.astype(np.float32).tobytes()])], ["block", "counts"])
-
+        held = np.array(batch.column(1).to_pylist(), bool)
+        for chunk in chunks(batch.column(0)):
+            run = runs(chunk, code.rank)
+            out = held[chunk.first : chunk.first + chunk.rows][rows_of(chunk)]
+            shard.add(run[~out])
+            if out.any():
+                others.append(_distinct(run[out]))
+                size += len(others[-1])
+                if size > BUFFER // 4:
+                    others[:] = [_distinct(np.concatenate(others))]
+                    size = len(others[0])
+            if shard.symbols >= SHARD or size > BUFFER // 4:
+                yield from blocks()
+                size = 0
+    yield from blocks()
+    if shard.mixer.learned:
+        sums = shard.mixer.parameters()
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - int(sums[-1]) % PARTS], pa.int32()), pa.array([sums.tobytes()], pa.binary())], ["bucket", "block"])
+
+
+def _merged(part: pa.Table) -> pa.Table:
+    """One block of a bucket's runs, or the sum of some shards' parameters."""
+    bucket, blocks = part.column("bucket")[0].as_py(), part.column("block").to_pylist()
+    if bucket < 0:
+        whole = sum(np.frombuffer(b, np.int64) for b in blocks).tobytes()
+    else:
+        pairs = [unpacked(b) for b in blocks]
+        whole = packed(*summed(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])))
+    return pa.table({"bucket": pa.array([bucket], pa.int32()), "block": pa.array([whole], pa.binary())})
 
-def _seen(total: np.ndarray) -> np.ndarray:
-    return (total > 0).astype(np.int64) + (total > 2) + (total > 16) + (total > 256)
 
+class Model:
+    """A learned model: the code, the mixer, the counts of near contexts, and a table with the costs of all runs."""
 
-class Mixer:
-    """Weights by gate, and the map that refines the mixed probability by node."""
+    def __init__(self, code: Code, mixer: Mixer, near: dict, costs: DataFrame):
+        self.code, self.mixer, self.near, self.costs = code, mixer, near, costs
 
-    def __init__(self) -> None:
-        self.weights = np.full((GATES, ORDERS), 0.3, np.float32)
-        self.map = np.zeros((2, 256, MAP_STEPS))  # ones and all, by node and step of the log odds
-
-    def predict(self, zeros: np.ndarray, ones: np.ndarray, position: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        odds = np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32)
-        gate = position * 25 + _seen(zeros[5] + ones[5]) * 5 + _seen(zeros[3] + ones[3])
-        mixed = np.einsum("kn,nk->n", odds, self.weights[gate])
-        return odds, gate, np.clip(mixed, -16, 16)
-
-    def step(self, mixed: np.ndarray) -> np.ndarray:
-        return np.clip(np.rint((mixed + 8) * 2), 0, MAP_STEPS - 1).astype(np.int64)
-
-    def learn(self, gram: np.ndarray, number: np.ndarray, counts: np.ndarray, rng: np.random.Generator) -> None:
-        order = rng.permutation(len(gram))
-        for at in range(0, len(gram), 8192):
-            some = order[at : at + 8192]
-            weight = number[some].astype(np.float64)
-            for i, slots, node, bit in _bits(gram[some], counts.shape[1]):
-                zeros, ones = counts[0][slots], counts[1][slots]
-                ones, zeros = np.maximum(ones - bit, 0), np.maximum(zeros - (1 - bit), 0)  # without this occurrence
-                odds, gate, mixed = self.predict(zeros, ones, i)
-                error = (bit - 1 / (1 + np.exp(-mixed))) * weight
-                norm = np.maximum(np.bincount(gate, weight, GATES), 1e-9)
-                for k in range(ORDERS):
-                    self.weights[:, k] += RATE * np.bincount(gate, error * odds[k], GATES) / norm
-                key = node * MAP_STEPS + self.step(mixed)
-                self.map[0] += np.bincount(key, weight * bit, 256 * MAP_STEPS).reshape(256, MAP_STEPS)
-                self.map[1] += np.bincount(key, weight, 256 * MAP_STEPS).reshape(256, MAP_STEPS)
-
-    def cost(self, gram: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Bits of the last byte of each run, given those before it."""
-        total = np.zeros(len(gram))
-        centre = 1 / (1 + np.exp(8 - np.arange(MAP_STEPS) / 2))
-        refined = (self.map[0] + 8 * centre) / (self.map[1] + 8)
-        for at in range(0, len(gram), 1 << 16):
-            some = slice(at, at + (1 << 16))
-            for i, slots, node, bit in _bits(gram[some], counts.shape[1]):
-                _, _, mixed = self.predict(counts[0][slots], counts[1][slots], i)
-                p = 0.5 / (1 + np.exp(-mixed)) + 0.5 * refined[node, self.step(mixed)]
-                total[some] -= np.log2(np.where(bit == 1, p, 1 - p))
-        return total
 
+def learn_model(rows: DataFrame, near: pa.Table) -> Model:
+    """Fit on ``text`` of ``rows`` where not ``held_out``; ``near`` has ``key`` and ``n`` of the runs of NEAR symbols of context, by symbol values.
 
-class Model:
-    """Counts and mixer, with the costs of runs met before."""
-
-    MEMO_BITS = 21
-
-    def __init__(self, counts: np.ndarray, mixer: Mixer):
-        self.counts, self.mixer, self.keys = counts, mixer, None
-
-    def __reduce__(self):
-        return _unpacked, (zlib.compress(self.counts, 1), self.mixer)  # mostly zeros and small numbers
-
-    def bits(self, chunk: Chunk) -> np.ndarray:
-        """Total bits of every text of the chunk, its end included."""
-        if self.keys is None:
-            self.keys, self.costs = np.full(1 << self.MEMO_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << self.MEMO_BITS, np.float32)
-        gram, rows = grams(chunk)
-        slot = ((gram * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.MEMO_BITS)).astype(np.int64)
-        cost = self.costs[slot]
-        new = np.flatnonzero(self.keys[slot] != gram)
-        if len(new):
-            found, back = np.unique(gram[new], return_inverse=True)
-            own = self.mixer.cost(found, self.counts).astype(np.float32)
-            cost[new] = own[back]
-            at = ((found * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.MEMO_BITS)).astype(np.int64)
-            self.keys[at], self.costs[at] = found, own
-            twice = self.keys[at] != found  # two runs in one place: the later one stays, with its own cost
-            self.costs[at[twice]] = own[np.searchsorted(found, self.keys[at[twice]])]
-        return np.bincount(rows, cost, chunk.rows)
-
-
-def learn_model(texts: DataFrame) -> Model:
-    """Fit on the column ``text`` of ``texts``. Tasks are as many as twice the cores: each sends a table, whose size follows the number of distinct contexts."""
-    spark = texts.sparkSession
-    few = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
-    size = slots_for(few)
-    blocks = few.mapInArrow(lambda batches: _count(batches, size), "block int, counts binary").groupBy("block").applyInArrow(lambda part: _table_of(part), "block int, counts binary")
-    counts = np.zeros((2, size), np.float32)
-    for row in blocks.toLocalIterator():  # a partition at a time
-        counts[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.float32).reshape(2, BLOCK)
-    shared = spark.sparkContext.broadcast(Model(counts, Mixer()))
-
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, rng, weight = Mixer(), np.random.default_rng(1), 0
-        for gram, number in _gathered(batches):
-            mixer.learn(gram, number, shared.value.counts, rng)
-            weight += int(number.sum())
-        if weight:
-            yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([mixer.weights.tobytes()]), pa.array([mixer.map.tobytes()])], ["n", "weights", "map"])
-
-    mixer, parts = Mixer(), few.mapInArrow(train, "n long, weights binary, map binary").collect()
-    shared.destroy()
-    parts.sort(key=lambda r: (r["n"], r["weights"]))
-    if total := sum(r["n"] for r in parts):
-        mixer.weights = (sum(np.frombuffer(r["weights"], np.float32).reshape(GATES, ORDERS).astype(float) * r["n"] for r in parts) / total).astype(np.float32)
-        mixer.map = sum(np.frombuffer(r["map"]).reshape(2, 256, MAP_STEPS) for r in parts)
-    return Model(counts, mixer)
-
-
-def _table_of(part: pa.Table) -> pa.Table:
-    return pa.Table.from_batches(list(_add(iter(part.to_batches()))))
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of the words of a partition by their 64-bit hashes, in parts when there are many."""
+    The model's ``costs`` have a row for every run that any of the texts has: ``run``, ``n`` (in training texts), ``cost``, ``own_cost``.
+    """
+    spark = rows.sparkSession
+    keys, n = near.column("key").to_numpy().astype(np.uint64), near.column("n").to_numpy()
+    value = lambda k: ((keys >> _U(WIDTH * (NEAR - k))) & _U((1 << WIDTH) - 1)).astype(np.int64)
+    code = Code(np.bincount(value(0), n, SYMBOLS).astype(np.int64))
+    run = np.zeros(len(keys), np.uint64)
+    for k in range(NEAR + 1):
+        run = (run << _U(WIDTH)) | code.rank[value(k)]
+    low = Counts.tables_of(*summed(run, n), 0, NEAR)
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = rows.select("text", "held_out").mapInArrow(lambda batches: _learn(batches, code, buckets), "bucket int, block binary")
+    blocks = stage(blocks.groupBy("bucket").applyInArrow(_merged, "bucket int, block binary"), "lm-counts")
+    parts = [np.frombuffer(r["block"], np.int64) for r in blocks.filter("bucket < 0").collect()]  # PARTS rows at most
+    mixer = Mixer.from_sums(sum(parts)) if parts else Mixer()
+    shared = spark.sparkContext.broadcast((code, mixer, low))
+
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, mixer, low = shared.value
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                run, number = unpacked(block)
+                cost = mixer.cost(run, Counts(low | Counts.tables_of(run, number, NEAR + 1)), code).astype(np.float32)
+                for at in range(0, len(run), 1 << 16):
+                    some = slice(at, at + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(run[some].view(np.int64)), pa.array(number[some]), pa.array(cost[0, some]), pa.array(cost[1, some])], ["run", "n", "cost", "own_cost"])
+
+    single = blocks.filter("bucket >= 0").repartition(buckets, "bucket").select("block")
+    return Model(code, mixer, low, stage(single.mapInArrow(price, "run long, n long, cost float, own_cost float"), "lm-costs"))
+
+
+def most_frequent(table: DataFrame, number: str, most: int) -> int:
+    """The least value of ``number`` from which the rows are not more than ``most``."""
+    least, rows = 1, 0
+    for r in table.filter(F.col(number) > 0).groupBy(number).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc(number)).limit(most).collect():
+        rows += r["rows"]
+        if rows > most:
+            return r[number] + 1
+    return least
+
+
+class CostTable:
+    """Costs of the most frequent runs, by a slot of their hash; those that lost their slot to a more frequent one stand apart."""
+
+    def __init__(self, run: np.ndarray, costs: np.ndarray):
+        """``run`` with ascending frequency."""
+        self.shift = 64 - max(4, int(2 * len(run)).bit_length())
+        self.keys = np.full(1 << (64 - self.shift), np.iinfo(np.uint64).max, np.uint64)
+        slot = self.slots(run)
+        self.keys[slot] = run
+        self.costs = np.zeros((2, len(self.keys)), np.float32)
+        own = self.keys[slot] == run
+        self.costs[:, slot[own]] = costs[:, own]
+        order = np.argsort(run[~own])
+        self.rest, self.rest_costs = run[~own][order], costs[:, ~own][:, order]
+
+    def slots(self, run: np.ndarray) -> np.ndarray:
+        return ((run * _U(0x9E3779B97F4A7C15)) >> _U(self.shift)).astype(np.int64)
+
+    def find(self, run: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cost of each run, by whether its own occurrence is counted; and which runs the table does not have, with cost 0."""
+        slot = self.slots(run)
+        cost = self.costs[own.astype(np.int64), slot]
+        lost = np.flatnonzero(self.keys[slot] != run)
+        cost[lost] = 0
+        if len(self.rest):
+            at = np.minimum(np.searchsorted(self.rest, run[lost]), len(self.rest) - 1)
+            good = self.rest[at] == run[lost]
+            cost[lost[good]] = self.rest_costs[own[lost[good]].astype(np.int64), at[good]]
+            lost = lost[~good]
+        return cost, lost
+
+
+def segments(chunk: Chunk, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the segments, and the hash of each: a word whose hash is 0 modulo SEGMENT_WORDS ends one. A row's rest is none."""
+    last = np.flatnonzero(words.hashes % _U(SEGMENT_WORDS) == 0)
+    ends, rows = words.ends[last], words.rows[last]
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    first = np.concatenate([[True], rows[1:] != rows[:-1]]) if len(ends) else np.zeros(0, bool)
+    starts = np.where(first, chunk.offsets[rows], starts)
+    return starts, ends, rows, span_hashes(words.data, starts, ends)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of a partition's words by their 64-bit hashes (kind 0), in parts when there are many, and of the runs of NEAR symbols of context (kind 1)."""
     held, numbers, size = [], [], 0
+    plain, near = np.arange(SYMBOLS, dtype=np.uint64), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys, back = np.unique(np.concatenate(held), return_inverse=True)
-        return keys, np.bincount(back, np.concatenate(numbers), len(keys)).astype(np.int64)
-
-    def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)])], ["w", "n"])
+            some = keys[at : at + (1 << 16)].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some), pa.array(n[at : at + (1 << 16)])], ["kind", "key", "n"])
 
     for batch in batches:
         for chunk in chunks(batch.column(0)):
+            keys, n = np.unique(runs(chunk, plain, NEAR).astype(np.uint32), return_counts=True)
+            near = summed(np.concatenate([near[0], keys.astype(np.uint64)]), np.concatenate([near[1], n]))
             keys, n = np.unique(chunk.words(lower=True).hashes, return_counts=True)
             held.append(keys)
             numbers.append(n)
             size += len(keys)
-            if size > 4_000_000:
-                keys, n = merged()
+            if size > 3_000_000:
+                keys, n = summed(np.concatenate(held), np.concatenate(numbers))
                 held, numbers, size = [keys], [n], len(keys)
-                if size > 2_000_000:
-                    yield from rows(keys, n)
+                if size > 1_500_000:
+                    yield from rows(0, keys, n)
                     held, numbers, size = [], [], 0
     if size:
-        yield from rows(*merged())
+        yield from rows(0, *summed(np.concatenate(held), np.concatenate(numbers)))
+    yield from rows(1, *near)
+
+
+#: The table of the last model that a worker has scored with.
+_TABLES: dict[str, CostTable] = {}
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: identifier, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte``.
+    """One row per row of ``docs``: identifier, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte``, ``copied``.
 
-    Rows where ``held_out`` holds are not learned from. Null texts count as empty: one token, the end. Without
+    ``score`` is the log10 probability of the lower-cased (A-Z) text with its end; ``copied`` the number of its segments that
+    are coded as copies. Rows where ``held_out`` holds are not learned from. Of a training text each occurrence of a
+    run or segment is predicted without itself, from all others. Null texts count as empty: one token, the end. Without
     training texts every count is 0 and the predictors know nothing. Repeated rows are scored alike, and count as
     often as they come where they are learned from; null identifiers are learned from unless ``held_out`` says otherwise.
+    An empty table gives none.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out.alias("held_out"))
     train = rows.filter(~F.col("held_out"))
-    model = learn_model(train)
+    gathered = stage(train.select("text").mapInArrow(_gather, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-words")
+    vocabulary = gathered.filter("kind = 0").select(F.col("key").alias("w"), F.col("n").alias("c"))
+    model = learn_model(rows, gathered.filter("kind = 1").select("key", "n").toArrow())  # SYMBOLS ** 3 rows at most
 
-    few = train.select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
-    vocabulary = stage(few.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "vocabulary")
     ends = train.count()
     totals = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
     tokens, distinct = (totals[0] or 0) + ends, totals[1] + (ends > 0)
-    # The words with the largest counts, COMMON_WORDS at most, go to every task.
-    least, number = 1, 0
-    for r in vocabulary.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(COMMON_WORDS).collect():
-        number += r["n"]
-        if number > COMMON_WORDS:
-            least = r["c"] + 1
-            break
-    common = vocabulary.filter(F.col("c") >= least).toArrow()
-    keys, logs = common.column("w").to_numpy().view(np.uint64), np.log10(common.column("c").to_numpy() + 0.5).astype(np.float64)
+    common = vocabulary.filter(F.col("c") >= most_frequent(vocabulary, "c", COMMON_WORDS)).toArrow()
+    words = common.column("w").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    words, logs = words[order], np.log10(common.column("c").to_numpy()[order] + 0.5)
+    common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).toArrow()
+    order = np.argsort(common.column("n").to_numpy(), kind="stable")
+    frequent = common.column("run").to_numpy().view(np.uint64)[order], np.stack([common.column(c).to_numpy()[order] for c in ("cost", "own_cost")])
     del common
-    order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((model, keys[order], logs[order]))
-    end_log = math.log10(ends + 0.5)
+    shared = spark.sparkContext.broadcast((model.code.rank, frequent, words, logs))
+    end_log, key = math.log10(ends + 0.5), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, keys, logs = shared.value
+        rank, frequent, common, logs = shared.value
+        if key not in _TABLES:
+            _TABLES.clear()
+            _TABLES[key] = CostTable(*frequent)
+        table = _TABLES[key]
         for batch in batches:
+            held = np.array(batch.column(2).to_pylist(), bool)
             for chunk in chunks(batch.column(1)):
                 words = chunk.words(lower=True)
                 hashes = words.hashes
-                at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
-                known = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
+                at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+                known = common[at] == hashes if len(common) else np.zeros(len(hashes), bool)
                 part = np.bincount(words.rows[known], logs[at[known]], chunk.rows) + end_log
-                rare, rows = hashes[~known].view(np.int64), words.rows[~known]
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(chunk.rows + 1)).astype(np.int32)), pa.array(rare))
+                rare, rare_rows = hashes[~known].view(np.int64), words.rows[~known]
+
+                run, row = runs(chunk, rank), rows_of(chunk)
+                cost, lost = table.find(run, ~held[chunk.first : chunk.first + chunk.rows][row])
+                upto = np.concatenate([[0], np.cumsum(cost, dtype=float)])
+                starts, ends_, seg_rows, seg_hashes = segments(chunk, words)
+                bits = upto[ends_ + seg_rows] - upto[starts + seg_rows]
+                edges = np.searchsorted(seg_rows, np.arange(chunk.rows + 1))
+                last = np.where(edges[1:] > edges[:-1], ends_[np.maximum(edges[1:] - 1, 0)] if len(ends_) else 0, chunk.offsets[:-1])
+                rest = upto[chunk.offsets[1:] + np.arange(1, chunk.rows + 1)] - upto[last + np.arange(chunk.rows)]
+                lost_rows = row[lost]
+                lost_segments = np.searchsorted(ends_ + seg_rows, lost, "right") - edges[lost_rows]
+
+                lists = lambda of, values: pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(chunk.rows + 1)).astype(np.int32)), pa.array(values))  # noqa: E731, B023
                 own = batch.slice(chunk.first, chunk.rows)
-                columns = [own.column(0), own.column(2), pa.array(words.per_row + 1), pa.array(np.bincount(words.rows[known], minlength=chunk.rows) + int(ends > 0)), pa.array(part), pa.array(model.bits(chunk)), pa.array(np.diff(chunk.offsets)), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "part", "bits", "bytes", "rare"])
+                columns = [
+                    own.column(0), own.column(2), pa.array(words.per_row + 1), pa.array(np.bincount(words.rows[known], minlength=chunk.rows) + int(ends > 0)), pa.array(part), pa.array(np.diff(chunk.offsets)), lists(rare_rows, rare),
+                    pa.array(rest), lists(seg_rows, seg_hashes.view(np.int64)), lists(seg_rows, bits), lists(lost_rows, run[lost].view(np.int64)), lists(lost_rows, lost_segments.astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "part", "bytes", "rare", "rest", "seg_hashes", "seg_bits", "runs", "run_segments"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scanned = rows.mapInArrow(scan, f"id {kind}, held_out boolean, n_tokens long, n_known long, part double, bits double, bytes long, rare array<long>")
+    scanned = rows.mapInArrow(scan, f"id {kind}, held_out boolean, n_tokens long, n_known long, part double, bytes long, rare array<long>, rest double, seg_hashes array<long>, seg_bits array<double>, runs array<long>, run_segments array<int>")
     scanned = stage(scanned.withColumn("row", F.monotonically_increasing_id()), "lm-scan")
+
     rare = scanned.select("row", F.explode("rare").alias("w")).join(vocabulary, "w", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("rare_part"), F.count("c").alias("rare_known"))
-    all_rows = scanned.drop("rare").join(rare, "row", "left")
+
+    # Bits by segment: those of common runs, those of all other runs, and the number of other occurrences of the whole segment.
+    parts = scanned.select("row", "held_out", F.posexplode(F.arrays_zip("seg_hashes", "seg_bits")).alias("segment", "s")).select("row", "held_out", "segment", F.col("s.seg_hashes").alias("h"), F.col("s.seg_bits").alias("bits"))
+    seen = stage(parts.groupBy("h").agg(F.count_if(~F.col("held_out")).alias("c"), F.count(F.lit(1)).alias("m")).filter("m > 1 and c > 0").drop("m"), "lm-segments")
+    number = scanned.filter(~F.col("held_out")).agg(F.sum(F.size("seg_hashes"))).first()[0] or 1
+    parts = parts.join(seen.hint("broadcast") if seen.limit(BROADCAST_SEGMENTS + 1).count() <= BROADCAST_SEGMENTS else seen, "h", "left")
+    others = F.col("c") - F.when(F.col("held_out"), 0).otherwise(1)
+    parts = parts.select("row", "segment", "bits", F.when(others > 0, others).alias("others"))
+    more = scanned.select("row", "held_out", F.explode(F.arrays_zip("runs", "run_segments")).alias("s")).select("row", "held_out", F.col("s.runs").alias("run"), F.col("s.run_segments").alias("segment"))
+    more = more.join(model.costs, "run").select("row", "segment", F.when(F.col("held_out"), F.col("cost")).otherwise(F.col("own_cost")).cast("double").alias("bits"), F.lit(None).cast("long").alias("others"))
+    each = parts.unionByName(more).groupBy("row", "segment").agg(F.sum("bits").alias("bits"), F.max("others").alias("others"))
+    copy = F.log2(F.lit(float(number)) / F.col("others"))
+    each = each.withColumn("copied", F.coalesce(copy < F.col("bits"), F.lit(False)))
+    each = each.groupBy("row").agg(F.sum(F.when(F.col("copied"), copy).otherwise(F.col("bits"))).alias("bits"), F.count_if("copied").alias("copied"))
+
+    all_rows = scanned.join(each, "row", "left").join(rare, "row", "left").withColumn("copied", F.coalesce("copied", F.lit(0).cast("long")))
+    # The predictor of copies has counts of its own, one of each kind to begin with: a! b! / (a + b + 1)! for a copies among a + b segments, the rest one of these.
+    logs_to = lambda n: F.aggregate(F.sequence(F.lit(1).cast("long"), n), F.lit(0.0), lambda s, i: s + F.log2(i))
+    flags, fresh = F.size("seg_hashes").cast("long") + 1, F.size("seg_hashes").cast("long") + 1 - F.col("copied")
+    told = F.when(F.col("copied") == 0, F.log2(flags + 1)).otherwise(logs_to(flags + 1) - logs_to(F.col("copied")) - logs_to(fresh))
+    bits = F.col("rest") + F.coalesce("bits", F.lit(0.0)) + told
     unit = math.log10(tokens + 0.5 * (distinct + 1))
     return all_rows.select(
         F.col("id").alias(id_col),
@@ -348,6 +651,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("part") + F.coalesce("rare_part", F.lit(0.0)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
-        (-F.col("bits") * F.lit(math.log10(2))).alias("score"),
-        (F.col("bits") / F.greatest(F.col("bytes"), F.lit(1))).alias("bits_per_byte"),
+        (-bits * F.lit(math.log10(2))).alias("score"),
+        (bits / F.greatest(F.col("bytes"), F.lit(1))).alias("bits_per_byte"),
+        "copied",
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +31,26 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: this cuts lineage and survives lost executors."""
+    """Write ``df`` as Parquet to the shared folder and read it back: this cuts lineage and survives lost executors.
+
+    Python gets ``BATCH_ROWS`` rows at once meanwhile, and the session's setting afterwards again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallgrass/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _batches_of(spark, BATCH_ROWS):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
