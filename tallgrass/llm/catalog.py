@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallgrass.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters, warc_zip
+from tallgrass.operators.incremental import numbered
 from tallgrass.session import ship_package
 
 
@@ -42,6 +44,15 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"))
 
 
+def redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URL filter with a table of redirects made from the pages, which have none: each third page by id leads to the next one."""
+    pages = _table(spark, sf_dir, "pages")
+    order = numbered(pages, "page_id", "i")
+    urls = pages.join(order, "page_id").select("i", "url")
+    redirects = urls.filter("i % 3 = 2").join(urls.select((F.col("i") - 1).alias("i"), F.col("url").alias("dst")), "i").select(F.col("url").alias("src"), "dst")
+    return url_filters.judge(pages, redirects=redirects)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -69,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_classifier": op4_quality_classifier,
         "op5_lm_scoring": op5_lm_scoring,
         "op6_url_filters": op6_url_filters,
+        "redirect_equivalence": redirect_equivalence,
         "op7_packing": op7_packing,
         "op8_warc_zip": op8_warc_zip,
         "op9_jaccard_join": op9_jaccard_join,
@@ -77,4 +89,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL, "op8_warc_zip": warc_zip.SQL}
+    return {"op1_exact_dedup": exact_dedup.SQL, "op9_jaccard_join": jaccard_join.SQL, "op6_url_filters": url_filters.SQL, "op8_warc_zip": warc_zip.SQL, "redirect_equivalence": url_filters.REDIRECTS_SQL}

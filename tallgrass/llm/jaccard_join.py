@@ -9,7 +9,9 @@ prefixes) must share some; extended prefixes must share more. The join is exact,
 4. stars: in the groups of a few tokens everyone is verified against the most central document, linear work that joins nearly
    all members of large groups of near copies into components;
 5. what is left, pairs in different components, is found through single rare tokens and through combinations of two
-   frequent tokens, and verified in blocks of whole sets. Pairs inside a component change nothing and make no rows.
+   frequent tokens, and verified in blocks of whole sets of like sizes;
+6. links are counted inside the components, where all of them are, again in blocks: a block gives a number for each of
+   its sets, not a row for each pair.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.llm.components import components
 from tallgrass.llm.textops import Chunk, chunks, mix64, per_row, window_hashes
-from tallgrass.llm.workspace import small_batches, stage
+from tallgrass.llm.workspace import stage, unused
 
 SHINGLE = 5
 #: Share of a set by which prefixes are extended in step 2, and which they must then share.
@@ -107,22 +109,29 @@ def _small(table: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets reach the threshold: 7 * shared >= 3 * (sizes together)."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            x, y = left.flatten().to_numpy(), right.flatten().to_numpy()
-            at, bt = np.concatenate([[0], np.cumsum(left.value_lengths())]), np.concatenate([[0], np.cumsum(right.value_lengths())])
-            good = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                both = np.sort(np.concatenate([x[at[i] : at[i + 1]], y[bt[i] : bt[i + 1]]]), kind="stable")
-                good[i] = 7 * np.count_nonzero(both[1:] == both[:-1]) >= 3 * len(both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
+    """Those of ``pairs`` (a member ``a`` and its leader ``b``) whose whole sets reach the threshold: 7 * shared >= 3 * (sizes together).
 
+    A leader's members come in blocks, so a leader's set is sent once a block, and no task gets all members of a leader.
+    """
     kind = pairs.schema["a"].dataType.simpleString()
-    sides = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b").join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-    return sides.select("a", "b", "ta", "tb").mapInArrow(check, f"a {kind}, b {kind}")
+    number = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    members = pairs.join(number, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("x")).join(sets.select(F.col("node").alias("a"), "tokens"), "a")
+    leaders = number.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("x")).join(sets.select(F.col("node").alias("b"), "tokens"), "b")
+
+    def check(part: pa.Table) -> pa.Table:
+        names, tokens = part.column("a").to_pylist(), part.column("tokens").combine_chunks()
+        edges, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy()
+        lead = next(i for i, name in enumerate(names) if name is None)
+        leader = flat[edges[lead] : edges[lead + 1]]
+        at = np.minimum(np.searchsorted(leader, flat), len(leader) - 1)
+        shared = per_row((leader[at] == flat).astype(np.int64), edges)
+        size = np.diff(edges)
+        good = 7 * shared >= 3 * (size + len(leader))
+        good[lead] = False
+        return pa.table({"a": part.column("a").filter(pa.array(good)), "b": part.column("b").filter(pa.array(good))})
+
+    both = members.unionByName(leaders.withColumn("a", F.lit(None).cast(kind)))
+    return both.groupBy("b", "x").applyInArrow(check, f"a {kind}, b {kind}")
 
 
 def _fits(n1: str, s1: str, n2: str, s2: str):
@@ -151,7 +160,7 @@ def _stars(index: DataFrame) -> DataFrame:
     leaders = some.groupBy("t").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), "node", "n", "shared")).alias("l"))
     pairs = some.join(leaders, "t").filter(F.col("node") != F.col("l.node"))
     pairs = pairs.select(F.col("node").alias("a"), F.col("l.node").alias("b"), "n", "shared", F.col("l.n").alias("n2"), F.col("l.shared").alias("shared2"))
-    return pairs.filter(_fits("n", "shared", "n2", "shared2")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.filter(_fits("n", "shared", "n2", "shared2")).select("a", "b").distinct()
 
 
 def _mixed(rows: DataFrame, key: str) -> DataFrame:
@@ -175,7 +184,7 @@ def _families(index: DataFrame, groups: DataFrame) -> DataFrame:
     keyed = keyed.join(_mixed(keyed, "key"), "key")
     heads = keyed.groupBy("key").agg(F.min("node").alias("head"))
     edges = keyed.join(heads, "key").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    families = components(edges).withColumnRenamed("component", "family")
+    families = components(edges, local=True).withColumnRenamed("component", "family")
     return stage(keyed.select("node", "c").distinct().join(families, "node"), "families")
 
 
@@ -229,47 +238,83 @@ def _links_of_block(part: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([f[0] for f in found], kind), "b": pa.array([f[1] for f in found], kind)})
 
 
-def _links_across(families: DataFrame, sets: DataFrame) -> DataFrame:
-    """All links between components of a family that the stars have missed, as far as they join components.
+def _like_sized(rows: DataFrame, group: str, mine: Column) -> DataFrame:
+    """``rows`` (``node``, ``n``, ``group``) dealt to blocks: those for which ``mine`` holds (``asks``) meet all rows of the group of like size.
 
-    The members outside the family's largest component are compared with all of its members, block by block. No pairs
-    are made into rows: a member goes to as many blocks as there are blocks of outsiders, an outsider to as many as the
-    family has, and a block gives at most as many links as it has components.
+    Sizes are cut into steps of a fifth; sets that reach the threshold differ by a third at most, so by two steps. A
+    row that asks goes to as many blocks as there are of like size, any other to as many as ask.
     """
-    sizes = families.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("family")
-    sizes = sizes.agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m")).select("family", F.col("most.c").alias("main"), "m", (F.col("m") - F.col("most.n")).alias("out"))
-    rows = families.join(sizes, "family").withColumns({"blocks": F.ceil(F.col("m") / BLOCK_SETS), "out_blocks": F.ceil(F.col("out") / BLOCK_SETS)}).filter("out > 0")
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     hashed = lambda c, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(c))
-    ask = rows.filter(F.col("c") != F.col("main")).select("node", "c", "family", hashed("out_blocks", 1).alias("x"), upto("blocks").alias("y"), F.lit(True).alias("asks"))
-    have = rows.select("node", "c", "family", upto("out_blocks").alias("x"), hashed("blocks", 2).alias("y"), F.lit(False).alias("asks"))
+    rows = rows.withColumn("step", F.floor(F.log("n") / F.log(F.lit(1.2))).cast("int")).withColumn("mine", mine)
+    sizes = rows.groupBy(group, "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"), F.ceil(F.count_if("mine") / BLOCK_SETS).alias("asking"))
+    near = sizes.select(group, F.col("step").alias("other"), F.col("blocks").alias("of"), F.col("asking").alias("ask_of")).withColumn("step", F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda i: F.col("other") + i)))
+    rows = rows.join(sizes, [group, "step"]).join(near, [group, "step"])
+    ask = rows.filter("mine").select("*", F.col("step").alias("s1"), F.col("other").alias("s2"), hashed("asking", 1).alias("x"), upto("of").alias("y"), F.lit(True).alias("asks"))
+    have = rows.filter("ask_of > 0").select("*", F.col("other").alias("s1"), F.col("step").alias("s2"), upto("ask_of").alias("x"), hashed("blocks", 2).alias("y"), F.lit(False).alias("asks"))
+    return ask.unionByName(have).drop("step", "mine", "other", "blocks", "asking", "of", "ask_of")
+
+
+def _links_across(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between components of a family that the stars have missed, as far as they join components.
+
+    The members outside the family's largest component are compared with all of its members of like size, block by block.
+    No pairs are made into rows: a block gives at most as many links as it has components.
+    """
+    most = families.groupBy("family", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("family").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
+    rows = families.join(most, "family").join(sets.select("node", "n"), "node")
+    dealt = _like_sized(rows, "family", F.col("c") != F.col("main"))
     kind = sets.schema["node"].dataType.simpleString()
-    whole = ask.unionByName(have).join(sets.select("node", "tokens"), "node")
-    return whole.groupBy("family", "x", "y").applyInArrow(_links_of_block, f"a {kind}, b {kind}")
+    whole = dealt.join(sets.select("node", "tokens"), "node").select("family", "s1", "x", "s2", "y", "node", "c", "asks", "tokens")
+    return whole.groupBy("family", "s1", "x", "s2", "y").applyInArrow(_links_of_block, f"a {kind}, b {kind}")
 
 
-def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: identifier, ``n_shingles`` and ``component_id``, the smallest identifier reachable by links.
+def _numbers_of_block(part: pa.Table) -> pa.Table:
+    """For each set that asks in a block, the number of other sets of the block that it links with."""
+    asks = np.array(part.column("asks").to_pylist(), bool)
+    nodes = np.array(part.column("node").to_pylist(), object)
+    sets = [np.asarray(t, np.int64) for t in part.column("tokens").to_numpy(zero_copy_only=False)]
+    mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
+    if not len(mine) or not len(theirs):
+        return pa.table({"node": pa.array([], part.schema.field("node").type), "links": pa.array([], pa.int64())})
+    sizes = np.array([len(t) for t in sets])
+    linked = 7 * join_sets([sets[i] for i in mine], [sets[i] for i in theirs]) >= 3 * (sizes[mine][:, None] + sizes[theirs][None, :])
+    number = linked.sum(axis=1) - (nodes[mine][:, None] == nodes[theirs][None, :]).sum(axis=1)
+    return pa.table({"node": pa.array(nodes[mine].tolist(), part.schema.field("node").type), "links": pa.array(number.astype(np.int64))})
+
+
+def _numbers(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node`` and ``n_links``, the number of other sets that it links with: all of them are in its component."""
+    rows = groups.join(sets.select("node", "n"), "node")
+    kind = sets.schema["node"].dataType.simpleString()
+    whole = _like_sized(rows, "component", F.lit(True)).join(sets.select("node", "tokens"), "node").select("component", "s1", "x", "s2", "y", "node", "asks", "tokens")
+    found = whole.groupBy("component", "s1", "x", "s2", "y").applyInArrow(_numbers_of_block, f"node {kind}, links long")
+    return found.groupBy("node").agg(F.sum("links").alias("n_links"))
 
-    Documents link where their sets of lower-cased (A-Z) five-word shingles have a Jaccard similarity of 0.75 at least.
+
+def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """One row per row of ``docs``: identifier, ``n_shingles``, ``component_id``, the smallest identifier reachable by links, ``n_copies`` and ``n_links``.
+
+    ``n_links`` is the number of other shingle sets, each however many documents have it, that the document's set links with (left
+    out without ``count_links``: it costs work in the square of a component's sets); ``n_copies`` the number of rows with
+    the document's set, itself included (1 where it is empty). Documents link where their sets of lower-cased (A-Z) five-word shingles have a Jaccard similarity of 0.75 at least.
     Texts with fewer words are one shingle; texts without words (and nulls) have none and link with nothing. Copies
     are one class, however many. Rows that share an identifier count as one document. A row with a null identifier
     gets the component of its copies, and null where it has none. An empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = stage(_signatures(rows, kind), "signatures")
 
     # Equal sets: only classes of several documents need a join.
-    copies = signed.filter("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
+    copies = signed.filter("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     copies = stage(copies, "classes")
     signed = signed.join(_small(copies), ["f1", "f2"], "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "id")).otherwise(F.col("id")))
 
     heads = signed.filter("n > 0 and id = rep").select(F.col("id").alias("node"), "need", "often", "prefix")
-    spread = Window.partitionBy("t")
-    hits = heads.select("node", F.explode("prefix").alias("t")).select("node", (F.min("node").over(spread) != F.max("node").over(spread)).alias("hit"))
-    hits = hits.filter("hit").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
+    tokens = heads.select("node", F.explode("prefix").alias("t"))
+    met = stage(tokens.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("t"), "met-tokens")
+    hits = tokens.join(_small(met), "t").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
     alive = heads.select("node", "need", "often").join(hits, "node", "left").filter("often + coalesce(hits, 0) >= need").select("node").distinct()
     alive = stage(alive, "candidates")
 
@@ -284,15 +329,36 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sets = stage(wanted.mapInArrow(whole, f"node {kind}, n long, tokens array<long>").filter("n > 0"), "sets")
     index = _index(sets)
     links = stage(verify(_stars(index), sets), "star-links")
-    groups = stage(components(links), "star-groups")
+    groups = stage(components(links, local=True), "star-groups")
     more = stage(_links_across(_families(index, groups), sets), "links")
-    groups = components(links.union(more)) if more.limit(1).count() else groups
-    out = signed.select("id", "n", "rep").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    groups = stage(components(links.union(more), local=True), "groups") if more.limit(1).count() else groups
+    found = groups.join(_numbers(groups, sets), "node", "left") if count_links else groups
+    out = signed.select("id", "n", "rep", "m").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.coalesce("m", F.lit(1).cast("long")).alias("n_copies")]
+    return out.select(*columns, *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []))
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest identifier of their component, or no identifier."""
-    found = join_documents(docs, id_col, text_col)
-    later = stage(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")), "later-copies")
-    return docs.join(_small(later), docs[id_col] == F.col("__id"), "left_anti")
+    """The rows of ``docs``, all columns, that have the smallest identifier of their component, or no identifier.
+
+    Null, empty and blank texts link with nothing and stay. Rows that repeat an identifier stay or go together. An empty
+    table gives none. Columns may have any names.
+    """
+    found = join_documents(docs, id_col, text_col, count_links=False)
+    other = unused(docs, "later")
+    later = stage(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(other)), "later-copies")
+    return docs.join(_small(later), docs[id_col] == F.col(other), "left_anti")
+
+
+#: The same rows by DuckDB, for tables of a few thousand documents: all pairs that share a shingle.
+SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS l FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 5 THEN [array_to_string(l, ' ')] ELSE list_distinct(list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' '))) END AS t FROM w),
+n AS (SELECT doc_id, len(t) AS n FROM s), x AS (SELECT doc_id, unnest(t) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b, k = na.n AND k = nb.n AS same FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+c AS (SELECT n.doc_id, least(n.doc_id, coalesce(min(b), n.doc_id)) AS class, count(b) + 1 AS n_copies FROM n LEFT JOIN e ON e.a = n.doc_id AND same GROUP BY n.doc_id),
+l AS (SELECT a AS doc_id, count(DISTINCT class) AS n_links FROM e JOIN c ON c.doc_id = e.b WHERE NOT same GROUP BY a),
+r(doc_id, least) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.least FROM r JOIN e ON e.a = r.doc_id WHERE r.least < e.b)
+SELECT n.doc_id, n.n AS n_shingles, min(r.least) AS component_id, any_value(n_copies) AS n_copies, coalesce(any_value(n_links), 0) AS n_links FROM n JOIN r USING (doc_id) JOIN c USING (doc_id) LEFT JOIN l USING (doc_id) GROUP BY ALL
+"""

@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import LOWER, Chunk, chunks
-from tallgrass.llm.workspace import small_batches
+from tallgrass.llm.workspace import BATCH_ROWS, stage
 
 BUCKETS = 1 << 16
-#: Most languages that are learned; more are refused, since each needs a table of BUCKETS numbers.
-MAX_LANGUAGES = 256
+#: Numbers (languages x n-grams) that are worked on at once.
+CELLS = 1 << 22
 PRIOR = 0.05
-ROUNDS = 6
+#: Rounds of expectation-maximisation over all languages, and over a chosen set.
+ROUNDS, SET_ROUNDS = 6, 6
 #: A language below this share does not belong to the set.
 LEAST_SHARE = 0.1
 UNKNOWN = "und"
@@ -54,8 +55,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             buckets, rows = ngrams(chunk)
             own = langs[chunk.first : chunk.first + chunk.rows]
             for lang in dict.fromkeys(own):
-                if lang not in total and len(total) >= MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
                 of = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 of += np.bincount(buckets[(own == lang)[rows]], minlength=BUCKETS)
     for lang, counts in total.items():
@@ -64,7 +63,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
-    """Names of the languages and the log probabilities of their buckets, over all of ``labelled``."""
+    """Names of the languages and the log probabilities of their buckets, over all of ``labelled``: BUCKETS numbers a language."""
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sums = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(sums["lang"].unique())
@@ -77,32 +76,57 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str],
 
 
 def infer(chunk: Chunk, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the languages in each row, and which of them belong to the row's set."""
+    """Shares of the languages in each row, and which of them belong to the row's set; as many rows at a time as CELLS allow, one at least."""
     k = len(logs)
     buckets, rows = ngrams(chunk)
     keys, number = np.unique(rows * BUCKETS + buckets, return_counts=True)
-    row, bucket, number = keys // BUCKETS, keys % BUCKETS, number.astype(np.float32)
-    size = np.bincount(row, number, chunk.rows)
-    log_p = logs[:, bucket]
-    pure = np.stack([np.bincount(row, number * log_p[i], chunk.rows) for i in range(k)])
-    p = np.exp(log_p - log_p.max(axis=0))
-    shares = np.full((k, chunk.rows), 1 / k)
+    row, bucket, number = keys // BUCKETS, (keys % BUCKETS).astype(np.int32), number.astype(np.float32)
+    edges = np.searchsorted(row, np.arange(chunk.rows + 1))
+    shares, chosen, first = np.full((k, chunk.rows), 1 / k), np.zeros((k, chunk.rows), bool), 0
+    while first < chunk.rows:
+        last = max(first + 1, int(np.searchsorted(edges, edges[first] + max(1, CELLS // k), "right")) - 1)
+        some = slice(edges[first], edges[last])
+        shares[:, first:last], chosen[:, first:last] = _mixtures(row[some] - first, number[some], logs[:, bucket[some]], last - first)
+        first = last
+    return shares, chosen
+
+
+def _expected(shares: np.ndarray, p: np.ndarray, row: np.ndarray, number: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One round of expectation-maximisation: the shares that each row's n-grams support."""
+    part = shares[:, row].astype(np.float32) * p
+    part *= number / np.maximum(part.sum(axis=0), 1e-30)
+    return np.stack([np.bincount(row, x, len(size)) for x in part]) / np.maximum(size, 1)
+
+
+def _mixtures(row: np.ndarray, number: np.ndarray, log_p: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    k, size = len(log_p), np.bincount(row, number, rows)
+    pure = np.stack([np.bincount(row, number * x, rows) for x in log_p])
+    most = log_p.max(axis=0) if len(row) else np.zeros(0, np.float32)
+    p = np.exp(log_p - most)
+    shares = np.full((k, rows), 1 / k)
     for _ in range(ROUNDS):
-        part = shares[:, row].astype(np.float32) * p
-        part *= number / part.sum(axis=0)
-        shares = np.stack([np.bincount(row, part[i], chunk.rows) for i in range(k)]) / np.maximum(size, 1)
-        shares[:, size == 0] = 1 / k
-    # The mixture pays half the logarithm of the text's size for each language beyond the first.
+        shares = _expected(shares, p, row, number, size)
+    shares[:, size == 0] = 1 / k
+    # The mixture of the larger shares, estimated anew without the others, pays half the logarithm of the text's size for each of its languages.
     chosen = shares >= LEAST_SHARE
     kept = np.where(chosen, shares, 0)
-    kept /= np.maximum(kept.sum(axis=0), 1e-12)
-    mixture = np.bincount(row, number * (np.log(np.maximum((kept[:, row] * p).sum(axis=0), 1e-30)) + log_p.max(axis=0)), chunk.rows)
-    penalty = 0.5 * np.log(np.maximum(size, 2))
-    best = pure.argmax(axis=0)
-    single = pure.max(axis=0) - penalty >= mixture - penalty * np.maximum(chosen.sum(axis=0), 1)
+    several = chosen.sum(axis=0) > 1
+    if several.any():
+        kept /= np.maximum(kept.sum(axis=0), 1e-12)
+        place, own = np.cumsum(several) - 1, several[row]
+        of, n, likely, total = place[row[own]], number[own], p[:, own], size[several]
+        inner = kept[:, several]
+        for _ in range(SET_ROUNDS):
+            inner = _expected(inner, likely, of, n, total)
+        mixture = np.bincount(of, n * (np.log(np.maximum((inner[:, of] * likely).sum(axis=0), 1e-30)) + most[own]), len(total))
+        penalty = 0.5 * np.log(np.maximum(total, 2))
+        better = mixture - penalty * chosen[:, several].sum(axis=0) > pure[:, several].max(axis=0) - penalty
+        at = np.flatnonzero(several)
+        shares[:, at[better]] = inner[:, better]
+        several[at[~better]] = False
     alone = np.zeros_like(chosen)
-    alone[best, np.arange(chunk.rows)] = True
-    return shares, np.where(single, alone, chosen)
+    alone[pure.argmax(axis=0), np.arange(rows)] = True
+    return shares, np.where(several, chosen, alone)
 
 
 def identify(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -113,9 +137,8 @@ def identify(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", tex
     every text where nothing could be learned are ``und`` with score 0 and an empty set. Whole texts count; repeated
     rows give repeated rows.
     """
-    small_batches(docs.sparkSession)
     names, logs = learn(learn_from, text_col, lang_col)
-    model = docs.sparkSession.sparkContext.broadcast((names, logs))  # MAX_LANGUAGES * BUCKETS floats at most
+    model = docs.sparkSession.sparkContext.broadcast((names, logs))  # BUCKETS floats a language
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs = model.value
@@ -134,7 +157,8 @@ def identify(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", tex
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double, languages array<string>").withColumnRenamed("id", id_col)
+    found = rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double, languages array<string>")
+    return stage(found, "languages").withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
@@ -146,20 +170,24 @@ def recognised(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` that have a letter and whose languages, as ``identify`` selects them, are known; all columns.
 
     Several languages must together make up ``least`` of the text. One that outweighs any mixture is enough, which keeps texts
-    that are too short to tell; where nothing could be learned, every text with a letter stays.
+    that are too short to tell; where nothing could be learned, every text with a letter stays. Null and empty texts go; repeated rows
+    stay or go together; null identifiers teach like others; an empty table gives none. Other columns may have any names.
     """
-    small_batches(docs.sparkSession)
     names, logs = learn(docs.filter(~held_out()), "text", "lang")
     model = docs.sparkSession.sparkContext.broadcast((names, logs))
 
+    at = docs.columns.index("text")
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs = model.value
-        for batch in batches:
-            text = _lowered(batch.column(batch.schema.get_field_index("text")))
-            known = np.array(pc.match_substring_regex(text.fill_null(""), r"\p{L}").to_pylist(), bool)
-            for chunk in chunks(text) if names else ():
-                shares, chosen = infer(chunk, logs)
-                known[chunk.first : chunk.first + chunk.rows] &= (chosen.sum(axis=0) == 1) | (np.where(chosen, shares, 0).sum(axis=0) >= least)
-            yield batch.filter(pa.array(known))
+        for whole in batches:
+            for first in range(0, len(whole), BATCH_ROWS):
+                batch = whole.slice(first, BATCH_ROWS)
+                text = _lowered(batch.column(at))
+                known = np.array(pc.match_substring_regex(text.fill_null(""), r"\p{L}").to_pylist(), bool)
+                for chunk in chunks(text) if names else ():
+                    shares, chosen = infer(chunk, logs)
+                    known[chunk.first : chunk.first + chunk.rows] &= (chosen.sum(axis=0) == 1) | (np.where(chosen, shares, 0).sum(axis=0) >= least)
+                yield batch.filter(pa.array(known))
 
     return docs.mapInArrow(keep, docs.schema)

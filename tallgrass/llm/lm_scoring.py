@@ -3,10 +3,11 @@
 A symbol is a byte (A-Z lower-cased) or the end of a text, and is coded as the binary decisions of a prefix code, short for
 frequent symbols. Predictors for the last 0 to 6 symbols count how a decision went after their context, and each hands on
 to the next one what the shorter context says. Their log odds are added up with weights that a gate picks by the longest
-context met before, and an adaptive map refines the sum. Weights and map are learned online: every shard of training text
-is a stream whose decisions are first predicted from what was counted before, then learned from, then counted.
+context met before, and an adaptive map refines the sum. Weights and map are learned online: the training texts come in
+waves, each as long as all before it, and the decisions of a wave are first predicted from what was counted in the waves
+before, then learned from, then counted.
 
-Counts are summed over all shards by buckets of contexts, so no task holds the whole model, and a symbol's cost in its
+Counts are summed over the corpus by buckets of contexts, so no task holds the whole model, and a symbol's cost in its
 context becomes a row of a table. A text costs the sum over its symbols; what is beyond the most frequent runs of
 symbols is joined. Longer repetition is seen by a copy model: a text falls into segments, cut where a word's hash says so,
 and a segment that occurs elsewhere in the training texts can be coded as a whole. An adaptive predictor tells which.
@@ -39,18 +40,21 @@ SEEN_STEPS = (1, 3, 12, 60)
 GATES = (ORDERS + 1) * (len(SEEN_STEPS) + 1)
 MAP_STEPS = 33
 RATE = 0.05
-#: Symbols that a shard gathers at its start, and later at most, before they are learned from; symbols of a whole shard.
-START, BUFFER, SHARD = 1 << 14, 1 << 23, 1 << 25
-#: Distinct runs that are looked at together, and steps of the weights in these.
-SLICE, STEPS = 1 << 17, 24
+#: Waves of the training texts: of 16 equal parts by hash, the wave that each belongs to. Each wave is as long as all before it.
+WAVE_OF = (0, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4)
+WAVES = 5
+#: Symbols whose distinct runs a task holds before it sends them on.
+HELD_SYMBOLS = 1 << 25
+#: Distinct runs that are looked at together, and steps of a gate's weights in these.
+SLICE, STEPS = 1 << 17, 48
 #: Most runs, and most words, whose costs and counts every task holds; those of all others are joined.
-COMMON_RUNS, COMMON_WORDS = 1 << 21, 1 << 19
-#: Fixed-point unit of weights when they are summed over shards: sums of whole numbers do not depend on their order.
+COMMON_RUNS, COMMON_WORDS = 1 << 22, 1 << 19
+#: Fixed-point unit of weights when they are summed over tasks: sums of whole numbers do not depend on their order.
 FIXED = 1 << 16
 #: Tables of repeated segments up to this number of rows are broadcast; larger ones are joined.
 BROADCAST_SEGMENTS = 500_000
 #: A word ends a segment if its hash is 0 modulo this.
-SEGMENT_WORDS = 16
+SEGMENT_WORDS = 24
 _U = np.uint64
 
 
@@ -86,7 +90,7 @@ class Code:
                 high.append(int(np.searchsorted(words, first + span)))
                 bit.append(words[r] >> (deepest - j) & 1)
         #: For each decision of each rank, the ranks below the node that it leads to, and the decision.
-        self.low, self.high, self.bit = np.array(low, np.uint64), np.array(high, np.uint64), np.array(bit, bool)
+        self.low, self.high, self.bit = np.array(low, np.int16), np.array(high, np.int16), np.array(bit, bool)
 
     def decisions(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of symbols one after another: the first decision of each, the symbol of each decision, and its place in ``low``, ``high``, ``bit``."""
@@ -101,15 +105,24 @@ def runs(chunk: Chunk, rank: np.ndarray, context: int = ORDERS) -> np.ndarray:
 
     In front of a text stand ends. The symbol has the highest bits, so that ascending runs have all contexts side by side.
     """
-    size = np.diff(chunk.offsets)
-    rows = np.repeat(np.arange(chunk.rows), size)
-    line = np.full(len(chunk.data) + (context + 1) * chunk.rows + context, rank[END], np.uint64)
-    line[np.arange(len(chunk.data)) + (context + 1) * rows + context] = rank[LOWER[chunk.data]]
-    run = np.zeros(len(line) - context, np.uint64)
-    for k in range(context + 1):
+    ends = chunk.offsets[1:] + np.arange(chunk.rows)
+    line = np.empty(len(chunk.data) + chunk.rows, np.uint64)
+    text = np.ones(len(line), bool)
+    text[ends] = False
+    line[text] = rank[LOWER[chunk.data]]
+    line[ends] = rank[END]
+    run = line.copy()
+    for k in range(1, context + 1):
         run <<= _U(WIDTH)
-        run |= line[context - k : len(line) - k]
-    return run[np.arange(len(chunk.data) + chunk.rows) + context * rows_of(chunk)]
+        run[k:] |= line[:-k]
+    # The first symbols of a row have seen the row before.
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    for i in range(context):
+        at = (starts + i)[starts + i <= ends]
+        run[at] = line[at]
+        for k in range(1, context + 1):
+            run[at] = (run[at] << _U(WIDTH)) | (line[at - k] if k <= i else rank[END])
+    return run
 
 
 def rows_of(chunk: Chunk) -> np.ndarray:
@@ -160,24 +173,26 @@ class Counts:
                 run, number = run[first], np.add.reduceat(number, first)
         return out
 
-    def visits(self, keys: np.ndarray, k: int, code: Code) -> tuple[np.ndarray, np.ndarray]:
-        """For ascending keys, decision by decision: how often the context came to the node, and how often it then went as here."""
+    def visits(self, keys: np.ndarray, k: int, code: Code, first: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For the decisions of ``keys`` (ascending for each symbol): how often the context came to the node, and how often it then went as here."""
         held, running, contexts, edges = self.tables[k]
-        base = keys & ~_U((1 << WIDTH) - 1)
-        first, owner, at = code.decisions((keys & _U((1 << WIDTH) - 1)).astype(np.int64))
+        went = np.zeros(len(owner), np.float32)
         if not len(held):
-            return np.zeros(len(owner), np.float32), np.zeros(len(owner), np.float32)
-        place = np.minimum(np.searchsorted(contexts, base >> _U(WIDTH)), len(contexts) - 1)
-        a, b = edges[place], edges[place + 1]
-        b = np.where(contexts[place] == base >> _U(WIDTH), b, a)
+            return went, went.copy()
+        context = keys >> _U(WIDTH)
+        place = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+        a = edges[place]
+        b = np.where(contexts[place] == context, edges[place + 1], a)
         total = (running[b] - running[a]).astype(np.float32)
-        went = np.zeros(len(owner), np.float32)
         one = np.flatnonzero((b == a + 1)[owner])  # after most long contexts came one symbol only
-        then, node = (held[a[owner[one]]] & _U((1 << WIDTH) - 1)), at[one]
-        went[one] = np.where((code.low[node] <= then) & (then < code.high[node]), total[owner[one]], 0)
+        if len(one):
+            own, node = owner[one], at[one]
+            then = (held[np.minimum(a, len(held) - 1)] & _U((1 << WIDTH) - 1)).astype(np.int16)[own]
+            went[one] = np.where((code.low[node] <= then) & (then < code.high[node]), total[own], 0)
         more = np.flatnonzero((b > a + 1)[owner])
-        own, node = base[owner[more]], at[more]
-        went[more] = running[np.searchsorted(held, own + code.high[node])] - running[np.searchsorted(held, own + code.low[node])]
+        if len(more):
+            base, node = (context << _U(WIDTH))[owner[more]], at[more]
+            went[more] = running[np.searchsorted(held, base + code.high[node].astype(np.uint64))] - running[np.searchsorted(held, base + code.low[node].astype(np.uint64))]
         came = np.empty_like(went)
         came[1:] = went[:-1]
         came[first] = total
@@ -204,42 +219,48 @@ class Mixer:
         self.learned = 0
 
     @staticmethod
-    def visits(run: np.ndarray, counts: Counts, code: Code) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-        """For the decisions of ascending distinct runs: by length of context, visits of the node and of the node behind it; then decision and run."""
-        first, owner, at = code.decisions((run >> _U(WIDTH * ORDERS)).astype(np.int64))
-        out = []
+    def predict(run: np.ndarray, counts: Counts, code: Code, owns: tuple[int, ...] = (0,)) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """For the decisions of ascending distinct runs, log odds of going as here (a row for each predictor) and gate; then decision and run.
+
+        For each of ``owns`` that much is taken off all visits: the occurrence that is to be predicted. What depends on a
+        short context is computed once for all runs that share it.
+        """
+        whole, owner, at = code.decisions((run >> _U(WIDTH * ORDERS)).astype(np.int64))
+        steps = np.arange(len(owner), dtype=np.int32)
+        out = [(np.empty((ORDERS + 1, len(owner)), np.float32), np.zeros(len(owner), np.int8)) for _ in owns]
+        state: list[tuple[np.ndarray, np.ndarray]] = []
+        shorter = None
         for k in range(ORDERS + 1):
             part = run >> _U(WIDTH * (ORDERS - k))
             new = np.concatenate([[True], part[1:] != part[:-1]])
-            keys = table_keys(part[new], k)
-            order = np.argsort(keys, kind="stable")
-            came, went = counts.visits(keys[order], k, code)
-            place = np.empty(len(keys), np.int64)
-            n = code.length[(keys[order] & _U((1 << WIDTH) - 1)).astype(np.int64)]
-            place[order] = np.cumsum(n) - n
-            mine = np.arange(len(owner)) + (place[np.cumsum(new) - 1] - first)[owner]
-            out.append((came[mine], went[mine]))
+            part = part[new]
+            first, of, node = (whole, owner, at) if k == ORDERS else code.decisions((part >> _U(WIDTH * k)).astype(np.int64))
+            came, went = counts.visits(table_keys(part, k), k, code, first, of, node)
+            place = np.cumsum(new) - 1
+            up = None
+            if shorter is not None:  # the same decision after the context without its last symbol
+                up = (shorter[0][shorter[1][new]] - first).astype(np.int32)[of] + steps[: len(of)]
+            before, state = state, []
+            for i, own in enumerate(owns):
+                c, w = (np.maximum(came - own, 0), np.maximum(went - own, 0)) if own else (came, went)
+                chance = (w + np.float32(0.4)) / (c + np.float32(0.8)) if up is None else (w + np.float32(INHERIT) * before[i][0][up]) / (c + np.float32(INHERIT))
+                np.clip(chance, 1e-5, 1 - 1e-5, out=chance)
+                odds = np.log(chance / (1 - chance))
+                gate = np.full(len(c), k * (len(SEEN_STEPS) + 1), np.int8)
+                for least in SEEN_STEPS:
+                    gate += c > least
+                if up is not None:
+                    gate = np.where(c > 0, gate, before[i][1][up])
+                elif k == 0:
+                    gate[c == 0] = 0
+                state.append((chance, gate))
+                if k == ORDERS:
+                    out[i][0][k], out[i][1][:] = odds, gate
+                else:
+                    out[i][0][k] = odds[(first[place] - whole).astype(np.int32)[owner] + steps]
+            shorter = first, place
         return out, code.bit[at], owner
 
-    @staticmethod
-    def inputs(visits: list[tuple[np.ndarray, np.ndarray]], own: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of going as here (a row for each predictor), and gate. ``own`` is taken off all visits: the occurrence that is to be predicted."""
-        odds = np.empty((ORDERS + 1, len(visits[0][0])), np.float32)
-        gate = np.zeros(odds.shape[1], np.int8)
-        chance = None
-        for k, (came, went) in enumerate(visits):
-            if own:
-                came, went = np.maximum(came - own, 0), np.maximum(went - own, 0)
-            chance = (went + 0.4) / (came + 0.8) if chance is None else (went + INHERIT * chance) / (came + INHERIT)
-            np.clip(chance, 1e-5, 1 - 1e-5, out=chance)
-            odds[k] = np.log(chance / (1 - chance))
-            met = came > 0
-            step = np.full(len(met), k * (len(SEEN_STEPS) + 1), np.int8)
-            for least in SEEN_STEPS:
-                step += came > least
-            gate = np.where(met, step, gate)
-        return odds, gate
-
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         total, weights = np.zeros(odds.shape[1], np.float32), self.weights.astype(np.float32)
         for k in range(ORDERS + 1):
@@ -254,18 +275,19 @@ class Mixer:
     def learn(self, run: np.ndarray, number: np.ndarray, counts: Counts, code: Code) -> None:
         """Predict the decisions of distinct runs, and move the weights and the map by how they went. A gate's weights move in up to STEPS steps a slice."""
         for piece in _pieces(run):
-            visits, bit, owner = self.visits(run[piece], counts, code)
-            odds, gate = self.inputs(visits)
-            del visits
+            [(odds, gate)], bit, owner = self.predict(run[piece], counts, code)
             weight = number[piece].astype(np.float32)[owner]
             order = np.argsort(gate, kind="stable")
             edges = np.searchsorted(gate[order], np.arange(GATES + 1))
             for g in np.flatnonzero(edges[1:] > edges[:-1]):
                 mine = order[edges[g] : edges[g + 1]]
-                x, w, ones, mixed = odds[:, mine], weight[mine], bit[mine], np.empty(len(mine), np.float32)
                 steps = min(STEPS, -(-len(mine) // 256))
+                parts = [mine[i::steps] for i in range(steps)]  # a mixed lot of symbols in each
+                mine = np.concatenate(parts)
+                x, w, ones, mixed = odds[:, mine], weight[mine], bit[mine], np.empty(len(mine), np.float32)
+                to = 0
                 for i in range(steps):
-                    some = slice(i, None, steps)
+                    some, to = slice(to, to + len(parts[i])), to + len(parts[i])
                     mixed[some] = np.clip(self.weights[g].astype(np.float32) @ x[:, some], -16, 16)
                     push = (x[:, some] @ (w[some] / (1 + np.exp(mixed[some])))) / w[some].sum()  # the decision went as here
                     self.moved[g] += push * push
@@ -281,9 +303,8 @@ class Mixer:
         centre = 1 / (1 + np.exp(8 - np.arange(MAP_STEPS) / 2))
         refined = (self.map[0] + 8 * centre) / (self.map[1] + 8)
         for piece in _pieces(run):
-            visits, bit, owner = self.visits(run[piece], counts, code)
-            for own in (0, 1):
-                odds, gate = self.inputs(visits, own)
+            both, bit, owner = self.predict(run[piece], counts, code, (0, 1))
+            for own, (odds, gate) in enumerate(both):
                 mixed = self.mixed(odds, gate)
                 again = refined[gate, self.step(mixed, bit)]
                 chance = 0.5 / (1 + np.exp(-mixed.astype(float))) + 0.5 * np.where(bit, again, 1 - again)
@@ -291,7 +312,7 @@ class Mixer:
         return total
 
     def parameters(self) -> np.ndarray:
-        """Weights times what was learned from, that amount, and the map, as whole numbers that can be added up over shards."""
+        """Weights times what was learned from, that amount, and the map, as whole numbers that can be added up over tasks."""
         return np.rint(np.concatenate([FIXED * self.learned * self.weights.ravel(), [self.learned], self.map.ravel()])).astype(np.int64)
 
     @staticmethod
@@ -303,45 +324,28 @@ class Mixer:
         return out
 
 
-class Shard:
-    """A stream of training text: what was counted so far, and the mixer that learns from what comes next."""
-
-    def __init__(self, code: Code):
-        self.code, self.mixer = code, Mixer()
-        self.reset()
+class Distinct:
+    """The distinct runs of a stream of symbols with their numbers, merged as they come."""
 
-    def reset(self) -> None:
-        self.run, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.counts, self.counted, self.symbols = None, 0, 0
-        self.held, self.waiting = [], 0
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, run: np.ndarray) -> None:
-        """The next symbols of the stream. They wait as distinct runs until they are three times what was counted, or BUFFER."""
-        at = 0
-        while at < len(run):
-            room = min(BUFFER, max(START, 3 * self.symbols)) - self.waiting
-            some = np.sort(run[at : at + room])
-            first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
-            self.held.append((some[first], np.diff(first, append=len(some))))
-            self.waiting += len(some)
-            at += len(some)
-            while len(self.held) > 1 and 2 * len(self.held[-1][0]) > len(self.held[-2][0]):
-                a, b = self.held.pop(), self.held.pop()
-                self.held.append(summed(np.concatenate([b[0], a[0]]), np.concatenate([b[1], a[1]])))
-            if len(some) == room:
-                self.flush()
-
-    def flush(self) -> None:
-        if not self.waiting:
+        if not len(run):
             return
-        run, number = summed(np.concatenate([h[0] for h in self.held]), np.concatenate([h[1] for h in self.held]))
-        self.symbols += self.waiting
-        self.held, self.waiting = [], 0
-        if self.counts is not None:
-            self.mixer.learn(run, number, self.counts, self.code)
-        self.run, self.number = summed(np.concatenate([self.run, run]), np.concatenate([self.number, number]))
-        if self.symbols >= 1.5 * self.counted:
-            self.counts, self.counted = Counts(Counts.tables_of(self.run, self.number, 0)), self.symbols
+        run = np.sort(run)
+        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        self.held.append((run[first], np.diff(first, append=len(run))))
+        while len(self.held) > 1 and 2 * len(self.held[-1][0]) > len(self.held[-2][0]):
+            a, b = self.held.pop(), self.held.pop()
+            self.held.append(summed(np.concatenate([b[0], a[0]]), np.concatenate([b[1], a[1]])))
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """All so far, ascending; none is kept."""
+        held, self.held = self.held, []
+        if not held:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
 
 
 def bucket_of(run: np.ndarray, buckets: int) -> np.ndarray:
@@ -355,113 +359,134 @@ NEAR = 2
 
 
 
-def packed(run: np.ndarray, number: np.ndarray) -> bytes:
-    """Ascending runs and their numbers: differences, byte planes apart, compressed."""
-    steps = np.diff(run, prepend=_U(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    planes = number.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return len(run).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(np.concatenate([steps, planes])).tobytes(), codec="zstd", asbytes=True)
+def packed(run: np.ndarray, *numbers: np.ndarray) -> bytes:
+    """Ascending runs and columns of numbers: differences, byte planes apart, compressed."""
+    columns = [np.diff(run, prepend=_U(0)).astype("<u8"), *[n.astype("<u4") for n in numbers]]
+    planes = [c.view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in columns]
+    return len(run).to_bytes(8, "little") + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
-def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(block: bytes, columns: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, and their numbers as (columns, n)."""
     n = int.from_bytes(block[:8], "little")
-    planes = np.frombuffer(pa.decompress(block[8:], 12 * n, codec="zstd", asbytes=True), np.uint8).reshape(12, n)
-    return np.cumsum(np.ascontiguousarray(planes[:8].T).view("<u8").ravel(), dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view("<u4").ravel().astype(np.int64)
-
+    planes = np.frombuffer(pa.decompress(block[8:], (8 + 4 * columns) * n, codec="zstd", asbytes=True), np.uint8).reshape(-1, n)
+    column = lambda a, b, kind: np.ascontiguousarray(planes[a:b].T).view(kind).ravel()
+    return np.cumsum(column(0, 8, "<u8"), dtype=np.uint64), np.stack([column(8 + 4 * i, 12 + 4 * i, "<u4").astype(np.int64) for i in range(columns)])
 
-#: Parameters of shards are added up in so many groups before they come to the driver.
-PARTS = 16
 
-
-def _learn(batches: Iterator[pa.RecordBatch], code: Code, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Codes a partition's training texts, shard by shard: blocks of counted runs by bucket, those of held-out texts with 0, and the mixer's parameters."""
-    shard, others, size = Shard(code), [], 0
+def _count(batches: Iterator[pa.RecordBatch], code: Code, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of a partition's distinct runs by bucket and wave; those of held-out texts (wave -1) with the number 0."""
+    found, symbols = {wave: Distinct() for wave in range(-1, WAVES)}, 0
 
     def blocks() -> Iterator[pa.RecordBatch]:
-        shard.flush()
-        run = np.concatenate([shard.run, *others])
-        run, number = summed(run, np.concatenate([shard.number, np.zeros(len(run) - len(shard.run), np.int64)]))
-        bucket = bucket_of(run, buckets)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        run, number = run[order], number[order]
-        used = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-        for at in range(0, len(used), 64):
-            some = used[at : at + 64]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([packed(run[edges[b] : edges[b + 1]], number[edges[b] : edges[b + 1]]) for b in some], pa.binary())], ["bucket", "block"])
-        shard.reset()
-        others.clear()
+        for wave, distinct in found.items():
+            run, number = distinct.take()
+            if wave < 0:
+                number = np.zeros_like(number)
+            bucket = bucket_of(run, buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            run, number = run[order], number[order]
+            used = [b for b in range(buckets) if edges[b] < edges[b + 1]]
+            for at in range(0, len(used), 64):
+                some = used[at : at + 64]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([max(wave, 0)] * len(some), pa.int32()), pa.array([packed(run[edges[b] : edges[b + 1]], number[edges[b] : edges[b + 1]]) for b in some], pa.binary())], ["bucket", "wave", "block"])
 
     for batch in batches:
-        held = np.array(batch.column(1).to_pylist(), bool)
+        waves = batch.column(1).to_numpy()
         for chunk in chunks(batch.column(0)):
             run = runs(chunk, code.rank)
-            out = held[chunk.first : chunk.first + chunk.rows][rows_of(chunk)]
-            shard.add(run[~out])
-            if out.any():
-                others.append(_distinct(run[out]))
-                size += len(others[-1])
-                if size > BUFFER // 4:
-                    others[:] = [_distinct(np.concatenate(others))]
-                    size = len(others[0])
-            if shard.symbols >= SHARD or size > BUFFER // 4:
+            own = waves[chunk.first : chunk.first + chunk.rows]
+            each = own[rows_of(chunk)] if (own != own[0]).any() else None
+            for wave in np.unique(own):
+                found[int(wave)].add(run if each is None else run[each == wave])
+            symbols += len(run)
+            if symbols >= HELD_SYMBOLS:
                 yield from blocks()
-                size = 0
+                symbols = 0
     yield from blocks()
-    if shard.mixer.learned:
-        sums = shard.mixer.parameters()
-        yield pa.RecordBatch.from_arrays([pa.array([-1 - int(sums[-1]) % PARTS], pa.int32()), pa.array([sums.tobytes()], pa.binary())], ["bucket", "block"])
 
 
 def _merged(part: pa.Table) -> pa.Table:
-    """One block of a bucket's runs, or the sum of some shards' parameters."""
-    bucket, blocks = part.column("bucket")[0].as_py(), part.column("block").to_pylist()
-    if bucket < 0:
-        whole = sum(np.frombuffer(b, np.int64) for b in blocks).tobytes()
-    else:
-        pairs = [unpacked(b) for b in blocks]
-        whole = packed(*summed(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])))
-    return pa.table({"bucket": pa.array([bucket], pa.int32()), "block": pa.array([whole], pa.binary())})
+    """One block of a bucket's runs, with a column of numbers for each wave."""
+    waves = np.array(part.column("wave").to_pylist())
+    pairs = [unpacked(b) for b in part.column("block").to_pylist()]
+    run = _distinct(np.concatenate([p[0] for p in pairs]))
+    numbers = np.zeros((WAVES, len(run)), np.int64)
+    for wave, (own, number) in zip(waves, pairs, strict=True):
+        numbers[wave, np.searchsorted(run, own)] += number[0]
+    return pa.table({"bucket": part.column("bucket")[:1], "block": pa.array([packed(run, *numbers)], pa.binary())})
+
+
+def _learn(blocks: list[bytes], code: Code, near: list[dict]) -> Mixer:
+    """A mixer that has gone through the waves of some buckets: ``near`` has the counts of near contexts before each wave."""
+    mixer = Mixer()
+    for wave in range(1, WAVES):
+        for block in blocks:
+            run, numbers = unpacked(block, WAVES)
+            before = numbers[:wave].sum(axis=0)
+            known, new = before > 0, numbers[wave] > 0
+            if known.any() and new.any():
+                mixer.learn(run[new], numbers[wave][new], Counts(near[wave] | Counts.tables_of(run[known], before[known], NEAR + 1)), code)
+    return mixer
 
 
 class Model:
-    """A learned model: the code, the mixer, the counts of near contexts, and a table with the costs of all runs."""
+    """A learned model: the code, the mixer, and a table with the costs of all runs."""
 
-    def __init__(self, code: Code, mixer: Mixer, near: dict, costs: DataFrame):
-        self.code, self.mixer, self.near, self.costs = code, mixer, near, costs
+    def __init__(self, code: Code, mixer: Mixer, costs: DataFrame):
+        self.code, self.mixer, self.costs = code, mixer, costs
+
+
+def near_counts(keys: np.ndarray, n: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From runs of symbol values to ascending runs of ranks."""
+    run = np.zeros(len(keys), np.uint64)
+    for k in range(NEAR + 1):
+        run = (run << _U(WIDTH)) | rank[((keys >> _U(WIDTH * (NEAR - k))) & _U((1 << WIDTH) - 1)).astype(np.int64)]
+    return summed(run, n)
 
 
 def learn_model(rows: DataFrame, near: pa.Table) -> Model:
-    """Fit on ``text`` of ``rows`` where not ``held_out``; ``near`` has ``key`` and ``n`` of the runs of NEAR symbols of context, by symbol values.
+    """Fit on ``text`` of ``rows`` by ``wave``, -1 for what is not learned from. ``near`` has ``key`` (wave, then a run of NEAR symbols of context by their values) and ``n``.
 
-    The model's ``costs`` have a row for every run that any of the texts has: ``run``, ``n`` (in training texts), ``cost``, ``own_cost``.
+    The model's ``costs`` have a row for every run that any of the texts has: ``run``, ``n`` (in training texts), ``cost``,
+    ``own_cost`` (with one occurrence less), in COST_UNIT.
     """
     spark = rows.sparkSession
     keys, n = near.column("key").to_numpy().astype(np.uint64), near.column("n").to_numpy()
-    value = lambda k: ((keys >> _U(WIDTH * (NEAR - k))) & _U((1 << WIDTH) - 1)).astype(np.int64)
-    code = Code(np.bincount(value(0), n, SYMBOLS).astype(np.int64))
-    run = np.zeros(len(keys), np.uint64)
-    for k in range(NEAR + 1):
-        run = (run << _U(WIDTH)) | code.rank[value(k)]
-    low = Counts.tables_of(*summed(run, n), 0, NEAR)
+    waves, keys = (keys >> _U(WIDTH * (NEAR + 1))).astype(np.int64), keys & _U((1 << WIDTH * (NEAR + 1)) - 1)
+    code = Code(np.bincount((keys >> _U(WIDTH * NEAR)).astype(np.int64), n, SYMBOLS).astype(np.int64))
+    low = [Counts.tables_of(*near_counts(keys[waves < w], n[waves < w], code.rank), 0, NEAR) for w in range(WAVES + 1)]
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = rows.select("text", "held_out").mapInArrow(lambda batches: _learn(batches, code, buckets), "bucket int, block binary")
+    blocks = rows.select("text", "wave").mapInArrow(lambda batches: _count(batches, code, buckets), "bucket int, wave int, block binary")
     blocks = stage(blocks.groupBy("bucket").applyInArrow(_merged, "bucket int, block binary"), "lm-counts")
-    parts = [np.frombuffer(r["block"], np.int64) for r in blocks.filter("bucket < 0").collect()]  # PARTS rows at most
-    mixer = Mixer.from_sums(sum(parts)) if parts else Mixer()
-    shared = spark.sparkContext.broadcast((code, mixer, low))
+    shared = spark.sparkContext.broadcast((code, low))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, low = shared.value
+        mixer = _learn([b for batch in batches for b in batch.column(0).to_pylist()], code, low)
+        if mixer.learned:
+            sums = mixer.parameters()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], ["i", "n"])
+
+    spread = blocks.repartition(max(1, buckets // 4), "bucket").select("block")
+    sums = spread.mapInArrow(learn, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()  # a row for each parameter
+    mixer = Mixer.from_sums(sums.set_index("i")["n"].sort_index().to_numpy()) if len(sums) else Mixer()
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, mixer, low = shared.value
+        code, low = shared.value
         for batch in batches:
             for block in batch.column(0).to_pylist():
-                run, number = unpacked(block)
-                cost = mixer.cost(run, Counts(low | Counts.tables_of(run, number, NEAR + 1)), code).astype(np.float32)
+                run, numbers = unpacked(block, WAVES)
+                number = numbers.sum(axis=0)
+                known = number > 0
+                counts = Counts(low[WAVES] | Counts.tables_of(run[known], number[known], NEAR + 1))
+                cost = np.rint(mixer.cost(run, counts, code) / COST_UNIT).astype(np.int32)
                 for at in range(0, len(run), 1 << 16):
                     some = slice(at, at + (1 << 16))
                     yield pa.RecordBatch.from_arrays([pa.array(run[some].view(np.int64)), pa.array(number[some]), pa.array(cost[0, some]), pa.array(cost[1, some])], ["run", "n", "cost", "own_cost"])
 
-    single = blocks.filter("bucket >= 0").repartition(buckets, "bucket").select("block")
-    return Model(code, mixer, low, stage(single.mapInArrow(price, "run long, n long, cost float, own_cost float"), "lm-costs"))
+    return Model(code, mixer, stage(spread.mapInArrow(price, "run long, n long, cost int, own_cost int"), "lm-costs"))
 
 
 def most_frequent(table: DataFrame, number: str, most: int) -> int:
@@ -474,29 +499,39 @@ def most_frequent(table: DataFrame, number: str, most: int) -> int:
     return least
 
 
+#: Costs are kept in this share of a bit.
+COST_UNIT = 1 / 1024
+
+
 class CostTable:
-    """Costs of the most frequent runs, by a slot of their hash; those that lost their slot to a more frequent one stand apart."""
+    """Costs of the most frequent runs, by a slot of their hash; those that lost their slot to a more frequent one stand apart.
+
+    Slot and check are different bits of a hash that no two runs share.
+    """
 
     def __init__(self, run: np.ndarray, costs: np.ndarray):
-        """``run`` with ascending frequency."""
-        self.shift = 64 - max(4, int(2 * len(run)).bit_length())
-        self.keys = np.full(1 << (64 - self.shift), np.iinfo(np.uint64).max, np.uint64)
-        slot = self.slots(run)
-        self.keys[slot] = run
-        self.costs = np.zeros((2, len(self.keys)), np.float32)
-        own = self.keys[slot] == run
+        """``run`` with ascending frequency; ``costs`` in COST_UNIT, in two rows."""
+        self.bits = max(4, int(2 * len(run)).bit_length() - 1)
+        slot, check = self.slots(run)
+        self.checks, self.used = np.zeros(1 << self.bits, np.uint32), np.zeros(1 << self.bits, bool)
+        self.checks[slot], self.used[slot] = check, True
+        self.costs = np.zeros((2, 1 << self.bits), np.uint16)
+        own = self.checks[slot] == check
         self.costs[:, slot[own]] = costs[:, own]
         order = np.argsort(run[~own])
         self.rest, self.rest_costs = run[~own][order], costs[:, ~own][:, order]
 
-    def slots(self, run: np.ndarray) -> np.ndarray:
-        return ((run * _U(0x9E3779B97F4A7C15)) >> _U(self.shift)).astype(np.int64)
+    def slots(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mixed = run * _U(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> _U(32)
+        mixed *= _U(0xD6E8FEB86659FD93)
+        return (mixed >> _U(64 - self.bits)).astype(np.int32), mixed.astype(np.uint32)
 
     def find(self, run: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cost of each run, by whether its own occurrence is counted; and which runs the table does not have, with cost 0."""
-        slot = self.slots(run)
-        cost = self.costs[own.astype(np.int64), slot]
-        lost = np.flatnonzero(self.keys[slot] != run)
+        slot, check = self.slots(run)
+        cost = np.where(own, self.costs[1][slot], self.costs[0][slot])
+        lost = np.flatnonzero((self.checks[slot] != check) | ~self.used[slot])
         cost[lost] = 0
         if len(self.rest):
             at = np.minimum(np.searchsorted(self.rest, run[lost]), len(self.rest) - 1)
@@ -517,9 +552,9 @@ def segments(chunk: Chunk, words: Words) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of a partition's words by their 64-bit hashes (kind 0), in parts when there are many, and of the runs of NEAR symbols of context (kind 1)."""
+    """Numbers of a partition's words by their 64-bit hashes (kind 0), in parts when there are many, and of the runs of NEAR symbols of context by wave (kind 1)."""
     held, numbers, size = [], [], 0
-    plain, near = np.arange(SYMBOLS, dtype=np.uint64), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    plain, near = np.arange(SYMBOLS, dtype=np.uint64), Distinct()
 
     def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(keys), 1 << 16):
@@ -527,9 +562,10 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some), pa.array(n[at : at + (1 << 16)])], ["kind", "key", "n"])
 
     for batch in batches:
+        waves = batch.column(1).to_numpy()
         for chunk in chunks(batch.column(0)):
-            keys, n = np.unique(runs(chunk, plain, NEAR).astype(np.uint32), return_counts=True)
-            near = summed(np.concatenate([near[0], keys.astype(np.uint64)]), np.concatenate([near[1], n]))
+            wave = waves[chunk.first : chunk.first + chunk.rows].astype(np.uint64)[rows_of(chunk)]
+            near.add((wave << _U(WIDTH * (NEAR + 1))) | runs(chunk, plain, NEAR))
             keys, n = np.unique(chunk.words(lower=True).hashes, return_counts=True)
             held.append(keys)
             numbers.append(n)
@@ -542,7 +578,12 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held, numbers, size = [], [], 0
     if size:
         yield from rows(0, *summed(np.concatenate(held), np.concatenate(numbers)))
-    yield from rows(1, *near)
+    yield from rows(1, *near.take())
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """``table`` (staged), marked for broadcast where its number of rows allows it."""
+    return F.broadcast(table) if table.limit(BROADCAST_SEGMENTS + 1).count() <= BROADCAST_SEGMENTS else table
 
 
 #: The table of the last model that a worker has scored with.
@@ -562,10 +603,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out.alias("held_out"))
+    wave = F.get(F.lit(list(WAVE_OF)), F.pmod(F.xxhash64("id", "text"), F.lit(len(WAVE_OF))).cast("int"))
+    rows = rows.withColumn("wave", F.when(F.col("held_out"), -1).otherwise(wave))
     train = rows.filter(~F.col("held_out"))
-    gathered = stage(train.select("text").mapInArrow(_gather, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-words")
+    gathered = stage(train.select("text", "wave").mapInArrow(_gather, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-words")
     vocabulary = gathered.filter("kind = 0").select(F.col("key").alias("w"), F.col("n").alias("c"))
-    model = learn_model(rows, gathered.filter("kind = 1").select("key", "n").toArrow())  # SYMBOLS ** 3 rows at most
+    model = learn_model(rows, gathered.filter("kind = 1").select("key", "n").toArrow())  # WAVES * SYMBOLS ** 3 rows at most
 
     ends = train.count()
     totals = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -574,10 +617,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     words = common.column("w").to_numpy().view(np.uint64)
     order = np.argsort(words)
     words, logs = words[order], np.log10(common.column("c").to_numpy()[order] + 0.5)
-    common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).toArrow()
+    short = lambda c: (F.col(c) - 32768).cast("short").alias(c)
+    common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).filter(F.greatest("cost", "own_cost") < 65536)
+    common = common.select("run", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n"), short("cost"), short("own_cost")).toArrow()
     order = np.argsort(common.column("n").to_numpy(), kind="stable")
-    frequent = common.column("run").to_numpy().view(np.uint64)[order], np.stack([common.column(c).to_numpy()[order] for c in ("cost", "own_cost")])
-    del common
+    frequent = common.column("run").to_numpy().view(np.uint64)[order], np.stack([(common.column(c).to_numpy()[order] ^ np.int16(-32768)).view(np.uint16) for c in ("cost", "own_cost")])
+    del common, order
     shared = spark.sparkContext.broadcast((model.code.rank, frequent, words, logs))
     end_log, key = math.log10(ends + 0.5), uuid.uuid4().hex
 
@@ -599,12 +644,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
                 run, row = runs(chunk, rank), rows_of(chunk)
                 cost, lost = table.find(run, ~held[chunk.first : chunk.first + chunk.rows][row])
-                upto = np.concatenate([[0], np.cumsum(cost, dtype=float)])
+                upto = np.concatenate([[0], np.cumsum(cost, dtype=np.int64)])
                 starts, ends_, seg_rows, seg_hashes = segments(chunk, words)
-                bits = upto[ends_ + seg_rows] - upto[starts + seg_rows]
+                bits = (upto[ends_ + seg_rows] - upto[starts + seg_rows]).astype(np.int32)
                 edges = np.searchsorted(seg_rows, np.arange(chunk.rows + 1))
-                last = np.where(edges[1:] > edges[:-1], ends_[np.maximum(edges[1:] - 1, 0)] if len(ends_) else 0, chunk.offsets[:-1])
-                rest = upto[chunk.offsets[1:] + np.arange(1, chunk.rows + 1)] - upto[last + np.arange(chunk.rows)]
+                whole = np.diff(upto[np.concatenate([[0], chunk.offsets[1:] + np.arange(1, chunk.rows + 1)])])
                 lost_rows = row[lost]
                 lost_segments = np.searchsorted(ends_ + seg_rows, lost, "right") - edges[lost_rows]
 
@@ -612,37 +656,39 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 own = batch.slice(chunk.first, chunk.rows)
                 columns = [
                     own.column(0), own.column(2), pa.array(words.per_row + 1), pa.array(np.bincount(words.rows[known], minlength=chunk.rows) + int(ends > 0)), pa.array(part), pa.array(np.diff(chunk.offsets)), lists(rare_rows, rare),
-                    pa.array(rest), lists(seg_rows, seg_hashes.view(np.int64)), lists(seg_rows, bits), lists(lost_rows, run[lost].view(np.int64)), lists(lost_rows, lost_segments.astype(np.int32)),
+                    pa.array(whole), lists(seg_rows, seg_hashes.view(np.int64)), lists(seg_rows, bits), lists(lost_rows, run[lost].view(np.int64)), lists(lost_rows, lost_segments.astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "part", "bytes", "rare", "rest", "seg_hashes", "seg_bits", "runs", "run_segments"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "part", "bytes", "rare", "cost", "seg_hashes", "seg_costs", "runs", "run_segments"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scanned = rows.mapInArrow(scan, f"id {kind}, held_out boolean, n_tokens long, n_known long, part double, bytes long, rare array<long>, rest double, seg_hashes array<long>, seg_bits array<double>, runs array<long>, run_segments array<int>")
+    scanned = rows.drop("wave").mapInArrow(scan, f"id {kind}, held_out boolean, n_tokens long, n_known long, part double, bytes long, rare array<long>, cost long, seg_hashes array<long>, seg_costs array<int>, runs array<long>, run_segments array<int>")
     scanned = stage(scanned.withColumn("row", F.monotonically_increasing_id()), "lm-scan")
 
     rare = scanned.select("row", F.explode("rare").alias("w")).join(vocabulary, "w", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("rare_part"), F.count("c").alias("rare_known"))
 
-    # Bits by segment: those of common runs, those of all other runs, and the number of other occurrences of the whole segment.
-    parts = scanned.select("row", "held_out", F.posexplode(F.arrays_zip("seg_hashes", "seg_bits")).alias("segment", "s")).select("row", "held_out", "segment", F.col("s.seg_hashes").alias("h"), F.col("s.seg_bits").alias("bits"))
+    # Segments that occur in training texts, and elsewhere: most do not, and only these are looked at one by one.
+    parts = scanned.select("row", "held_out", F.posexplode(F.arrays_zip("seg_hashes", "seg_costs")).alias("segment", "s")).select("row", "held_out", "segment", F.col("s.seg_hashes").alias("h"), F.col("s.seg_costs").alias("cost"))
     seen = stage(parts.groupBy("h").agg(F.count_if(~F.col("held_out")).alias("c"), F.count(F.lit(1)).alias("m")).filter("m > 1 and c > 0").drop("m"), "lm-segments")
     number = scanned.filter(~F.col("held_out")).agg(F.sum(F.size("seg_hashes"))).first()[0] or 1
-    parts = parts.join(seen.hint("broadcast") if seen.limit(BROADCAST_SEGMENTS + 1).count() <= BROADCAST_SEGMENTS else seen, "h", "left")
     others = F.col("c") - F.when(F.col("held_out"), 0).otherwise(1)
-    parts = parts.select("row", "segment", "bits", F.when(others > 0, others).alias("others"))
-    more = scanned.select("row", "held_out", F.explode(F.arrays_zip("runs", "run_segments")).alias("s")).select("row", "held_out", F.col("s.runs").alias("run"), F.col("s.run_segments").alias("segment"))
-    more = more.join(model.costs, "run").select("row", "segment", F.when(F.col("held_out"), F.col("cost")).otherwise(F.col("own_cost")).cast("double").alias("bits"), F.lit(None).cast("long").alias("others"))
-    each = parts.unionByName(more).groupBy("row", "segment").agg(F.sum("bits").alias("bits"), F.max("others").alias("others"))
+    again = stage(parts.join(_small(seen), "h").select("row", "segment", "cost", others.alias("others")).filter("others > 0"), "lm-repeated")
+    # Costs of the runs that are not in the table of common ones: by row, and apart for those segments.
+    rest = scanned.select("row", "held_out", F.explode(F.arrays_zip("runs", "run_segments")).alias("s")).select("row", "held_out", F.col("s.runs").alias("run"), F.col("s.run_segments").alias("segment"))
+    rest = rest.join(model.costs.select("run", F.col("cost").alias("c0"), F.col("own_cost").alias("c1")), "run").select("row", "segment", F.when(F.col("held_out"), F.col("c0")).otherwise(F.col("c1")).alias("more"))
+    rest = rest.join(_small(again.select("row", "segment", F.lit(True).alias("apart"))), ["row", "segment"], "left").groupBy("row", F.when(F.col("apart"), F.col("segment")).alias("segment")).agg(F.sum("more").alias("more"))
+    rest = stage(rest, "lm-rest")
     copy = F.log2(F.lit(float(number)) / F.col("others"))
-    each = each.withColumn("copied", F.coalesce(copy < F.col("bits"), F.lit(False)))
-    each = each.groupBy("row").agg(F.sum(F.when(F.col("copied"), copy).otherwise(F.col("bits"))).alias("bits"), F.count_if("copied").alias("copied"))
+    each = again.join(rest.filter("segment is not null"), ["row", "segment"], "left").withColumn("bits", (F.col("cost") + F.coalesce("more", F.lit(0))) * F.lit(COST_UNIT))
+    each = each.filter(copy < F.col("bits")).groupBy("row").agg(F.sum(F.col("bits") - copy).alias("saved"), F.count(F.lit(1)).alias("copied"))
+    more = rest.groupBy("row").agg(F.sum("more").alias("more"))
 
-    all_rows = scanned.join(each, "row", "left").join(rare, "row", "left").withColumn("copied", F.coalesce("copied", F.lit(0).cast("long")))
+    all_rows = scanned.join(more, "row", "left").join(each, "row", "left").join(rare, "row", "left").withColumn("copied", F.coalesce("copied", F.lit(0).cast("long")))
     # The predictor of copies has counts of its own, one of each kind to begin with: a! b! / (a + b + 1)! for a copies among a + b segments, the rest one of these.
     logs_to = lambda n: F.aggregate(F.sequence(F.lit(1).cast("long"), n), F.lit(0.0), lambda s, i: s + F.log2(i))
     flags, fresh = F.size("seg_hashes").cast("long") + 1, F.size("seg_hashes").cast("long") + 1 - F.col("copied")
     told = F.when(F.col("copied") == 0, F.log2(flags + 1)).otherwise(logs_to(flags + 1) - logs_to(F.col("copied")) - logs_to(fresh))
-    bits = F.col("rest") + F.coalesce("bits", F.lit(0.0)) + told
+    bits = (F.col("cost") + F.coalesce("more", F.lit(0))) * F.lit(COST_UNIT) - F.coalesce("saved", F.lit(0.0)) + told
     unit = math.log10(tokens + 0.5 * (distinct + 1))
     return all_rows.select(
         F.col("id").alias(id_col),

@@ -13,13 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallgrass.llm.workspace import stage, words_in
+from tallgrass.llm.workspace import stage, unused, words_in
 
 MAX_REPEATS = 3
 #: Cost of a token's first, second and third use: convex, so that fresh tokens go first.
 REPEAT_COST = (0, 1, 3)
-#: Most patterns that are brought to the driver; more are refused.
-MAX_PATTERNS = 100_000
+#: Tables with a row for each pattern or source are broadcast up to this number of rows, and joined beyond it.
+BROADCAST_PATTERNS = 100_000
 #: Ranges of the selection hash in which token counts are summed before one range is cut document by document.
 SLOTS = 4096
 
@@ -112,9 +112,7 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
     at = F.xxhash64(F.col("id").cast("string"), "size", F.lit(seed))
     rows = stage(rows.withColumn("at", at).withColumn("slot", F.pmod("at", F.lit(SLOTS))).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
-    totals = rows.groupBy("sources").agg(F.sum("size").alias("tokens")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    totals = rows.groupBy("sources").agg(F.sum("size").alias("tokens")).collect()  # a row for each pattern: the network is on the driver
     patterns = {tuple(r["sources"]): r["tokens"] for r in totals}
     sizes: dict[str | None, int] = {}
     for p, tokens in patterns.items():
@@ -131,14 +129,19 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
         times = min(MAX_REPEATS, int(want / tokens + 1e-9)) if tokens else 0
         plan.append((list(p), times, max(0.0, want - times * tokens)))
     bounds = _bounds(rows, {tuple(p): rest for p, _, rest in plan})
-    # At most MAX_PATTERNS rows, each with the few rounds of its pattern.
-    plan_df = spark.createDataFrame([(p, times, bounds[tuple(p)]) for p, times, _ in plan], f"of array<string>, times int, bounds {_BOUNDS}")
-    picked = rows.join(F.broadcast(plan_df), F.col("sources").eqNullSafe(F.col("of"))).withColumn("more", _within(F.col("bounds")))
+    plan_df = _of_patterns(spark, [(p, times, bounds[tuple(p)]) for p, times, _ in plan], f"of array<string>, times int, bounds {_BOUNDS}")
+    picked = rows.join(plan_df, F.col("sources").eqNullSafe(F.col("of"))).withColumn("more", _within(F.col("bounds")))
     repeats = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.col("times") + F.col("more").cast("int"), F.lit(MAX_REPEATS)))
     out = picked.withColumn("repeats", repeats)
     return out.select(F.col("id").alias(id_col), "sources", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def _of_patterns(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table with a row for each pattern, broadcast where they are few."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_PATTERNS else table
+
+
 _BOUNDS = "array<struct<most:double,slot:long,at:long,row:long>>"
 
 
@@ -157,8 +160,8 @@ def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple
     spark, gap = rows.sparkSession, {p: r for p, r in rest.items() if p and r > 0}
     bounds: dict[tuple, list[tuple]] = {p: [] for p in rest}
     while gap:
-        state = spark.createDataFrame([(list(p), g, bounds[p]) for p, g in gap.items()], f"of array<string>, gap double, bounds {_BOUNDS}")
-        left = rows.join(F.broadcast(state), F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds")))
+        state = _of_patterns(spark, [(list(p), g, bounds[p]) for p, g in gap.items()], f"of array<string>, gap double, bounds {_BOUNDS}")
+        left = rows.join(state, F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds")))
         # Tokens by slot of the hash show in which slot the rest runs out; only that slot's documents are summed one by one.
         slots = left.groupBy("of", "gap", "slot").agg(F.sum("size").alias("tokens"))
         slots = slots.withColumn("below", F.sum("tokens").over(Window.partitionBy("of").orderBy("slot")) - F.col("tokens"))
@@ -166,8 +169,8 @@ def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple
         cuts = slots.groupBy("of").agg(F.sum("tokens").alias("all"), F.max(F.when(F.col("cut"), F.struct("slot", "below"))).alias("cut")).collect()  # a row a pattern
         ends = {}
         if inside := [(r["of"], r["cut"]["slot"], float(r["cut"]["below"])) for r in cuts if r["cut"]]:
-            cut = spark.createDataFrame(inside, "cut_of array<string>, cut_slot long, below double")
-            last = left.join(F.broadcast(cut), (F.col("of") == F.col("cut_of")) & (F.col("slot") == F.col("cut_slot")))
+            cut = _of_patterns(spark, inside, "cut_of array<string>, cut_slot long, below double")
+            last = left.join(cut, (F.col("of") == F.col("cut_of")) & (F.col("slot") == F.col("cut_slot")))
             upto = Window.partitionBy("of").orderBy("at", "row").rowsBetween(Window.unboundedPreceding, 0)
             last = last.withColumn("upto", F.sum("size").over(upto)).filter(F.col("below") + F.col("upto") <= F.col("gap"))
             ends = {tuple(r["of"]): r for r in last.groupBy("of").agg(F.max(F.struct("at", "row")).alias("end"), F.max("upto").alias("upto")).collect()}
@@ -187,35 +190,43 @@ def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple
 def sources_target(mixed: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
     """``source``, ``source_size`` and ``target`` of a mixed table, a row for each source."""
     spark = mixed.sparkSession
-    rows = mixed.select("size", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sources")
+    rows = mixed.select("size", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("size").alias("n")).collect()  # a row for each source
     sizes = {r["source"]: r["n"] for r in rows}
     target = quotas(sizes, weights) if sizes else {}
-    return spark.createDataFrame([(s, n, float(target[s])) for s, n in sizes.items()], "source string, source_size long, target double")
+    return _of_patterns(spark, [(s, n, float(target[s])) for s, n in sizes.items()], "source string, source_size long, target double")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """Mix ``documents`` by their ``source``, sizes in words."""
+    """Mix ``documents`` by their ``source``, sizes in words: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``repeats``, ``taken``, a row for each row.
+
+    Null and empty texts have size 0 and are never taken; rows without a source are a source of their own; repeated rows
+    count as rows of their own; null identifiers are chosen like others. An empty table gives none. No other column is read.
+    """
     mixed = mix(docs, F.array(F.col("source").cast("string")), words_in(F.col("text")))
     goal = sources_target(mixed)
     one = mixed.withColumn("source", F.element_at("sources", 1))
-    out = one.join(F.broadcast(goal.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of")))
+    out = one.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     return out.select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
 
 
 def take_mix(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, all columns: each as often as it is taken."""
-    found = mix_documents(docs).groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("repeats")).alias("__each"))
-    found = stage(found.filter(F.array_max("__each") > 0), "mix-taken")
+    """The documents of the mix, all columns: each as often as it is taken, in the sense of ``mix_documents``.
+
+    Of repeated rows (same identifier, source and size) the selection may end between two; then those whose texts hash
+    lowest are taken more often. An empty table gives none. Columns may have any names.
+    """
+    each, size, repeats, copy = (unused(docs, c) for c in ("each_taken", "mix_size", "mix_repeats", "mix_copy"))
+    found = mix_documents(docs).groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("repeats")).alias(each))
+    found = stage(found.filter(F.array_max(each) > 0), "mix-taken")
 
     def rows_of(taken: DataFrame) -> DataFrame:
         same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["source"]) & (words_in(docs["text"]) == taken["size"])
-        return docs.join(taken, same).select(*[docs[c] for c in docs.columns], "__each", taken["size"].alias("__size"))
+        return docs.join(taken, same).select(*[docs[c] for c in docs.columns], taken[each], taken["size"].alias(size))
 
-    uneven = F.array_min("__each") < F.array_max("__each")
-    rows = rows_of(found.filter(~uneven)).withColumn("__repeats", F.element_at("__each", 1))
+    uneven = F.array_min(each) < F.array_max(each)
+    rows = rows_of(found.filter(~uneven)).withColumn(repeats, F.element_at(each, 1))
     if found.filter(uneven).limit(1).count():  # repeated rows of which the selection ends between two
-        number = F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(F.xxhash64("text")))
-        rows = rows.unionByName(rows_of(found.filter(uneven)).withColumn("__repeats", number).withColumn("__repeats", F.expr("element_at(__each, __repeats)")).filter("__repeats > 0"))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).drop("__each", "__size", "__repeats", "__copy")
+        number = F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64("text")))
+        part = rows_of(found.filter(uneven)).withColumn(repeats, number)
+        rows = rows.unionByName(part.withColumn(repeats, F.element_at(each, F.col(repeats))).filter(F.col(repeats) > 0))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(repeats)))).drop(each, size, repeats, copy)

@@ -8,6 +8,7 @@ demand, and ranked documents are assigned to the patterns' places by arithmetic
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import Words, chunks
-from tallgrass.llm.workspace import small_batches, stage
+from tallgrass.llm.workspace import stage
 
 LENGTH = 2048
 END_ID = 1
@@ -234,7 +235,10 @@ def patterns_for(demand: dict[int, int], room: int) -> list[tuple[dict[int, int]
     columns = [np.eye(len(sizes))[i] * (room // s) for i, s in enumerate(sizes)]
     inverse = np.diag(1.0 / (room // sizes))
     used = inverse @ need
-    for _ in range(MAX_COLUMNS):
+    for priced in range(MAX_COLUMNS + 1):
+        if priced == MAX_COLUMNS:
+            warnings.warn(f"pricing ended after {MAX_COLUMNS} columns; the plan is valid, but may leave more padding", stacklevel=2)
+            break
         value, pattern = _knapsack(inverse.sum(axis=0), sizes, room)
         if value <= 1 + 1e-7:
             break
@@ -274,13 +278,14 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     of a sequence lie without gaps from 0; every id of a document is in exactly one piece. An empty table gives none.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     pieces = stage(cut_documents(docs, path, id_col, text_col, length), "pieces")
     sized = pieces.withColumn("size", F.ceil(F.col("length") / UNIT).cast("int"))
     # Ranks within a size: numbers by (size, salt), then rows within. No task holds all rows of a size.
     histogram = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # length / UNIT rows at most
-    salts = max(1, max(histogram.values(), default=0) // 20_000)
-    salted = sized.withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(salts)))
+    # A part has an eighth of a task's share at most, so that parts land evenly.
+    share = max(64, sum(histogram.values()) // (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    salts = F.create_map(*[F.lit(x) for s, n in histogram.items() for x in (s, -(-n // share))]) if histogram else F.lit(None).cast("map<int,int>")
+    salted = sized.withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), salts[F.col("size")]))
     numbers = salted.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n"))
     below = numbers.withColumn("below", F.sum("n").over(Window.partitionBy("size").orderBy("salt")) - F.col("n")).drop("n")
     within = F.row_number().over(Window.partitionBy("size", "salt").orderBy("id", "start", "ids_crc32"))

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import Chunk, chunks, window_hashes
-from tallgrass.llm.workspace import small_batches
+from tallgrass.llm.workspace import stage
 
 #: Most labelled documents of each class that are learned from; those whose identifiers hash lowest.
 MAX_TRAIN_PER_CLASS = 2000
+#: Most bytes of text that are learned from, half of them of each class.
+MAX_TRAIN_BYTES = 32 << 20
 BUCKETS = 1 << 16
 DIM = 8
 EPOCHS = 12
@@ -110,8 +112,11 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["label", "ids", "weights"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int = MAX_TRAIN_PER_CLASS) -> np.ndarray:
-    """Fit on at most ``per_class`` labelled documents of each class; only their feature bags come to the driver."""
+def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int = MAX_TRAIN_PER_CLASS, max_bytes: int = MAX_TRAIN_BYTES) -> np.ndarray:
+    """Fit on at most ``per_class`` labelled documents of each class, and at most ``max_bytes`` of their texts; only their feature bags come to the driver.
+
+    Documents come in the order of a hash of their identifiers; those that would pass the bytes are left out, as are texts of a tenth of them or more.
+    """
     spark = docs.sparkSession
     picked = []
     for value in (0, 1):
@@ -121,7 +126,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return train([])
     kind = labels.schema[id_col].dataType.simpleString()
     wanted = F.broadcast(spark.createDataFrame(picked, f"id {kind}, label int"))  # 2 * per_class rows at most
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id").select("text", "label")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
+    sizes = texts.groupBy("id", "label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).orderBy(F.xxhash64("id"), "id", "label").collect()  # 2 * per_class rows at most
+    fits, room = [], [max_bytes // 2, max_bytes // 2]
+    for r in sizes:
+        if r["bytes"] < max_bytes // 10 and r["bytes"] <= room[r["label"]]:
+            fits.append((r["id"], r["label"]))
+            room[r["label"]] -= r["bytes"]
+    if not fits:
+        return train([])
+    texts = texts.join(F.broadcast(spark.createDataFrame(fits, f"id {kind}, label int")), ["id", "label"]).select("text", "label")
     found = texts.mapInArrow(_sample, "label int, ids binary, weights binary").toPandas()
     samples = [(int(r.label), np.frombuffer(r.ids, np.int32), np.frombuffer(r.weights, np.float32)) for r in found.itertuples()]
     return train(sorted(samples, key=lambda s: (s[0], s[1].tobytes())))
@@ -146,7 +160,6 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     texts get the score of a document without n-grams. Repeated rows get repeated scores; with no labels of one of
     the classes every score is 0.5.
     """
-    small_batches(docs.sparkSession)
     model = learn(docs, labels.filter(~held_out), id_col, text_col, label_col)
     table = docs.sparkSession.sparkContext.broadcast(model)  # KINDS * BUCKETS floats
 
@@ -156,5 +169,5 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"id {kind}, score double")
-    scored = scored.withColumnRenamed("id", id_col)
+    scored = stage(scored, "quality-scores").withColumnRenamed("id", id_col)
     return scored.select(id_col, F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

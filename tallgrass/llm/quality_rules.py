@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.textops import Chunk, Words, chunks, per_row, span_hashes, window_hashes
-from tallgrass.llm.workspace import small_batches
+from tallgrass.llm.workspace import stage
 
 #: Hash buckets of each kind of n-gram.
 BUCKETS = 1 << 16
@@ -138,7 +138,6 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     not kept whatever their ratio. Repeated rows count as often as they come; null identifiers are never trusted. With
     an empty trusted table both sides say the same and every ratio is 0.
     """
-    small_batches(docs.sparkSession)
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, trusted, text_col, id_col))  # KINDS * BUCKETS floats
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +155,6 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(out[k], pa.int64()) for k in names], pa.array(llr)], ["id", *names, "llr"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"id {kind}, {_OUT}")
+    scored = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"id {kind}, {_OUT}"), "quality-rules")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return scored.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "llr", (~failed & (F.col("llr") >= threshold)).alias("kept"))

@@ -152,3 +152,30 @@ SELECT o.page_id, o.host, o.path, o.rule, CASE WHEN o.rule IS NULL AND s.a IS NO
   coalesce(o.ruled, CASE WHEN s.a IS NOT NULL THEN 'block' END, 'allow') AS verdict
 FROM own o JOIN q ON o.page_id = q.page_id LEFT JOIN passed s ON s.a = q.host || CASE WHEN q.path = '' THEN '/' ELSE q.path END || q.query
 """
+
+
+#: The same with redirects: of the pages by id, each third page leads to the page behind it.
+REDIRECTS_SQL = r"""
+WITH RECURSIVE p AS (SELECT page_id, url, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query FROM p),
+rules(verdict, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+own AS (SELECT q.page_id, q.host, q.path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS ruled
+  FROM q LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL),
+links AS (SELECT page_id, host, path, query, unnest([
+   regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s>][^>]*>', 0), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+   regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh["''\s][^>]*>', 0), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS link FROM q WHERE host <> ''),
+full_links AS (SELECT host || CASE WHEN path = '' THEN '/' ELSE path END || query AS a, CASE WHEN instr(link, '://') > 0 THEN substr(link, instr(link, '://') + 3) WHEN starts_with(link, '//') THEN substr(link, 3)
+   WHEN starts_with(link, '/') THEN host || link ELSE host || regexp_replace(CASE WHEN path = '' THEN '/' ELSE path END, '[^/]*$', '') || link END AS rest FROM links WHERE link <> ''),
+ends AS (SELECT a, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS bh, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS bp, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS bq FROM full_links),
+node AS (SELECT row_number() OVER (ORDER BY page_id) AS i, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || query END AS b FROM q),
+edge AS (SELECT a, bh || CASE WHEN bp = '' THEN '/' ELSE bp END || bq AS b FROM ends WHERE bh <> '' UNION ALL SELECT m.b, n.b FROM node m JOIN node n ON n.i = m.i + 1 WHERE m.i % 3 = 0 AND m.b IS NOT NULL AND n.b IS NOT NULL),
+both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+alias AS (SELECT r.a, v.verdict FROM (SELECT a, b FROM reach UNION SELECT a, a FROM both_ways) r JOIN LATERAL (
+   SELECT arg_max(verdict, length(rh || rp)) AS verdict FROM rules WHERE (regexp_extract(r.b, '^([^/?#]*)', 1) = rh OR ends_with(regexp_extract(r.b, '^([^/?#]*)', 1), '.' || rh)) AND starts_with(regexp_extract(r.b, '^[^/?#]*([^?#]*)', 1), rp)) v ON true),
+passed AS (SELECT a FROM alias GROUP BY a HAVING bool_or(verdict = 'block') AND NOT coalesce(bool_or(verdict = 'allow'), false))
+SELECT o.page_id, o.host, o.path, o.rule, CASE WHEN o.rule IS NULL AND s.a IS NOT NULL THEN 'block' ELSE NULL END AS inherited,
+  coalesce(o.ruled, CASE WHEN s.a IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM own o JOIN q ON o.page_id = q.page_id LEFT JOIN passed s ON s.a = q.host || CASE WHEN q.path = '' THEN '/' ELSE q.path END || q.query
+"""

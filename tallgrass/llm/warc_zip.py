@@ -2,7 +2,8 @@
 
 A package is a ZIP file with two stored members: records, each a gzip member of its own, and an index with the place of
 every record. The reader parses the central directory (ZIP64 too) from the end of the file, finds where the stored
-members begin, and reads single records by their ranges; nothing is extracted.
+members begin, and reads records, or some neighbours at once, by their ranges; nothing is extracted. It also reads
+packages of others, with several archives and indexes.
 """
 
 from __future__ import annotations
@@ -23,9 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.workspace import shared_folder, small_batches, stage
+from tallgrass.llm.workspace import own_folder, stage
 
-RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = "archive/", "indexes/"
+RECORDS, INDEX = ARCHIVES + "data.warc.gz", INDEXES + "index.cdxj"
+#: Bytes that are read at once, where records are neighbours.
+WINDOW_BYTES = 1 << 20
 #: Payloads below this many bytes are never revisits.
 MIN_REVISIT_BYTES = 100
 #: A package is closed when its records reach this size.
@@ -148,17 +152,52 @@ def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
 
 
+def index_lines(text: str) -> Iterator[tuple[str | None, int, int]]:
+    """Archive (None where the line does not say), offset and length of the records of an index: JSON lines, with or without a key and a time before them."""
+    for line in text.splitlines():
+        at = line.find("{")
+        if at < 0 or line.startswith("!"):
+            continue
+        place = json.loads(line[at:])
+        if "offset" in place and "length" in place:
+            yield place.get("filename"), int(place["offset"]), int(place["length"])
+
+
+def windows(places: list[tuple[int, int]], most: int = WINDOW_BYTES, gap: int = 4096) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Neighbouring records (offset, length; ascending) that are read at once: the range's offset and length, and its records. A longer record is a range of its own."""
+    held: list[tuple[int, int]] = []
+    for offset, length in places:
+        if held and (offset + length - held[0][0] > most or offset > sum(held[-1]) + gap):
+            yield held[0][0], max(map(sum, held)) - held[0][0], held
+            held = []
+        held.append((offset, length))
+    if held:
+        yield held[0][0], max(map(sum, held)) - held[0][0], held
+
+
 def read_package(uri: str) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
-    """All records of a package, each by a range read of its own."""
+    """All records that the indexes of a package list, archive by archive in the order of their places; neighbours are read in one range.
+
+    Archives are the members under ``archive/``, their records plain or compressed one by one; indexes those under ``indexes/``.
+    """
     fs, path = _fs(uri)
     with fs.open_input_file(path) as source:
         read = lambda offset, length: source.read_at(length, offset)
         members = directory(read, source.size())
-        index = read(stored_at(read, members[INDEX]), members[INDEX].size)
-        base = stored_at(read, members[RECORDS])
-        for line in index.decode().splitlines():
-            place = json.loads(line)
-            yield parse_record(gzip.decompress(read(base + place["offset"], place["length"])))
+        archives = {name.removeprefix(ARCHIVES): member for name, member in members.items() if name.startswith(ARCHIVES) and name != ARCHIVES}
+        places: dict[str, set[tuple[int, int]]] = {name: set() for name in archives}
+        for name, member in members.items():
+            if name.startswith(INDEXES) and name != INDEXES:
+                text = read(stored_at(read, member), member.size)
+                for archive, offset, length in index_lines((gzip.decompress(text) if name.endswith(".gz") else text).decode()):
+                    places[next(iter(archives)) if archive is None and len(archives) == 1 else (archive or "").removeprefix(ARCHIVES)].add((offset, length))
+        for name, found in places.items():
+            base = stored_at(read, archives[name]) if found else 0
+            for start, size, records in windows(sorted(found)):
+                data = read(base + start, size)
+                for offset, length in records:
+                    raw = data[offset - start : offset - start + length]
+                    yield parse_record(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)
 
 
 def plan_revisits(pages: DataFrame) -> DataFrame:
@@ -246,8 +285,7 @@ def round_trip(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     smallest identifier are all responses; a null identifier stays null and refers to the smallest one if there is
     one. An empty table writes nothing and gives an empty result.
     """
-    small_batches(pages.sparkSession)
-    folder = folder or f"{shared_folder(pages.sparkSession)}/tallgrass/warc-{uuid.uuid4().hex}"
+    folder = folder or f"{own_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     return read_packages(write_packages(pages, folder, id_col, url_col, html_col))
 
 

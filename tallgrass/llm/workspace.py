@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,23 +15,31 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only where it is unset, as in tests, a temporary folder is made."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a session in one process gets a temporary folder that goes with it; a cluster has to name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tallgrass-")
+        if not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        made = tempfile.mkdtemp(prefix="tallgrass-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        folder = "file://" + made
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-#: Rows that go to Python at once. Texts are long: Spark's 10,000 would be tens of megabytes on both sides of each task.
-BATCH_ROWS = 1000
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{shared_folder(spark)}/tallgrass/{spark.sparkContext.applicationId}"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lowers the rows of an Arrow batch to ``BATCH_ROWS``, unless the session asks for fewer."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+def clear(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; results that still read them can't be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows that go to Python at once. Texts are long: Spark's 10,000 would be tens of megabytes on both sides of each task.
+BATCH_ROWS = 1000
 
 
 @contextlib.contextmanager
@@ -48,12 +59,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Python gets ``BATCH_ROWS`` rows at once meanwhile, and the session's setting afterwards again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallgrass/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with _batches_of(spark, BATCH_ROWS):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_in(text: Column) -> Column:
     """Number of runs of characters other than space, tab, line feed, vertical tab, form feed and carriage return."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallgrass.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, textops, url_filters, warc_zip
+from tallgrass.llm import components as components_module
 from tallgrass.llm.components import components
 
 SPLIT = re.compile("[^\x20\x09-\x0d]+")
@@ -340,6 +341,25 @@ def test_zip_directory(tmp_path, zip64):
     assert gzip.decompress(raw[warc_zip.stored_at(read, members[warc_zip.RECORDS]) :][: members[warc_zip.RECORDS].size]).startswith(b"WARC/1.1")
 
 
+def test_packages_of_others(tmp_path):
+    """Several archives and indexes, lines with keys and times, records that are not compressed, headers and other members."""
+    record = lambda i: warc_zip.record_bytes(i, f"http://x/{i}", b"data" * i, sha256(b"data" * i).hexdigest(), None)
+    one, two = [gzip.compress(record(i)) for i in range(4)], [record(i) for i in range(4, 7)]
+    at = lambda parts, k: (sum(map(len, parts[:k])), len(parts[k]))
+    line = lambda name, parts, k: f'com,x)/{k} 20000101000000 {{"url": "http://x/{k}", "offset": "{at(parts, k)[0]}", "length": "{at(parts, k)[1]}", "filename": "{name}"}}'
+    path = tmp_path / "b.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as out:
+        out.writestr("datapackage.json", "{}")
+        out.writestr("archive/one.warc.gz", b"".join(one))
+        out.writestr("archive/two.warc", b"".join(two))
+        out.writestr("indexes/one.cdxj", "!meta\n" + "\n".join(line("one.warc.gz", one, k) for k in range(4)))
+        out.writestr("indexes/two.cdx.gz", gzip.compress(("\n".join(line("two.warc", two, k) for k in range(3))).encode()))
+    assert [payload for _, _, payload in warc_zip.read_package(str(path))] == [b"data" * i for i in range(7)]
+    places = [(0, 10), (10, 10), (20, 5000), (6000, 10), (20_000, 10)]
+    got = list(warc_zip.windows(places, most=100))
+    assert [p for _, _, found in got for p in found] == places and [(a, n) for a, n, _ in got] == [(0, 20), (20, 5000), (6000, 10), (20_000, 10)]
+
+
 def test_zip64_directory_of_a_large_archive():
     """Offsets beyond 32 bits, without writing that much: a read function over a sparse file."""
     base, name = 5 << 30, b"m"
@@ -356,10 +376,11 @@ def test_zip64_directory_of_a_large_archive():
 
 
 def brute_components(texts):
+    """By identifier: size of the set, component, documents with the same set, other sets that it links with."""
     sets = {}
     for i, t in texts:
         w = words((t or "").translate(LOW))
-        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
     above = {i: i for i in sets}
 
     def top(x):
@@ -367,30 +388,40 @@ def brute_components(texts):
             x = above[x]
         return x
 
-    ids = sorted(sets)
+    ids, links = sorted(sets), defaultdict(set)
     for a in ids:
         for b in ids:
             if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 x, y = top(a), top(b)
                 above[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), top(i)) for i in ids}
+                if sets[a] != sets[b]:
+                    links[a].add(sets[b])
+                    links[b].add(sets[a])
+    copies = Counter(s for s in sets.values() if s)
+    return {i: (len(sets[i]), top(i), copies.get(sets[i], 1), len(links[i])) for i in ids}
+
+
+def joined(r):
+    return r.n_shingles, r.component_id, r.n_copies, r.n_links
 
 
 def test_jaccard_join(docs, texts, empty):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_documents(docs).collect()}
+    got = {r.doc_id: joined(r) for r in jaccard_join.join_documents(docs.filter("doc_id is null or doc_id <> 12").union(docs.filter("doc_id = 12").limit(1))).collect()}
     assert {i: got[i] for i in range(len(texts))} == brute_components(list(enumerate(texts)))
-    assert got[None] == (1, None)
+    assert got[None] == (1, None, 1, 0)
     assert jaccard_join.join_documents(empty).count() == 0
-    first = jaccard_join.first_of_groups(docs)
-    assert first.columns == docs.columns
-    assert {r.doc_id for r in first.collect()} == {i for i, (_, c) in got.items() if c == i or i is None}
+    first = jaccard_join.first_of_groups(docs.withColumn("later", F.lit(1)))
+    assert first.columns == [*docs.columns, "later"]
+    assert Counter(r.doc_id for r in first.collect()) == Counter({i: 2 if i == 12 else 1 for i, (_, c, _, _) in got.items() if c == i or i is None})
 
 
 @pytest.mark.parametrize("rare", [2, 48])
-def test_jaccard_join_of_a_large_family(spark, monkeypatch, rare):
+@pytest.mark.parametrize("local", [0, 1_000_000])
+def test_jaccard_join_of_a_large_family(spark, monkeypatch, rare, local):
     """Near copies of near copies: chains, members just below the threshold, and a passage that all share."""
     monkeypatch.setattr(jaccard_join, "RARE_DF", rare)
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 16)
+    monkeypatch.setattr(components_module, "LOCAL_EDGES", local)
     rng, rows = np.random.default_rng(6), []
     base = [f"w{i}" for i in range(100)]
     for i in range(150):
@@ -400,7 +431,7 @@ def test_jaccard_join_of_a_large_family(spark, monkeypatch, rare):
         rows.append((i, " ".join(near)))
     passage = [f"p{i}" for i in range(60)]
     rows += [(1000 + i, " ".join([*passage, *[f"u{i}_{k}" for k in range(rng.integers(5, 40))]])) for i in range(60)]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: joined(r) for r in jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_components(rows)
 
 

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,10 +83,9 @@ def test_score_is_the_plain_models(spark, corpus, monkeypatch):
     monkeypatch.setattr(lm, "learn_model", lambda *a: model.append(learn(*a)) or model[0])
     monkeypatch.setattr(lm, "COMMON_RUNS", 300)  # the others are joined
     monkeypatch.setattr(lm, "COMMON_WORDS", 20)
-    # Python workers import the package afresh: a partition that is long enough starts to learn by itself.
     docs = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r for r in lm.score(docs, F.col("doc_id") % 5 == 1).collect()}
-    assert model[0].mixer.map[1].sum() > 0  # something was learned online
+    assert model[0].mixer.map[1].sum() > 0  # something was learned
     plain = Plain(model[0].code, model[0].mixer, [t for i, t in enumerate(corpus) if not held(i)])
     parts = {i: split(t or "") for i, t in enumerate(corpus)}
     number = Counter(s for i, (found, _) in parts.items() if not held(i) for s in found)
@@ -124,24 +124,41 @@ def test_probabilities_of_the_next_symbol_add_up():
         assert (2.0 ** -mixer.cost(every, counts, code)[0]).sum() == pytest.approx(1, abs=1e-5)
 
 
-def test_shards_learn_online_and_count_all(corpus):
-    """Whatever the size of a shard's buffers, all runs are counted; what is learned makes the stream cheaper than at the start."""
-    rows = [t or "" for t in corpus] * 40
+def near_of(texts, waves):
+    batch = pa.record_batch([pa.array(texts), pa.array(waves, pa.int32())], ["text", "wave"])
+    return pa.Table.from_batches([b for b in lm._gather(iter([batch])) if b.column(0)[0].as_py() == 1])
+
+
+def test_waves_are_learned_online_and_all_is_counted():
+    """Whatever comes together, all runs are counted by wave; a mixer that has gone through the waves codes the last one in fewer bits."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdeåé", k=rng.randint(1, 9))) for _ in range(400)]
+    rows = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 120))) for _ in range(600)] + ["", "\0"]
+    waves = [i % (lm.WAVES + 1) - 1 for i in range(len(rows))]
     code = lm.Code(np.bincount([s for t in rows for s in symbols(t)], minlength=lm.SYMBOLS))
-    shard, want = lm.Shard(code), Counter()
-    for chunk in chunks(pa.array(rows), 3000):
-        run = lm.runs(chunk, code.rank)
-        want.update(run.tolist())
-        shard.add(run)
-    shard.flush()
-    assert dict(zip(shard.run.tolist(), shard.number.tolist(), strict=True)) == want
-    assert shard.mixer.learned > 0
-    again = lm.Mixer.from_sums(shard.mixer.parameters() * 2)
-    assert np.allclose(again.weights, shard.mixer.weights, atol=1e-4) and np.allclose(again.map, 2 * shard.mixer.map, atol=2)
-    number = shard.number.astype(float)
-    assert (again.cost(shard.run, shard.counts, code)[0] * number).sum() < (lm.Mixer().cost(shard.run, shard.counts, code)[0] * number).sum()
-    run, number = lm.unpacked(lm.packed(shard.run, shard.number))
-    assert (run == shard.run).all() and (number == shard.number).all()
+    batches = [pa.record_batch([pa.array(rows[i : i + 50]), pa.array(waves[i : i + 50], pa.int32())], ["text", "wave"]) for i in range(0, len(rows), 50)]
+    sent = pa.Table.from_batches(list(lm._count(iter(batches), code, 3)))
+    want = defaultdict(Counter)
+    for text, wave in zip(rows, waves, strict=True):
+        for chunk in chunks(pa.array([text])):
+            for run in lm.runs(chunk, code.rank).tolist():
+                want[run][wave] += 1
+    blocks = [lm._merged(sent.filter(pc.equal(sent["bucket"], b))).column("block")[0].as_py() for b in range(3)]
+    got = {}
+    for block in blocks:
+        run, numbers = lm.unpacked(block, lm.WAVES)
+        got |= {r: {w: int(n) for w, n in enumerate(column) if n} for r, column in zip(run.tolist(), numbers.T, strict=True)}
+    assert got == {r: {w: n for w, n in by.items() if w >= 0} for r, by in want.items()}
+
+    table = near_of([t for t, w in zip(rows, waves, strict=True) if w >= 0], [w for w in waves if w >= 0])
+    keys, n = table["key"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+    wave_of, keys = (keys >> np.uint64(27)).astype(int), keys & np.uint64((1 << 27) - 1)
+    near = [lm.Counts.tables_of(*lm.near_counts(keys[wave_of < w], n[wave_of < w], code.rank), 0, lm.NEAR) for w in range(lm.WAVES + 1)]
+    mixer = lm._learn(blocks, code, near)
+    bits = lambda m: sum((m.cost(run[new], lm.Counts(near[-2] | lm.Counts.tables_of(run[old], numbers[:-1].sum(axis=0)[old], lm.NEAR + 1)), code)[0] * numbers[-1][new]).sum() for run, numbers in (lm.unpacked(b, lm.WAVES) for b in blocks) for new, old in [(numbers[-1] > 0, numbers[:-1].sum(axis=0) > 0)])
+    assert mixer.learned > 0 and bits(mixer) < 0.99 * bits(lm.Mixer())
+    again = lm.Mixer.from_sums(mixer.parameters() * 2)
+    assert np.allclose(again.weights, mixer.weights, atol=1e-4) and np.allclose(again.map, 2 * mixer.map, atol=2)
 
 
 def test_what_is_gathered_grows_with_the_corpus(spark):
@@ -151,9 +168,8 @@ def test_what_is_gathered_grows_with_the_corpus(spark):
     for n in (5, 20):
         texts = [text() for _ in range(n)]
         want = {tuple(line[i - lm.ORDERS : i + 1]) for t in texts for line in [[lm.END] * lm.ORDERS + symbols(t)] for i in range(lm.ORDERS, len(line))}
-        rows = spark.createDataFrame([(t, False) for t in texts], "text string, held_out boolean")
-        near = pa.Table.from_batches([b for b in lm._gather(iter(pa.record_batch([pa.array(texts)], ["text"]) for _ in range(1))) if b.column(0)[0].as_py() == 1])
-        costs = lm.learn_model(rows, near).costs
+        rows = spark.createDataFrame([(t, i % 5) for i, t in enumerate(texts)], "text string, wave int")
+        costs = lm.learn_model(rows, near_of(texts, [i % 5 for i in range(n)])).costs
         assert costs.count() == len(want) and costs.agg(F.sum("n")).first()[0] == sum(len(t) + 1 for t in texts)
         size.append(len(want))
     assert size[1] > 3 * size[0]
