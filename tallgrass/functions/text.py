@@ -247,7 +247,19 @@ def most_frequent(words: Column) -> Column:
         n = F.when(acc["w"] == w, acc["n"] + 1).otherwise(1)
         return F.struct(w.alias("w"), n.alias("n"), F.greatest(acc["top"], n).alias("top"))
 
-    return F.aggregate(F.array_sort(words), start, step, lambda acc: acc["top"])
+    return F.aggregate(F.sort_array(words), start, step, lambda acc: acc["top"])
+
+
+def majority_count(words: Column) -> Column:
+    """How often the entry that makes up more than half of an array is there; without one, some number that is not above the half."""
+    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"))
+
+    def step(acc: Column, w: Column) -> Column:
+        same = acc["w"] == w
+        return F.struct(F.when(acc["n"] == 0, w).otherwise(acc["w"]).alias("w"), F.when(acc["n"] == 0, 1).when(same, acc["n"] + 1).otherwise(acc["n"] - 1).alias("n"))
+
+    candidate = F.aggregate(words, start, step, lambda acc: acc["w"])
+    return F.size(words) - F.size(F.array_remove(words, candidate))
 
 
 def artifact_reasons(text: Column) -> Column:
@@ -257,7 +269,7 @@ def artifact_reasons(text: Column) -> Column:
     marks = F.regexp_count(text, F.lit(r"(?iuU)[^a-zåäö\s]"))
     return F.array_compact(
         F.array(
-            F.when((F.size(words) >= 20) & (most_frequent(words) >= 0.7 * F.size(words)), "dominant_token_loop"),
+            F.when((F.size(words) >= 20) & (majority_count(words) >= 0.7 * F.size(words)), "dominant_token_loop"),
             F.when((F.size(words) <= 3) & long & text.rlike(r"(?iu)(.)\1{19,}"), "character_noise_loop"),
             F.when((F.size(words) == 0) & long & (marks >= 100), "punctuation_noise_loop"),
         )
@@ -279,6 +291,52 @@ def season_label(kind: Column, year: Column) -> Column:
     return F.concat(F.when(kind == "Vinter", "VT").otherwise(""), year.cast("string"))
 
 
+#: Short names of the months, and where episodes and their images are found.
+SHORT_MONTHS = ("jan.", "feb.", "mars", "apr.", "maj", "juni", "juli", "aug.", "sep.", "okt.", "nov.", "dec.")
+EPISODE_URL, IMAGE_URL = "https://www.sverigesradio.se/avsnitt/", "https://static-cdn.sr.se"
+
+
+def short_date(date: Column) -> Column:
+    """``2 aug. 2021`` of an ISO date."""
+    names = F.array(*[F.lit(m) for m in SHORT_MONTHS])
+    day = F.try_to_date(F.substring(date, 1, 10), "yyyy-MM-dd")
+    return F.concat_ws(" ", F.dayofmonth(day).cast("string"), F.get(names, F.month(day) - 1), F.year(day).cast("string"))
+
+
+def duration(minutes_: Column) -> Column:
+    return F.concat(minutes_.cast("string"), F.lit(" min"))
+
+
+def capitalise(text: Column) -> Column:
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 2_000_000_000))
+
+
+def episode_url(ident: Column, base: str = EPISODE_URL) -> Column:
+    return F.concat(F.lit(base), ident.cast("string"))
+
+
+def image_url(image: Column, base: str = IMAGE_URL) -> Column:
+    """The image's address; null without an image."""
+    return F.when(F.coalesce(image, F.lit("")) != "", F.concat(F.lit(base), image))
+
+
+def excerpt(text: Column, most: int = 500) -> Column:
+    """The first characters of a text."""
+    return F.substring(text, 1, most)
+
+
+def recipe_slug(recipe: Column) -> Column:
+    """A folder name: readable characters, runs of others as a hyphen, and eight digits of the SHA-256."""
+    readable = F.regexp_replace(F.regexp_replace(recipe, "[^a-zA-Z0-9._-]+", "-"), "^-+|-+$", "")
+    return F.concat(readable, F.lit("-"), F.substring(F.sha2(recipe, 256), 1, 8))
+
+
+def embedding_recipe(backend: Column, model: Column, prompt: Column, max_length: Column) -> Column:
+    """What vectors depend on, as one text."""
+    return F.concat(backend, F.lit("::"), model, F.lit("::prompt="), F.coalesce(F.nullif(prompt, F.lit("")), F.lit("none")), F.lit("::max_length="), max_length.cast("string"))
+
+
 def colour_of(key: Column, colours: int = 12) -> Column:
     """The 32-bit string hash (h * 31 + code) of the browser view, as a place among the colours."""
     step = lambda h, c: F.pmod(h * 31 + F.ascii(c) + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)

@@ -74,6 +74,18 @@ def match_entities(speakers: DataFrame, episodes: DataFrame, participants: DataF
     return rows.withColumn("wikidata_id", found).select(*speakers.columns, "wikidata_id") if "wikidata_id" not in speakers.columns else rows.withColumn("wikidata_id", found).select(*speakers.columns)
 
 
+def denormalised(appearing: DataFrame, episodes: DataFrame, ident: str = "sr_episode_id") -> DataFrame:
+    """Appearances with all columns of their episode."""
+    return appearing.join(episodes, ident)
+
+
+def with_metadata(chunks: DataFrame, episodes: DataFrame, ident: str = "sr_episode_id") -> DataFrame:
+    """Chunks with date, year, kind and speakers of their episode; the episode's ``source_title`` goes before the chunk's own. Unknown episodes leave nulls, and no speakers."""
+    known = episodes.select(ident, F.nullif("source_title", F.lit("")).alias("__title"), "date", "year", "program_type", "episode_speakers")
+    rows = chunks.join(known, ident, "left")
+    return rows.withColumns({"source_title": F.coalesce("__title", "source_title"), "episode_speakers": F.coalesce("episode_speakers", F.array().cast("array<string>"))}).drop("__title")
+
+
 def ordered_ids(appearing: DataFrame, ident: str, index: str, value: str, out: str) -> DataFrame:
     """The distinct values of each id in the order of ``index``."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), F.col(value).alias("v"))))

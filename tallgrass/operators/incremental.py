@@ -23,12 +23,40 @@ def upsert(now: DataFrame, cache: DataFrame, key: str, compute: Callable[[DataFr
     return now.join(known.unionByName(fresh), key)
 
 
+#: Keys of the sample that cuts the key range, and parts that it is cut into at most.
+SAMPLE_KEYS, MOST_PARTS = 20_000, 1000
+
+
+def numbered(keys: DataFrame, key: str, column: str = "position") -> DataFrame:
+    """Distinct keys that are not null, with their place from 0 in ascending order.
+
+    Sampled splitters cut the range; places are those within a part after the sizes of the parts before. A key's part
+    depends on the key alone, so nothing changes when a task runs again, and no task sorts all keys.
+    """
+    distinct = keys.filter(F.col(key).isNotNull()).select(key).distinct()
+    some = distinct.orderBy(F.xxhash64(key)).limit(SAMPLE_KEYS)
+    parts = F.least(F.lit(MOST_PARTS), F.floor(F.size("__s") / 20) + 1).cast("int")
+    splits = some.agg(F.sort_array(F.collect_list(key)).alias("__s"))
+    splits = splits.select(F.transform(F.sequence(F.lit(1), parts), lambda i: F.get("__s", (F.floor(F.size("__s") * i / parts) - 1).cast("int"))).alias("__splits"))
+    placed = distinct.join(F.broadcast(splits)).withColumn("__part", F.size(F.filter("__splits", lambda x: x < F.col(key)))).drop("__splits")  # one row
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")  # MOST_PARTS + 1 rows at most
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
+    return placed.withColumn("__within", within).join(F.broadcast(before), "__part").select(key, (F.col("__before") + F.col("__within")).alias(column))
+
+
 def batches(keys: DataFrame, key: str, size: int = 100) -> DataFrame:
-    """Distinct keys with the number of their batch, ``size`` to a batch. Ranges are sorted and counted in parallel."""
-    ordered = keys.select(key).distinct().repartitionByRange(key).sortWithinPartitions(key).withColumn("__id", F.monotonically_increasing_id())
-    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = ordered.select(key, part.alias("__part"), place.alias("__place"))
-    sizes = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n"))  # a row a partition
-    numbered = ordered.join(F.broadcast(before), "__part").withColumn("__i", F.col("__before") + F.col("__place"))
-    return numbered.select(key, F.floor(F.col("__i") / size).cast("long").alias("batch"))
+    """Distinct keys in ascending order with the number of their batch, ``size`` to a batch."""
+    return numbered(keys, key).select(key, F.floor(F.col("position") / size).cast("long").alias("batch"))
+
+
+def fetch_plan(wanted: DataFrame, ids: DataFrame, cache: DataFrame, key: str, order: list[str], most: int | None = None) -> DataFrame:
+    """Rows of ``wanted`` whose key is in ``ids``, the first ``most`` in ``order``, each ``cached`` or to ``fetch``; ``position`` from 1 keeps the order."""
+    if most is not None and most < 1:
+        raise ValueError("most must be positive")
+    chosen = wanted.join(ids.select(key).distinct(), key, "left_semi").orderBy(*order)
+    chosen = chosen.limit(most) if most is not None else chosen
+    known = cache.select(key).distinct().withColumn("__hit", F.lit(True))
+    place = F.row_number().over(Window.orderBy(*order)) if most is not None else F.lit(None).cast("int")  # ``most`` rows
+    rows = chosen.join(known, key, "left").withColumn("origin", F.when(F.col("__hit"), "cached").otherwise("fetch")).drop("__hit")
+    return rows.withColumn("position", place)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in a block; a task multiplies one block by another.
-BLOCK_ROWS = 4096
+#: Vectors of a block, which is shipped as a whole, and of the parts of it that are multiplied at a time.
+BLOCK_ROWS, PART_ROWS = 32_768, 2048
 
 
 def mean_of(df: DataFrame, vector: str) -> list[float]:
@@ -17,11 +19,45 @@ def mean_of(df: DataFrame, vector: str) -> list[float]:
     return [r["m"] for r in sorted(rows, key=lambda r: r["i"])]
 
 
+def _packed(unit: DataFrame, centre: np.ndarray) -> DataFrame:
+    """A row a block (column ``own``): identifiers, and vectors of length 1, as they are and less the centre, as bytes."""
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        raw = np.stack([np.asarray(v, float) for v in part["v"]])
+        raw /= np.maximum(np.linalg.norm(raw, axis=1, keepdims=True), 1e-12)
+        moved = raw - centre
+        moved /= np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+        return pd.DataFrame({"own": [int(part["own"].iloc[0])], "ids": [part["id"].to_numpy(np.int64).tobytes()], "raw": [raw.tobytes()], "moved": [moved.tobytes()]})
+
+    return unit.groupBy("own").applyInPandas(pack, "own int, ids binary, raw binary, moved binary")
+
+
+def _best(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> Iterator[pd.DataFrame]:
+    """The k best of ``theirs`` for each of ``mine`` (identifiers ascending, raw and moved vectors), some rows at a time."""
+    others = theirs[0]
+    for at in range(0, len(mine[0]), PART_ROWS):
+        ids, raw, moved = (x[at : at + PART_ROWS] for x in mine)
+        kept_s, kept_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
+        for first in range(0, len(others), PART_ROWS):
+            score = moved @ theirs[2][first : first + PART_ROWS].T
+            score[ids[:, None] == others[None, first : first + PART_ROWS]] = -np.inf
+            s = np.concatenate([kept_s, score], axis=1)
+            i = np.concatenate([kept_i, np.broadcast_to(np.arange(first, first + score.shape[1]), score.shape)], axis=1)
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k]  # of equal ones the smaller identifier, which stands first
+            kept_s, kept_i = np.take_along_axis(s, top, 1), np.take_along_axis(i, top, 1)
+        row, col = np.repeat(np.arange(len(ids)), kept_i.shape[1]), kept_i.ravel()
+        fine = np.isfinite(kept_s.ravel())
+        row, col = row[fine], col[fine]
+        yield pd.DataFrame({"id": ids[row], "related": others[col], "s": kept_s.ravel()[fine], "r": (raw[row] * theirs[1][col]).sum(axis=1)})
+
+
 def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``id_col``, ``related_id``, ``similarity`` (that ranks), ``raw_similarity``, ``rank`` 1 to k; ties go to the smaller id.
 
-    With ``centred`` the corpus mean is taken off the unit vectors first. Every row is compared with every other, but
-    as blocks of rows in matrix products that give k candidates for each row and block, not as joined pairs.
+    With ``centred`` the corpus mean is taken off the unit vectors first. Every row is compared with every other, as
+    blocks in matrix products that give k candidates for each row and pair of blocks. A block is one row of bytes; it goes
+    to as many tasks as there are blocks, so larger blocks move less.
     """
     blocks = max(1, -(-df.count() // block_rows))
     unit = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("own"))
@@ -29,32 +65,19 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
     if centred:
         length = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
         centre = np.array(mean_of(unit.withColumn("u", F.transform("v", lambda x: x / F.greatest(length, F.lit(1e-12)))), "u") or [0.0])
+    packed = _packed(unit, centre)
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    ask = unit.select("id", "v", "own", every.alias("other"), F.lit(True).alias("asks"))
-    have = unit.select("id", "v", every.alias("own"), F.col("own").alias("other"), F.lit(False).alias("asks"))
+    there = packed.select(F.col("own").alias("other"), *[F.col(c).alias(c + "2") for c in ("ids", "raw", "moved")])
+    pairs = packed.withColumn("other", every).join(there, "other") if blocks > 1 else packed
 
-    def rows_of(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        raw = np.stack([np.asarray(v, float) for v in part["v"]])
-        raw /= np.maximum(np.linalg.norm(raw, axis=1, keepdims=True), 1e-12)
-        moved = raw - centre
-        return raw, moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
-
-    def best(pair: pd.DataFrame) -> pd.DataFrame:
-        mine, theirs = pair[pair["asks"]], pair[~pair["asks"]].sort_values("id")
-        if mine.empty or theirs.empty:
-            return pd.DataFrame({"id": [], "related": [], "s": [], "r": []})
-        (raw, moved), (raw2, moved2) = rows_of(mine), rows_of(theirs)
-        score = moved @ moved2.T
-        ids, others = mine["id"].to_numpy(), theirs["id"].to_numpy()
-        score[ids[:, None] == others[None, :]] = -np.inf
-        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        row = np.repeat(np.arange(len(ids)), top.shape[1])
-        col = top.ravel()
-        fine = np.isfinite(score[row, col])
-        row, col = row[fine], col[fine]
-        return pd.DataFrame({"id": ids[row], "related": others[col], "s": score[row, col], "r": (raw[row] * raw2[col]).sum(axis=1)})
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                read = lambda ids, raw, moved: ((n := np.frombuffer(ids, np.int64)), np.frombuffer(raw).reshape(len(n), -1), np.frombuffer(moved).reshape(len(n), -1))
+                mine = read(row.ids, row.raw, row.moved)
+                yield from _best(mine, read(row.ids2, row.raw2, row.moved2) if blocks > 1 else mine, k)
 
-    found = ask.unionByName(have).groupBy("own", "other").applyInPandas(best, "id long, related long, s double, r double")
+    found = pairs.mapInPandas(compare, "id long, related long, s double, r double")
     order = Window.partitionBy("id").orderBy(F.desc("s"), "related")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(id_col), F.col("related").alias("related_id"), F.col("s").alias("similarity"), F.col("r").alias("raw_similarity"), "rank")

@@ -62,10 +62,16 @@ def matching(rows: DataFrame, f: Filters) -> DataFrame:
     return rows
 
 
+def mean_age(ages: Column) -> Column:
+    """Mean of the ages that are known; null without any."""
+    known = F.filter(ages, lambda a: a.isNotNull())
+    return F.aggregate(known, F.lit(0.0), lambda s, a: s + a) / F.nullif(F.size(known), F.lit(0))
+
+
 def sort_keys(mode: str, match: Column | None = None) -> list[Column]:
     """Keys of a sort mode. Names follow Swedish collation, missing ages come last in both directions, then newest first."""
     newest = [F.desc("date"), F.desc("sr_episode_id")]
-    age = F.aggregate(F.filter("ages", lambda a: a.isNotNull()), F.lit(0.0), lambda s, a: s + a) / F.nullif(F.size(F.filter("ages", lambda a: a.isNotNull())), F.lit(0))
+    age = mean_age(F.col("ages"))
     modes = {
         "newest": newest,
         "oldest": [F.asc("date"), F.asc("sr_episode_id")],
@@ -89,6 +95,42 @@ def facet_values(rows: DataFrame, column: str, is_array: bool = True) -> DataFra
     return value.filter("value is not null").groupBy("value").agg(F.count_distinct("sr_episode_id").alias("episodes"))
 
 
+def facet_bounds(rows: DataFrame) -> DataFrame:
+    """First and last calendar year, and the least and largest of all known ages."""
+    year = F.substring("date", 1, 4).cast("int")
+    return rows.agg(F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.min(F.array_min("ages")).alias("youngest"), F.max(F.array_max("ages")).alias("oldest"))
+
+
+def leaf_options(topics: DataFrame, themes: list | None = None) -> DataFrame:
+    """Topics (``topic_id``, ``label``, ``parent``) to choose from: those of the chosen themes, or all, in Swedish order of the labels."""
+    rows = topics.filter(F.col("parent").isin(list(themes))) if themes else topics
+    return rows.orderBy(F.collate("label", "sv"), "topic_id")
+
+
+#: Neighbours and topics that a result shows.
+SHOWN_RELATED, SHOWN_TOPICS = 6, 2
+
+
+def shown(rows: DataFrame, related: int = SHOWN_RELATED, topics: int = SHOWN_TOPICS) -> DataFrame:
+    """Rows with the first of their ``related`` and ``topics`` only, as a result shows them."""
+    return rows.withColumns({"related": F.slice("related", 1, related), "topics": F.slice("topics", 1, topics)})
+
+
+def page_after(rows: DataFrame, date: str, ident: int, size: int = PAGE) -> DataFrame:
+    """The page of the newest-first order behind the row (``date``, ``ident``): by its key, without counting what lies before."""
+    return page(rows.filter((F.col("date") < date) | ((F.col("date") == date) & (F.col("sr_episode_id") < ident))), "newest", size)
+
+
+def assemble(episodes: DataFrame, speakers: DataFrame, ident: str = "sr_episode_id", entity: str = "wikidata_id") -> DataFrame:
+    """Search records: episodes with the sets of their speakers' ``gender``, ``citizenships`` and ``occupations``, the mean of ``returning``, and the names in credit order."""
+    named = episodes.select(ident, F.posexplode("episode_speakers").alias("__p", entity)).join(speakers, entity, "left")
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
+    sets = named.groupBy(ident).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("__p", "speaker"))), lambda s: s["speaker"]).alias("speakers"), F.array_sort(F.collect_set("gender")).alias("genders"), flat("citizenships").alias("citizenships"), flat("occupations").alias("occupations"), F.max(F.col("episode_count") > 1).alias("returning"),
+    )
+    return episodes.join(sets, ident, "left")
+
+
 def topic_match(topics: Column, wanted: list[int]) -> Column:
     """The largest share among the wanted topics; 0 without any."""
     shares = F.transform(F.filter(topics, lambda t: t["topic_id"].isin(wanted)), lambda t: t["share"])
@@ -103,8 +145,13 @@ def with_headers(rows: DataFrame, key: Column, order: list[Column], partition: l
 
 def others_of_same(rows: DataFrame, id_col: str, entity: str, season: str, order: str) -> DataFrame:
     """For each row, the other rows of its entities, the first of each season, newest first. ``entity`` is a column of ids."""
-    pairs = rows.select(F.col(id_col).alias("id"), F.col(entity).alias("e")).join(rows.select(F.col(id_col).alias("other"), F.col(entity).alias("e"), F.col(season).alias("season"), F.col(order).alias("at")), "e")
-    pairs = pairs.filter("id <> other").withColumn("__r", F.row_number().over(Window.partitionBy("id", "season").orderBy("at", "other"))).filter("__r = 1")
+    own = rows.select(F.col(id_col).alias("id"), F.col(entity).alias("e"))
+    # Two rows of an entity and season are enough: the first, and the one that stands for it where a row would meet itself.
+    first = Window.partitionBy("e", "season").orderBy("at", "other")
+    heads = rows.select(F.col(id_col).alias("other"), F.col(entity).alias("e"), F.col(season).alias("season"), F.col(order).alias("at")).distinct()
+    heads = heads.withColumn("__p", F.row_number().over(first)).filter("__p <= 2").drop("__p")
+    pairs = own.join(heads, "e").filter("id <> other").drop("e").distinct()
+    pairs = pairs.withColumn("__r", F.row_number().over(Window.partitionBy("id", "season").orderBy("at", "other"))).filter("__r = 1")
     return pairs.select(F.col("id").alias(id_col), "other", "season", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("at"), F.desc("other"))).alias("position"))
 
 

@@ -15,6 +15,12 @@ WINDOW_UNITS, SEMANTIC_WEIGHT, STRONG_PAUSE, MUSIC_FLOOR = 3, 0.82, 5.0, 1.8
 MIN_WORDS, TARGET_WORDS, MAX_WORDS, THRESHOLD, LENGTH_PENALTY = 140, 450, 1800, 0.85, 0.14
 
 
+def prefix_words(units: DataFrame, ident: str, order: list[str], words: str) -> DataFrame:
+    """Adds ``prefix``: the words of an episode up to and with each unit."""
+    line = Window.partitionBy(ident).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return units.withColumn("prefix", F.sum(words).over(line))
+
+
 def score_boundaries(units: DataFrame, window_units: int = WINDOW_UNITS) -> DataFrame:
     """A row for every place between two units: how much the mean vectors on its sides differ, and the pause.
 
@@ -47,7 +53,7 @@ def best_cuts(words: np.ndarray, scores: np.ndarray, least: int = MIN_WORDS, tar
     total, source = np.full(n + 1, -np.inf), np.full(n + 1, -1)
     total[0] = 0.0
     for end in range(1, n + 1):
-        starts = np.arange(end - 1, -1, -1)
+        starts = np.arange(end - 1, min(end - 1, int(np.searchsorted(upto, upto[end] - most))) - 1, -1)  # longer ones are not usable
         size = upto[end] - upto[starts]
         usable = ((size <= most) | (starts == end - 1)) & ((size >= least) | ((starts == 0) & (end == n)))
         gain = total[starts] - penalty * ((size - target) / max(target, 1)) ** 2 + (scores[end] - threshold if end < n else 0.0)

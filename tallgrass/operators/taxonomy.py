@@ -52,6 +52,48 @@ def theme_ids(labels: DataFrame, label: str = "theme") -> DataFrame:
     return labels.select(label).distinct().withColumn("broad_id", F.concat(F.lit("broad-"), F.lpad(rank.cast("string"), 2, "0")))
 
 
+def longest_representative(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """The longest chunk of each group (``representative``, ``words``); of equally long ones that with the smallest id."""
+    best = F.max(F.struct("word_count", (-F.col("chunk_id")).alias("m"), "chunk_id")).alias("b") if dict(chunks.dtypes)["chunk_id"] != "string" else F.min(F.struct((-F.col("word_count")).alias("w"), "chunk_id", "word_count")).alias("b")
+    return chunks.groupBy(*keys).agg(best).select(*keys, F.col("b.chunk_id").alias("representative"), F.col("b.word_count").alias("words"))
+
+
+def rollups(chunks: DataFrame, totals: DataFrame, themes: DataFrame, manual: Mapping[int, Mapping[str, float]] = MANUAL_SHARES) -> dict[str, DataFrame]:
+    """The four tables of the hierarchy: ``topics``, ``episode_topics``, ``broad`` and ``episode_broad``.
+
+    ``chunks`` (``chunk_id``, ``sr_episode_id``, ``topic_id``, ``word_count``) passed the gate of evidence; ``totals`` has ``episode_words`` by
+    episode, ``themes`` ``topic_id``, ``theme`` and ``broad_id`` of every topic. Editorial rows count as episodes of their
+    topic and theme but bring no chunks or words. A share is of all words of the episode.
+    """
+    episode = chunks.groupBy("sr_episode_id", "topic_id").agg(F.count(F.lit(1)).alias("chunk_count"), F.sum("word_count").alias("word_count"))
+    episode = episode.join(totals, "sr_episode_id").withColumn("share", F.col("word_count") / F.col("episode_words")).drop("episode_words")
+    episode = with_manual(episode, manual).join(themes, "topic_id")
+    episode = episode.join(longest_representative(chunks, ["sr_episode_id", "topic_id"]).drop("words"), ["sr_episode_id", "topic_id"], "left")
+    sums = episode.groupBy("topic_id").agg(F.sum("chunk_count").alias("chunk_count"), F.count_distinct("sr_episode_id").alias("episode_count"), F.sum("word_count").alias("word_count"))
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("chunk_count", "episode_count", "word_count")}
+    topics = themes.join(sums, "topic_id", "left").withColumns(zero)
+    lists = themes.groupBy("broad_id", "theme").agg(F.array_sort(F.collect_set("topic_id")).alias("topic_ids"))
+    broad = lists.join(episode.groupBy("broad_id").agg(F.count_distinct("sr_episode_id").alias("episode_count")), "broad_id", "left").withColumn("episode_count", zero["episode_count"])
+    wide = episode.groupBy("sr_episode_id", "broad_id", "theme").agg(F.sum("chunk_count").alias("chunk_count"), F.sum("word_count").alias("word_count"))
+    wide = wide.join(totals, "sr_episode_id", "left").withColumn("share", F.coalesce(F.col("word_count") / F.col("episode_words"), F.lit(0.0))).drop("episode_words")
+    return {"topics": topics, "episode_topics": episode, "broad": broad, "episode_broad": wide}
+
+
+def reviewed(rows: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """Answers of a review, one for each expected key; a missing, unknown or repeated key is an error."""
+    faults = partition_faults(rows, rows.limit(0), key, expected).limit(5).collect()
+    if faults:
+        raise ValueError("invalid answers: " + ", ".join(f"{r[0]} {r[1]}" for r in faults))
+    return rows
+
+
+def applied(topics: DataFrame, proposal: DataFrame) -> DataFrame:
+    """The catalogue with the parents of a reviewed proposal (``topic_id``, ``parent_label``), which must cover every usable topic exactly once."""
+    used = topics.filter((F.col("topic_id") != -1) & ~F.coalesce("is_low_quality", F.lit(False)))
+    new = reviewed(proposal.select("topic_id", "parent_label"), used, "topic_id")
+    return topics.drop("parent_label").join(new, "topic_id", "left")
+
+
 def partition_faults(assigned: DataFrame, excluded: DataFrame, ident: str, universe: DataFrame) -> DataFrame:
     """Ids that are ``duplicate``, ``missing`` or ``extra`` against the universe; none for a partition."""
     both = assigned.select(ident).unionByName(excluded.select(ident)).groupBy(ident).agg(F.count(F.lit(1)).alias("n"))

@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
 
-#: Catalogues up to this number of topics go to every task as one array; a catalogue is written by hand.
+#: Topics of a catalogue that go to every task as one array; larger catalogues come in parts, one after the other.
 MAX_TOPICS = 10_000
 
 
@@ -33,21 +33,39 @@ class Thresholds:
     secondary_max_gap: float = 0.015
 
 
+def negative_pairs(examples: DataFrame, topic: str, value: str, order: str | None = None) -> DataFrame:
+    """``topic`` and ``pair``, an array of its two negative examples in the order of ``order``; any other number of them is an error."""
+    place = F.lit(0) if order is None else F.col(order)
+    pairs = examples.groupBy(topic).agg(F.transform(F.sort_array(F.collect_list(F.struct(place.alias("p"), F.col(value).alias("v")))), lambda x: x["v"]).alias("pair"))
+    fault = F.raise_error(F.concat(F.lit("not two negative examples: "), F.col(topic).cast("string")))
+    return pairs.withColumn("pair", F.when(F.size("pair") == 2, F.col("pair")).otherwise(fault.cast(pairs.schema["pair"].dataType)))
+
+
 def decide(chunks: DataFrame, topics: DataFrame, rules: Thresholds = Thresholds(), floors: Mapping[str, float] | None = None, negatives: DataFrame | None = None) -> DataFrame:
     """A decision for every chunk: best and second topic, margins, acceptance, tier and the reason of a rejection.
 
-    ``chunks`` has ``embedding``; ``topics`` has ``topic_id`` and ``embedding`` (unit vectors), ``negatives`` has ``topic_id`` and ``embedding``, two rows a topic. The
-    catalogue (at most MAX_TOPICS rows, checked) travels as one array column, so a chunk meets all topics in its own
-    row. Of equal similarities the smaller topic id wins.
+    ``chunks`` has ``embedding``; ``topics`` has ``topic_id`` and ``embedding`` (unit vectors), ``negatives`` has ``topic_id`` and ``embedding``, two rows a topic
+    (any other number is an error). The catalogue travels as an array column, MAX_TOPICS at a time, so a chunk meets all topics in its own
+    row and keeps the two best. Of equal similarities the smaller topic id wins.
     """
-    if topics.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    if topics.limit(2).count() < 2:
+    number = topics.count()
+    if number < 2:
         raise ValueError("at least two topics are needed")
-    catalogue = topics.agg(F.array_sort(F.collect_list(F.struct("topic_id", "embedding"))).alias("__topics"))
-    score = lambda t: F.struct((-V.dot(F.col("embedding"), t["embedding"])).alias("minus"), t["topic_id"].alias("topic_id"))
-    rows = chunks.join(F.broadcast(catalogue)).withColumn("__top", F.slice(F.array_sort(F.transform("__topics", score)), 1, 2)).drop("__topics")
-    first, second = F.col("__top")[0], F.col("__top")[1]
+    parts = -(-number // MAX_TOPICS)
+    kind = topics.schema["topic_id"].dataType.simpleString()
+    one = F.struct(F.lit(None).cast("double").alias("minus"), F.lit(None).cast(kind).alias("topic_id"))
+    rows = chunks.withColumn("__top", F.struct(one.alias("first"), one.alias("second")))
+
+    def keep(top: Column, t: Column) -> Column:
+        new = F.struct((-V.dot(F.col("embedding"), t["embedding"])).alias("minus"), t["topic_id"].alias("topic_id"))
+        better = lambda old: old["minus"].isNull() | (new < old)
+        return F.when(better(top["first"]), F.struct(new.alias("first"), top["first"].alias("second"))).when(better(top["second"]), F.struct(top["first"].alias("first"), new.alias("second"))).otherwise(top)
+
+    for part in range(parts):
+        some = topics if parts == 1 else topics.filter(F.pmod(F.xxhash64("topic_id"), F.lit(parts)) == part)
+        catalogue = some.agg(F.collect_list(F.struct("topic_id", "embedding")).alias("__topics"))
+        rows = rows.join(F.broadcast(catalogue)).withColumn("__top", F.aggregate("__topics", F.col("__top"), keep)).drop("__topics")
+    first, second = F.col("__top.first"), F.col("__top.second")
     rows = rows.select("*", first["topic_id"].alias("best_topic_id"), (-first["minus"]).alias("best_similarity"), second["topic_id"].alias("runner_up_topic_id"), (-second["minus"]).alias("runner_up_similarity"))
     rows = rows.drop("__top").withColumn("winner_margin", F.col("best_similarity") - F.col("runner_up_similarity"))
     floor = lambda topic: F.coalesce(F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])[topic], F.lit(rules.min_similarity)) if floors else F.lit(rules.min_similarity)
@@ -55,8 +73,8 @@ def decide(chunks: DataFrame, topics: DataFrame, rules: Thresholds = Thresholds(
     if negatives is None:
         rows = rows.withColumn("negative_similarity", F.lit(None).cast("double"))
     else:
-        against = negatives.groupBy(F.col("topic_id").alias("best_topic_id")).agg(F.collect_list("embedding").alias("__neg"))  # two rows a topic
-        rows = rows.join(F.broadcast(against), "best_topic_id", "left")
+        against = negative_pairs(negatives, "topic_id", "embedding").select(F.col("topic_id").alias("best_topic_id"), F.col("pair").alias("__neg"))
+        rows = rows.join(F.broadcast(against) if parts == 1 else against, "best_topic_id", "left")
         rows = rows.withColumn("negative_similarity", F.array_max(F.transform("__neg", lambda n: V.dot(F.col("embedding"), n)))).drop("__neg")
     rows = rows.withColumn("negative_margin", F.col("best_similarity") - F.col("negative_similarity"))
     best, margin = F.col("best_similarity"), F.col("winner_margin")
@@ -151,10 +169,32 @@ def thresholds(reviews: DataFrame, group: str, score: str, relevant: str, precis
     return rows.groupBy(group).agg(F.coalesce(F.min(F.when(fits, F.col(score))), F.lit(default)).alias("threshold"))
 
 
+def terms_of(docs: DataFrame, group: str, text: str, stop_words: tuple[str, ...] = (), longest: int = 2) -> DataFrame:
+    """``group`` and ``term``, a row for each occurrence: words of two letters or digits or more, lower-cased, and runs of up to ``longest`` of them.
+
+    Stop words go before the runs are built, so a run can lead over one.
+    """
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b\w\w+\b"), 0)
+    kept = F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
+    rows = docs.select(group, kept.alias("__w"))
+
+    def runs_of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size("__w") - n + 1), lambda i: F.array_join(F.slice("__w", i, n), " "))
+
+    runs = [runs_of(n) for n in range(2, longest + 1)]
+    every = F.concat(F.col("__w"), *[F.when(F.size("__w") >= n, r).otherwise(F.array().cast("array<string>")) for n, r in enumerate(runs, 2)]) if runs else F.col("__w")
+    return rows.select(group, F.explode(every).alias("term"))
+
+
+def least_groups(documents: int, min_df: int = 3) -> int:
+    """Groups that a term must be in: ``min_df``, or 1 for a corpus of fewer than a hundred documents."""
+    return 1 if documents < 100 else min_df
+
+
 def term_weights(terms: DataFrame, group: str, term: str, min_df: int = 3) -> DataFrame:
     """Class-based term weights: square root of the frequency in the class times a BM25 inverse class frequency.
 
-    ``terms`` has a row for each occurrence; terms in fewer than ``min_df`` groups are left out.
+    ``terms`` has a row for each occurrence (``terms_of``); terms in fewer than ``min_df`` groups (``least_groups``) are left out.
     """
     counts = terms.groupBy(group, term).agg(F.count(F.lit(1)).alias("tf"))
     overall = counts.groupBy(term).agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
@@ -165,6 +205,12 @@ def term_weights(terms: DataFrame, group: str, term: str, min_df: int = 3) -> Da
     return rows.select(group, term, "tf", "f", "df", (F.sqrt(F.col("tf") / F.col("words")) * F.greatest(idf, F.lit(0.0))).alias("weight"))
 
 
+#: Spoken-language scaffolding and words of the medium, which name no topic. They go beside a language's own stop words.
+DOMAIN_STOP_WORDS = (
+    "absolut", "alltså", "alltid", "bara", "börja", "började", "börjar", "dag", "egentligen", "faktiskt", "fick", "först", "förstås", "gång", "ganska", "gick", "gör", "göra", "hela", "helt", "idag", "ibland", "kanske", "känner", "kom", "kommer", "liksom", "länge", "många", "måste", "nog", "precis", "redan", "riktigt", "saker", "satt", "sedan", "sen", "ser", "sist", "sitter", "själv", "slags", "säger", "sätt", "tid", "tillbaka", "tog", "tror", "tycker", "tänker", "tänkte", "verkligen", "vet", "ville", "väldigt", "år", "ändå",
+    "program", "programmet", "producent", "sommari", "sommarprogram", "app", "play", "radio", "sveriges", "sommar", "sommarprat", "sommarpratare", "sommarvärd", "vinter", "vinterprat", "vintervärd", "lyssna", "lyssnar", "lyssnare", "musik", "låten", "låt", "p1",
+)
+
 #: Broadcast framing words; three of them among the first eight keywords mark a topic as of low quality.
 FRAMING = ("sr", "sverigesradio", "podd", "lista", "tekniker", "hemsidan", "radioprogram")
 
@@ -175,43 +221,97 @@ def low_quality(keywords, least: int = 3, first: int = 8):
     return F.size(F.array_intersect(parts, F.array(*[F.lit(w) for w in FRAMING]))) >= least
 
 
-def cluster(df: DataFrame, vector: str, k: int = 80, seed: int = 42) -> DataFrame:
+def fit_clusters(df: DataFrame, vector: str, k: int = 80, seed: int = 42, starts: int = 1) -> KMeansModel:
+    """Cosine k-means; of ``starts`` runs with different seeds the one with the least cost. ``write().save(path)`` keeps it."""
+    rows = df.select(array_to_vector(V.unit(F.col(vector))).alias("__v"))
+    fits = [KMeans(k=k, seed=seed + i, distanceMeasure="cosine", featuresCol="__v", predictionCol="topic_id", maxIter=50).fit(rows) for i in range(starts)]
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
+def cluster(df: DataFrame, vector: str, k: int = 80, seed: int = 42, starts: int = 1) -> DataFrame:
     """Adds ``topic_id`` by cosine k-means."""
-    rows = df.withColumn("__v", array_to_vector(V.unit(F.col(vector))))
-    model = KMeans(k=k, seed=seed, distanceMeasure="cosine", featuresCol="__v", predictionCol="topic_id", maxIter=50).fit(rows)
-    return model.transform(rows).drop("__v")
+    model = fit_clusters(df, vector, k, seed, starts)
+    return model.transform(df.withColumn("__v", array_to_vector(V.unit(F.col(vector))))).drop("__v")
 
 
-def map_2d(df: DataFrame, vector: str) -> DataFrame:
-    """Adds ``x`` and ``y``: the first two principal components."""
+def map_2d(df: DataFrame, vector: str, ident: str | None = None) -> DataFrame:
+    """Adds ``x`` and ``y``: the first two principal components; of fewer than three rows the place in the order of ``ident``, and 0."""
+    few = df.limit(3).count() < 3
+    if few:
+        order = Window.orderBy(ident) if ident else Window.orderBy(F.lit(0))  # two rows
+        return df.withColumns({"x": (F.row_number().over(order) - 1).cast("double"), "y": F.lit(0.0)})
     rows = df.withColumn("__v", array_to_vector(V.unit(F.col(vector))))
     out = PCA(k=2, inputCol="__v", outputCol="__p").fit(rows).transform(rows).withColumn("__p", vector_to_array("__p"))
     return out.withColumns({"x": F.col("__p")[0], "y": F.col("__p")[1]}).drop("__v", "__p")
 
 
-#: Most clusters of a tree: it is built on the driver from their mean vectors.
-MAX_LEAVES = 2000
-
-
 def merge_tree(centroids: DataFrame, ident: str, vector: str) -> DataFrame:
     """Average-linkage tree over clusters: a row for each merge, with the two parts, the distance and the leaves below.
 
-    Merged nodes are numbered from the largest id on. At most MAX_LEAVES centroids (checked) come to the driver.
+    Nodes are numbered from the largest id on in the order of their distances. The centroids come to the driver. The mean
+    cosine between two groups is the product of their sums, so chains of nearest neighbours need no matrix of distances.
     """
-    rows = centroids.select(ident, vector).orderBy(ident).limit(MAX_LEAVES + 1).collect()
-    if len(rows) > MAX_LEAVES:
-        raise ValueError(f"more than {MAX_LEAVES} clusters")
-    names, leaves = [int(r[0]) for r in rows], [1] * len(rows)
-    v = np.array([r[1] for r in rows], float).reshape(len(rows), -1)
-    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    apart = 1 - v @ v.T
-    np.fill_diagonal(apart, np.inf)
+    rows = centroids.select(ident, vector).orderBy(ident).collect()  # a row for each cluster
+    n = len(rows)
+    sums = np.array([r[1] for r in rows], float).reshape(n, -1)
+    sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    leaves, alive, chain, merges = np.ones(n), np.ones(n, bool), [], []
+    for _ in range(n - 1):
+        chain = chain or [int(alive.argmax())]
+        while True:
+            last = chain[-1]
+            apart = np.where(alive, 1 - (sums @ sums[last]) / (leaves * leaves[last]), np.inf)
+            apart[last] = np.inf
+            before = chain[-2] if len(chain) > 1 else None
+            near = int(apart.argmin())
+            if before is not None and apart[before] <= apart[near] + 1e-15:
+                break
+            chain.append(near)
+        distance = float(apart[before])
+        i, j = sorted((chain.pop(), chain.pop()))
+        merges.append((distance, i, j))
+        sums[i] += sums[j]
+        leaves[i] += leaves[j]
+        alive[j] = False
+    # Merges in the order of their distances; a place stands for the node that last took it in.
+    merges.sort(key=lambda m: m[0])
+    into, names, size = list(range(n)), [int(r[0]) for r in rows], [1] * n
     after, out = max(names, default=0) + 1, []
-    for step in range(len(rows) - 1):
-        i, j = sorted(divmod(int(apart.argmin()), len(rows)))
-        out.append((step, names[i], names[j], after, float(apart[i, j]), leaves[i] + leaves[j]))
-        merged = (apart[i] * leaves[i] + apart[j] * leaves[j]) / (leaves[i] + leaves[j])
-        merged[[i, j]] = np.inf
-        apart[i], apart[:, i], apart[j], apart[:, j] = merged, merged, np.inf, np.inf
-        names[i], leaves[i], after = after, leaves[i] + leaves[j], after + 1
+
+    def top(i: int) -> int:
+        while into[i] != i:
+            i = into[i]
+        return i
+
+    for step, (distance, i, j) in enumerate(merges):
+        i, j = sorted((top(i), top(j)))
+        out.append((step, names[i], names[j], after, distance, size[i] + size[j]))
+        into[j], names[i], size[i], after = i, after, size[i] + size[j], after + 1
     return centroids.sparkSession.createDataFrame(out, "step int, part_a long, part_b long, node long, distance double, leaves int")
+
+
+def usable(topics: DataFrame, ids: list[int] | None = None, offset: int = 0, limit: int | None = None) -> DataFrame:
+    """Topics but for the outlier and those of low quality: given ids (an unknown or excluded one is an error), or a page in the order of the ids."""
+    rows = topics.filter((F.col("topic_id") != -1) & ~F.coalesce("is_low_quality", F.lit(False)))
+    if ids is not None:
+        wanted = sorted(set(ids))
+        known = {r[0] for r in rows.filter(F.col("topic_id").isin(wanted)).select("topic_id").collect()}  # as many as were asked for
+        if unknown := [i for i in wanted if i not in known]:
+            raise ValueError(f"unknown or excluded topics: {unknown}")
+        return rows.filter(F.col("topic_id").isin(wanted))
+    rows = rows.orderBy("topic_id")
+    rows = rows.offset(offset) if offset else rows
+    return rows.limit(limit) if limit is not None else rows
+
+
+def topic_summary(chunk_topics: DataFrame) -> DataFrame:
+    """Chunks, different episodes and words of every topic."""
+    return chunk_topics.groupBy("topic_id").agg(F.count(F.lit(1)).alias("chunk_count"), F.count_distinct("sr_episode_id").alias("episode_count"), F.sum("word_count").alias("word_count"))
+
+
+def relabelled(topics: DataFrame, labels: DataFrame, model: str) -> DataFrame:
+    """Topics with the labels that a reviewer gave (``topic_id``, ``llm_label``); the cluster's own label is kept beside it. Others stay as they are."""
+    new = labels.select("topic_id", F.col("llm_label").alias("__new"))
+    rows = topics.join(new, "topic_id", "left")
+    found = F.col("__new").isNotNull()
+    return rows.withColumns({"cluster_label": F.when(found, F.col("label")), "llm_label": F.col("__new"), "llm_model": F.when(found, F.lit(model)), "review_status": F.when(found, F.lit("unreviewed")), "label": F.coalesce("__new", "label")}).drop("__new")

@@ -90,3 +90,14 @@ def audit(flagged: DataFrame) -> DataFrame:
     kept = (F.size("artifact_reasons") == 0) & (F.size("boilerplate_reasons") == 0)
     totals = flagged.groupBy(F.lit("segments").alias("kind"), F.when(kept, "kept").otherwise("removed").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     return kinds[0].unionByName(kinds[1]).unionByName(totals)
+
+
+def audit_report(flagged: DataFrame, ident: str = "sr_episode_id") -> DataFrame:
+    """``json``, one row: numbers of segments, episodes, kept and removed segments, and of every reason."""
+    counts = audit(flagged)
+    reasons = lambda kind: F.map_from_entries(F.sort_array(F.filter(F.collect_list(F.when(F.col("kind") == kind, F.struct("reason", "n"))), lambda x: x.isNotNull())))
+    of = lambda reason: F.coalesce(F.sum(F.when((F.col("kind") == "segments") & (F.col("reason") == reason), F.col("n"))), F.lit(0).cast("long"))
+    sums = counts.agg(of("kept").alias("kept"), of("removed").alias("removed"), reasons("artifact").alias("artifact_reasons"), reasons("boilerplate").alias("boilerplate_reasons"))
+    episodes = flagged.agg(F.count_distinct(ident).alias("episodes"))  # one row
+    whole = sums.join(F.broadcast(episodes)).select((F.col("kept") + F.col("removed")).alias("segments"), "episodes", "kept", "removed", "artifact_reasons", "boilerplate_reasons")
+    return whole.select(F.to_json(F.struct(*whole.columns)).alias("json"))

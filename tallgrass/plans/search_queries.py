@@ -58,8 +58,27 @@ def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_ROWS + "SELECT min(substr(date, 1, 4))::INT AS first_year, max(substr(date, 1, 4))::INT AS last_year, min(age) AS youngest, max(age) AS oldest FROM r")
 def facet_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    year, age = F.substring("date", 1, 4).cast("int"), F.col("ages")[0]
-    return records(spark, sf_dir).agg(F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.min(age).alias("youngest"), F.max(age).alias("oldest"))
+    return search.facet_bounds(records(spark, sf_dir))
+
+
+@query(_ROWS + "SELECT sr_episode_id, date FROM r WHERE (date, sr_episode_id) < ('1996-06-01', 1000) ORDER BY date DESC, sr_episode_id DESC LIMIT 100")
+def facet_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind a row, by its key."""
+    return search.page_after(records(spark, sf_dir), "1996-06-01", 1000).select("sr_episode_id", "date")
+
+
+@query("""WITH p AS (SELECT o_orderkey, [o_custkey, o_custkey % 13 + 1] AS ids FROM orders), x AS (SELECT o_orderkey, generate_subscripts(ids, 1) AS i, unnest(ids) AS id FROM p), n AS (SELECT o_custkey AS id, count(*) AS k FROM orders GROUP BY 1),
+s AS (SELECT o_orderkey, i, id, c_name, c_mktsegment, n_name, coalesce(k, 0) AS k FROM x JOIN customer ON c_custkey = id JOIN nation ON n_nationkey = c_nationkey LEFT JOIN n USING (id))
+SELECT o_orderkey AS sr_episode_id, string_agg(c_name, '|' ORDER BY i) AS speakers, string_agg(DISTINCT n_name, '|' ORDER BY n_name) AS citizenships, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS occupations, max((k > 1)::INT) = 1 AS returning FROM s GROUP BY o_orderkey""")
+def search_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes with the facets of their speakers; here two customers an order."""
+    ident = lambda c: F.concat(F.lit("Q"), c.cast("string"))
+    episodes = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sr_episode_id"), F.array(ident(F.col("o_custkey")), ident(F.col("o_custkey") % 13 + 1)).alias("episode_speakers"))
+    number = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("episode_count"))
+    people = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(number, "c_custkey", "left")
+    people = people.select(ident(F.col("c_custkey")).alias("wikidata_id"), F.col("c_name").alias("speaker"), F.lit("g").alias("gender"), F.array("n_name").alias("citizenships"), F.array("c_mktsegment").alias("occupations"), F.coalesce("episode_count", F.lit(0).cast("long")).alias("episode_count"))
+    rows = search.assemble(episodes, people)
+    return rows.select("sr_episode_id", *[F.array_join(c, "|").alias(c) for c in ("speakers", "citizenships", "occupations")], "returning")
 
 
 @query(_ROWS + "SELECT sr_episode_id, r_name AS theme, CASE WHEN coalesce(lag(substr(date, 1, 4)) OVER w, '') <> substr(date, 1, 4) THEN substr(date, 1, 4) END AS header FROM r WINDOW w AS (PARTITION BY r_name ORDER BY date DESC, sr_episode_id DESC)")
@@ -100,17 +119,77 @@ def payload_json_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("sr_episode_id", "dominant", "x", F.explode("topics").alias("t")).select("sr_episode_id", "dominant", "x", F.col("t.id").alias("topic_id"), F.col("t.value").alias("share"))
 
 
-@query()
+@query(_PAY + """SELECT d.ep AS sr_episode_id, CASE WHEN dom IN (9, 4) THEN coalesce((SELECT t FROM v WHERE v.ep = d.ep AND r = 1), dom) ELSE dom END AS dominant, count(v.t) AS topics, string_agg(v.t::VARCHAR, ',' ORDER BY v.r) AS topic_ids FROM d LEFT JOIN v ON v.ep = d.ep AND r <= 5 GROUP BY ALL""")
 def payload_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON text of every row, read again."""
     _, rows = _payload(spark, sf_dir)
-    return export.json_lines(rows, "sr_episode_id")
+    back = F.from_json("json", "sr_episode_id bigint, dominant bigint, topics array<struct<id:bigint,value:double>>")
+    lines = export.json_lines(rows, "sr_episode_id").select("sr_episode_id", back.alias("j"))
+    ids = F.transform("j.topics", lambda t: t["id"].cast("string"))
+    return lines.select("sr_episode_id", "j.dominant", F.size("j.topics").cast("long").alias("topics"), F.array_join(ids, ",").alias("topic_ids"))
+
+
+_SHOWN = """WITH c AS (SELECT vec_id % 50 AS ep, label FROM embeddings) SELECT label::VARCHAR AS topic_id, CASE WHEN label % 2 = 0 THEN 'a · b · c' ELSE 'Topic ' || label END AS label, count(DISTINCT ep) AS episodes, count(*) AS chunks FROM c WHERE label NOT IN (9, 4) GROUP BY c.label"""
+_TOPIC = "map<string,struct<label:string,episodes:bigint,chunks:bigint>>"
+
+
+@query(_SHOWN)
+def payload_document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topics of the whole document, read from its text."""
+    whole = export.payload_document(*_payload(spark, sf_dir))
+    read = whole.select(F.explode(F.from_json("json", f"version int, topics {_TOPIC}")["topics"]).alias("topic_id", "t"))
+    return read.select("topic_id", "t.label", "t.episodes", "t.chunks")
+
+
+@query(_PAY + """SELECT d.ep AS sr_episode_id, round(e.x, 5) AS x, coalesce(string_agg(v.t || ':' || round(v.share, 4), ',' ORDER BY v.r), '') AS topics FROM d JOIN (SELECT vec_id % 50 AS ep, avg(embedding[1]::DOUBLE) AS x FROM embeddings GROUP BY 1) e ON e.ep = d.ep LEFT JOIN v ON v.ep = d.ep AND r <= 5 GROUP BY ALL""")
+def payload_document_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The episodes of the whole document, read from its text."""
+    whole = export.payload_document(*_payload(spark, sf_dir))
+    read = whole.select(F.explode(F.from_json("json", "episodes map<string,struct<x:double,y:double,dominant:int,topics:array<array<double>>,related:array<array<double>>>>")["episodes"]).alias("k", "e"))
+    pairs = F.transform("e.topics", lambda t: F.concat(t[0].cast("int").cast("string"), F.lit(":"), t[1].cast("string")))
+    return read.select(F.col("k").cast("long").alias("sr_episode_id"), "e.x", F.array_join(pairs, ",").alias("topics"))
+
+
+@query("""WITH p AS (SELECT c_custkey, c_name, c_nationkey FROM customer), o AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderkey % 4 = 0 AS host FROM orders)
+SELECT o_orderkey AS id, date, (o_orderkey % 5000 + 30) // 60 AS minutes, CASE WHEN o_orderkey % 2 = 0 THEN '/i/' || o_orderkey END AS image, 'Q' || o_custkey AS speaker, c_name AS name, CASE WHEN host THEN true END AS is_listeners_host FROM o JOIN p ON c_custkey = o_custkey""")
+def archive_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes and their speakers from the text of the archive's document; orders stand for episodes."""
+    key = F.col("o_orderkey")
+    ident = lambda c: F.concat(F.lit("Q"), F.col(c).cast("string"))
+    episodes = table(spark, sf_dir, "orders").select(
+        key.alias("sr_episode_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("Sommar").alias("program_type"), (key % 5000).alias("length_seconds"), F.when(key % 2 == 0, F.concat(F.lit(T.IMAGE_URL + "/i/"), key.cast("string"))).alias("image_url"), F.lit("text").alias("short_summary"),
+        F.array(ident("o_custkey")).alias("episode_speakers"), F.array(F.lit(None).cast("int")).alias("speaker_ages"), (key % 4 == 0).alias("is_listeners_host"),
+    )
+    none, empty = F.lit(None).cast("string"), F.array().cast("array<string>")
+    people = table(spark, sf_dir, "customer").select(
+        ident("c_custkey").alias("wikidata_id"), F.col("c_name").alias("speaker"), F.lit(1).alias("episode_count"), F.array(F.lit(30), F.lit(None).cast("int")).alias("ages_at_episodes"), F.array("c_name", "c_mktsegment").alias("sr_names"),
+        F.lit(" ").alias("wikidata_label"), none.alias("wikidata_description"), none.alias("wikipedia_url"), none.alias("gender"), none.alias("birth_date"), none.alias("death_date"), empty.alias("citizenships"), empty.alias("occupations"),
+    )
+    whole = export.archive_document(episodes, people).select(F.from_json("json", "speakers map<string,struct<name:string,ages:array<int>,aliases:array<string>,label:string>>, episodes array<struct<id:bigint,date:string,minutes:bigint,image:string,speakers:array<string>,is_listeners_host:boolean>>").alias("d"))
+    names = whole.select(F.explode("d.speakers").alias("speaker", "p")).select("speaker", F.col("p.name").alias("name"))
+    listed = whole.select(F.explode("d.episodes").alias("e")).select("e.id", "e.date", "e.minutes", "e.image", F.col("e.speakers")[0].alias("speaker"), "e.is_listeners_host")
+    return listed.join(names, "speaker")
 
 
-@query("SELECT label AS topic_id, 'Topic ' || label AS label, count(DISTINCT vec_id % 50) AS episodes FROM embeddings WHERE vec_id % 3 <> 0 GROUP BY embeddings.label")
+@query("SELECT label AS topic_id, 'Topic ' || label AS label, count(DISTINCT vec_id % 50) AS episodes FROM embeddings GROUP BY embeddings.label")
 def payload_json_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chunks(spark, sf_dir).withColumnRenamed("label", "topic_id")
     catalogue = rows.select("topic_id").distinct().withColumn("label", F.concat(F.lit("Topic "), F.col("topic_id").cast("string")))
-    return export.matched_topics(catalogue, rows.filter("chunk_id % 3 <> 0"))
+    return export.matched_topics(catalogue, rows)
+
+
+@query("""WITH c AS (SELECT vec_id % 50 AS ep, 't' || label AS t, 100 + vec_id % 400 AS w FROM embeddings), g AS (SELECT ep, t, sum(w) AS w FROM c GROUP BY ALL), s AS (SELECT *, w / sum(w) OVER (PARTITION BY ep) AS share FROM g), r AS (SELECT *, row_number() OVER (PARTITION BY ep ORDER BY share DESC, t) AS k FROM s)
+SELECT ep AS sr_episode_id, max(CASE WHEN k = 1 THEN t END) AS dominant, string_agg(t || ':' || round(share, 4), ',' ORDER BY k) AS topics FROM r WHERE k <= 5 GROUP BY ep""")
+def curated_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes of the second version of the document, whose topics have names for ids."""
+    rows = chunks(spark, sf_dir).withColumn("topic_id", F.concat(F.lit("t"), F.col("label").cast("string")))
+    roll = topics.raw_rollup(rows)
+    shown = topics.topic_summary(rows).select("topic_id", F.col("topic_id").alias("label"), F.col("episode_count").alias("episodes"), F.col("chunk_count").alias("chunks"))
+    places = rows.groupBy("sr_episode_id").agg(F.lit(0.5).alias("x"), F.lit(0.25).alias("y"))
+    near = rows.select("sr_episode_id").distinct().select("sr_episode_id", F.lit(1).alias("related_episode_id"), F.lit(0.5).alias("similarity"), F.lit(1).alias("rank"))
+    whole = export.payload_document(shown, export.curated_payload(places, roll, near, shown), 2)
+    read = whole.select(F.explode(F.from_json("json", "episodes map<string,struct<dominant:string,topics:array<array<string>>>>")["episodes"]).alias("k", "e"))
+    return read.select(F.col("k").cast("long").alias("sr_episode_id"), "e.dominant", F.array_join(F.transform("e.topics", lambda t: F.array_join(t, ":")), ",").alias("topics"))
 
 
 @query("SELECT n_name AS key, CAST(abs(list_reduce(list_transform(string_split(n_name, ''), lambda c: ascii(c)::BIGINT), lambda h, c: ((h * 31 + c + 2147483648) % 4294967296 + 4294967296) % 4294967296 - 2147483648, 0::BIGINT)) % 12 AS BIGINT) AS colour FROM nation")

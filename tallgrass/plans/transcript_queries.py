@@ -23,33 +23,50 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", "text", start.cast("double").alias("start"), (start + F.col("n")).cast("double").alias("end"))
 
 
-@query("""WITH d AS (SELECT doc_id, text AS s FROM documents UNION ALL SELECT -1, repeat('x', 130) UNION ALL SELECT -2, repeat('. ', 120) UNION ALL SELECT -3, repeat('hej ', 25)),
+@query("""WITH d AS (SELECT doc_id, text AS s FROM documents UNION ALL SELECT -1, repeat('x', 130) UNION ALL SELECT -2, repeat('. ', 120) UNION ALL SELECT -3, repeat('hej ', 25) UNION ALL SELECT -4, 'ja ' || repeat('Ab', 70) UNION ALL SELECT -5, repeat('- ', 60) || repeat('Å', 10) || repeat('å', 10)),
 m AS (SELECT doc_id, s, regexp_extract_all(lower(s), '[a-zåäö]+') AS w FROM d),
 t AS (SELECT doc_id, max(n) AS top FROM (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x FROM m) GROUP BY ALL) GROUP BY doc_id),
 f AS (SELECT m.doc_id, len(w) AS words, coalesce(top, 0) AS top, length(s) AS chars, len(regexp_extract_all(lower(s), '[^a-zåäö\\s]')) AS marks, s FROM m LEFT JOIN t USING (doc_id))
-SELECT doc_id, words, top, array_to_string(list_filter([CASE WHEN words >= 20 AND top >= 0.7 * words THEN 'dominant_token_loop' END, CASE WHEN words <= 3 AND chars >= 120 AND s = repeat('x', 130) THEN 'character_noise_loop' END, CASE WHEN words = 0 AND chars >= 120 AND marks >= 100 THEN 'punctuation_noise_loop' END], lambda z: z IS NOT NULL), ',') AS reasons FROM f""")
+SELECT doc_id, words, top, array_to_string(list_filter([CASE WHEN words >= 20 AND top >= 0.7 * words THEN 'dominant_token_loop' END, CASE WHEN words <= 3 AND chars >= 120 AND len(list_filter(list_distinct(string_split(lower(s), '')), lambda c: c <> chr(10) AND contains(lower(s), repeat(c, 20)))) > 0 THEN 'character_noise_loop' END, CASE WHEN words = 0 AND chars >= 120 AND marks >= 100 THEN 'punctuation_noise_loop' END], lambda z: z IS NOT NULL), ',') AS reasons FROM f""")
 def artifact_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extra = spark.createDataFrame([(-1, "x" * 130), (-2, ". " * 120), (-3, "hej " * 25)], "doc_id long, text string")
+    extra = spark.createDataFrame([(-1, "x" * 130), (-2, ". " * 120), (-3, "hej " * 25), (-4, "ja " + "Ab" * 70), (-5, "- " * 60 + "Å" * 10 + "å" * 10)], "doc_id long, text string")
     rows = table(spark, sf_dir, "documents").select("doc_id", "text").union(extra)
     words = T.swedish_words(F.col("text"))
     return rows.select("doc_id", F.size(words).cast("long").alias("words"), T.most_frequent(words).cast("long").alias("top"), F.array_join(T.artifact_reasons(F.col("text")), ",").alias("reasons"))
 
 
-@query(_SEGMENTS + """, m AS (SELECT *, CASE turn % 4 WHEN 0 THEN 'Dags för Sommar i P1' WHEN 1 THEN 'Det var sommar i P1' WHEN 2 THEN 'alla sommarprogram finns nu i vår app' ELSE 'Tack' END AS said, max(e) OVER (PARTITION BY conv_id) AS d FROM seg)
-SELECT conv_id, turn, CASE WHEN turn % 4 = 0 AND s <= 45 THEN 'programme_announcement' WHEN turn % 4 = 1 AND e >= d - 120 THEN 'programme_signoff' WHEN turn % 4 = 2 AND (s <= 45 OR e >= d - 120) THEN 'sr_play_promotion' ELSE '' END AS reasons FROM m""")
+#: Phrases that some turns end with; the rest of a turn's text is as it is.
+_SAID = {0: "Dags för Sommar i P1", 1: "Det var sommar i P1", 2: "alla sommarprogram finns nu i vår app", 3: "Producent: Anna"}
+_SAYS = "text || chr(10) || CASE turn % 7 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _SAID.items()) + " ELSE 'hon sommarpratade 2010' END"
+
+
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments with a phrase of the programme on a line of its own behind the text."""
+    k = F.col("turn") % 7
+    phrase = F.coalesce(*[F.when(k == i, F.lit(v)) for i, v in _SAID.items()], F.lit("hon sommarpratade 2010"))
+    return _segments(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n"), phrase))
+
+
+def _found(patterns: tuple, place: str) -> str:
+    return ", ".join(f"CASE WHEN {place} AND regexp_matches(said, '(?i)' || $p${p}$p$) THEN '{r}' END" for r, p in patterns)
+
+
+_FLAGS = _SEGMENTS + f""", m AS (SELECT *, {_SAYS} AS said, max(e) OVER (PARTITION BY conv_id) AS d FROM seg),
+r AS (SELECT conv_id, turn, list_filter([{_found(T.OPENING, "s <= 45")}, {_found(T.CLOSING, "d > 0 AND e >= d - 120")}], lambda z: z IS NOT NULL) AS l FROM m) """
+
+
+@query(_FLAGS + "SELECT conv_id, turn, array_to_string(list_sort(list_distinct(l)), ',') AS reasons FROM r")
 def boilerplate_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("turn") % 4
-    said = F.when(k == 0, "Dags för Sommar i P1").when(k == 1, "Det var sommar i P1").when(k == 2, "Alla sommarprogram finns nu i vår app").otherwise("Tack")
-    flagged = transcripts.flag_segments(_segments(spark, sf_dir).withColumn("text", said), "conv_id")
-    return flagged.select("conv_id", "turn", F.array_join("boilerplate_reasons", ",").alias("reasons"))
+    flagged = transcripts.flag_segments(_said(spark, sf_dir), "conv_id")
+    return flagged.select("conv_id", "turn", F.array_join(F.array_sort("boilerplate_reasons"), ",").alias("reasons"))
 
 
-@query(_SEGMENTS + """, m AS (SELECT *, max(e) OVER (PARTITION BY conv_id) AS d FROM seg),
-k AS (SELECT conv_id, coalesce(max(CASE WHEN s >= d - 180 AND turn % 5 = 3 THEN s END), min(CASE WHEN s >= d - 180 AND turn % 3 = 2 THEN s END)) AS cut FROM m GROUP BY conv_id)
+@query(_SEGMENTS + f""", m AS (SELECT *, split_part({_SAYS}, chr(10), -1) AS said, max(e) OVER (PARTITION BY conv_id) AS d FROM seg),
+k AS (SELECT conv_id, coalesce(max(CASE WHEN s >= d - 180 AND regexp_matches(said, '(?i)' || $p${T.PRODUCTION_CREDIT}$p$) THEN s END), min(CASE WHEN s >= d - 180 AND regexp_matches(said, '(?i)' || $p${T.RECOMMENDATION_CUE}$p$) THEN s END)) AS cut FROM m GROUP BY conv_id)
 SELECT m.conv_id, turn, s AS start FROM m JOIN k USING (conv_id) WHERE cut IS NULL OR s < cut""")
 def trailing_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.when(F.col("turn") % 5 == 3, "Producent: Anna").when(F.col("turn") % 3 == 2, "hon sommarpratade 2010").otherwise("Och så var det")
-    rows = _segments(spark, sf_dir).withColumn("text", said)
+    """Credits and cues are looked for in the last line of a turn."""
+    rows = _said(spark, sf_dir).withColumn("text", F.element_at(F.split("text", "\n"), -1))
     kept = transcripts.trailing_cut(rows, T.matches(F.col("text"), T.PRODUCTION_CREDIT), T.matches(F.col("text"), T.RECOMMENDATION_CUE), "conv_id")
     return kept.select("conv_id", "turn", "start")
 
@@ -59,28 +76,32 @@ def pause_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.pauses(_segments(spark, sf_dir), "conv_id", "turn").select("conv_id", "turn", "pause_before")
 
 
-@query(_SEGMENTS.replace("WITH c", "WITH RECURSIVE c") + """, o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM seg),
+_UNITS = (
+    _SEGMENTS.replace("WITH c", "WITH RECURSIVE c") + """, o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM seg),
 f AS (SELECT conv_id, turn, i, s, e, n, 0 AS u, n AS acc FROM o WHERE i = 1
  UNION ALL SELECT o.conv_id, o.turn, o.i, o.s, o.e, o.n, f.u + (f.acc >= 24 AND (f.acc >= 80 OR o.s - f.e >= 1.5))::INT, CASE WHEN f.acc >= 24 AND (f.acc >= 80 OR o.s - f.e >= 1.5) THEN o.n ELSE f.acc + o.n END FROM f JOIN o ON o.conv_id = f.conv_id AND o.i = f.i + 1),
 l AS (SELECT *, max(u) OVER (PARTITION BY conv_id) AS lu, lag(e) OVER (PARTITION BY conv_id ORDER BY i) AS pe FROM f),
 g AS (SELECT conv_id, sum(n) AS tw, arg_min(greatest(0, s - pe), i) AS tg FROM l WHERE u = lu GROUP BY conv_id),
-z AS (SELECT l.*, CASE WHEN u = lu AND lu > 0 AND tw < 24 AND tg < 1.5 THEN u - 1 ELSE u END AS unit_index FROM l JOIN g USING (conv_id))
-SELECT conv_id, unit_index, min(s) AS start_seconds, max(e) AS end_seconds, sum(n)::BIGINT AS word_count, count(*) AS segment_count FROM z GROUP BY conv_id, unit_index""")
+z AS (SELECT l.*, CASE WHEN u = lu AND lu > 0 AND tw < 24 AND tg < 1.5 THEN u - 1 ELSE u END AS unit_index FROM l JOIN g USING (conv_id)) """
+)
+
+
+@query(_UNITS + """SELECT conv_id, unit_index, min(s) AS start_seconds, max(e) AS end_seconds, sum(n)::BIGINT AS word_count, count(*) AS segment_count FROM z GROUP BY conv_id, unit_index""")
 def unit_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = transcripts.valid_segments(_segments(spark, sf_dir), "conv_id", "turn")
     return transcripts.build_units(rows, "conv_id", "turn").select("conv_id", "unit_index", "start_seconds", "end_seconds", "word_count", "segment_count")
 
 
-@query()
+@query(_UNITS + """, x AS (SELECT z.conv_id, z.unit_index, z.i, z.s, z.e, z.n, c.t FROM z JOIN q c ON c.conv_id = z.conv_id AND c.turn = z.turn), g2 AS (SELECT conv_id, unit_index, min(s) AS start_seconds, arg_max(e, i) AS end_seconds, string_agg(t, ' ' ORDER BY i) AS text, sum(n)::BIGINT AS word_count FROM x GROUP BY conv_id, unit_index)
+SELECT conv_id, unit_index, text, word_count, greatest(0, coalesce(start_seconds - lag(end_seconds) OVER (PARTITION BY conv_id ORDER BY unit_index), 0)) AS pause_before_seconds, conv_id || ':u' || lpad(unit_index::VARCHAR, 4, '0') || ':' || substr(sha256(text), 1, 12) AS unit_id FROM g2""")
 def unit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts.build_units(transcripts.valid_segments(_segments(spark, sf_dir), "conv_id", "turn"), "conv_id", "turn")
+    rows = transcripts.build_units(transcripts.valid_segments(_segments(spark, sf_dir), "conv_id", "turn"), "conv_id", "turn")
+    return rows.select("conv_id", "unit_index", "text", "word_count", "pause_before_seconds", "unit_id")
 
 
-@query(_SEGMENTS + """, a AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN s <= 45 WHEN 1 THEN false ELSE false END AS opening FROM seg)
-SELECT 'boilerplate' AS kind, 'programme_announcement' AS reason, count(*) AS n FROM a WHERE opening HAVING count(*) > 0 UNION ALL SELECT 'segments', CASE WHEN opening THEN 'removed' ELSE 'kept' END, count(*) FROM a GROUP BY 2""")
+@query(_FLAGS + """SELECT 'boilerplate' AS kind, reason, count(*) AS n FROM (SELECT unnest(list_distinct(l)) AS reason FROM r) GROUP BY reason UNION ALL SELECT 'segments', CASE WHEN len(l) > 0 THEN 'removed' ELSE 'kept' END, count(*) FROM r GROUP BY 2""")
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.when(F.col("turn") % 4 == 0, "Dags för sommar i P1").otherwise("Tack")
-    return transcripts.audit(transcripts.flag_segments(_segments(spark, sf_dir).withColumn("text", said), "conv_id"))
+    return transcripts.audit(transcripts.flag_segments(_said(spark, sf_dir), "conv_id"))
 
 
 @query("SELECT doc_id, doc_id || ':c' || CASE WHEN doc_id % 12000 < 10000 THEN lpad((doc_id % 12000)::VARCHAR, 4, '0') ELSE (doc_id % 12000)::VARCHAR END || ':' || substr(sha256(text), 1, 12) AS chunk_id FROM documents")
@@ -110,21 +131,28 @@ def heading_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("doc_id", F.col("line").cast("long").alias("line"), "heading")
 
 
-@query(f"""WITH {_LINES} SELECT doc_id, line, regexp_extract(text, '^([^|]+?) *\\| *([^|]+?) *(\\||$)', 1) AS label, regexp_extract(text, '^([^|]+?) *\\| *([^|]+?) *(\\||$)', 2) AS value FROM y WHERE regexp_matches(text, '^([^|]+?) *\\| *([^|]+?) *(\\||$)')""")
+@query("""WITH p AS (SELECT p_partkey, p_brand AS file, p_name, p_type, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS line FROM part), e AS (SELECT file, min(line) AS stop FROM p WHERE p_partkey % 10 = 0 GROUP BY file)
+SELECT p.file, line, p_name AS label, p_type AS description, p_size || ',' || p_partkey AS raw_topic_ids FROM p LEFT JOIN e USING (file) WHERE (stop IS NULL OR line < stop) AND p_partkey % 7 <> 0""")
 def markdown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    pattern = r"^([^|]+?) *\| *([^|]+?) *(\||$)"
-    rows = lines.filter(F.col("text").rlike(pattern))
-    return rows.select("doc_id", F.col("line").cast("long").alias("line"), F.regexp_extract("text", pattern, 1).alias("label"), F.regexp_extract("text", pattern, 2).alias("value"))
+    """Parts of a brand stand for the lines of a catalogue: every tenth is a heading that ends it, every seventh a row without ids."""
+    key, line = F.col("p_partkey"), F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    row = F.concat(F.lit("| "), "p_name", F.lit(" | "), "p_type", F.lit(" | "), F.when(key % 7 == 0, "-").otherwise(F.concat("p_size", F.lit(", "), key.cast("string"))), F.lit(" |"))
+    lines = table(spark, sf_dir, "part").select(F.col("p_brand").alias("file"), line.alias("line"), F.when(key % 10 == 0, F.lit("## End")).otherwise(row).alias("text"))
+    rows = markdown.topic_rows(lines)
+    return rows.select("file", F.col("line").cast("long").alias("line"), "label", "description", F.array_join(F.col("raw_topic_ids").cast("array<string>"), ",").alias("raw_topic_ids"))
 
 
-@query("""WITH w AS (SELECT source, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents), c AS (SELECT source, term, count(*) AS tf FROM w GROUP BY ALL), o AS (SELECT term, sum(tf)::BIGINT AS f, count(*) AS df FROM c GROUP BY term HAVING count(*) >= 3),
+_STOP = ("the", "of", "and", "la", "de", "der", "und")
+
+
+@query(f"""WITH d AS (SELECT source, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN {_STOP}) AS l FROM documents), w AS (SELECT source, unnest(l) AS term FROM d UNION ALL SELECT source, unnest(list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1])) FROM d),
+c AS (SELECT source, term, count(*) AS tf FROM w GROUP BY ALL), o AS (SELECT term, sum(tf)::BIGINT AS f, count(*) AS df FROM c GROUP BY term HAVING count(*) >= 3),
 s AS (SELECT source, sum(tf) AS words FROM c GROUP BY source), a AS (SELECT avg(words) AS average FROM s), z AS (SELECT c.source, c.term, tf, f, df, sqrt(tf / words) * greatest(ln(1 + (average - f + 0.5) / (f + 0.5)), 0) AS w FROM c JOIN o USING (term) JOIN s USING (source) CROSS JOIN a),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(w, 9) DESC, term) AS rank FROM z) SELECT source, term, tf, f, df, round(w, 6) AS weight, rank FROM r WHERE rank <= 12""")
 def ctfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twelve heaviest terms of each source."""
-    words = table(spark, sf_dir, "documents").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("term"))
-    found = topics.term_weights(words, "source", "term")
+    """The twelve heaviest words and pairs of words of each source, without stop words."""
+    docs = table(spark, sf_dir, "documents")
+    found = topics.term_weights(topics.terms_of(docs, "source", "text", _STOP), "source", "term", topics.least_groups(docs.count()))
     order = Window.partitionBy("source").orderBy(F.desc(F.round("weight", 9)), "term")
     return found.withColumn("rank", F.row_number().over(order)).filter("rank <= 12").withColumn("weight", F.round("weight", 6))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import export, incremental, neighbours, search, segment, topics
+from tallgrass.operators import export, incremental, neighbours, search, segment, taxonomy, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -148,8 +148,7 @@ def top_topics_per_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH c AS (SELECT vec_id AS chunk_id, vec_id % 50 AS ep, 100 + vec_id % 400 AS w, label AS topic_id FROM embeddings)
 SELECT topic_id, count(*) AS chunk_count, count(DISTINCT ep) AS episode_count, sum(w)::BIGINT AS word_count FROM c GROUP BY topic_id""")
 def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chunks(spark, sf_dir).withColumnRenamed("label", "topic_id")
-    return rows.groupBy("topic_id").agg(F.count(F.lit(1)).alias("chunk_count"), F.count_distinct("sr_episode_id").alias("episode_count"), F.sum("word_count").alias("word_count"))
+    return topics.topic_summary(chunks(spark, sf_dir).withColumnRenamed("label", "topic_id"))
 
 
 @query(_RAW + """, d AS (SELECT *, row_number() OVER (PARTITION BY sr_episode_id ORDER BY (topic_id = 0)::INT, word_count DESC, st, topic_id) AS k FROM q)
@@ -272,13 +271,12 @@ def topic_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.merge_tree(V.mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding"), "label", "embedding")
 
 
-@query("""WITH n AS (SELECT label, list(vec_id ORDER BY vec_id)[1:2] AS v FROM embeddings GROUP BY label) SELECT label AS topic_id, generate_subscripts(v, 1) - 1 AS example, unnest(v) AS vec_id, len(v) = 2 AS complete FROM n""")
+@query("""WITH n AS (SELECT label, list(vec_id ORDER BY vec_id)[1:2] AS v FROM embeddings GROUP BY label) SELECT label AS topic_id, generate_subscripts(v, 1) - 1 AS example, unnest(v) AS vec_id FROM n""")
 def negative_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two examples a topic, flattened with their places; whether a topic has both is checked beside it."""
+    """The two first vectors of a topic stand for its negative examples, flattened with their places."""
     first = Window.partitionBy("label").orderBy("vec_id")
     rows = table(spark, sf_dir, "embeddings").withColumn("q", F.row_number().over(first)).filter("q <= 2")
-    lists = rows.groupBy("label").agg(F.array_sort(F.collect_list("vec_id")).alias("v"))
-    flat = lists.select(F.col("label").alias("topic_id"), F.posexplode("v").alias("example", "vec_id"), (F.size("v") == 2).alias("complete"))
+    flat = topics.negative_pairs(rows, "label", "vec_id", "q").select(F.col("label").alias("topic_id"), F.posexplode("pair").alias("example", "vec_id"))
     return flat.withColumn("example", F.col("example").cast("long"))
 
 
@@ -286,9 +284,16 @@ def negative_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT sr_episode_id, topic_id, vec_id AS representative, w AS words FROM r WHERE k = 1""")
 def longest_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest chunk of an episode's topic stands for it; of equally long ones the first."""
-    best = F.max(F.struct("word_count", (-F.col("chunk_id")).alias("m"), "chunk_id")).alias("b")
-    rows = chunks(spark, sf_dir).groupBy("sr_episode_id", F.col("label").alias("topic_id")).agg(best)
-    return rows.select("sr_episode_id", "topic_id", F.col("b.chunk_id").alias("representative"), F.col("b.word_count").alias("words"))
+    return taxonomy.longest_representative(chunks(spark, sf_dir).withColumnRenamed("label", "topic_id"), ["sr_episode_id", "topic_id"])
+
+
+@query("""WITH u AS (SELECT vec_id % 50 AS ep, vec_id // 50 AS i, 60 + vec_id % 240 AS w, vec_id FROM embeddings), c AS (SELECT *, sum((i > 0 AND i % 3 = 0)::INT) OVER (PARTITION BY ep ORDER BY i) AS k FROM u)
+SELECT ep AS sr_episode_id, k::BIGINT AS chunk_index, sum(w)::BIGINT AS word_count, count(*) AS unit_count, min(i)::INT AS unit_start_index, max(i)::INT + 1 AS unit_end_index, string_agg('unit ' || vec_id, ' ' ORDER BY i) AS text, ep || ':c' || lpad(k::VARCHAR, 4, '0') || ':' || substr(sha256(string_agg('unit ' || vec_id, ' ' ORDER BY i)), 1, 12) AS chunk_id FROM c GROUP BY ep, k""")
+def chunk_materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks between boundaries that are given: here every third."""
+    units = _units(spark, sf_dir)
+    cuts = units.filter("unit_index > 0").select("sr_episode_id", F.col("unit_index").alias("boundary_index"), (F.col("unit_index") % 3 == 0).alias("selected"), F.lit(1.0).alias("boundary_score"))
+    return segment.materialise(units, cuts).select("sr_episode_id", F.col("chunk_index").cast("long").alias("chunk_index"), "word_count", "unit_count", "unit_start_index", "unit_end_index", "text", "chunk_id")
 
 
 @query("""WITH s AS (SELECT label AS topic_id, count(*) AS n FROM embeddings GROUP BY label), e AS (SELECT label AS topic_id, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id % 3, vec_id % 50, vec_id) AS r FROM embeddings WHERE vec_id % 3 < 2)

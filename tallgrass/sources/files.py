@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, StructField, StructType
 
 from tallgrass.operators.archive import RAW_SCHEMA
 
@@ -41,15 +44,18 @@ def people_json(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("pos", *[F.col(f"b.{f}.value").alias(f) for f in PEOPLE_FIELDS])
 
 
-def transcripts_json(spark: SparkSession, folder: str) -> DataFrame:
+def transcripts_json(spark: SparkSession, folder: str, limit: int | None = None, metadata: str = "sommar_i_parquet") -> DataFrame:
     """Segments of ``<id>.json`` files: ``sr_episode_id``, ``segment_index``, ``start``, ``end``, ``text``.
 
-    Files whose name is not a number and files that cannot be read are left out.
+    Files whose name is not a number and files that cannot be read are left out; with ``limit`` only the first that many by
+    number are read. The id in the object ``metadata`` goes before that of the file's name.
     """
-    schema = f"segments array<{SEGMENT}>, sommar_i_parquet struct<sr_episode_id:bigint>"
+    schema = f"segments array<{SEGMENT}>, {metadata} struct<sr_episode_id:bigint>"
     rows = spark.read.schema(schema).json(f"{folder}/*.json", multiLine=True, mode="PERMISSIVE").withColumn("__stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1))
-    rows = rows.filter("__stem <> '' and segments is not null")
-    ident = F.coalesce("sommar_i_parquet.sr_episode_id", F.col("__stem").cast("bigint"))
+    rows = rows.filter("__stem <> ''")
+    rows = rows.orderBy(F.col("__stem").cast("bigint")).limit(limit) if limit is not None else rows
+    rows = rows.filter("segments is not null")
+    ident = F.coalesce(f"{metadata}.sr_episode_id", F.col("__stem").cast("bigint"))
     return rows.select(ident.alias("sr_episode_id"), F.posexplode("segments").alias("segment_index", "s")).select("sr_episode_id", "segment_index", "s.*")
 
 
@@ -63,6 +69,44 @@ def lookup(spark: SparkSession, path: str, ident: int, needed: str = "mp3_url")
     return rows[0].asDict(recursive=True)
 
 
+def by_key(spark: SparkSession, path: str, key: str = "sr_episode_id") -> DataFrame:
+    """A table with one row for each key: of several the last one in the files' order."""
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+    rows = spark.read.parquet(path).withColumn("__p", place)
+    return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in (key, "__p")]), "__p").alias("__v")).select(key, "__v.*")
+
+
+def to_half(rows: DataFrame, vector: str) -> DataFrame:
+    """``vector`` as little-endian 16-bit floats in a binary column: half the size of single precision."""
+    schema = StructType([StructField(f.name, BinaryType()) if f.name == vector else f for f in rows.schema.fields])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(vector)
+            packed = [None if v is None else np.asarray(v, "<f2").tobytes() for v in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+
+    return rows.mapInArrow(pack, schema)
+
+
+def from_half(rows: DataFrame, vector: str) -> DataFrame:
+    """The reverse of ``to_half``, as an array of single-precision numbers."""
+    schema = StructType([StructField(f.name, ArrayType(FloatType())) if f.name == vector else f for f in rows.schema.fields])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(vector)
+            lists = [None if v is None else np.frombuffer(v, "<f2").astype(np.float32).tolist() for v in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.float32())) if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+
+    return rows.mapInArrow(unpack, schema)
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """The text of a table of one row and one column as one file in the folder ``path``."""
+    document.coalesce(1).write.mode("overwrite").text(path)
+
+
 def of_ids(rows: DataFrame, ids: Iterable[int], key: str = "sr_episode_id") -> DataFrame:
     """The rows of a list of ids; an error where one is missing."""
     wanted = rows.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], f"{key} bigint")

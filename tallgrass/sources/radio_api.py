@@ -4,26 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from pathlib import Path
-from urllib.request import urlopen
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tallgrass.sources.fetching import get_json
+
 
 class Page(InputPartition):
     def __init__(self, number: int):
         self.number = number
 
 
-def fetch(url: str) -> dict:
-    """A page as JSON; ``file`` URLs and plain paths work too, so saved pages can stand in for the service."""
-    if "://" not in url:
-        return json.loads(Path(url).read_text(encoding="utf-8"))
-    with urlopen(url, timeout=60) as answer:  # noqa: S310
-        return json.loads(answer.read().decode("utf-8"))
-
-
 class RadioReader(DataSourceReader):
     def __init__(self, options: dict):
         self.url, self.size = options["url"], int(options.get("page_size", 100))
@@ -32,7 +24,7 @@ class RadioReader(DataSourceReader):
             raise ValueError("page_size and max_pages must be positive")
 
     def page(self, number: int) -> dict:
-        data = fetch(self.url.format(page=number, size=self.size))
+        data = get_json(self.url.format(page=number, size=self.size))
         if not isinstance(data.get("episodes"), list):
             raise ValueError(f"page {number} has no list of episodes")
         return data
