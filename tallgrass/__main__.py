@@ -1,55 +1,40 @@
-"""Command line: ``python -m tallgrass archive|songs|segments|query ...``."""
+"""Command line: ``python -m tallgrass PROGRAM ...``."""
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
-from pyspark.sql import functions as F
-
-from tallgrass import catalog
-from tallgrass.operators import archive, transcripts
+from tallgrass.programs import PROGRAMS
 from tallgrass.session import local_session, ship_package
-from tallgrass.sources import files
-
-
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="tallgrass")
-    sub = parser.add_subparsers(dest="command", required=True)
-    a = sub.add_parser("archive", help="episodes, appearances and speakers from saved API pages and query results")
-    for name in ("pages", "participants", "people", "out"):
-        a.add_argument(name)
-    a.add_argument("--include-specials", action="store_true")
-    s = sub.add_parser("songs", help="songs from saved playlists (JSON lines)")
-    s.add_argument("playlists")
-    s.add_argument("out")
-    t = sub.add_parser("segments", help="cleaned transcript segments and the audit of what went")
-    t.add_argument("folder")
-    t.add_argument("out")
-    q = sub.add_parser("query", help="one of the registered queries over a folder of tables")
-    q.add_argument("name", choices=sorted(catalog.queries()))
-    q.add_argument("tables")
-    args = parser.parse_args()
-    spark = local_session()
+
+
+def parser() -> argparse.ArgumentParser:
+    out = argparse.ArgumentParser(prog="tallgrass")
+    sub = out.add_subparsers(dest="command", required=True)
+    for name, function, positional, options in PROGRAMS:
+        one = sub.add_parser(name, help=(function.__doc__ or "").split("\n")[0])
+        one.set_defaults(run=function)
+        for argument in positional:
+            one.add_argument(argument)
+        for option, value in options.items():
+            flag = "--" + option.replace("_", "-")
+            if value is False:
+                one.add_argument(flag, action="store_true")
+            elif isinstance(value, type):
+                one.add_argument(flag, type=value)
+            elif isinstance(value, list):
+                one.add_argument(flag, type=value[0], nargs="+")
+            else:
+                one.add_argument(flag, type=type(value), default=value)
+    return out
+
+
+def main(argv: Sequence[str] | None = None, spark=None) -> None:
+    args = parser().parse_args(argv)
+    spark = spark or local_session()
     ship_package(spark)
-    if args.command == "archive":
-        episodes = archive.programmes(archive.parse_episodes(files.episodes_json(spark, args.pages)), args.include_specials)
-        people = archive.merge_people(files.people_json(spark, args.people))
-        appearing = archive.match_entities(archive.appearances(episodes), episodes, files.participants_json(spark, args.participants))
-        full = archive.attach_ages(archive.attach_speakers(episodes.drop("speaker"), appearing), people)
-        dated = appearing.join(episodes.select("sr_episode_id", "date"), "sr_episode_id")
-        files.write_table(full, f"{args.out}/episodes", files.EPISODES)
-        files.write_table(archive.speaker_records(dated, people), f"{args.out}/speakers", files.SPEAKERS)
-        files.write_table(appearing.join(full, "sr_episode_id"), f"{args.out}/speaker_appearances", files.APPEARANCES)
-    elif args.command == "songs":
-        fields = ":string,".join(("title", "artist", "composer", "lyricist", "albumname", "recordlabel", "starttimeutc", "stoptimeutc")) + ":string"
-        files.write_table(archive.music(spark.read.schema(f"sr_episode_id bigint, songs array<struct<{fields}>>").json(args.playlists)), args.out, files.MUSIC)
-    elif args.command == "segments":
-        marked = transcripts.flag_segments(files.transcripts_json(spark, args.folder))
-        columns = "sr_episode_id bigint, segment_index int, start double, end double, text string, artifact_reasons array<string>, boilerplate_reasons array<string>"
-        files.write_split(marked, args.out, (F.size("artifact_reasons") > 0) | (F.size("boilerplate_reasons") > 0), columns)
-        transcripts.audit(marked).show(truncate=False)
-    else:
-        catalog.queries()[args.name](spark, args.tables).show(50, truncate=False)
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

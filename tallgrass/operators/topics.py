@@ -230,7 +230,11 @@ def fit_clusters(df: DataFrame, vector: str, k: int = 80, seed: int = 42, starts
 
 def cluster(df: DataFrame, vector: str, k: int = 80, seed: int = 42, starts: int = 1) -> DataFrame:
     """Adds ``topic_id`` by cosine k-means."""
-    model = fit_clusters(df, vector, k, seed, starts)
+    return predicted(fit_clusters(df, vector, k, seed, starts), df, vector)
+
+
+def predicted(model: KMeansModel, df: DataFrame, vector: str) -> DataFrame:
+    """``df`` with the ``topic_id`` that a model gives it."""
     return model.transform(df.withColumn("__v", array_to_vector(V.unit(F.col(vector))))).drop("__v")
 
 
