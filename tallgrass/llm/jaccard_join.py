@@ -312,9 +312,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     signed = signed.join(_small(copies), ["f1", "f2"], "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "id")).otherwise(F.col("id")))
 
     heads = signed.filter("n > 0 and id = rep").select(F.col("id").alias("node"), "need", "often", "prefix")
-    tokens = heads.select("node", F.explode("prefix").alias("t"))
-    met = stage(tokens.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("t"), "met-tokens")
-    hits = tokens.join(_small(met), "t").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
+    # Tokens of very many documents are not in these prefixes, so a token has few rows: one exchange, where an aggregate and a join would take two.
+    spread = Window.partitionBy("t")
+    hits = heads.select("node", F.explode("prefix").alias("t")).select("node", (F.min("node").over(spread) != F.max("node").over(spread)).alias("hit"))
+    hits = hits.filter("hit").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
     alive = heads.select("node", "need", "often").join(hits, "node", "left").filter("often + coalesce(hits, 0) >= need").select("node").distinct()
     alive = stage(alive, "candidates")
 
