@@ -39,8 +39,7 @@ _LEADS[0x80:0xC0] = False  # continuation bytes
 def ngram_buckets(chunk: Chunk, words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     """Buckets and rows of the n-grams: words, pairs of words, and runs of three bytes; a table of buckets for each kind."""
     mask = np.uint64(BUCKETS - 1)
-    pairs, pair_rows, at = window_hashes(words, 2, False)
-    pairs = np.where(words.hashes[at] == words.hashes[np.minimum(at + 1, len(words.hashes) - 1)], np.uint64(0), pairs) if len(at) else pairs  # a word said twice: one gram for all words
+    pairs, pair_rows, _ = window_hashes(words, 2, False)
     out = [((words.hashes & mask).astype(np.int32), words.rows), ((pairs & mask).astype(np.int32), pair_rows)]
     data = chunk.data.astype(np.uint32)
     if len(data) >= 3:

@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import itertools
 import math
 import re
 import struct
@@ -98,6 +99,39 @@ def test_base_counts(docs, texts):
     assert len(got[12]) == 2 and len(got[None]) == 1
 
 
+def test_ratios_are_the_plain_ones(spark):
+    """Against multinomials in dictionaries; so few n-grams that none share a bucket."""
+    rows = [(1, "en bra text om hav och vind"), (2, "en bra text om skog"), (3, "billig billig kup köp nu"), (4, "köp nu"), (5, ""), (6, None), (7, "hav hav")]
+    trusted = {1, 2}
+
+    def grams(text):
+        w, b = words(text), (text or "").encode()
+        return [w, list(zip(w, w[1:], strict=False)), [b[i : i + 3] for i in range(len(b) - 2)]]
+
+    raw, target = [Counter() for _ in range(3)], [Counter() for _ in range(3)]
+    for i, text in rows:
+        for kind, found in enumerate(grams(text)):
+            raw[kind].update(found)
+            if i in trusted:
+                target[kind].update(found)
+    n = quality_rules.BUCKETS
+
+    def ratio(kind, g):
+        share = (raw[kind][g] + 1) / (raw[kind].total() + n)
+        return math.log((target[kind][g] + share * n) / (target[kind].total() + n) / share)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for threshold in (-0.15, 0.0, 0.0005):
+        for r in quality_rules.judge(docs, docs.filter("doc_id < 3").select("doc_id"), threshold=threshold).collect():
+            found = grams(dict(rows)[r.doc_id])
+            want = sum(sum(ratio(k, g) for g in gs) / max(len(gs), 1) for k, gs in enumerate(found)) / 3
+            assert r.llr == pytest.approx(want, abs=2e-6)
+            assert r.kept == (not r.base_failed and r.llr >= threshold)
+    text = lambda letters: " ".join("".join(x) for x in list(itertools.product(letters, repeat=4))[:30])
+    long = spark.createDataFrame([(1, text("abc")), (2, text("xyz"))], "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in quality_rules.judge(long, long.filter("doc_id = 1").select("doc_id"), threshold=0.0).collect()} == {1: True, 2: False}
+
+
 def test_quality_rules_of_nothing(empty, docs):
     assert quality_rules.judge(empty, empty.select("doc_id")).count() == 0
     assert all(abs(r.llr) < 1e-9 for r in quality_rules.judge(docs, empty.select("doc_id")).collect())
@@ -442,6 +476,50 @@ def test_intersections():
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:5]]
 
 
+def test_mixture_is_the_plain_one():
+    """Expectation-maximisation in loops over the n-grams of a text."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    logs = np.log(rng.dirichlet(np.full(language_id.BUCKETS, 0.05), 3) + 1e-9).astype(np.float32)
+    texts = ["abc abd abe " * 4, "xyz och hav " * 9, "", "ab"]
+    (chunk,) = textops.chunks(pa.array(texts))
+    got, chosen = language_id.infer(chunk, logs)
+    buckets, rows = language_id.ngrams(chunk)
+    for i in range(len(texts)):
+        own = [int(b) for b in buckets[rows == i]]
+
+        def rounds(shares, number):
+            for _ in range(number):
+                sums = np.zeros(3)
+                for b in own:
+                    part = shares * np.exp(logs[:, b].astype(float))
+                    sums += part / part.sum()
+                shares = sums / len(own)
+            return shares
+
+        if not own:
+            assert got[:, i].tolist() == pytest.approx([1 / 3] * 3) and chosen[:, i].sum() == 1
+            continue
+        shares = rounds(np.full(3, 1 / 3), language_id.ROUNDS)
+        best = logs[:, own].astype(float).sum(axis=1)
+        many = shares >= language_id.LEAST_SHARE
+        inner = rounds(np.where(many, shares, 0) / shares[many].sum(), language_id.SET_ROUNDS)
+        mixture = sum(math.log((inner * np.exp(logs[:, b].astype(float))).sum()) for b in own)
+        penalty = 0.5 * math.log(max(len(own), 2))
+        if many.sum() > 1 and mixture - penalty * many.sum() > best.max() - penalty:
+            assert chosen[:, i].tolist() == many.tolist() and got[:, i] == pytest.approx(inner, rel=1e-3, abs=1e-4)
+        else:
+            assert np.flatnonzero(chosen[:, i]).tolist() == [int(best.argmax())] and got[:, i] == pytest.approx(shares, rel=1e-3, abs=1e-4)
+    small = language_id.CELLS
+    try:
+        language_id.CELLS = 10
+        again = language_id.infer(chunk, logs)
+        assert np.allclose(again[0], got) and (again[1] == chosen).all()
+    finally:
+        language_id.CELLS = small
+
+
 def test_language(spark, docs, empty):
     rng = np.random.default_rng(5)
     parts = {"en": "the of and ing tion er".split(), "de": "der und sch ung ein ich".split(), "fr": "le que eau ment oi ré".split()}
