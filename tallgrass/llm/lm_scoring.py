@@ -501,6 +501,8 @@ def most_frequent(table: DataFrame, number: str, most: int) -> int:
 
 #: Costs are kept in this share of a bit.
 COST_UNIT = 1 / 1024
+#: In a table of costs, that there is none. Larger costs don't go into the table.
+NO_COST = 0xFFFF
 
 
 class CostTable:
@@ -510,16 +512,16 @@ class CostTable:
     """
 
     def __init__(self, run: np.ndarray, costs: np.ndarray):
-        """``run`` with ascending frequency; ``costs`` in COST_UNIT, in two rows."""
-        self.bits = max(4, int(2 * len(run)).bit_length() - 1)
+        """``run`` with ascending frequency; ``costs`` in COST_UNIT, below NO_COST, in two rows."""
+        self.bits = max(4, int(2 * len(run)).bit_length())
         slot, check = self.slots(run)
-        self.checks, self.used = np.zeros(1 << self.bits, np.uint32), np.zeros(1 << self.bits, bool)
-        self.checks[slot], self.used[slot] = check, True
-        self.costs = np.zeros((2, 1 << self.bits), np.uint16)
-        own = self.checks[slot] == check
-        self.costs[:, slot[own]] = costs[:, own]
-        order = np.argsort(run[~own])
-        self.rest, self.rest_costs = run[~own][order], costs[:, ~own][:, order]
+        # Check, and the two costs, as one number.
+        entry = (check.astype(np.uint64) << _U(32)) | (costs[1].astype(np.uint64) << _U(16)) | costs[0].astype(np.uint64)
+        self.entries = np.full(1 << self.bits, NO_COST, np.uint64)
+        self.entries[slot] = entry
+        lost = np.flatnonzero(self.entries[slot] != entry)
+        lost = lost[np.argsort(run[lost])]
+        self.rest, self.rest_costs = run[lost], costs[:, lost]
 
     def slots(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mixed = run * _U(0x9E3779B97F4A7C15)
@@ -530,8 +532,9 @@ class CostTable:
     def find(self, run: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cost of each run, by whether its own occurrence is counted; and which runs the table does not have, with cost 0."""
         slot, check = self.slots(run)
-        cost = np.where(own, self.costs[1][slot], self.costs[0][slot])
-        lost = np.flatnonzero((self.checks[slot] != check) | ~self.used[slot])
+        entry = self.entries[slot]
+        cost = (entry >> (own * _U(16))).astype(np.uint16)
+        lost = np.flatnonzero(((entry >> _U(32)).astype(np.uint32) != check) | (cost == NO_COST))
         cost[lost] = 0
         if len(self.rest):
             at = np.minimum(np.searchsorted(self.rest, run[lost]), len(self.rest) - 1)
@@ -618,7 +621,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     order = np.argsort(words)
     words, logs = words[order], np.log10(common.column("c").to_numpy()[order] + 0.5)
     short = lambda c: (F.col(c) - 32768).cast("short").alias(c)
-    common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).filter(F.greatest("cost", "own_cost") < 65536)
+    common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).filter(F.greatest("cost", "own_cost") < NO_COST)
     common = common.select("run", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n"), short("cost"), short("own_cost")).toArrow()
     order = np.argsort(common.column("n").to_numpy(), kind="stable")
     frequent = common.column("run").to_numpy().view(np.uint64)[order], np.stack([(common.column(c).to_numpy()[order] ^ np.int16(-32768)).view(np.uint16) for c in ("cost", "own_cost")])
