@@ -40,7 +40,7 @@ def _best(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndar
         ids, raw, moved = (x[at : at + PART_ROWS] for x in mine)
         kept_s, kept_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
         for first in range(0, len(others), PART_ROWS):
-            score = moved @ theirs[2][first : first + PART_ROWS].T
+            score = np.round(moved @ theirs[2][first : first + PART_ROWS].T, 12)  # equal ones stay equal whatever the block
             score[ids[:, None] == others[None, first : first + PART_ROWS]] = -np.inf
             s = np.concatenate([kept_s, score], axis=1)
             i = np.concatenate([kept_i, np.broadcast_to(np.arange(first, first + score.shape[1]), score.shape)], axis=1)
