@@ -41,16 +41,26 @@ def sample_splitters(rows: DataFrame, ranges: int) -> list[str]:
     return list(dict.fromkeys(keys[len(keys) * i // ranges] for i in range(1, ranges)))
 
 
-def _range_of(key: Column, splitters: list[str]) -> Column:
-    """How many splitters are at most ``key``, found in two steps of about the root of their number."""
+def _dealt(rows: DataFrame, splitters: list[str]) -> DataFrame:
+    """Adds ``range``, the number of splitters that are at most the row's key, and ``cut``, whether a splitter has its text's hash.
+
+    The splitters travel as one row, and are searched in two steps of about the root of their number.
+    """
+    keys = rows.withColumn("key", _range_key(F.col("norm"), F.col("id")))
     if not splitters:
-        return F.lit(0)
+        return keys.withColumns({"range": F.lit(0), "cut": F.lit(False)}).drop("key")
     width = max(1, round(len(splitters) ** 0.5))
     groups = [splitters[i : i + width] for i in range(0, len(splitters), width)]
-    heads, nested = F.lit([g[0] for g in groups]), F.array(*[F.lit(g) for g in groups])
-    at_most = lambda keys: F.size(F.filter(keys, lambda s: s <= key))
-    group = at_most(heads)
-    return F.when(group == 0, F.lit(0)).otherwise((group - 1) * width + at_most(F.element_at(nested, F.greatest(group, F.lit(1)))))
+    table = rows.sparkSession.createDataFrame([([g[0] for g in groups], groups)], "heads array<string>, nested array<array<string>>")
+    at_most = lambda found: F.size(F.filter(found, lambda s: s <= F.col("key")))
+    keys = keys.join(F.broadcast(table)).withColumn("group", at_most("heads"))
+    keys = keys.withColumn("near", F.element_at("nested", F.greatest("group", F.lit(1)))).drop("nested")
+    keys = keys.withColumn("place", F.when(F.col("group") == 0, F.lit(0)).otherwise(at_most("near")))
+    # The splitters on both sides: one between two keys of equal texts begins like both, so it has their hash.
+    sides = F.get("near", F.col("place") - 1), F.coalesce(F.get("near", F.col("place")), F.get("heads", F.col("group")))
+    same = [F.coalesce(F.split_part(s, F.lit("\x00"), F.lit(2)) == F.hex(F.xxhash64("norm")), F.lit(False)) for s in sides]
+    number = F.when(F.col("group") == 0, F.lit(0)).otherwise((F.col("group") - 1) * width + F.col("place"))
+    return keys.withColumns({"range": number.cast("int"), "cut": same[0] | same[1]}).drop("key", "heads", "near", "group", "place")
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", ranges: int | None = None, carry: bool = False) -> DataFrame:
@@ -62,25 +72,27 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     read, unless ``carry`` asks for the whole row in a struct ``row``; an empty table gives an empty result.
     """
     spark = df.sparkSession
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Either the normalised text moves, or the row as it is, which is then normalised again behind the exchange.
     rows = df.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("norm"), *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []))
     splitters = sample_splitters(rows.select("id", "norm"), ranges)
-    rows = rows.withColumn("key", _range_key(F.col("norm"), F.col("id"))).withColumn("range", _range_of(F.col("key"), splitters)).drop("key")
+    rows = _dealt(rows, splitters)
+    if carry:
+        rows = rows.drop("norm")
+    # Every range is a partition of its own: hashes of their numbers would put several into one and none into others.
+    rows = rows.repartitionById(len(splitters) + 1, "range")
     if carry:
-        rows = rows.drop("norm").repartition("range").withColumn("norm", ascii_lower(F.col("row").getField(text_col)))
+        rows = rows.withColumn("norm", ascii_lower(F.col("row").getField(text_col)))
 
     best, order = (F.min, F.asc_nulls_last("id")) if keep == "min" else (F.max, F.desc_nulls_last("id"))
     sort = Window.partitionBy("range").orderBy("norm", order)
     before = F.lag("norm").over(sort)
-    # A splitter between two keys of equal texts begins like both, so it has their hash.
-    cut = F.hex(F.xxhash64("norm")).isin(sorted({s.split("\x00")[1] for s in splitters}))
     runs = (
         rows.withColumn("starts", before.isNull() | (before != F.col("norm")))
-        .withColumn("edge", F.when(F.col("starts") & cut, F.col("norm")))
+        .withColumn("edge", F.when(F.col("starts") & F.col("cut"), F.col("norm")))
         .withColumn("sha", F.sha2("norm", 256))
         .withColumn("run", F.sum(F.col("starts").cast("int")).over(sort.rowsBetween(Window.unboundedPreceding, 0)))
-        .drop("norm")
+        .drop("norm", "cut")
     )
     run = Window.partitionBy("range", "run")
     runs = stage(runs.withColumns({"best": best("id").over(run), "size": F.count(F.lit(1)).over(run)}), "dedup-runs")
