@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.llm.components import components
-from tallgrass.llm.textops import Chunk, chunks, mix64, per_row, window_hashes
+from tallgrass.llm.textops import Chunk, chunks, mix64, per_row, release, window_hashes
 from tallgrass.llm.workspace import stage, unused
 
 SHINGLE = 5
@@ -235,6 +235,7 @@ def _links_of_block(part: pa.Table) -> pa.Table:
                 above[max(a, b)] = min(a, b)
                 found.append((nodes[mine[i]], nodes[theirs[j]]))
     kind = part.schema.field("node").type
+    release()
     return pa.table({"a": pa.array([f[0] for f in found], kind), "b": pa.array([f[1] for f in found], kind)})
 
 
@@ -279,6 +280,7 @@ def _numbers_of_block(part: pa.Table) -> pa.Table:
         return pa.table({"node": pa.array([], part.schema.field("node").type), "links": pa.array([], pa.int64())})
     sizes = np.array([len(t) for t in sets])
     linked = 7 * join_sets([sets[i] for i in mine], [sets[i] for i in theirs]) >= 3 * (sizes[mine][:, None] + sizes[theirs][None, :])
+    release()
     number = linked.sum(axis=1) - (nodes[mine][:, None] == nodes[theirs][None, :]).sum(axis=1)
     return pa.table({"node": pa.array(nodes[mine].tolist(), part.schema.field("node").type), "links": pa.array(number.astype(np.int64))})
 
@@ -333,8 +335,9 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = stage(components(links, local=True), "star-groups")
     more = stage(_links_across(_families(index, groups), sets), "links")
     groups = stage(components(links.union(more), local=True), "groups") if more.limit(1).count() else groups
-    found = groups.join(_numbers(groups, sets), "node", "left") if count_links else groups
-    out = signed.select("id", "n", "rep", "m").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    found = stage(groups.join(_numbers(groups, sets), "node", "left"), "numbers") if count_links else groups
+    # All copies of a text have one representative: where its table is small they are not brought together for it.
+    out = signed.select("id", "n", "rep", "m").join(_small(found.withColumnRenamed("node", "rep")), "rep", "left")
     columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.coalesce("m", F.lit(1).cast("long")).alias("n_copies")]
     return out.select(*columns, *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []))
 
