@@ -26,7 +26,7 @@ END_ID = 1
 UNIT = 8
 MAX_COLUMNS = 6000
 #: Bytes of the words whose ids a worker remembers for good, and number of those met lately.
-MEMO_BYTES, YOUNG_WORDS = 24 << 20, 1 << 17
+MEMO_BYTES, YOUNG_WORDS = 16 << 20, 1 << 17
 #: Words to a text when new words are encoded.
 JOINED_WORDS = 500
 #: Bytes of words that keep their length when the tokenizer normalises them: printable ASCII but for the start of a

@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Where it is unset, a session in one process gets a temporary folder that goes with it; a cluster has to name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         made = tempfile.mkdtemp(prefix="tallgrass-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
