@@ -151,6 +151,15 @@ def _within(bounds: Column) -> Column:
     return (F.col("size") > 0) & F.exists(bounds, lambda b: (F.col("size") <= b["most"]) & (place <= F.struct(b["slot"], b["at"], b["row"])))
 
 
+def _cuts(left: DataFrame, column: str) -> dict[tuple, tuple]:
+    """For each pattern its tokens, and the value ``at`` of ``column`` in whose rows the gap is passed, with the tokens ``below`` it; None where it is not passed."""
+    sums = left.groupBy("of", "gap", column).agg(F.sum("size").alias("tokens"))
+    sums = sums.withColumn("below", F.sum("tokens").over(Window.partitionBy("of").orderBy(column)) - F.col("tokens"))  # SLOTS rows a pattern at most
+    cut = (F.col("below") <= F.col("gap")) & (F.col("gap") < F.col("below") + F.col("tokens"))
+    found = sums.groupBy("of").agg(F.sum("tokens").alias("all"), F.max(F.when(cut, F.struct(F.col(column).cast("long").alias("at"), "below"))).alias("cut"))
+    return {tuple(r["of"]): (r["all"], r["cut"]) for r in found.collect()}  # a row a pattern
+
+
 def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple]]:
     """For each pattern the rounds in which documents are taken in the order of the hash, until none that is left fits.
 
@@ -162,27 +171,30 @@ def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple
     while gap:
         state = _of_patterns(spark, [(list(p), g, bounds[p]) for p, g in gap.items()], f"of array<string>, gap double, bounds {_BOUNDS}")
         left = rows.join(state, F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds")))
-        # Tokens by slot of the hash show in which slot the rest runs out; only that slot's documents are summed one by one.
-        slots = left.groupBy("of", "gap", "slot").agg(F.sum("size").alias("tokens"))
-        slots = slots.withColumn("below", F.sum("tokens").over(Window.partitionBy("of").orderBy("slot")) - F.col("tokens"))
-        slots = slots.withColumn("cut", (F.col("below") <= F.col("gap")) & (F.col("gap") < F.col("below") + F.col("tokens")))
-        cuts = slots.groupBy("of").agg(F.sum("tokens").alias("all"), F.max(F.when(F.col("cut"), F.struct("slot", "below"))).alias("cut")).collect()  # a row a pattern
-        ends = {}
-        if inside := [(r["of"], r["cut"]["slot"], float(r["cut"]["below"])) for r in cuts if r["cut"]]:
-            cut = _of_patterns(spark, inside, "cut_of array<string>, cut_slot long, below double")
-            last = left.join(cut, (F.col("of") == F.col("cut_of")) & (F.col("slot") == F.col("cut_slot")))
+        # Tokens by slot of the hash show in which slot the rest runs out, those by a second hash in which part of the slot;
+        # only that part's documents are summed one by one.
+        cuts = _cuts(left, "slot")
+        ends: dict[tuple, tuple[int, int, float]] = {}
+        if inside := [(list(p), c["at"], float(c["below"])) for p, (_, c) in cuts.items() if c]:
+            cut = _of_patterns(spark, inside, "cut_of array<string>, cut_slot long, start double")
+            slot = left.join(cut, (F.col("of") == F.col("cut_of")) & (F.col("slot") == F.col("cut_slot"))).withColumn("gap", F.col("gap") - F.col("start"))
+            slot = slot.drop("cut_of", "cut_slot", "start").withColumn("part", F.shiftright("at", 52))  # ascending with ``at``
+            parts = {p: c for p, (_, c) in _cuts(slot, "part").items() if c}
+            # All parts before the cut one are in.
+            ends = {p: ((c["at"] << 52) - 1, (1 << 63) - 1, float(c["below"])) if c["at"] > -2048 else (-1 << 63, -1, 0.0) for p, c in parts.items()}
+            cut = _of_patterns(spark, [(list(p), c["at"], float(c["below"])) for p, c in parts.items()], "cut_of array<string>, cut_part long, start double")
+            last = slot.join(cut, (F.col("of") == F.col("cut_of")) & (F.col("part") == F.col("cut_part")))
             upto = Window.partitionBy("of").orderBy("at", "row").rowsBetween(Window.unboundedPreceding, 0)
-            last = last.withColumn("upto", F.sum("size").over(upto)).filter(F.col("below") + F.col("upto") <= F.col("gap"))
-            ends = {tuple(r["of"]): r for r in last.groupBy("of").agg(F.max(F.struct("at", "row")).alias("end"), F.max("upto").alias("upto")).collect()}
+            last = last.withColumn("upto", F.col("start") + F.sum("size").over(upto)).filter(F.col("upto") <= F.col("gap"))
+            ends |= {tuple(r["of"]): (r["end"]["at"], r["end"]["row"], r["upto"]) for r in last.groupBy("of").agg(F.max(F.struct("at", "row")).alias("end"), F.max("upto").alias("upto")).collect()}
         lacking = {}
-        for r in cuts:
-            p = tuple(r["of"])
-            if r["cut"] is None:  # all that fit one by one fit together, and what is left is larger
+        for p, (_, cut) in cuts.items():
+            if cut is None:  # all that fit one by one fit together, and what is left is larger
                 bounds[p].append((gap[p], SLOTS, 0, 0))
                 continue
-            end = ends.get(p)
-            bounds[p].append((gap[p], r["cut"]["slot"], end["end"]["at"], end["end"]["row"]) if end else (gap[p], r["cut"]["slot"] - 1, (1 << 63) - 1, (1 << 63) - 1))
-            lacking[p] = gap[p] - r["cut"]["below"] - (end["upto"] if end else 0)
+            at, row, taken = ends.get(p, ((1 << 63) - 1, (1 << 63) - 1, gap[p] - cut["below"]))
+            bounds[p].append((gap[p], cut["at"], at, row))
+            lacking[p] = gap[p] - cut["below"] - taken
         gap = lacking
     return bounds
 
