@@ -336,9 +336,9 @@ class Distinct:
         run = np.sort(run)
         first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         self.held.append((run[first], np.diff(first, append=len(run))))
-        while len(self.held) > 1 and 2 * len(self.held[-1][0]) > len(self.held[-2][0]):
-            a, b = self.held.pop(), self.held.pop()
-            self.held.append(summed(np.concatenate([b[0], a[0]]), np.concatenate([b[1], a[1]])))
+        while len(self.held) > 3 and 4 * len(self.held[-1][0]) > len(self.held[-4][0]):
+            last = self.held[-4:]
+            self.held[-4:] = [summed(np.concatenate([h[0] for h in last]), np.concatenate([h[1] for h in last]))]
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         """All so far, ascending; none is kept."""
@@ -506,42 +506,59 @@ NO_COST = 0xFFFF
 
 
 class CostTable:
-    """Costs of the most frequent runs, by a slot of their hash; those that lost their slot to a more frequent one stand apart.
+    """Costs of frequent runs: a small table of the most frequent ones, which stays in a processor's cache, a large one, and a list.
 
-    Slot and check are different bits of a hash that no two runs share.
+    Runs go by a hash: its upper bits are the slot, its lower 32 the check, so of lookups of runs that are not held one in
+    four thousand million finds another's cost. What loses its slot goes to the next table, and at last to the list.
     """
 
+    HOT = 1 << 18
+
     def __init__(self, run: np.ndarray, costs: np.ndarray):
         """``run`` with ascending frequency; ``costs`` in COST_UNIT, below NO_COST, in two rows."""
-        self.bits = max(4, int(2 * len(run)).bit_length())
-        slot, check = self.slots(run)
-        # Check, and the two costs, as one number.
-        entry = (check.astype(np.uint64) << _U(32)) | (costs[1].astype(np.uint64) << _U(16)) | costs[0].astype(np.uint64)
-        self.entries = np.full(1 << self.bits, NO_COST, np.uint64)
-        self.entries[slot] = entry
-        lost = np.flatnonzero(self.entries[slot] != entry)
-        lost = lost[np.argsort(run[lost])]
-        self.rest, self.rest_costs = run[lost], costs[:, lost]
-
-    def slots(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mixed = run * _U(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> _U(32)
-        mixed *= _U(0xD6E8FEB86659FD93)
-        return (mixed >> _U(64 - self.bits)).astype(np.int32), mixed.astype(np.uint32)
+        self.tables: list[tuple[int, np.ndarray]] = []
+        hot = max(0, len(run) - self.HOT)
+        waiting, left = np.arange(hot, len(run)), np.arange(hot)
+        for _ in range(2):
+            bits = max(4, int(2 * len(waiting)).bit_length())
+            mixed = self.mixed(run[waiting])
+            slot = (mixed >> _U(64 - bits)).astype(np.int32)
+            # Check, and the two costs, as one number.
+            entry = (mixed << _U(32)) | (costs[1, waiting].astype(np.uint64) << _U(16)) | costs[0, waiting].astype(np.uint64)
+            table = np.full(1 << bits, NO_COST, np.uint64)
+            table[slot] = entry
+            self.tables.append((bits, table))
+            waiting, left = np.sort(np.concatenate([left, waiting[table[slot] != entry]])), left[:0]
+        waiting = waiting[np.argsort(run[waiting])]
+        self.rest, self.rest_costs = run[waiting], costs[:, waiting]
+
+    @staticmethod
+    def mixed(run: np.ndarray) -> np.ndarray:
+        out = run * _U(0x9E3779B97F4A7C15)
+        out ^= out >> _U(32)
+        out *= _U(0xD6E8FEB86659FD93)
+        return out
 
     def find(self, run: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The cost of each run, by whether its own occurrence is counted; and which runs the table does not have, with cost 0."""
-        slot, check = self.slots(run)
-        entry = self.entries[slot]
-        cost = (entry >> (own * _U(16))).astype(np.uint16)
-        lost = np.flatnonzero(((entry >> _U(32)).astype(np.uint32) != check) | (cost == NO_COST))
-        cost[lost] = 0
+        """The cost of each run, by whether its own occurrence is counted; and which runs are not held, with cost 0."""
+        cost, some, mixed, mine = None, None, self.mixed(run), own
+        for bits, table in self.tables:
+            entry = table[(mixed >> _U(64 - bits)).astype(np.int32)]
+            found = (entry >> (mine * _U(16))).astype(np.uint16)
+            lost = np.flatnonzero(((entry >> _U(32)) != (mixed & _U(0xFFFFFFFF))) | (found == NO_COST))
+            if cost is None:
+                cost, some = found, lost
+            else:
+                cost[some] = found
+                some = some[lost]
+            mixed, mine = mixed[lost], mine[lost]
+        cost[some] = 0
         if len(self.rest):
-            at = np.minimum(np.searchsorted(self.rest, run[lost]), len(self.rest) - 1)
-            good = self.rest[at] == run[lost]
-            cost[lost[good]] = self.rest_costs[own[lost[good]].astype(np.int64), at[good]]
-            lost = lost[~good]
-        return cost, lost
+            at = np.minimum(np.searchsorted(self.rest, run[some]), len(self.rest) - 1)
+            good = self.rest[at] == run[some]
+            cost[some[good]] = self.rest_costs[own[some[good]].astype(np.int64), at[good]]
+            some = some[~good]
+        return cost, some
 
 
 def segments(chunk: Chunk, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -622,10 +639,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     words, logs = words[order], np.log10(common.column("c").to_numpy()[order] + 0.5)
     short = lambda c: (F.col(c) - 32768).cast("short").alias(c)
     common = model.costs.filter(F.col("n") >= most_frequent(model.costs, "n", COMMON_RUNS)).filter(F.greatest("cost", "own_cost") < NO_COST)
-    common = common.select("run", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n"), short("cost"), short("own_cost")).toArrow()
-    order = np.argsort(common.column("n").to_numpy(), kind="stable")
-    frequent = common.column("run").to_numpy().view(np.uint64)[order], np.stack([(common.column(c).to_numpy()[order] ^ np.int16(-32768)).view(np.uint16) for c in ("cost", "own_cost")])
-    del common, order
+    common = common.orderBy("n", "run").select("run", short("cost"), short("own_cost")).toArrow()
+    frequent = common.column("run").to_numpy().view(np.uint64), np.stack([(common.column(c).to_numpy() ^ np.int16(-32768)).view(np.uint16) for c in ("cost", "own_cost")])
+    del common
     shared = spark.sparkContext.broadcast((model.code.rank, frequent, words, logs))
     end_log, key = math.log10(ends + 0.5), uuid.uuid4().hex
 
