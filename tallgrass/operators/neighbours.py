@@ -13,22 +13,27 @@ from pyspark.sql import functions as F
 BLOCK_ROWS, PART_ROWS = 32_768, 2048
 
 
-def mean_of(df: DataFrame, vector: str) -> list[float]:
-    """The mean vector: one sum and count for each position, aggregated in parallel."""
-    rows = df.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m")).collect()  # a row a position
-    return [r["m"] for r in sorted(rows, key=lambda r: r["i"])]
+def mean_of(df: DataFrame, vector: str) -> tuple[list[float], int]:
+    """The mean vector, and the number of vectors: one sum and count for each position, aggregated in parallel."""
+    rows = df.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"), F.count(F.lit(1)).alias("n")).collect()  # a row a position
+    return [r["m"] for r in sorted(rows, key=lambda r: r["i"])], max((r["n"] for r in rows), default=0)
+
+
+def _vectors(part: pd.DataFrame, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Identifiers, ascending, and vectors of length 1, as they are and less the centre."""
+    part = part.sort_values("id")
+    raw = np.stack([np.asarray(v, float) for v in part["v"]])
+    raw /= np.maximum(np.linalg.norm(raw, axis=1, keepdims=True), 1e-12)
+    moved = raw - centre
+    return part["id"].to_numpy(np.int64), raw, moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
 
 
 def _packed(unit: DataFrame, centre: np.ndarray) -> DataFrame:
     """A row a block (column ``own``): identifiers, and vectors of length 1, as they are and less the centre, as bytes."""
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id")
-        raw = np.stack([np.asarray(v, float) for v in part["v"]])
-        raw /= np.maximum(np.linalg.norm(raw, axis=1, keepdims=True), 1e-12)
-        moved = raw - centre
-        moved /= np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
-        return pd.DataFrame({"own": [int(part["own"].iloc[0])], "ids": [part["id"].to_numpy(np.int64).tobytes()], "raw": [raw.tobytes()], "moved": [moved.tobytes()]})
+        ids, raw, moved = _vectors(part, centre)
+        return pd.DataFrame({"own": [int(part["own"].iloc[0])], "ids": [ids.tobytes()], "raw": [raw.tobytes()], "moved": [moved.tobytes()]})
 
     return unit.groupBy("own").applyInPandas(pack, "own int, ids binary, raw binary, moved binary")
 
@@ -59,25 +64,32 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
     blocks in matrix products that give k candidates for each row and pair of blocks. A block is one row of bytes; it goes
     to as many tasks as there are blocks, so larger blocks move less.
     """
-    blocks = max(1, -(-df.count() // block_rows))
-    unit = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("own"))
-    centre = np.zeros(1)
+    unit = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    centre, number = np.zeros(1), 0
     if centred:
         length = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-        centre = np.array(mean_of(unit.withColumn("u", F.transform("v", lambda x: x / F.greatest(length, F.lit(1e-12)))), "u") or [0.0])
-    packed = _packed(unit, centre)
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    there = packed.select(F.col("own").alias("other"), *[F.col(c).alias(c + "2") for c in ("ids", "raw", "moved")])
-    pairs = packed.withColumn("other", every).join(there, "other") if blocks > 1 else packed
+        mean, number = mean_of(unit.withColumn("u", F.transform("v", lambda x: x / F.greatest(length, F.lit(1e-12)))), "u")
+        centre = np.array(mean or [0.0])
+    blocks = max(1, -(-(number or df.count()) // block_rows))
+    unit = unit.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    out = "id long, related long, s double, r double"
+
+    def alone(part: pd.DataFrame) -> pd.DataFrame:
+        whole = _vectors(part, centre)
+        return pd.concat(list(_best(whole, whole, k)))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 read = lambda ids, raw, moved: ((n := np.frombuffer(ids, np.int64)), np.frombuffer(raw).reshape(len(n), -1), np.frombuffer(moved).reshape(len(n), -1))
-                mine = read(row.ids, row.raw, row.moved)
-                yield from _best(mine, read(row.ids2, row.raw2, row.moved2) if blocks > 1 else mine, k)
-
-    found = pairs.mapInPandas(compare, "id long, related long, s double, r double")
+                yield from _best(read(row.ids, row.raw, row.moved), read(row.ids2, row.raw2, row.moved2), k)
+
+    if blocks == 1:
+        found = unit.groupBy("own").applyInPandas(alone, out)
+    else:
+        packed = _packed(unit, centre)
+        there = packed.select(F.col("own").alias("other"), *[F.col(c).alias(c + "2") for c in ("ids", "raw", "moved")])
+        found = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(there, "other").mapInPandas(compare, out)
     order = Window.partitionBy("id").orderBy(F.desc("s"), "related")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(id_col), F.col("related").alias("related_id"), F.col("s").alias("similarity"), F.col("r").alias("raw_similarity"), "rank")
