@@ -16,13 +16,16 @@ from tallgrass.llm.workspace import ascii_lower, stage
 
 #: Characters of the text in the range key. Whole texts are compared; this only orders the ranges.
 PREFIX_CHARS = 24
+#: Seed of the identifier's hash in the range key. It is not the hash by which the sample is drawn: else all splitters inside
+#: a group of copies would stand at the group's beginning, and leave its rest to one range.
+SPREAD_SEED = 7
 #: Sampled keys per splitter.
 OVERSAMPLING = 24
 
 
 def _range_key(norm: Column, ident: Column) -> Column:
     # No zero character but the two separators, so that keys are in the order of their parts.
-    return F.concat(F.replace(F.substring(norm, 1, PREFIX_CHARS), F.lit("\x00"), F.lit("\x01")), F.lit("\x00"), F.hex(F.xxhash64(norm)), F.lit("\x00"), F.hex(F.xxhash64(ident)))
+    return F.concat(F.replace(F.substring(norm, 1, PREFIX_CHARS), F.lit("\x00"), F.lit("\x01")), F.lit("\x00"), F.hex(F.xxhash64(norm)), F.lit("\x00"), F.hex(F.xxhash64(ident, F.lit(SPREAD_SEED))))
 
 
 def sample_splitters(rows: DataFrame, ranges: int) -> list[str]:

@@ -23,3 +23,12 @@ def test_hot_copies_beside_texts_of_equal_opening(spark, keep):
     best = {t: (min if keep == "min" else max)(ids) for t, ids in groups.items()}
     assert got == {i: (best[t], len(groups[t]), i == best[t]) for i, t in enumerate(texts)}
     assert exact_dedup.drop_exact_copies(rows, keep=keep).count() == len(groups)
+
+
+def test_a_hot_group_is_dealt_over_many_ranges(spark):
+    """A third of all rows has one text: no range gets much more than its share."""
+    rows = [(i, "the hot text" if i % 3 == 0 else f"text {i * 7919 % 6000}") for i in range(6000)]
+    table = spark.createDataFrame(rows, "id long, norm string")
+    splitters = exact_dedup.sample_splitters(table, 20)
+    sizes = [r["count"] for r in exact_dedup._dealt(table, splitters).groupBy("range").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 900
