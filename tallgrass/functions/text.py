@@ -262,10 +262,10 @@ def majority_count(words: Column) -> Column:
     return F.size(words) - F.size(F.array_remove(words, candidate))
 
 
-def artifact_reasons(text: Column) -> Column:
-    """Recognition loops: one token in 70 % of 20 words or more, a run of one character, or punctuation alone."""
+def artifact_reasons(text: Column, words: Column | None = None) -> Column:
+    """Recognition loops: one token in 70 % of 20 words or more, a run of one character, or punctuation alone. ``words`` may hold ``swedish_words`` of the text."""
     text = F.coalesce(text, F.lit(""))
-    words, long = swedish_words(text), F.length(text) >= 120
+    words, long = swedish_words(text) if words is None else words, F.length(text) >= 120
     marks = F.regexp_count(text, F.lit(r"(?iuU)[^a-zåäö\s]"))
     return F.array_compact(
         F.array(

@@ -22,7 +22,8 @@ def flag_segments(segments: DataFrame, ident: str = "sr_episode_id") -> DataFram
     """Adds ``artifact_reasons`` and ``boilerplate_reasons``; nothing is removed, so what is dropped later can be audited."""
     duration = F.max("end").over(Window.partitionBy(ident))
     rows = segments.withColumn("__d", duration).withColumn("boilerplate_reasons", T.boilerplate_reasons(F.col("text"), F.col("start"), F.col("end"), F.col("__d")))
-    return rows.withColumn("artifact_reasons", T.artifact_reasons(F.col("text"))).drop("__d")
+    rows = rows.withColumn("__w", T.swedish_words(F.col("text")))
+    return rows.withColumn("artifact_reasons", T.artifact_reasons(F.col("text"), F.col("__w"))).drop("__d", "__w")
 
 
 def clean(flagged: DataFrame) -> DataFrame:

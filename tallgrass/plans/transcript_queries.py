@@ -31,8 +31,8 @@ SELECT doc_id, words, top, array_to_string(list_filter([CASE WHEN words >= 20 AN
 def artifact_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, "x" * 130), (-2, ". " * 120), (-3, "hej " * 25), (-4, "ja " + "Ab" * 70), (-5, "- " * 60 + "Å" * 10 + "å" * 10)], "doc_id long, text string")
     rows = table(spark, sf_dir, "documents").select("doc_id", "text").union(extra)
-    words = T.swedish_words(F.col("text"))
-    return rows.select("doc_id", F.size(words).cast("long").alias("words"), T.most_frequent(words).cast("long").alias("top"), F.array_join(T.artifact_reasons(F.col("text")), ",").alias("reasons"))
+    rows, words = rows.withColumn("w", T.swedish_words(F.col("text"))), F.col("w")
+    return rows.select("doc_id", F.size(words).cast("long").alias("words"), T.most_frequent(words).cast("long").alias("top"), F.array_join(T.artifact_reasons(F.col("text"), words), ",").alias("reasons"))
 
 
 #: Phrases that some turns end with; the rest of a turn's text is as it is.
