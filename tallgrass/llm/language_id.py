@@ -174,18 +174,17 @@ def recognised(docs: DataFrame, least: float = 0.4) -> DataFrame:
     stay or go together; null identifiers teach like others; an empty table gives none. Other columns may have any names.
     """
     names, logs = learn(docs.filter(~held_out()), "text", "lang")
-    model = docs.sparkSession.sparkContext.broadcast((names, logs))
-
-    at = docs.columns.index("text")
+    model = docs.sparkSession.sparkContext.broadcast((names, logs))  # BUCKETS floats a language
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def known(text: pa.Array) -> pa.Array:
         names, logs = model.value
-        for batch in batches:
-            text = _lowered(batch.column(at))
-            known = np.array(pc.match_substring_regex(text.fill_null(""), r"\p{L}").to_pylist(), bool)
-            for chunk in chunks(text) if names else ():
-                shares, chosen = infer(chunk, logs)
-                known[chunk.first : chunk.first + chunk.rows] &= (chosen.sum(axis=0) == 1) | (np.where(chosen, shares, 0).sum(axis=0) >= least)
-            yield batch.filter(pa.array(known))
-
-    return docs.mapInArrow(keep, docs.schema)
+        text = _lowered(text)
+        kept = np.array(pc.match_substring_regex(text.fill_null(""), r"\p{L}").to_pylist(), bool)
+        for chunk in chunks(text) if names else ():
+            shares, chosen = infer(chunk, logs)
+            kept[chunk.first : chunk.first + chunk.rows] &= (chosen.sum(axis=0) == 1) | (np.where(chosen, shares, 0).sum(axis=0) >= least)
+        return pa.array(kept)
+
+    # Only the texts go to Python, and a boolean comes back: the rows wait in the JVM.
+    return docs.filter(known(docs["text"]))

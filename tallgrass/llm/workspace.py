@@ -14,16 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The folder that a session in one process made for itself, and the application it is for.
+_made: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Where it is unset, a session in one process gets a temporary folder that goes with it; a cluster has to name one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or _made.get(context.applicationId)
     if not folder:
-        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+        if not re.match(r"local(\[[^\]]*\])?$", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         made = tempfile.mkdtemp(prefix="tallgrass-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
-        folder = "file://" + made
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _made[context.applicationId] = "file://" + made  # the setting itself can't be changed once the session is there
     return folder.rstrip("/")
 
 
@@ -53,15 +57,15 @@ def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: this cuts lineage and survives lost executors.
 
-    Python gets ``BATCH_ROWS`` rows at once meanwhile, and the session's setting afterwards again.
+    Python gets ``batch_rows`` rows at once meanwhile, and the session's setting afterwards again.
     """
     spark = df.sparkSession
     path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    with _batches_of(spark, BATCH_ROWS):
-        df.write.parquet(path)
+    with _batches_of(spark, batch_rows):
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

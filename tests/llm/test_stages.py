@@ -44,8 +44,11 @@ def run(spark, name, rows):
 
 
 @pytest.mark.parametrize("name", list(STAGES))
-def test_no_rows(spark, name):
+def test_no_rows_and_settings_as_before(spark, name):
+    held = lambda: {k: v for k, v in spark.conf.getAll.items() if k != "spark.app.startTime"}
+    before = held()
     assert run(spark, name, []) == []
+    assert held() == before
 
 
 def test_stages(spark, rows):

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from tallgrass.llm import workspace
@@ -19,30 +24,24 @@ def test_names_that_no_column_has(spark):
     assert workspace.unused(df, "later") == "later__" and workspace.unused(df, "y") == "y"
 
 
-def test_a_cluster_has_to_name_the_folder(spark, monkeypatch):
-    class Context:
-        def __init__(self, master):
-            self.master = master
-
-        def getCheckpointDir(self):
-            return None
-
-    class Conf:
-        def __init__(self):
-            self.held = {}
-
-        def get(self, key, default=None):
-            return self.held.get(key, default)
-
-        def set(self, key, value):
-            self.held[key] = value
-
-    class Session:
-        def __init__(self, master):
-            self.sparkContext, self.conf = Context(master), Conf()
-
-    for master in ("yarn", "local-cluster[3,2,1024]", "spark://x:7077"):
-        with pytest.raises(RuntimeError):
-            workspace.shared_folder(Session(master))
-    for master in ("local", "local[*]", "local[8,4]"):
-        assert workspace.shared_folder(Session(master)).startswith("file:///")
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+from tallgrass.llm import workspace
+spark = SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+try:
+    table = workspace.stage(spark.range(5), "numbers")
+except RuntimeError as error:
+    print("refused:", error)
+else:
+    print("staged", table.count(), workspace.own_folder(spark) == workspace.own_folder(spark), table.inputFiles()[0])
+"""
+
+
+@pytest.mark.parametrize(("master", "said"), [("local[2]", "staged 5 True file:///"), ("local-cluster[1,1,1024]", "refused: spark.checkpoint.dir")])
+def test_a_session_without_the_folder(tmp_path, master, said):
+    """In one process it makes a folder of its own; a cluster has to name one. A real session, in a process where nothing sets the folder."""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(Path(__file__).resolve().parents[2])}
+    ran = subprocess.run([sys.executable, "-c", SCRIPT, master], env=env, capture_output=True, text=True, timeout=300, check=False)
+    assert said in ran.stdout, ran.stdout + ran.stderr[-2000:]
