@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, url_filters, warc_zip
+from tallgrass.llm import canonical_digest, embedding_whitening, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, quality_classifier, quality_rules, ranked_search, url_filters, warc_zip
 from tallgrass.operators.incremental import numbered
 from tallgrass.session import ship_package
 
@@ -72,6 +72,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_canonical_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_digest.compare_edits(_table(spark, sf_dir, "documents"))
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edited texts that are fingerprinted, without the fingerprints, which SQL has not."""
+    return canonical_digest.edited(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    # Beyond a long (more than about ten million vectors of unit length) ``deviation`` is null and ``deviation_exact`` has it.
+    return white.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def embedding_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitening's rows without eigenvectors, which SQL has not."""
+    return embedding_whitening.deviations(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -85,8 +109,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_zip": op8_warc_zip,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_language_id": op10_language_id,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_canonical_digest": op12_canonical_digest,
+        "edited_texts": edited_texts,
+        "op13_embedding_whitening": op13_embedding_whitening,
+        "embedding_deviations": embedding_deviations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.SQL, "op9_jaccard_join": jaccard_join.SQL, "op6_url_filters": url_filters.SQL, "op8_warc_zip": warc_zip.SQL, "redirect_equivalence": url_filters.REDIRECTS_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.SQL,
+        "op6_url_filters": url_filters.SQL,
+        "redirect_equivalence": url_filters.REDIRECTS_SQL,
+        "op8_warc_zip": warc_zip.SQL,
+        "op9_jaccard_join": jaccard_join.SQL,
+        "op11_ranked_search": ranked_search.SQL,
+        "edited_texts": canonical_digest.EDITED_SQL,
+        "embedding_deviations": embedding_whitening.DEVIATIONS_SQL,
+    }

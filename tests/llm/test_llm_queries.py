@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not TABLES.is_dir(), reason="no tables")
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     rows = catalog.queries()[name](spark, str(TABLES))
     names = sorted(rows.columns)
