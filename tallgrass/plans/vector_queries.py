@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import export, incremental, neighbours, search, segment, taxonomy, topics
+from tallgrass.operators import density, export, incremental, neighbours, search, segment, taxonomy, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -260,6 +260,27 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.cluster(table(spark, sf_dir, "embeddings"), "embedding", k=10).select("vec_id", "label", "topic_id")
 
 
+@query()
+def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of at least five vectors, and outliers."""
+    return density.density_clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5, 3)
+
+
+@query("""WITH RECURSIVE v AS (SELECT vec_id, embedding, list_transform(embedding::DOUBLE[], lambda x: x / greatest(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 1e-12)) AS u FROM embeddings),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, CASE WHEN a.embedding = b.embedding THEN 1 ELSE round(list_dot_product(a.u, b.u), 12) END AS s FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+k AS (SELECT a, s AS core FROM (SELECT a, s, row_number() OVER (PARTITION BY a ORDER BY s DESC) AS r FROM s) WHERE r = 3),
+f AS (SELECT min(vec_id) AS id FROM v GROUP BY embedding),
+m AS (SELECT s.a, s.b, greatest(sqrt(greatest(2 - 2 * least(s, x.core, y.core), 0)), 1e-6) AS d FROM s JOIN k x ON x.a = s.a JOIN k y ON y.a = s.b WHERE s.a IN (FROM f) AND s.b IN (FROM f)),
+p AS (SELECT 0 AS step, id, CASE WHEN id = (SELECT min(id) FROM f) THEN 0.0::DOUBLE ELSE 9.0::DOUBLE END AS d, false AS done, 0.0::DOUBLE AS took FROM f
+ UNION ALL SELECT step + 1, q.id, CASE WHEN q.id = q.next THEN q.d ELSE least(q.d, m.d) END, done OR q.id = q.next, q.least
+  FROM (SELECT *, first_value(id) OVER o AS next, first_value(d) OVER o AS least, bool_and(done) OVER () AS every FROM p WINDOW o AS (ORDER BY done, d, id)) q LEFT JOIN m ON m.a = q.next AND m.b = q.id WHERE NOT every)
+SELECT round(took, 5) AS distance, count(*) AS edges FROM (SELECT DISTINCT step, took FROM p WHERE step > 1) GROUP BY ALL""")
+def reachability_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of the spanning tree under the clusters, which are the same in every such tree; the statement grows it row by row."""
+    tree = density.tree_edges(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3)
+    return tree.groupBy(F.round("distance", 5).alias("distance")).agg(F.count(F.lit(1)).alias("edges"))
+
+
 @query()
 def pca_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.map_2d(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "x", "y")
