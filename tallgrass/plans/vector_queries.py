@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import density, export, incremental, neighbours, search, segment, taxonomy, topics
+from tallgrass.operators import cells, density, export, incremental, neighbours, search, segment, taxonomy, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -260,6 +260,12 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.cluster(table(spark, sf_dir, "embeddings"), "embedding", k=10).select("vec_id", "label", "topic_id")
 
 
+@query()
+def related_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours by the inverted file: what ``related_topk`` finds, but for those in cells that are not looked into."""
+    return cells.search(cells.build(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")).withColumnsRenamed({"id": "vec_id", "related_id": "related_vec_id"})
+
+
 @query()
 def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of at least five vectors, and outliers."""
