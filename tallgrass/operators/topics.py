@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
+from tallgrass.operators import layout
+from tallgrass.operators.neighbours import neighbours
+from tallgrass.staging import stage
 
 #: Topics of a catalogue that go to every task as one array; larger catalogues come in parts, one after the other.
 MAX_TOPICS = 10_000
@@ -249,6 +252,20 @@ def map_2d(df: DataFrame, vector: str, ident: str | None = None) -> DataFrame:
     return out.withColumns({"x": F.col("__p")[0], "y": F.col("__p")[1]}).drop("__v", "__p")
 
 
+def neighbourhood_map(df: DataFrame, ident: str, vector: str, k: int = 15, min_distance: float = 0.1, block_rows: int = layout.BLOCK_ROWS) -> DataFrame:
+    """Adds ``x`` and ``y``: a layout that keeps the ``k`` nearest neighbours by cosine together, begun at the principal components.
+
+    Identifiers are whole numbers and differ; rows without one, or without a vector, have null places. Of fewer than three rows see ``map_2d``.
+    """
+    rows = df.select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
+    begin = stage(map_2d(rows, "v", "id").select("id", F.array("x", "y").alias("p")), "begin")
+    if begin.limit(3).count() == 3:
+        near = stage(neighbours(rows, "id", "v", k, centred=False).select("id", "related_id", "similarity"), "near")
+        begin = layout.lay_out(layout.fuzzy_links(near), begin, min_distance, block_rows=block_rows)
+    places = begin.select(F.col("id").alias("__id"), F.get("p", F.lit(0)).alias("x"), F.get("p", F.lit(1)).alias("y"))
+    return df.withColumn("__id", F.col(ident).cast("long")).join(places, "__id", "left").drop("__id")
+
+
 def merge_tree(centroids: DataFrame, ident: str, vector: str) -> DataFrame:
     """Average-linkage tree over clusters: a row for each merge, with the two parts, the distance and the leaves below.
 

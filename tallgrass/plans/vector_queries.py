@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import cells, density, export, incremental, neighbours, search, segment, taxonomy, topics
+from tallgrass.operators import cells, density, export, incremental, layout, neighbours, search, segment, taxonomy, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -292,6 +292,22 @@ def pca_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.map_2d(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "x", "y")
 
 
+@query()
+def neighbourhood_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.neighbourhood_map(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").select("vec_id", "x", "y")
+
+
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / greatest(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 1e-12)) AS u FROM embeddings),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, greatest(1 - round(list_dot_product(a.u, b.u), 12), 0) AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_dot_product(a.u, b.u), 12) DESC, b.vec_id) AS r FROM v a JOIN v b ON a.vec_id <> b.vec_id)
+SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS ends, bool_or(r = 1) AS nearest FROM s WHERE r <= 15 GROUP BY ALL""")
+def fuzzy_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map's links: how many of their ends name them, and whether one names them first, which gives them a weight of 1."""
+    near = neighbours.neighbours(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 15, centred=False).withColumnRenamed("vec_id", "id")
+    links = layout.fuzzy_links(near)
+    ends = near.groupBy(F.least("id", "related_id").alias("a"), F.greatest("id", "related_id").alias("b")).agg(F.count(F.lit(1)).alias("ends"))
+    return links.join(ends, ["a", "b"]).select("a", "b", "ends", (F.col("weight") >= 1 - 1e-12).alias("nearest"))
+
+
 @query()
 def topic_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average-linkage tree over the mean vectors of the labels."""
