@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,23 +68,38 @@ def episode_export(episodes: DataFrame, speakers: DataFrame, image_prefix: str)
     )
 
 
-def _members(key: str) -> Column:
-    """``"key":json`` of all rows (columns ``key`` and ``json``), joined in the order of the key. For tables that make one document."""
+@dataclass(frozen=True)
+class Section:
+    """Members of a JSON object or list: ``rows`` have the columns of ``keys``, in whose order they stand, and ``json``."""
+
+    opening: str
+    rows: DataFrame
+    keys: list[str]
+
+
+@dataclass(frozen=True)
+class Document:
+    """One JSON text in sections, each a table of any size; ``sources.files`` writes it in parts and joins them."""
+
+    sections: list[Section]
+    closing: str
+
+
+def _members(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    """``key`` and ``json``, which is ``"key":value``."""
     name = F.regexp_extract(F.to_json(F.array(F.col(key).cast("string"))), r"(?s)^\[(.*)\]$", 1)  # escaped as JSON
-    pairs = F.struct(key, F.concat(name, F.lit(":"), F.col("json")).alias("__j"))
-    return F.array_join(F.transform(F.sort_array(F.collect_list(pairs)), lambda x: x["__j"]), ",")
+    return rows.select(key, F.concat(name, F.lit(":"), value).alias("json"))
 
 
-def archive_document(episodes: DataFrame, speakers: DataFrame, image_prefix: str = T.IMAGE_URL) -> DataFrame:
-    """``json``, one row: the speakers by id and the list of episodes by date, as the browser reads them. A speaker id without a speaker is an error."""
+def archive_document(episodes: DataFrame, speakers: DataFrame, image_prefix: str = T.IMAGE_URL) -> Document:
+    """The speakers by id and the list of episodes by date, as the browser reads them. A speaker id without a speaker is an error."""
     people = speaker_export(speakers)
-    people = people.select("wikidata_id", F.to_json(F.struct(*[c for c in people.columns if c != "wikidata_id"])).alias("json")).agg(_members("wikidata_id").alias("a"))
+    people = _members(people, "wikidata_id", F.to_json(F.struct(*[c for c in people.columns if c != "wikidata_id"])))
     rows = episode_export(episodes, speakers, image_prefix)
     whole = F.to_json(F.struct(*[c for c in rows.columns if c != "is_listeners_host"]), {"ignoreNullFields": "false"})
     host = F.when(F.col("is_listeners_host"), F.concat(F.expr("substring(j, 1, length(j) - 1)"), F.lit(',"is_listeners_host":true}'))).otherwise(F.col("j"))
     rows = rows.withColumn("j", whole).select("date", "id", host.alias("json"))
-    lists = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("date", "id", "json"))), lambda x: x["json"]), ",").alias("b"))
-    return people.join(F.broadcast(lists)).select(F.concat(F.lit('{"speakers":{'), "a", F.lit('},"episodes":['), "b", F.lit("]}")).alias("json"))
+    return Document([Section('{"speakers":{', people, ["wikidata_id"]), Section('},"episodes":[', rows, ["date", "id"])], "]}")
 
 
 def _pairs(column: str, text_id: bool) -> Column:
@@ -91,15 +108,14 @@ def _pairs(column: str, text_id: bool) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(column, lambda x: F.concat(F.lit("["), ident(x), F.lit(","), x["value"].cast("string"), F.lit("]"))), ","), F.lit("]"))
 
 
-def payload_document(shown: DataFrame, payload: DataFrame, version: int = 1) -> DataFrame:
-    """``json``, one row: topics and episodes by id. ``shown`` has ``topic_id`` and what is told of a topic, ``payload`` the rows of ``episode_payload`` or ``curated_payload``."""
-    about = [c for c in shown.columns if c != "topic_id"]
-    topics = shown.select("topic_id", F.to_json(F.struct(*about)).alias("json")).agg(_members("topic_id").alias("a"))
+def payload_document(shown: DataFrame, payload: DataFrame, version: int = 1) -> Document:
+    """Topics and episodes by id. ``shown`` has ``topic_id`` and what is told of a topic, ``payload`` the rows of ``episode_payload`` or ``curated_payload``."""
+    topics = _members(shown, "topic_id", F.to_json(F.struct(*[c for c in shown.columns if c != "topic_id"])))
     text_id = version > 1
     dominant = F.coalesce(F.to_json(F.struct("dominant"), {"ignoreNullFields": "false"}), F.lit('{"dominant":null}'))
     body = F.concat(F.lit('{"x":'), F.col("x").cast("string"), F.lit(',"y":'), F.col("y").cast("string"), F.lit(","), F.regexp_extract(dominant, r"^\{(.*)\}$", 1), F.lit(',"topics":'), _pairs("topics", text_id), F.lit(',"related":'), _pairs("related", False), F.lit("}"))
-    episodes = payload.select("sr_episode_id", body.alias("json")).agg(_members("sr_episode_id").alias("b"))
-    return topics.join(F.broadcast(episodes)).select(F.concat(F.lit(f'{{"version":{version},"topics":{{'), "a", F.lit('},"episodes":{'), "b", F.lit("}}")).alias("json"))
+    episodes = _members(payload, "sr_episode_id", body)
+    return Document([Section(f'{{"version":{version},"topics":{{', topics, ["topic_id"]), Section('},"episodes":{', episodes, ["sr_episode_id"])], "}}")
 
 
 def curated_payload(episode_map: DataFrame, episode_topics: DataFrame, related: DataFrame, topics: DataFrame, most: int = TOPICS_PER_EPISODE) -> DataFrame:

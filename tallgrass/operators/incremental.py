@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallgrass.sources import versioned
+
 
 def pending(now: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Rows of ``now`` whose key the cache lacks."""
@@ -23,6 +25,33 @@ def upsert(now: DataFrame, cache: DataFrame, key: str, compute: Callable[[DataFr
     return now.join(known.unionByName(fresh), key)
 
 
+def content_key(columns: list[str], recipe: str) -> Column:
+    """What a computed value depends on: the values of ``columns``, null or not, and the recipe (a model's name, its settings)."""
+    return F.sha2(F.concat(F.lit(recipe + "\x00"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})), 256)
+
+
+def refresh(now: DataFrame, path: str, columns: list[str], recipe: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``now`` with the computed columns and ``origin``, from a cache in the folder ``path`` that afterwards holds what ``now`` needs and no more.
+
+    Values are kept by ``content_key``, so that equal contents are computed once, and anew where the recipe changes. ``compute`` gets ``content_key`` and
+    ``columns`` of what is missing and returns ``content_key`` and its own columns. The new cache is a version beside the old one, in whose place
+    it comes when it is whole; a run that breaks off before has no effect.
+    """
+    spark, keyed = now.sparkSession, now.withColumn("content_key", content_key(columns, recipe))
+    wanted = keyed.select("content_key", *columns).dropDuplicates(["content_key"])
+    old = versioned.current(spark, path)
+    cache = spark.read.parquet(old) if old else None
+
+    def write(folder: str) -> None:
+        fresh = compute(pending(wanted, cache, "content_key") if cache is not None else wanted).withColumn("origin", F.lit("computed"))
+        if cache is not None:
+            fresh = cache.withColumn("origin", F.lit("cached")).join(wanted.select("content_key"), "content_key", "left_semi").unionByName(fresh)
+        fresh.write.parquet(folder)
+
+    versioned.publish(spark, path, write)
+    return keyed.join(spark.read.parquet(versioned.current(spark, path)), "content_key").drop("content_key")
+
+
 #: Keys of the sample that cuts the key range, and parts that it is cut into at most.
 SAMPLE_KEYS, MOST_PARTS = 20_000, 1000
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.functions import text as T
@@ -133,19 +133,24 @@ _SHOWN = """WITH c AS (SELECT vec_id % 50 AS ep, label FROM embeddings) SELECT l
 _TOPIC = "map<string,struct<label:string,episodes:bigint,chunks:bigint>>"
 
 
+def _member(kind: str) -> Column:
+    """A member of a JSON object, read from its text."""
+    return F.from_json(F.concat(F.lit("{"), F.col("json"), F.lit("}")), kind)
+
+
 @query(_SHOWN)
 def payload_document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topics of the whole document, read from its text."""
-    whole = export.payload_document(*_payload(spark, sf_dir))
-    read = whole.select(F.explode(F.from_json("json", f"version int, topics {_TOPIC}")["topics"]).alias("topic_id", "t"))
+    members = export.payload_document(*_payload(spark, sf_dir)).sections[0].rows
+    read = members.select(F.explode(_member(_TOPIC)).alias("topic_id", "t"))
     return read.select("topic_id", "t.label", "t.episodes", "t.chunks")
 
 
 @query(_PAY + """SELECT d.ep AS sr_episode_id, round(e.x, 5) AS x, coalesce(string_agg(v.t || ':' || round(v.share, 4), ',' ORDER BY v.r), '') AS topics FROM d JOIN (SELECT vec_id % 50 AS ep, avg(embedding[1]::DOUBLE) AS x FROM embeddings GROUP BY 1) e ON e.ep = d.ep LEFT JOIN v ON v.ep = d.ep AND r <= 5 GROUP BY ALL""")
 def payload_document_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The episodes of the whole document, read from its text."""
-    whole = export.payload_document(*_payload(spark, sf_dir))
-    read = whole.select(F.explode(F.from_json("json", "episodes map<string,struct<x:double,y:double,dominant:int,topics:array<array<double>>,related:array<array<double>>>>")["episodes"]).alias("k", "e"))
+    members = export.payload_document(*_payload(spark, sf_dir)).sections[1].rows
+    read = members.select(F.explode(_member("map<string,struct<x:double,y:double,dominant:int,topics:array<array<double>>,related:array<array<double>>>>")).alias("k", "e"))
     pairs = F.transform("e.topics", lambda t: F.concat(t[0].cast("int").cast("string"), F.lit(":"), t[1].cast("string")))
     return read.select(F.col("k").cast("long").alias("sr_episode_id"), "e.x", F.array_join(pairs, ",").alias("topics"))
 
@@ -165,9 +170,9 @@ def archive_document(spark: SparkSession, sf_dir: str) -> DataFrame:
         ident("c_custkey").alias("wikidata_id"), F.col("c_name").alias("speaker"), F.lit(1).alias("episode_count"), F.array(F.lit(30), F.lit(None).cast("int")).alias("ages_at_episodes"), F.array("c_name", "c_mktsegment").alias("sr_names"),
         F.lit(" ").alias("wikidata_label"), none.alias("wikidata_description"), none.alias("wikipedia_url"), none.alias("gender"), none.alias("birth_date"), none.alias("death_date"), empty.alias("citizenships"), empty.alias("occupations"),
     )
-    whole = export.archive_document(episodes, people).select(F.from_json("json", "speakers map<string,struct<name:string,ages:array<int>,aliases:array<string>,label:string>>, episodes array<struct<id:bigint,date:string,minutes:bigint,image:string,speakers:array<string>,is_listeners_host:boolean>>").alias("d"))
-    names = whole.select(F.explode("d.speakers").alias("speaker", "p")).select("speaker", F.col("p.name").alias("name"))
-    listed = whole.select(F.explode("d.episodes").alias("e")).select("e.id", "e.date", "e.minutes", "e.image", F.col("e.speakers")[0].alias("speaker"), "e.is_listeners_host")
+    speakers, listed = (section.rows for section in export.archive_document(episodes, people).sections)
+    names = speakers.select(F.explode(_member("map<string,struct<name:string,ages:array<int>,aliases:array<string>,label:string>>")).alias("speaker", "p")).select("speaker", F.col("p.name").alias("name"))
+    listed = listed.select(F.from_json("json", "id bigint, date string, minutes bigint, image string, speakers array<string>, is_listeners_host boolean").alias("e")).select("e.id", "e.date", "e.minutes", "e.image", F.col("e.speakers")[0].alias("speaker"), "e.is_listeners_host")
     return listed.join(names, "speaker")
 
 
@@ -187,8 +192,8 @@ def curated_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = topics.topic_summary(rows).select("topic_id", F.col("topic_id").alias("label"), F.col("episode_count").alias("episodes"), F.col("chunk_count").alias("chunks"))
     places = rows.groupBy("sr_episode_id").agg(F.lit(0.5).alias("x"), F.lit(0.25).alias("y"))
     near = rows.select("sr_episode_id").distinct().select("sr_episode_id", F.lit(1).alias("related_episode_id"), F.lit(0.5).alias("similarity"), F.lit(1).alias("rank"))
-    whole = export.payload_document(shown, export.curated_payload(places, roll, near, shown), 2)
-    read = whole.select(F.explode(F.from_json("json", "episodes map<string,struct<dominant:string,topics:array<array<string>>>>")["episodes"]).alias("k", "e"))
+    members = export.payload_document(shown, export.curated_payload(places, roll, near, shown), 2).sections[1].rows
+    read = members.select(F.explode(_member("map<string,struct<dominant:string,topics:array<array<string>>>>")).alias("k", "e"))
     return read.select(F.col("k").cast("long").alias("sr_episode_id"), "e.dominant", F.array_join(F.transform("e.topics", lambda t: F.array_join(t, ":")), ",").alias("topics"))
 
 

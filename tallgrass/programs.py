@@ -39,9 +39,15 @@ def songs(spark: SparkSession, args: Namespace) -> None:
     files.write_table(archive.music(spark.read.schema(f"sr_episode_id bigint, songs array<struct<{fields}>>").json(args.playlists)), args.out, files.MUSIC)
 
 
+def _document(spark: SparkSession, document: export.Document, path: str) -> None:
+    """The document in parts, and joined in ``document.json`` beside them."""
+    files.write_document(document, path)
+    files.join_document(spark, path, f"{path}/document.json")
+
+
 def export_archive(spark: SparkSession, args: Namespace) -> None:
     """Episodes and speakers as one JSON document."""
-    files.write_document(export.archive_document(spark.read.parquet(f"{args.tables}/episodes"), spark.read.parquet(f"{args.tables}/speakers")), args.out)
+    _document(spark, export.archive_document(spark.read.parquet(f"{args.tables}/episodes"), spark.read.parquet(f"{args.tables}/speakers")), args.out)
 
 
 def segments(spark: SparkSession, args: Namespace) -> None:
@@ -49,7 +55,7 @@ def segments(spark: SparkSession, args: Namespace) -> None:
     marked = transcripts.flag_segments(files.transcripts_json(spark, args.folder, args.limit))
     columns = "sr_episode_id bigint, segment_index int, start double, end double, text string, artifact_reasons array<string>, boilerplate_reasons array<string>"
     files.write_split(marked, args.out, (F.size("artifact_reasons") > 0) | (F.size("boilerplate_reasons") > 0), columns)
-    files.write_document(transcripts.audit_report(marked), f"{args.out}/report")
+    files.write_report(transcripts.audit_report(marked), f"{args.out}/report")
 
 
 def units(spark: SparkSession, args: Namespace) -> None:
@@ -83,7 +89,7 @@ def topic_outputs(rows: DataFrame, stop_words: tuple[str, ...] = topics.DOMAIN_S
     return {"topics": named, "episode_topics": roll.join(examples.drop("words"), ["sr_episode_id", "topic_id"], "left"), "episode_map": places.select("sr_episode_id", "x", "y", "dominant_topic_id"), "related_episodes": near}
 
 
-def _payload(spark: SparkSession, folder: str) -> DataFrame:
+def _payload(spark: SparkSession, folder: str) -> export.Document:
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
     shown = export.topic_rows(read("topics"))
     return export.payload_document(shown, export.episode_payload(read("episode_map"), read("episode_topics"), read("related_episodes"), shown))
@@ -99,7 +105,7 @@ def topic_model(spark: SparkSession, args: Namespace) -> None:
         _write(table, f"{args.out}/{name}")
     centres = V.mean_vectors(spark.read.parquet(f"{args.out}/chunk_topics"), ["topic_id"], "embedding")
     _write(files.to_half(centres, "embedding"), f"{args.out}/topic_vectors")
-    files.write_document(_payload(spark, args.out), f"{args.out}/document")
+    _document(spark, _payload(spark, args.out), f"{args.out}/document")
 
 
 def topic_tree(spark: SparkSession, args: Namespace) -> None:
@@ -120,7 +126,7 @@ def label(spark: SparkSession, args: Namespace) -> None:
 
 def _replace(spark: SparkSession, new: str, folder: str) -> None:
     _write(spark.read.parquet(new), f"{folder}/topics")
-    files.write_document(_payload(spark, folder), f"{folder}/document")
+    _document(spark, _payload(spark, folder), f"{folder}/document")
 
 
 def apply_hierarchy(spark: SparkSession, args: Namespace) -> None:
@@ -158,7 +164,7 @@ def curated(spark: SparkSession, args: Namespace) -> None:
     name = F.col("label") if "label" in catalogue.columns else F.col("topic_id").cast("string")
     shown = export.matched_topics(catalogue.select("topic_id", name.alias("label")), roll)
     payload = export.curated_payload(topics.map_2d(means, "embedding", "sr_episode_id"), roll.withColumn("share", F.col("coverage")), near, shown)
-    files.write_document(export.payload_document(shown, payload, 2), f"{args.out}/document")
+    _document(spark, export.payload_document(shown, payload, 2), f"{args.out}/document")
 
 
 def calibrate(spark: SparkSession, args: Namespace) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, FloatType, StructField, StructType
 
 from tallgrass.operators.archive import RAW_SCHEMA
+from tallgrass.operators.export import Document
+from tallgrass.sources import versioned
 
 BINDING = "struct<value:string>"
 PARTICIPANTS = f"results struct<bindings:array<struct<speaker:{BINDING},speakerLabel:{BINDING},date:{BINDING}>>>"
@@ -51,9 +54,16 @@ def transcripts_json(spark: SparkSession, folder: str, limit: int | None = None,
     number are read. The id in the object ``metadata`` goes before that of the file's name.
     """
     schema = f"segments array<{SEGMENT}>, {metadata} struct<sr_episode_id:bigint>"
-    rows = spark.read.schema(schema).json(f"{folder}/*.json", multiLine=True, mode="PERMISSIVE").withColumn("__stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1))
+    paths: str | list[str] = f"{folder}/*.json"
+    if limit is not None:
+        # Only the names are listed, and the first ``limit`` by number are opened.
+        fs, place, system = versioned.files_of(spark, folder)
+        names = [f.getPath().getName() for f in system.listStatus(place)]
+        paths = [f"{folder}/{n}" for n in sorted((n for n in names if re.fullmatch(r"\d+\.json", n)), key=lambda n: (int(n[:-5]), n))[:limit]]
+        if not paths:
+            return spark.createDataFrame([], "sr_episode_id bigint, segment_index int, start double, end double, text string")
+    rows = spark.read.schema(schema).json(paths, multiLine=True, mode="PERMISSIVE").withColumn("__stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1))
     rows = rows.filter("__stem <> ''")
-    rows = rows.orderBy(F.col("__stem").cast("bigint")).limit(limit) if limit is not None else rows
     rows = rows.filter("segments is not null")
     ident = F.coalesce(f"{metadata}.sr_episode_id", F.col("__stem").cast("bigint"))
     return rows.select(ident.alias("sr_episode_id"), F.posexplode("segments").alias("segment_index", "s")).select("sr_episode_id", "segment_index", "s.*")
@@ -102,9 +112,55 @@ def from_half(rows: DataFrame, vector: str) -> DataFrame:
     return rows.mapInArrow(unpack, schema)
 
 
-def write_document(document: DataFrame, path: str) -> None:
+def write_report(report: DataFrame, path: str) -> None:
     """The text of a table of one row and one column as one file in the folder ``path``."""
-    document.coalesce(1).write.mode("overwrite").text(path)
+    report.coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_document(document: Document, path: str) -> None:
+    """Writes a document in parts, as a new version of the folder ``path``: every section is sorted by ranges of its keys, a part a range.
+
+    The manifest's ``layout`` lists texts and parts in order. A part ends with a comma, which does not count in a section's last one. No task holds a section, and
+    a run that fails leaves the version before.
+    """
+    spark = document.sections[0].rows.sparkSession
+
+    def write(folder: str) -> dict:
+        layout: list[dict] = []
+        for number, section in enumerate(document.sections):
+            own = f"{number:04d}"
+            rows = section.rows.repartitionByRange(*section.keys).sortWithinPartitions(*section.keys)
+            rows.select("json").write.option("lineSep", ",").text(f"{folder}/{own}")
+            fs, place, system = versioned.files_of(spark, f"{folder}/{own}")
+            found = sorted((f.getPath().getName(), f.getLen()) for f in system.listStatus(place))
+            parts = [{"part": f"{own}/{name}", "bytes": size} for name, size in found if name.startswith("part-") and size]
+            if parts:
+                parts[-1]["bytes"] -= 1
+            layout += [{"text": section.opening}, *parts]
+        return {"layout": [*layout, {"text": document.closing}]}
+
+    versioned.publish(spark, path, write)
+
+
+def join_document(spark: SparkSession, path: str, out: str) -> None:
+    """One file of a document's current version, copied part after part by streams; it appears under its name when it is whole."""
+    said = versioned.manifest(spark, path)
+    fs, target, system = versioned.files_of(spark, out)
+    fresh = fs.Path(f"{out}.{said['version']}")
+    stream = system.create(fresh, True)
+    try:
+        for piece in said["layout"]:
+            if "text" in piece:
+                stream.write(piece["text"].encode())
+                continue
+            _, part, there = versioned.files_of(spark, f"{path}/{said['version']}/{piece['part']}")
+            source = there.open(part)
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(source, stream, 0, piece["bytes"])
+            source.close()
+    finally:
+        stream.close()
+    system.delete(target, False)
+    system.rename(fresh, target)
 
 
 def of_ids(rows: DataFrame, ids: Iterable[int], key: str = "sr_episode_id") -> DataFrame:

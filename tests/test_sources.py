@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions import text as T
 from tallgrass.operators import export, incremental, search, taxonomy, topics, transcripts
-from tallgrass.sources import fetching, files
+from tallgrass.sources import fetching, files, versioned
 
 
 def test_waits():
@@ -129,8 +129,8 @@ def test_documents(spark, tmp_path):
     schema = "sr_episode_id long, date string, program_type string, length_seconds long, image_url string, short_summary string, episode_speakers array<string>, speaker_ages array<int>, is_listeners_host boolean"
     episodes = spark.createDataFrame([(5, "2020-07-02", "Sommar", 3629, T.IMAGE_URL + "/a.jpg", "s", ["Q1"], [None], True), (4, "2020-07-01", "Sommar", 3631, None, None, [], [], False)], schema)
     files.write_document(export.archive_document(episodes, speakers), str(tmp_path / "d"))
-    text = "".join(p.read_text() for p in (tmp_path / "d").glob("part-*"))
-    assert json.loads(text) == {
+    files.join_document(spark, str(tmp_path / "d"), str(tmp_path / "d.json"))
+    assert json.loads((tmp_path / "d.json").read_text()) == {
         "speakers": {"Q1": {"name": 'A "x"', "count": 2, "ages": [30], "aliases": ["A"], "wiki": "w", "born": "1950", "occupations": ["o"]}},
         "episodes": [
             {"id": 4, "date": "2020-07-01", "type": "Sommar", "minutes": 61, "image": None, "description": None, "speakers": [], "ages": [], "initials": ""},
@@ -141,8 +141,74 @@ def test_documents(spark, tmp_path):
     rolls = spark.createDataFrame([(1, "b", 0.25), (1, "a", 0.25), (1, "zz", 0.9)], "sr_episode_id long, topic_id string, share double")
     near = spark.createDataFrame([(1, 2, 0.51239, 1)], "sr_episode_id long, related_episode_id long, similarity double, rank int")
     shown = spark.createDataFrame([("a", 'say "hi"'), ("b", "B")], "topic_id string, label string")
-    whole = export.payload_document(shown, export.curated_payload(places, rolls, near, shown), 2).first().json
-    assert json.loads(whole) == {"version": 2, "topics": {"a": {"label": 'say "hi"'}, "b": {"label": "B"}}, "episodes": {"1": {"x": 0.12346, "y": -2.0, "dominant": "a", "topics": [["a", 0.25], ["b", 0.25]], "related": [[2, 0.5124]]}, "2": {"x": 0.0, "y": 1.0, "dominant": None, "topics": [], "related": []}}}
+    files.write_document(export.payload_document(shown, export.curated_payload(places, rolls, near, shown), 2), str(tmp_path / "p"))
+    files.join_document(spark, str(tmp_path / "p"), str(tmp_path / "p.json"))
+    assert json.loads((tmp_path / "p.json").read_text()) == {"version": 2, "topics": {"a": {"label": 'say "hi"'}, "b": {"label": "B"}}, "episodes": {"1": {"x": 0.12346, "y": -2.0, "dominant": "a", "topics": [["a", 0.25], ["b", 0.25]], "related": [[2, 0.5124]]}, "2": {"x": 0.0, "y": 1.0, "dominant": None, "topics": [], "related": []}}}
+
+
+def test_documents_in_parts(spark, tmp_path):
+    """Many parts give the bytes that one would; a failed run leaves the version before, and nothing of its own."""
+    keys = [f"k{i:04d}" for i in range(500)]
+    rows = spark.createDataFrame([(k, f'"{k}":{{"t":"a, b\\\\n{k}"}}') for k in keys], "k string, json string").repartition(7)
+    none = rows.filter("false")
+    document = export.Document([export.Section('{"a":{', rows, ["k"]), export.Section('},"b":[', none, ["k"]), export.Section('],"c":{', rows, ["k"])], "}}")
+    path, out = str(tmp_path / "parts"), tmp_path / "whole.json"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.write_document(document, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files.join_document(spark, path, str(out))
+    members = ",".join(f'"{k}":{{"t":"a, b\\\\n{k}"}}' for k in keys)
+    assert out.read_text() == f'{{"a":{{{members}}},"b":[],"c":{{{members}}}}}'
+    said = versioned.manifest(spark, path)
+    assert sum("part" in piece for piece in said["layout"]) > 2
+    broken = export.Document([document.sections[0], export.Section("x", rows.withColumn("json", F.raise_error(F.lit("broken"))), ["k"])], "")
+    with pytest.raises(Exception, match="broken"):
+        files.write_document(broken, path)
+    assert versioned.manifest(spark, path) == said and {p.name for p in (tmp_path / "parts").iterdir() if not p.name.endswith(".crc")} == {"manifest.json", said["version"]}
+    files.write_document(document, path)
+    files.write_document(document, path)
+    now = versioned.manifest(spark, path)
+    assert now["before"] != said["version"] and {p.name for p in (tmp_path / "parts").iterdir() if p.name.startswith("v-")} == {now["version"], now["before"]}
+    files.join_document(spark, path, str(out))
+    assert out.read_text().startswith('{"a":{"k0000"')
+
+
+def test_transcripts_are_limited_by_name(spark, tmp_path):
+    for name in ("3", "20", "100", "x1"):
+        (tmp_path / f"{name}.json").write_text("{" if name == "100" else json.dumps({"segments": [{"start": 0, "end": 1, "text": name}]}))
+    some = files.transcripts_json(spark, str(tmp_path), 2)
+    assert len(some.inputFiles()) == 2 and {r.sr_episode_id for r in some.collect()} == {3, 20}
+    assert {r.sr_episode_id for r in files.transcripts_json(spark, str(tmp_path)).collect()} == {3, 20}
+    assert files.transcripts_json(spark, str(tmp_path / "none"), 2).collect() == [] if (tmp_path / "none").mkdir() is None else False
+
+
+def test_cache_of_computed_columns(spark, tmp_path):
+    """What is there is taken, by content and recipe; what no row has goes; a failed run changes nothing."""
+    path, calls = str(tmp_path / "cache"), []
+
+    def compute(missing):
+        rows = missing.collect()
+        calls.append(sorted(r.text or "" for r in rows))
+        return spark.createDataFrame([(r.content_key, len(r.text or "")) for r in rows], "content_key string, size int")
+
+    make = lambda rows: spark.createDataFrame(rows, "id int, text string")
+    run = lambda rows, recipe="m1": {(r.id, r.text, r.size, r.origin) for r in incremental.refresh(make(rows), path, ["text"], recipe, compute).collect()}
+    assert run([(1, "a"), (2, "bb"), (3, "a"), (4, None)]) == {(1, "a", 1, "computed"), (2, "bb", 2, "computed"), (3, "a", 1, "computed"), (4, None, 0, "computed")}
+    assert calls == [["", "a", "bb"]]  # a text once, however many rows have it
+    assert run([(9, "bb"), (5, "ccc"), (4, None)]) == {(9, "bb", 2, "cached"), (5, "ccc", 3, "computed"), (4, None, 0, "cached")}
+    assert calls[1:] == [["ccc"]] and spark.read.parquet(versioned.current(spark, path)).count() == 3  # "a" went
+    before = versioned.manifest(spark, path)
+
+    def fails(missing):
+        raise RuntimeError("service is down")
+
+    with pytest.raises(RuntimeError):
+        incremental.refresh(make([(1, "new")]), path, ["text"], "m1", fails)
+    assert versioned.manifest(spark, path) == before
+    assert run([(9, "bb")], "m2") == {(9, "bb", 2, "computed")}
+    assert run([]) == set()
 
 
 def test_places_in_order(spark):
