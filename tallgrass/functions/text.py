@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: Every pattern is case-insensitive with Unicode case and character classes.
 I = "(?iuU)"  # noqa: E741
@@ -199,17 +196,21 @@ def age_at(birth: Column, aired: Column, death: Column) -> Column:
     return F.when(alive & (years >= 0) & (F.coalesce(birth, F.lit("")) != ""), years)
 
 
-@F.pandas_udf(StringType())
-def name_key(names: pd.Series) -> pd.Series:
-    """NFKC, case folded, plain apostrophes, single spaces. Spark has no Unicode normalisation, so this runs in Arrow batches."""
-    return names.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).casefold().replace("’", "'").split()))
+def _unicode(kind: str, name: str, text: Column) -> Column:
+    """A function of the Unicode library that Spark brings, where Spark has none of its own: a text and a flag in, a text out; null stays null."""
+    return F.when(text.isNotNull(), F.reflect(F.lit(f"com.ibm.icu.{kind}"), F.lit(name), F.coalesce(text, F.lit("")), F.lit(True)))
 
 
-@F.pandas_udf(StringType())
-def ascii_slug(labels: pd.Series) -> pd.Series:
+def name_key(names: Column) -> Column:
+    """NFKC, case folded, plain apostrophes, single spaces."""
+    plain = F.when(F.length(names) == F.octet_length(names), F.lower(names)).otherwise(_unicode("lang.UCharacter", "foldCase", _unicode("text.Normalizer", "compose", names)))
+    return F.trim(F.regexp_replace(F.replace(plain, F.lit("’"), F.lit("'")), r"[\s\p{Z}\x{85}\x1c-\x1f]+", " "))
+
+
+def ascii_slug(labels: Column) -> Column:
     """ASCII letters and digits of the NFKD form, lower-cased, runs of anything else as one hyphen."""
-    plain = labels.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode().lower())
-    return plain.str.replace(r"[^a-z0-9]+", "-", regex=True).str.strip("-")
+    plain = F.lower(F.regexp_replace(_unicode("text.Normalizer", "decompose", labels), r"[^\x00-\x7f]", ""))
+    return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def simple_slug(label: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import text as T
@@ -24,14 +24,23 @@ def prefix_words(units: DataFrame, ident: str, order: list[str], words: str) ->
 def score_boundaries(units: DataFrame, window_units: int = WINDOW_UNITS) -> DataFrame:
     """A row for every place between two units: how much the mean vectors on its sides differ, and the pause.
 
-    All inside Catalyst: rolling means by position of the vector, distances by episode and place, exact quartiles.
+    All inside Catalyst: the vectors before and from each place on by lags and leads, added position by position, and exact quartiles.
     """
-    long = units.select("sr_episode_id", "unit_index", F.posexplode(V.unit(F.col("embedding"))).alias("i", "v"))
-    line = Window.partitionBy("sr_episode_id", "i").orderBy("unit_index")
-    sides = long.select("sr_episode_id", "unit_index", F.avg("v").over(line.rowsBetween(-window_units, -1)).alias("l"), F.avg("v").over(line.rowsBetween(0, window_units - 1)).alias("r"))
-    length = lambda c: F.greatest(F.sqrt(F.sum(F.col(c) * F.col(c))), F.lit(1e-12))
-    apart = F.greatest(F.lit(0.0), 1 - F.sum(F.col("l") * F.col("r")) / length("l") / length("r"))
-    scores = sides.filter("unit_index > 0").groupBy("sr_episode_id", "unit_index").agg(apart.alias("semantic_distance"))
+    line = Window.partitionBy("sr_episode_id").orderBy("unit_index")
+    unit = units.select("sr_episode_id", "unit_index", V.unit(F.col("embedding")).alias("v"))
+    names = [*(f"b{n}" for n in range(1, window_units + 1)), *(f"f{n}" for n in range(1, window_units))]
+    unit = unit.withColumns({c: (F.lag if c[0] == "b" else F.lead)("v", int(c[1:])).over(line) for c in names}).filter("unit_index > 0")
+
+    def mean(columns: list[str]) -> Column:
+        total = F.col(columns[0])
+        for c in columns[1:]:
+            total = F.when(F.col(c).isNull(), total).otherwise(F.zip_with(total, F.col(c), lambda x, y: x + y))
+        return V.scale(total, sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0)))
+
+    sides = unit.select("sr_episode_id", "unit_index", mean(names[:window_units]).alias("l"), mean(["v", *names[window_units:]]).alias("r"))
+    length = lambda c: F.greatest(V.norm(F.col(c)), F.lit(1e-12))
+    apart = F.greatest(F.lit(0.0), 1 - V.dot(F.col("l"), F.col("r")) / length("l") / length("r"))
+    scores = sides.select("sr_episode_id", "unit_index", apart.alias("semantic_distance"))
     spread = scores.groupBy("sr_episode_id").agg(F.percentile("semantic_distance", F.lit(0.25)).alias("lo"), F.percentile("semantic_distance", F.lit(0.9)).alias("hi"))
     pause = F.greatest(F.lit(0.0), F.col("pause_before_seconds"))
     rows = scores.join(spread, "sr_episode_id").join(units.select("sr_episode_id", "unit_index", pause.alias("pause_seconds"), F.col("start_seconds").alias("timestamp_seconds")), ["sr_episode_id", "unit_index"])

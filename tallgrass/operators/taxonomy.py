@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallgrass.staging import stage
+
 # Evidence that noisy topics need (substrings of the lower-cased text), and editorial additions.
 EVIDENCE_RULES: dict[str, dict[str, Any]] = {
     "boxning": {"min_chunks": 3, "min_distinct_terms": 2, "terms": ["boxning", "boxare", "boxas", "proffsboxare", "mma", "sparring", "fighter", "gonggongen"]},
@@ -66,9 +68,10 @@ def rollups(chunks: DataFrame, totals: DataFrame, themes: DataFrame, manual: Map
     topic and theme but bring no chunks or words. A share is of all words of the episode.
     """
     episode = chunks.groupBy("sr_episode_id", "topic_id").agg(F.count(F.lit(1)).alias("chunk_count"), F.sum("word_count").alias("word_count"))
-    episode = episode.join(totals, "sr_episode_id").withColumn("share", F.col("word_count") / F.col("episode_words")).drop("episode_words")
+    episode = stage(episode.join(totals, "sr_episode_id").withColumn("share", F.col("word_count") / F.col("episode_words")).drop("episode_words"), "shares")
     episode = with_manual(episode, manual).join(themes, "topic_id")
     episode = episode.join(longest_representative(chunks, ["sr_episode_id", "topic_id"]).drop("words"), ["sr_episode_id", "topic_id"], "left")
+    episode = stage(episode, "episode-topics")  # all four tables come from it
     sums = episode.groupBy("topic_id").agg(F.sum("chunk_count").alias("chunk_count"), F.count_distinct("sr_episode_id").alias("episode_count"), F.sum("word_count").alias("word_count"))
     zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("chunk_count", "episode_count", "word_count")}
     topics = themes.join(sums, "topic_id", "left").withColumns(zero)

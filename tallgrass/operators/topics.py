@@ -181,11 +181,13 @@ def terms_of(docs: DataFrame, group: str, text: str, stop_words: tuple[str, ...]
     kept = F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
     rows = docs.select(group, kept.alias("__w"))
 
-    def runs_of(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size("__w") - n + 1), lambda i: F.array_join(F.slice("__w", i, n), " "))
-
-    runs = [runs_of(n) for n in range(2, longest + 1)]
-    every = F.concat(F.col("__w"), *[F.when(F.size("__w") >= n, r).otherwise(F.array().cast("array<string>")) for n, r in enumerate(runs, 2)]) if runs else F.col("__w")
+    # Runs of n words are runs of n - 1 with the word behind each.
+    last, runs = F.col("__w"), [F.col("__w")]
+    for n in range(2, longest + 1):
+        fit = F.greatest(F.size("__w") - n + 1, F.lit(0))
+        last = F.zip_with(F.slice(last, F.lit(1), fit), F.slice("__w", F.lit(n), fit), lambda a, b: F.concat(a, F.lit(" "), b))
+        runs.append(last)
+    every = F.concat(*runs) if len(runs) > 1 else runs[0]
     return rows.select(group, F.explode(every).alias("term"))
 
 

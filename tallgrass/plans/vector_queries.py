@@ -251,8 +251,8 @@ SELECT sr_episode_id, round(m, 4) AS topic_match, row_number() OVER (ORDER BY m
 def topic_match_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = _raw(spark, sf_dir).filter("rank <= 5").groupBy("sr_episode_id").agg(F.collect_list(F.struct("topic_id", "share")).alias("topics"))  # five a row
     match = search.topic_match(F.col("topics"), [2, 5])
-    order = Window.orderBy(F.desc("m"), F.desc("sr_episode_id"))
-    return lists.withColumn("m", match).select("sr_episode_id", F.round("m", 4).alias("topic_match"), F.row_number().over(order).alias("position"))
+    rows = lists.select("sr_episode_id", match.alias("m")).withColumn("place", F.struct((-F.col("m")).alias("m"), (-F.col("sr_episode_id")).alias("e")))
+    return rows.join(incremental.numbered(rows, "place"), "place").select("sr_episode_id", F.round("m", 4).alias("topic_match"), (F.col("position") + 1).alias("position"))
 
 
 @query()
