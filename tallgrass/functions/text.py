@@ -1,8 +1,7 @@
-"""Column expressions for titles, names, dates and transcript text. Everything here runs inside Catalyst, but for ``name_key`` and ``ascii_slug``."""
+"""Column expressions for titles, names, dates and transcript text. Everything here runs inside Catalyst; what it lacks of Unicode is called by ``reflect``."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
