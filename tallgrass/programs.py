@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallgrass import catalog
 from tallgrass.functions import text as T
 from tallgrass.functions import vectors as V
-from tallgrass.operators import archive, chapters, export, neighbours, segment, taxonomy, topics, transcripts
+from tallgrass.operators import archive, chapters, density, export, incremental, neighbours, segment, taxonomy, topics, transcripts
 from tallgrass.sources import files, markdown
 
 #: Keywords of a topic, and neighbours of an episode.
@@ -83,7 +83,7 @@ def topic_outputs(rows: DataFrame, stop_words: tuple[str, ...] = topics.DOMAIN_S
     named = named.withColumns({"label": F.concat_ws("_", F.col("topic_id").cast("string"), F.slice("keywords", 1, 4)), "is_outlier": F.col("topic_id") == -1, "is_low_quality": topics.low_quality(F.col("keywords"))})
     roll = topics.raw_rollup(rows)
     means = V.mean_vectors(rows, ["sr_episode_id"], "embedding").withColumn("embedding", V.unit(F.col("embedding")))
-    places = topics.map_2d(means, "embedding", "sr_episode_id").join(topics.dominant_topics(roll).select("sr_episode_id", "dominant_topic_id"), "sr_episode_id")
+    places = topics.neighbourhood_map(means, "sr_episode_id", "embedding").join(topics.dominant_topics(roll).select("sr_episode_id", "dominant_topic_id"), "sr_episode_id")
     near = neighbours.neighbours(means, "sr_episode_id", "embedding", RELATED).withColumnRenamed("related_id", "related_episode_id")
     examples = taxonomy.longest_representative(rows, ["sr_episode_id", "topic_id"])
     return {"topics": named, "episode_topics": roll.join(examples.drop("words"), ["sr_episode_id", "topic_id"], "left"), "episode_map": places.select("sr_episode_id", "x", "y", "dominant_topic_id"), "related_episodes": near}
@@ -96,11 +96,16 @@ def _payload(spark: SparkSession, folder: str) -> export.Document:
 
 
 def topic_model(spark: SparkSession, args: Namespace) -> None:
-    """Clusters of chunks (with embeddings), their tables, the model, and the browser's document."""
+    """Clusters of chunks (with embeddings), their tables, the model, and the browser's document. With ``min_cluster`` the clusters are those of density, with outliers."""
     rows = spark.read.parquet(args.chunks)
-    model = topics.fit_clusters(rows, "embedding", args.topics, starts=args.starts)
-    model.write().overwrite().save(f"{args.out}/model")
-    _write(topics.predicted(model, rows, "embedding"), f"{args.out}/chunk_topics")
+    if args.min_cluster:
+        placed = rows.join(incremental.numbered(rows, "chunk_id", "__n"), "chunk_id")
+        found = density.density_clusters(placed, "__n", "embedding", args.min_cluster, args.min_samples)
+        _write(placed.join(found, "__n").drop("__n"), f"{args.out}/chunk_topics")
+    else:
+        model = topics.fit_clusters(rows, "embedding", args.topics, starts=args.starts)
+        model.write().overwrite().save(f"{args.out}/model")
+        _write(topics.predicted(model, rows, "embedding"), f"{args.out}/chunk_topics")
     for name, table in topic_outputs(spark.read.parquet(f"{args.out}/chunk_topics")).items():
         _write(table, f"{args.out}/{name}")
     centres = V.mean_vectors(spark.read.parquet(f"{args.out}/chunk_topics"), ["topic_id"], "embedding")
@@ -204,7 +209,7 @@ PROGRAMS = (
     ("segments", segments, ("folder", "out"), {"limit": int}),
     ("units", units, ("segments", "out"), {}),
     ("chunks", chunks, ("units", "out"), {}),
-    ("topics", topic_model, ("chunks", "out"), {"topics": 80, "starts": 10}),
+    ("topics", topic_model, ("chunks", "out"), {"topics": 80, "starts": 10, "min_cluster": 0, "min_samples": int}),
     ("tree", topic_tree, ("model",), {}),
     ("label", label, ("model", "labels"), {"reviewer": "review", "topic_ids": [int], "offset": 0, "limit": int, "apply": False}),
     ("apply", apply_hierarchy, ("model", "proposal"), {}),

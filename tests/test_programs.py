@@ -55,6 +55,11 @@ def test_transcripts_to_topics(spark, folder):
     assert whole["version"] == 1 and set(whole["episodes"]) == {"1", "2", "3", "4"} and len(whole["topics"]) == 2
     assert len({whole["episodes"][e]["dominant"] for e in "13"}) == 1
 
+    main(["topics", f"{out}/ce", f"{out}/d", "--min-cluster", "2", "--min-samples", "1"], spark)
+    found = spark.read.parquet(f"{out}/d/chunk_topics").select("sr_episode_id", "topic_id").collect()
+    assert len(found) == spark.read.parquet(f"{out}/ce").count() and not {r.topic_id for r in found if r.sr_episode_id % 2} & {r.topic_id for r in found if r.sr_episode_id % 2 == 0} - {-1}
+    assert set(document(folder / "d/document")["episodes"]) == {"1", "2", "3", "4"}
+
     labels = spark.createDataFrame([(0, "Noll"), (1, "Ett")], "topic_id int, llm_label string")
     labels.write.parquet(f"{out}/labels")
     main(["label", f"{out}/m", f"{out}/labels", "--topic-ids", "1", "--apply"], spark)
