@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.operators import archive, incremental
+from tallgrass.sources import requests
 
 #: Seconds to wait where a service limits its requests without saying for how long; tries after a broken connection.
 DEFAULT_WAIT, TRIES = 65, 3
@@ -90,57 +91,33 @@ def participants(spark: SparkSession, path: str | Path, fetch: Callable[[], dict
     return spark.createDataFrame(rows, "date string, wikidata_id string, label string")
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
 def people(ids: DataFrame, cache: str, fetch: Callable[[list[str]], list[dict]], refresh: bool = False, size: int = BATCH_IDS, wave: int = WAVE) -> DataFrame:
     """``wikidata_id``, ``pos`` and ``binding`` (JSON) of the wanted ids (column ``wikidata_id``; malformed ones are left out).
 
     Missing ids are asked for in batches of ``size``, a task each. ``wave`` batches at a time are appended to the table ``cache``,
     so a run that breaks off loses no more than these; an id without an answer is remembered too.
     """
-    spark, schema = ids.sparkSession, "wikidata_id string, pos int, binding string"
     wanted = ids.filter(F.col("wikidata_id").rlike("^Q[1-9][0-9]*$")).select("wikidata_id").distinct()
-    held = spark.createDataFrame([], schema) if refresh else _table(spark, cache, schema)
-    todo = incremental.batches(incremental.pending(wanted, held, "wikidata_id"), "wikidata_id", size)
-    last = todo.agg(F.max("batch")).first()[0]
-
-    def ask(batch: pd.DataFrame) -> pd.DataFrame:
-        names, out = sorted(batch["wikidata_id"]), []
-        found = fetch(names)
-        for name in names:
-            own = [b for b in found if ((b.get("speaker") or {}).get("value") or "").rsplit("/", 1)[-1] == name]
-            out += [(name, i, json.dumps(b, ensure_ascii=False)) for i, b in enumerate(own)] or [(name, -1, None)]
-        return pd.DataFrame(out, columns=["wikidata_id", "pos", "binding"])
-
-    mode = "overwrite" if refresh else "append"
-    plan = [r for r in todo.collect()] if last is not None else []  # ids of one archive's people that are not cached
-    for first in range(0, (last if last is not None else -1) + 1, wave):
-        some = spark.createDataFrame([r for r in plan if first <= r["batch"] < first + wave], todo.schema)
-        some.groupBy("batch").applyInPandas(ask, schema).write.mode(mode).parquet(cache)
-        mode = "append"
-    return _table(spark, cache, schema).join(wanted, "wikidata_id", "left_semi").filter("pos >= 0")
+
+    def ask(names: list[str]) -> list[tuple]:
+        own: dict[str, list[dict]] = {name: [] for name in names}
+        for b in fetch(names):
+            own.get(((b.get("speaker") or {}).get("value") or "").rsplit("/", 1)[-1], []).append(b)
+        return [(name, i, json.dumps(b, ensure_ascii=False)) for name in names for i, b in enumerate(own[name])]
+
+    found = requests.answers(wanted, "wikidata_id", cache, ask, "wikidata_id string, pos int, binding string", size, wave, refresh=refresh)
+    return found.join(wanted, "wikidata_id", "left_semi")
 
 
 def playlists(episodes: DataFrame, ids: DataFrame, cache: str, fetch: Callable[[int], dict], order: list[str], most: int | None = None, tasks: int = 4) -> DataFrame:
-    """``sr_episode_id``, ``publishdateutc``, ``songs`` (JSON) of the first wanted episodes in ``order``; what is not in the table ``cache`` is fetched by ``tasks`` tasks and added."""
+    """``sr_episode_id``, ``publishdateutc``, ``songs`` (JSON) of the first wanted episodes in ``order``; what is not in the table ``cache`` is fetched by ``tasks`` tasks and added, some at a time."""
     if tasks < 1:
         raise ValueError("tasks must be positive")
     spark, schema = episodes.sparkSession, "sr_episode_id bigint, songs string"
-    held = _table(spark, cache, schema)
-    plan = incremental.fetch_plan(episodes, ids, held, "sr_episode_id", order, most)
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"sr_episode_id": batch["sr_episode_id"], "songs": [json.dumps(fetch(int(i)).get("song", []), ensure_ascii=False) for i in batch["sr_episode_id"]]})
-
-    missing = plan.filter("origin = 'fetch'").select("sr_episode_id").repartition(tasks)
-    missing.mapInPandas(ask, schema).write.mode("append").parquet(cache)
-    return plan.drop("origin").join(_table(spark, cache, schema), "sr_episode_id").orderBy(*order).select("sr_episode_id", "publishdateutc", "songs")
+    plan = incremental.fetch_plan(episodes, ids, requests.table(spark, cache, schema), "sr_episode_id", order, most)
+    ask = lambda i: [(i[0], json.dumps(fetch(int(i[0])).get("song", []), ensure_ascii=False))]
+    found = requests.answers(plan.select(F.col("sr_episode_id").cast("bigint")), "sr_episode_id", cache, ask, schema, wave=tasks * WAVE, tasks=tasks)
+    return plan.drop("origin").join(found, "sr_episode_id").orderBy(*order).select("sr_episode_id", "publishdateutc", "songs")
 
 
 def portraits(episodes: DataFrame, excluded: list[str], fetch: Callable[[int], dict]) -> DataFrame:

@@ -79,6 +79,34 @@ def test_people_come_in_batches_and_only_once(spark, tmp_path):
     assert sum(len(json.loads(p.read_text())) for p in log.iterdir()) == 11
 
 
+def test_a_run_that_breaks_off_goes_on_without_asking_twice(spark, tmp_path):
+    log, cache = tmp_path / "log", str(tmp_path / "people")
+    log.mkdir()
+
+    def fetch(names, log=str(log)):
+        from pathlib import Path
+
+        if "Q5" in names and not Path(log, "ready").exists():
+            raise OSError("the service is away")
+        for name in names:
+            with Path(log, name).open("a") as file:
+                file.write("x")
+        return [{"speaker": {"value": f"http://x/{n}"}} for n in names if n != "Q1"]
+
+    ids = spark.createDataFrame([(f"Q{i}",) for i in range(1, 10)], "wikidata_id string")
+    with pytest.raises(Exception, match="the service is away"):
+        fetching.people(ids, cache, fetch, size=2, wave=1)
+    (log / "ready").write_text("")
+    some = spark.createDataFrame([("Q2",), ("Q20",)], "wikidata_id string")
+    assert {r.wikidata_id for r in fetching.people(some, cache, fetch, size=2, wave=1).collect()} == {"Q2", "Q20"}
+    # The second run wanted two ids, and also took up what the first one had left.
+    assert {p.name: p.read_text() for p in log.iterdir() if p.name != "ready"} == {f"Q{i}": "x" for i in [*range(1, 10), 20]}
+    assert {r.wikidata_id for r in fetching.people(ids, cache, fetch).collect()} == {f"Q{i}" for i in range(2, 10)}
+    assert (log / "Q1").read_text() == "x"  # an id without an answer is not asked for again
+    assert fetching.people(some, cache, fetch, refresh=True).count() == 2 and (log / "Q2").read_text() == "xx"
+    assert fetching.people(ids.limit(0), str(tmp_path / "none"), fetch).count() == 0
+
+
 def test_playlists_keep_the_order(spark, tmp_path):
     def fetch(i):
         return {"song": [{"title": f"t{i}"}]}
