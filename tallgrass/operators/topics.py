@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-import numpy as np
-
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -268,51 +266,6 @@ def neighbourhood_map(df: DataFrame, ident: str, vector: str, k: int = 15, min_d
     return df.withColumn("__id", F.col(ident).cast("long")).join(places, "__id", "left").drop("__id")
 
 
-def merge_tree(centroids: DataFrame, ident: str, vector: str) -> DataFrame:
-    """Average-linkage tree over clusters: a row for each merge, with the two parts, the distance and the leaves below.
-
-    Nodes are numbered from the largest id on in the order of their distances. The centroids come to the driver. The mean
-    cosine between two groups is the product of their sums, so chains of nearest neighbours need no matrix of distances.
-    """
-    rows = centroids.select(ident, vector).orderBy(ident).collect()  # a row for each cluster
-    n = len(rows)
-    sums = np.array([r[1] for r in rows], float).reshape(n, -1)
-    sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    leaves, alive, chain, merges = np.ones(n), np.ones(n, bool), [], []
-    for _ in range(n - 1):
-        chain = chain or [int(alive.argmax())]
-        while True:
-            last = chain[-1]
-            apart = np.where(alive, 1 - (sums @ sums[last]) / (leaves * leaves[last]), np.inf)
-            apart[last] = np.inf
-            before = chain[-2] if len(chain) > 1 else None
-            near = int(apart.argmin())
-            if before is not None and apart[before] <= apart[near] + 1e-15:
-                break
-            chain.append(near)
-        distance = float(apart[before])
-        i, j = sorted((chain.pop(), chain.pop()))
-        merges.append((distance, i, j))
-        sums[i] += sums[j]
-        leaves[i] += leaves[j]
-        alive[j] = False
-    # Merges in the order of their distances; a place stands for the node that last took it in.
-    merges.sort(key=lambda m: m[0])
-    into, names, size = list(range(n)), [int(r[0]) for r in rows], [1] * n
-    after, out = max(names, default=0) + 1, []
-
-    def top(i: int) -> int:
-        while into[i] != i:
-            i = into[i]
-        return i
-
-    for step, (distance, i, j) in enumerate(merges):
-        i, j = sorted((top(i), top(j)))
-        out.append((step, names[i], names[j], after, distance, size[i] + size[j]))
-        into[j], names[i], size[i], after = i, after, size[i] + size[j], after + 1
-    return centroids.sparkSession.createDataFrame(out, "step int, part_a long, part_b long, node long, distance double, leaves int")
-
-
 def usable(topics: DataFrame, ids: list[int] | None = None, offset: int = 0, limit: int | None = None) -> DataFrame:
     """Topics but for the outlier and those of low quality: given ids (an unknown or excluded one is an error), or a page in the order of the ids."""
     rows = topics.filter((F.col("topic_id") != -1) & ~F.coalesce("is_low_quality", F.lit(False)))

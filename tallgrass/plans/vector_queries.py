@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
-from tallgrass.operators import cells, density, export, incremental, layout, neighbours, search, segment, taxonomy, topics
+from tallgrass.operators import cells, density, export, incremental, layout, linkage, neighbours, search, segment, taxonomy, topics
 from tallgrass.plans.registry import query, table
 
 RULES = topics.Thresholds(min_similarity=0.35, min_winner_margin=0.02, accept_ambiguous_above=0.5, supporting_min=0.2, supporting_margin=0.01)
@@ -311,7 +311,7 @@ def fuzzy_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def topic_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average-linkage tree over the mean vectors of the labels."""
-    return topics.merge_tree(V.mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding"), "label", "embedding")
+    return linkage.merge_tree(V.mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding"), "label", "embedding")
 
 
 @query("""WITH n AS (SELECT label, list(vec_id ORDER BY vec_id)[1:2] AS v FROM embeddings GROUP BY label) SELECT label AS topic_id, generate_subscripts(v, 1) - 1 AS example, unnest(v) AS vec_id FROM n""")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallgrass import catalog
 from tallgrass.functions import text as T
 from tallgrass.functions import vectors as V
-from tallgrass.operators import archive, chapters, density, export, incremental, neighbours, segment, taxonomy, topics, transcripts
+from tallgrass.operators import archive, chapters, density, export, incremental, linkage, neighbours, segment, taxonomy, topics, transcripts
 from tallgrass.sources import files, markdown
 
 #: Keywords of a topic, and neighbours of an episode.
@@ -116,7 +116,7 @@ def topic_model(spark: SparkSession, args: Namespace) -> None:
 def topic_tree(spark: SparkSession, args: Namespace) -> None:
     """The tree of a model's topics."""
     centres = files.from_half(spark.read.parquet(f"{args.model}/topic_vectors"), "embedding")
-    _write(topics.merge_tree(centres, "topic_id", "embedding"), f"{args.model}/topic_tree")
+    _write(linkage.merge_tree(centres, "topic_id", "embedding"), f"{args.model}/topic_tree")
 
 
 def label(spark: SparkSession, args: Namespace) -> None:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.functions import text as T
-from tallgrass.operators import export, incremental, search, taxonomy, topics, transcripts
+from tallgrass.operators import export, incremental, linkage, search, taxonomy, topics, transcripts
 from tallgrass.sources import fetching, files, versioned
 
 
@@ -296,7 +296,7 @@ def test_tree_is_that_of_all_distances(spark):
     rng = np.random.default_rng(2)
     vectors = rng.normal(size=(25, 5))
     df = spark.createDataFrame([(i - 1, v.tolist()) for i, v in enumerate(vectors)], "id int, v array<double>")
-    got = [(r.distance, r.leaves) for r in topics.merge_tree(df, "id", "v").orderBy("step").collect()]
+    got = [(r.distance, r.leaves) for r in linkage.merge_tree(df, "id", "v").orderBy("step").collect()]
     u = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     groups, want = [[i] for i in range(25)], []
     while len(groups) > 1:

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallgrass.operators import export, neighbours, search, topics
+from tallgrass.operators import export, linkage, neighbours, search, topics
 from tallgrass.sources import files, markdown
 from tallgrass.sources.radio_api import RadioApi
 from tallgrass.streaming import incoming
@@ -131,5 +131,5 @@ def test_clusters_and_map(spark):
 
 def test_tree(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.99, 0.1]), (5, [0.0, 1.0])], "id int, v array<double>")
-    got = [(r.part_a, r.part_b, r.node, r.leaves) for r in topics.merge_tree(df, "id", "v").orderBy("step").collect()]
+    got = [(r.part_a, r.part_b, r.node, r.leaves) for r in linkage.merge_tree(df, "id", "v").orderBy("step").collect()]
     assert got == [(1, 2, 6, 2), (6, 5, 7, 3)]
