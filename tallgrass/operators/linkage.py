@@ -161,7 +161,8 @@ def merge_tree(centroids: DataFrame, ident: str, vector: str, local_groups: int
     last = _chain([r["id"] for r in rows], [r["born"] for r in rows], [r["height"] for r in rows], np.array([r["leaves"] for r in rows]), sums, born + 1)
     merges = reduce(DataFrame.unionByName, rounds, spark.createDataFrame(last, _MERGES)).withColumn("key", F.struct("distance", "born", "a"))
     if rounds:
-        merges = merges.join(numbered(merges, "key", "step"), "key")
+        merges = stage(merges, "merges")
+        merges = stage(merges.join(numbered(merges, "key", "step"), "key"), "numbered")
     else:  # they stand in their order
         merges = merges.withColumn("step", F.col("born") - 1)
     node = (F.col("step") + first).cast("long")

@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a block, which is shipped as a whole, and of the parts of it that are multiplied at a time.
-BLOCK_ROWS, PART_ROWS = 32_768, 2048
+#: Vectors of a block, which is shipped as a whole, the least for which a block of its own is worth it, and of the parts that are multiplied at a time.
+BLOCK_ROWS, LEAST_ROWS, PART_ROWS = 32_768, 1024, 2048
 
 
 def mean_of(df: DataFrame, vector: str) -> tuple[list[float], int]:
@@ -70,7 +70,8 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
         length = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
         mean, number = mean_of(unit.withColumn("u", F.transform("v", lambda x: x / F.greatest(length, F.lit(1e-12)))), "u")
         centre = np.array(mean or [0.0])
-    blocks = max(1, -(-(number or df.count()) // block_rows))
+    number = number or df.count()
+    blocks = max(1, -(-number // block_rows), min(df.sparkSession.sparkContext.defaultParallelism, number // LEAST_ROWS))
     unit = unit.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     out = "id long, related long, s double, r double"
 
