@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.functions import text as T
 from tallgrass.functions import vectors as V
-from tallgrass.operators import export, neighbours, search, topics
+from tallgrass.operators import export, neighbours, search, textindex, topics
 from tallgrass.plans.registry import query, table
 from tallgrass.plans.vector_queries import chunks
+from tallgrass.staging import own_folder
 
 _ROWS = """WITH r AS (SELECT o_orderkey AS sr_episode_id, strftime(o_orderdate, '%Y-%m-%d') AS date, lower(o_orderpriority || ' ' || c_mktsegment) AS description, c_name AS speaker, n_name, r_name, o_orderstatus AS program_type, n_regionkey AS theme, n_nationkey AS topic,
  CASE WHEN o_orderkey % 4 <> 0 THEN year(o_orderdate) - 1930 - c_custkey % 40 END AS age, o_custkey % 3 = 0 AS comes_back FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) """
@@ -32,6 +36,32 @@ def facet_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.page(found, "newest").select("sr_episode_id", "date", "speaker")
 
 
+def _index(rows: DataFrame, ident: str, column: str) -> str:
+    path = f"{own_folder(rows.sparkSession)}/text-index-{uuid.uuid4().hex}"
+    textindex.build(rows, ident, column, path)
+    return path
+
+
+@query(_ROWS + "SELECT sr_episode_id, date, speaker FROM r WHERE description LIKE '%low h%' AND date >= '1995-01-01' AND date < '1999-01-01' AND theme IN (1, 3) ORDER BY date DESC, sr_episode_id DESC LIMIT 100")
+def facet_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text by the index, the other filters and the page as ever."""
+    found = textindex.containing(spark, _index(records(spark, sf_dir), "sr_episode_id", "description"), "Low H")
+    found = search.matching(found, search.Filters(text="Low H", year_from=1995, year_to=1998, themes=(1, 3)))
+    return search.page(found, "newest").select("sr_episode_id", "date", "speaker")
+
+
+#: Searches of the documents: one, two and more characters, white space inside, other letters, and one without a result.
+SEARCHES = ("7", "zq", "license", " of the ", "ü", "@", "no such text anywhere")
+
+
+@query("SELECT s.item, doc_id FROM documents JOIN (SELECT unnest(['7', 'zq', 'license', ' of the ', 'ü', '@', 'no such text anywhere']) AS item) s ON contains(lower(text), trim(s.item))")
+def text_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a text, for some texts, over one index of all documents."""
+    path = _index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = [textindex.containing(spark, path, text).select(F.lit(text).alias("item"), "doc_id") for text in SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(_ROWS + "SELECT sr_episode_id, speaker, age FROM r WHERE comes_back AND program_type = 'O' AND topic IN (2, 7, 11) ORDER BY age DESC NULLS LAST, date DESC, sr_episode_id DESC LIMIT 100")
 def facet_search_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chosen topics take the place of themes; missing ages come last."""
