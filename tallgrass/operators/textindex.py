@@ -1,4 +1,4 @@
-"""An index for texts that contain a text: bitmaps of the rows that hold a run of one, two or three characters.
+"""An index for texts that contain a text: bitmaps of the rows that hold a run of three characters.
 
 Rows have places in the order of their identifiers and stand in blocks of as many as a bitmap has bits, a partition each. A search reads the bitmaps of its own
 runs, intersects them block by block, and reads only the blocks that are left; of these the rows whose bit is set are candidates, in which the text is looked for.
@@ -16,21 +16,19 @@ from tallgrass.operators.incremental import numbered
 from tallgrass.sources import versioned
 from tallgrass.staging import stage
 
-#: Characters of the longest run. Texts of fewer characters are runs themselves.
-RUN = 3
+#: Characters of a run, and what stands behind a text, so that every character begins one: a text of fewer characters is the beginning of runs.
+RUN, END = 3, "\0\0"
 
 
 def runs_of(text: Column) -> Column:
-    """The different runs of one to ``RUN`` characters of a text; none for null."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    from_ = lambda start: F.slice(chars, start, F.size(chars) + 1)
-    pairs = F.zip_with(chars, from_(2), lambda a, b: F.concat(a, b))  # null at the end, where one is missing
-    triples = F.zip_with(pairs, from_(3), lambda a, b: F.concat(a, b))
-    return F.coalesce(F.array_distinct(F.array_compact(F.concat(chars, pairs, triples))), F.array().cast("array<string>"))
+    """The different runs of three characters of a text and its end; none for null."""
+    runs = lambda c: F.array_distinct(F.transform(F.slice(c, 1, F.size(c) - RUN + 1), lambda x, i: F.concat(x, F.get(c, i + 1), F.get(c, i + 2))))
+    chars = F.split(F.concat(text, F.lit(END)), "")
+    return F.coalesce(F.get(F.transform(F.array(chars), runs), F.lit(0)), F.array().cast("array<string>"))  # so a text is split once
 
 
 def runs_wanted(text: str) -> list[str]:
-    """The runs that a text has to have if it contains ``text``, the longest ones only."""
+    """The runs that a text has to have if it contains ``text``; of a short one the beginning of the runs of which it needs any."""
     size = min(RUN, len(text))
     return sorted({text[i : i + size] for i in range(len(text) - size + 1)}) if size else []
 
@@ -59,8 +57,11 @@ def containing(spark: SparkSession, path: str, text: str) -> DataFrame:
     folder, said, wanted = versioned.current(spark, path), versioned.manifest(spark, path), text.strip().lower()
     rows = spark.read.schema(StructType.fromJson(json.loads(said["schema"]))).parquet(f"{folder}/rows")
     if runs := runs_wanted(wanted):
-        maps = spark.read.schema("run string, __block long, bits binary").parquet(f"{folder}/runs").filter(F.col("run").isin(runs))
-        shared = maps.groupBy("__block").agg(F.bitmap_and_agg("bits").alias("__bits"), F.count(F.lit(1)).alias("runs")).filter(F.col("runs") == len(runs))
+        maps = spark.read.schema("run string, __block long, bits binary").parquet(f"{folder}/runs")
+        if len(wanted) < RUN:
+            shared = maps.filter(F.col("run").startswith(wanted)).groupBy("__block").agg(F.bitmap_or_agg("bits").alias("__bits"))
+        else:
+            shared = maps.filter(F.col("run").isin(runs)).groupBy("__block").agg(F.bitmap_and_agg("bits").alias("__bits"), F.count(F.lit(1)).alias("__runs")).filter(F.col("__runs") == len(runs))
         # As a table its size is known: Spark broadcasts it where it is small, and then reads its blocks only.
         shared = stage(shared.select("__block", "__bits", F.bitmap_count("__bits").alias("__n")), "blocks").filter("__n > 0")
         byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
