@@ -64,11 +64,13 @@ def match_entities(speakers: DataFrame, episodes: DataFrame, participants: DataF
     only = people.groupBy("date").agg(F.count(F.lit(1)).alias("__n"), F.min("wikidata_id").alias("__only"))
     rows = speakers.join(episodes.select("sr_episode_id", "date"), "sr_episode_id", "left")
     rows = rows.withColumn("__speakers", F.count(F.lit(1)).over(Window.partitionBy("sr_episode_id")))
-    known = F.create_map(*[F.lit(x) for kv in LABEL_OVERRIDES.items() for x in kv])
-    rows = rows.withColumns({"__a": key(F.col("speaker")), "__b": key(F.coalesce(known[F.col("speaker")], F.col("speaker")))})
-    names = rows.select("sr_episode_id", "speaker_index", "date", F.explode(F.array_distinct(F.array("__a", "__b"))).alias("__label"))
-    same = names.join(people, ["date", "__label"]).groupBy("sr_episode_id", "speaker_index").agg(F.count_distinct("wikidata_id").alias("__m"), F.min("wikidata_id").alias("__match"))
-    rows = rows.join(same, ["sr_episode_id", "speaker_index"], "left").join(only, "date", "left")
+    # Participants are counted by date and name before a speaker meets them: the pairs of a day's speakers and participants are never made. A
+    # speaker who has another name too looks under a name of their own, where the participants of both names are.
+    other = [F.when((F.col("__label") == key(F.lit(said))) | (F.col("__label") == key(F.lit(name))), f"\0{said}") for said, name in LABEL_OVERRIDES.items()]
+    named = people.withColumn("__names", F.array_compact(F.array("__label", *other))).select("date", "wikidata_id", F.explode("__names").alias("__name"))
+    same = named.groupBy("date", "__name").agg(F.count(F.lit(1)).alias("__m"), F.min("wikidata_id").alias("__match"))
+    name = F.when(F.col("speaker").isin(*LABEL_OVERRIDES), F.concat(F.lit("\0"), "speaker")).otherwise(key(F.col("speaker")))
+    rows = rows.withColumn("__name", name).join(same, ["date", "__name"], "left").join(only, "date", "left")
     ids = F.create_map(*[F.lit(x) for kv in ID_OVERRIDES.items() for x in kv])
     found = F.coalesce(ids[F.col("speaker")], F.when(F.col("__m") == 1, F.col("__match")), F.when((F.coalesce("__m", F.lit(0)) != 1) & (F.col("__n") == 1) & (F.col("__speakers") == 1), F.col("__only")))
     return rows.withColumn("wikidata_id", found).select(*speakers.columns, "wikidata_id") if "wikidata_id" not in speakers.columns else rows.withColumn("wikidata_id", found).select(*speakers.columns)

@@ -38,6 +38,20 @@ def test_matching(spark):
     assert got == {(1, 1): "Q1", (2, 1): "Q2", (2, 2): None, (3, 1): "Q113960293", (4, 1): None, (5, 1): None}
 
 
+def test_a_day_of_many_speakers_and_participants_makes_no_pairs(spark):
+    """Two thousand speakers and participants of one day and name: no step of the match has more rows than speakers and participants."""
+    speakers = spark.range(2000).select(F.col("id").alias("sr_episode_id"), F.lit(1).alias("speaker_index"), F.when(F.col("id") == 0, "Hooja").otherwise("Same Name").alias("speaker"))
+    episodes = spark.range(2000).select(F.col("id").alias("sr_episode_id"), F.lit("2020-01-01").alias("date"))
+    name = F.when(F.col("id") == 5, "HOOJA").when(F.col("id") == 6, "joakim lithner").otherwise("same name")
+    people = spark.range(2000).select(F.lit("2020-01-01").alias("date"), F.concat(F.lit("Q"), F.col("id") + 1).alias("wikidata_id"), name.alias("label"))
+    found = archive.match_entities(speakers, episodes, people)
+    assert found.filter("wikidata_id IS NOT NULL").count() == 0 and found.count() == 2000
+    one = archive.match_entities(speakers, episodes, people.filter("wikidata_id <> 'Q6'")).filter("wikidata_id IS NOT NULL").collect()
+    assert [(r.sr_episode_id, r.wikidata_id) for r in one] == [(0, "Q7")]
+    joins = archive.match_entities(speakers, episodes, people)._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.count("Join Inner") == 0
+
+
 def test_speakers_and_ages_stay_aligned(spark):
     episodes = spark.createDataFrame([(1, "2020-01-01")], "sr_episode_id int, date string")
     appearing = spark.createDataFrame([(1, 2, "B", "Q2"), (1, 1, "A", "Q1"), (1, 3, "A", "Q1"), (1, 4, "C", "Q3")], "sr_episode_id int, speaker_index int, speaker string, wikidata_id string")
