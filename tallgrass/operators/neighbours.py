@@ -6,16 +6,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 #: Vectors of a block, which is shipped as a whole, the least for which a block of its own is worth it, and of the parts that are multiplied at a time.
 BLOCK_ROWS, LEAST_ROWS, PART_ROWS = 32_768, 1024, 2048
 
 
-def mean_of(df: DataFrame, vector: str) -> tuple[list[float], int]:
-    """The mean vector, and the number of vectors: one sum and count for each position, aggregated in parallel."""
-    rows = df.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"), F.count(F.lit(1)).alias("n")).collect()  # a row a position
+def mean_of(df: DataFrame, vector: str, unit: bool = False) -> tuple[list[float], int]:
+    """The mean vector, of vectors brought to length 1 with ``unit``, and the number of vectors: a sum and count of each task, added up by position in parallel."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = np.zeros(0), 0
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1) if len(batch) else np.zeros((0, 0))
+            if unit:
+                values = values / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), 1e-12)
+            if len(values):
+                total, number = values.sum(axis=0) + (total if number else 0), number + len(values)
+        if number:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([number])], ["s", "n"])
+
+    parts = df.select(F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL").mapInArrow(sums, "s array<double>, n long")
+    rows = parts.select(F.posexplode("s").alias("i", "x"), "n").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("m"), F.sum("n").alias("n")).collect()  # a row a position
     return [r["m"] for r in sorted(rows, key=lambda r: r["i"])], max((r["n"] for r in rows), default=0)
 
 
@@ -28,47 +42,80 @@ def _vectors(part: pd.DataFrame, centre: np.ndarray) -> tuple[np.ndarray, np.nda
     return part["id"].to_numpy(np.int64), raw, moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
 
 
-def _packed(unit: DataFrame, centre: np.ndarray) -> DataFrame:
-    """A row a block (column ``own``): identifiers, and vectors of length 1, as they are and less the centre, as bytes."""
+def _packed(unit: DataFrame) -> DataFrame:
+    """A row a block (column ``own``): identifiers, ascending, and vectors of length 1 as bytes."""
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        ids, raw, moved = _vectors(part, centre)
-        return pd.DataFrame({"own": [int(part["own"].iloc[0])], "ids": [ids.tobytes()], "raw": [raw.tobytes()], "moved": [moved.tobytes()]})
+        ids, raw, _ = _vectors(part, np.zeros(1))
+        return pd.DataFrame({"own": [int(part["own"].iloc[0])], "ids": [ids.tobytes()], "raw": [raw.tobytes()]})
+
+    return unit.groupBy("own").applyInPandas(pack, "own int, ids binary, raw binary")
+
+
+def block_pairs(mine: DataFrame, theirs: DataFrame, blocks: int) -> GroupedData:
+    """Every block of ``mine`` with every block of ``theirs`` (column ``own`` from 0, the others the same), as a group of two rows: ``mine`` is first by column ``side``.
+
+    A pair is a group of its own, so a task holds two blocks at a time, and pairs are dealt evenly.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    columns = [c for c in mine.columns if c != "own"]
+    left = mine.select(F.col("own").alias("__a"), every.alias("__b"), F.lit(0).alias("side"), *columns)
+    return left.union(theirs.select(every.alias("__a"), F.col("own").alias("__b"), F.lit(1).alias("side"), *columns)).groupBy("__a", "__b")
+
 
-    return unit.groupBy("own").applyInPandas(pack, "own int, ids binary, raw binary, moved binary")
+def _largest(score: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the scores that are above ``least`` or about equal; of a row that has many the k best, the first ones of equal ones."""
+    mask = score >= least[:, None] - 1e-11
+    many = np.flatnonzero(np.count_nonzero(mask, axis=1) > 4 * k)
+    if len(many):
+        some = np.round(score[many], 12)
+        last = np.partition(some, -k, axis=1)[:, -k][:, None] if some.shape[1] > k else np.full((len(many), 1), -np.inf)
+        ties = some == last
+        mask[many] = (some > last) | (ties & (np.cumsum(ties, axis=1, dtype=np.int32) <= k))
+    return np.divmod(np.flatnonzero(mask), score.shape[1])
 
 
 def _best(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> Iterator[pd.DataFrame]:
-    """The k best of ``theirs`` for each of ``mine`` (identifiers ascending, raw and moved vectors), some rows at a time."""
+    """The k best of ``theirs`` for each of ``mine`` (identifiers ascending, raw and moved vectors), some rows at a time.
+
+    Of a product only what reaches a row's k-th best so far is looked at, so that nearly all of the work is the product.
+    """
     others = theirs[0]
     for at in range(0, len(mine[0]), PART_ROWS):
         ids, raw, moved = (x[at : at + PART_ROWS] for x in mine)
-        kept_s, kept_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
+        row, s, col = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        least = np.full(len(ids), -np.inf)
         for first in range(0, len(others), PART_ROWS):
-            score = np.round(moved @ theirs[2][first : first + PART_ROWS].T, 12)  # equal ones stay equal whatever the block
-            score[ids[:, None] == others[None, first : first + PART_ROWS]] = -np.inf
-            s = np.concatenate([kept_s, score], axis=1)
-            i = np.concatenate([kept_i, np.broadcast_to(np.arange(first, first + score.shape[1]), score.shape)], axis=1)
-            top = np.argsort(-s, axis=1, kind="stable")[:, :k]  # of equal ones the smaller identifier, which stands first
-            kept_s, kept_i = np.take_along_axis(s, top, 1), np.take_along_axis(i, top, 1)
-        row, col = np.repeat(np.arange(len(ids)), kept_i.shape[1]), kept_i.ravel()
-        fine = np.isfinite(kept_s.ravel())
-        row, col = row[fine], col[fine]
-        yield pd.DataFrame({"id": ids[row], "related": others[col], "s": kept_s.ravel()[fine], "r": (raw[row] * theirs[1][col]).sum(axis=1)})
+            score, there = moved @ theirs[2][first : first + PART_ROWS].T, others[first : first + PART_ROWS]
+            begin, end = np.searchsorted(there, ids), np.searchsorted(there, ids, "right")
+            while len(own := np.flatnonzero(begin < end)):
+                score[own, begin[own]] = -np.inf
+                begin[own] += 1
+            r, c = _largest(score, least, k)
+            if not len(r):
+                continue
+            new = np.round(score[r, c], 12)  # equal ones stay equal whatever the block
+            row, s, col = np.concatenate([row, r]), np.concatenate([s, new]), np.concatenate([col, first + c])
+            order = np.lexsort((col, -s, row))  # of equal ones the smaller identifier, which stands first
+            row, s, col = row[order], s[order], col[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            least[row[place == k - 1]] = s[place == k - 1]
+            kept = (place < k) & np.isfinite(s)
+            row, s, col = row[kept], s[kept], col[kept]
+        yield pd.DataFrame({"id": ids[row], "related": others[col], "s": s, "r": (raw[row] * theirs[1][col]).sum(axis=1)})
 
 
 def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``id_col``, ``related_id``, ``similarity`` (that ranks), ``raw_similarity``, ``rank`` 1 to k; ties go to the smaller id.
 
     With ``centred`` the corpus mean is taken off the unit vectors first. Every row is compared with every other, as
-    blocks in matrix products that give k candidates for each row and pair of blocks. A block is one row of bytes; it goes
-    to as many tasks as there are blocks, so larger blocks move less.
+    blocks in matrix products that give k candidates for each row and pair of blocks. A block is one row of bytes, which is shipped
+    twice as often as there are blocks, so larger blocks move less.
     """
     unit = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     centre, number = np.zeros(1), 0
     if centred:
-        length = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-        mean, number = mean_of(unit.withColumn("u", F.transform("v", lambda x: x / F.greatest(length, F.lit(1e-12)))), "u")
+        mean, number = mean_of(unit, "v", unit=True)
         centre = np.array(mean or [0.0])
     number = number or df.count()
     blocks = max(1, -(-number // block_rows), min(df.sparkSession.sparkContext.defaultParallelism, number // LEAST_ROWS))
@@ -79,18 +126,21 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
         whole = _vectors(part, centre)
         return pd.concat(list(_best(whole, whole, k)))
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                read = lambda ids, raw, moved: ((n := np.frombuffer(ids, np.int64)), np.frombuffer(raw).reshape(len(n), -1), np.frombuffer(moved).reshape(len(n), -1))
-                yield from _best(read(row.ids, row.raw, row.moved), read(row.ids2, row.raw2, row.moved2), k)
+    def read(ids: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        numbers = np.frombuffer(ids, np.int64)
+        there = np.frombuffer(raw).reshape(len(numbers), -1)
+        moved = there - centre
+        return numbers, there, moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+
+    def compare(pair: pd.DataFrame) -> pd.DataFrame:
+        mine, theirs = (read(r.ids, r.raw) for r in pair.sort_values("side").itertuples())
+        return pd.concat(list(_best(mine, theirs, k)))
 
     if blocks == 1:
         found = unit.groupBy("own").applyInPandas(alone, out)
     else:
-        packed = _packed(unit, centre)
-        there = packed.select(F.col("own").alias("other"), *[F.col(c).alias(c + "2") for c in ("ids", "raw", "moved")])
-        found = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(there, "other").mapInPandas(compare, out)
+        packed = _packed(unit)
+        found = block_pairs(packed, packed, blocks).applyInPandas(compare, out)
     order = Window.partitionBy("id").orderBy(F.desc("s"), "related")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(id_col), F.col("related").alias("related_id"), F.col("s").alias("similarity"), F.col("r").alias("raw_similarity"), "rank")

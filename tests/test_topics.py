@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,28 @@ def test_neighbours_agree_over_blocks(spark):
     assert one == many and len(one) == 300
 
 
+def test_of_a_product_little_is_looked_at():
+    """A row of many equal scores keeps the first ones; one that has its k best keeps what reaches the last of them."""
+    score = np.tile(np.arange(2000) % 7 / 7, (3, 1))
+    row, col = neighbours._largest(score, np.array([-np.inf, 5.5 / 7, 1.0]), 4)
+    assert (row < 2).all() and len(row) <= 16
+    best = sorted(range(2000), key=lambda j: (-score[0, j], j))[:4]
+    assert all(set(best) <= set(col[row == i]) for i in (0, 1))
+
+
+def test_neighbours_of_copies_over_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in (rng.normal(size=5) if i % 3 else np.ones(5))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>").repartition(3)
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    moved = unit - unit.mean(axis=0)
+    s = np.round((moved := moved / np.linalg.norm(moved, axis=1, keepdims=True)) @ moved.T, 9)
+    want = {(i, j, r) for i in range(300) for r, j in enumerate(sorted((j for j in range(300) if j != i), key=lambda j: (-s[i, j], j))[:6], 1)}
+    for block in (1000, 40):
+        assert {(r.id, r.related_id, r["rank"]) for r in neighbours.neighbours(df, "id", "v", 6, block_rows=block).collect()} == want
+
+
 def test_search(spark):
     rows = [(1, "2010-07-01", "om havet", "Östen", [30, None], [1], [1]), (2, "2011-01-01", "om skogen", "Åsa", [None], [2], [1]), (3, "2012-07-01", "Havet igen", "Zara", [60], [1], [2])]
     df = spark.createDataFrame(rows, "sr_episode_id int, date string, description string, speaker string, ages array<int>, topic_ids array<int>, theme_ids array<int>")
