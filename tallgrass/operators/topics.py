@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallgrass.functions import vectors as V
 from tallgrass.operators import layout
@@ -194,16 +196,47 @@ def least_groups(documents: int, min_df: int = 3) -> int:
     return 1 if documents < 100 else min_df
 
 
+#: Occurrences that a task adds up at a time.
+ADDED_ROWS = 1 << 20
+
+
+def _added_up(terms: DataFrame, group: str, term: str) -> DataFrame:
+    """Groups, terms and how often they occur (``n``) among some neighbouring rows; the same group and term can come again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch.rename_columns(["g", "t"]))
+            rows += len(batch)
+            if rows >= ADDED_ROWS:
+                yield from added(held)
+                held, rows = [], 0
+        if held:
+            yield from added(held)
+
+    def added(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = pa.Table.from_batches(held).group_by(["g", "t"]).aggregate([([], "count_all")])
+        yield from sums.select(["g", "t", "count_all"]).rename_columns([group, term, "n"]).to_batches(max_chunksize=10_000)
+
+    kind = terms.schema
+    return terms.mapInArrow(run, StructType([kind[group], kind[term], StructField("n", LongType())]))
+
+
 def term_weights(terms: DataFrame, group: str, term: str, min_df: int = 3) -> DataFrame:
     """Class-based term weights: square root of the frequency in the class times a BM25 inverse class frequency.
 
     ``terms`` has a row for each occurrence (``terms_of``); terms in fewer than ``min_df`` groups (``least_groups``) are left out.
     """
-    counts = terms.groupBy(group, term).agg(F.count(F.lit(1)).alias("tf"))
-    overall = counts.groupBy(term).agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    # One shuffle, by term: what a task has of a term and group is added up before it, and what a term needs of its groups is there behind it. Most
+    # terms are in few groups. They are no more than numbers from there on, which only the sizes of the groups need.
+    counts = _added_up(terms.select(group, term), group, term).repartition(term).groupBy(group, term).agg(F.sum("n").alias("tf"))
+    every = Window.partitionBy(term)
+    counts = counts.withColumns({"f": F.sum("tf").over(every), "df": F.count(F.lit(1)).over(every)})
+    enough = F.col("df") >= min_df
+    counts = stage(counts.select(group, F.when(enough, F.col(term)).alias(term), "tf", F.when(enough, F.col("f")).alias("f"), F.when(enough, F.col("df")).alias("df")), "terms", 10_000)
     size = counts.groupBy(group).agg(F.sum("tf").alias("words"))
     mean = size.agg(F.avg("words").alias("average"))
-    rows = counts.join(overall, term).join(size, group).join(F.broadcast(mean))  # one row
+    rows = counts.filter(F.col("df").isNotNull()).join(size, group).join(F.broadcast(mean))  # one row
     idf = F.log1p((F.col("average") - F.col("f") + 0.5) / (F.col("f") + 0.5))
     return rows.select(group, term, "tf", "f", "df", (F.sqrt(F.col("tf") / F.col("words")) * F.greatest(idf, F.lit(0.0))).alias("weight"))
 

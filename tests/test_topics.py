@@ -82,6 +82,25 @@ def test_neighbours_of_copies_over_blocks(spark):
         assert {(r.id, r.related_id, r["rank"]) for r in neighbours.neighbours(df, "id", "v", 6, block_rows=block).collect()} == want
 
 
+def test_term_weights_read_the_texts_once(spark, tmp_path):
+    """Texts are cut into terms once however often the counts are used; groups without a name count for others and get no row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def cut(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = [(g, f"w{i % (7 + (g or 0))}") for g in (1, 2, 3, None) for i in range(200)] + [(1, "alone")]
+    terms = spark.createDataFrame(rows, "g int, t string").repartition(3).mapInArrow(cut, "g int, t string")
+    got = {(r.g, r.t): (r.tf, r.f, r.df) for r in topics.term_weights(terms, "g", "t", 3).collect()}
+    tf = lambda g, t: sum(r == (g, t) for r in rows)
+    groups = (1, 2, 3, None)
+    want = {(g, t): (tf(g, t), sum(tf(h, t) for h in groups), sum(tf(h, t) > 0 for h in groups)) for g in (1, 2, 3) for t in {r[1] for r in rows} if tf(g, t)}
+    assert got == {k: v for k, v in want.items() if v[2] >= 3}
+    assert seen.value == len(rows)
+
+
 def test_search(spark):
     rows = [(1, "2010-07-01", "om havet", "Östen", [30, None], [1], [1]), (2, "2011-01-01", "om skogen", "Åsa", [None], [2], [1]), (3, "2012-07-01", "Havet igen", "Zara", [60], [1], [2])]
     df = spark.createDataFrame(rows, "sr_episode_id int, date string, description string, speaker string, ages array<int>, topic_ids array<int>, theme_ids array<int>")
