@@ -101,10 +101,25 @@ def attach_speakers(episodes: DataFrame, appearing: DataFrame, require: bool = T
     return episodes.join(lists, "sr_episode_id", "left").withColumn("episode_speakers", F.coalesce("episode_speakers", F.array().cast("array<string>")))
 
 
+#: Rows from which on a person counts as one of the few that are in very many.
+HOT_ROWS = 100_000
+
+
+def _with_dates(rows: DataFrame, people: DataFrame) -> DataFrame:
+    """Adds ``birth_date`` and ``death_date`` by ``wikidata_id``. The few people with very many rows, and rows without one, are not brought together by the id: that would be one task."""
+    dates = people.select("wikidata_id", "birth_date", "death_date")
+    hot = rows.groupBy("wikidata_id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= HOT_ROWS).select("wikidata_id")
+    hot = dates.join(F.broadcast(hot), "wikidata_id", "right").filter("wikidata_id IS NOT NULL").withColumn("__hot", F.lit(True))
+    rows = rows.join(F.broadcast(hot), "wikidata_id", "left")  # of HOT_ROWS rows each
+    apart = F.col("__hot").isNotNull() | F.col("wikidata_id").isNull()
+    others = rows.filter(~apart).drop("birth_date", "death_date").join(dates, "wikidata_id", "left")
+    return rows.filter(apart).drop("__hot").unionByName(others.drop("__hot"))
+
+
 def attach_ages(episodes: DataFrame, people: DataFrame) -> DataFrame:
     """Adds ``speaker_ages``, aligned with ``episode_speakers``; nulls keep their places."""
     rows = episodes.select("sr_episode_id", "date", F.posexplode("episode_speakers").alias("p", "wikidata_id"))
-    rows = rows.join(people.select("wikidata_id", "birth_date", "death_date"), "wikidata_id", "left")
+    rows = _with_dates(rows, people)
     rows = rows.withColumn("age", T.age_at(F.col("birth_date"), F.col("date"), F.col("death_date")))
     lists = rows.groupBy("sr_episode_id").agg(F.array_sort(F.collect_list(F.struct("p", "age"))).alias("l"))
     out = episodes.join(lists.select("sr_episode_id", F.transform("l", lambda x: x["age"]).alias("speaker_ages")), "sr_episode_id", "left")

@@ -63,6 +63,18 @@ def test_speakers_and_ages_stay_aligned(spark):
     assert archive.attach_speakers(episodes, appearing.filter("false")).first().episode_speakers == []
 
 
+def test_ages_of_one_person_in_every_episode(spark, monkeypatch):
+    """A person in very many episodes, and places without one, are not brought together by their id; the result is the same."""
+    people = spark.createDataFrame([("Q1", "1980", None), ("Q3", "1990", None), ("Q9", None, None)], "wikidata_id string, birth_date string, death_date string")
+    rows = [(i, "2020-01-01", ["Q1", None, f"Q{i}", "Q77"]) for i in range(2, 40)]
+    episodes = spark.createDataFrame(rows, "sr_episode_id int, date string, episode_speakers array<string>")
+    monkeypatch.setattr(archive, "HOT_ROWS", 10)
+    apart = archive._with_dates(episodes.select("sr_episode_id", F.explode("episode_speakers").alias("wikidata_id")), people)
+    assert apart.count() == 4 * len(rows) and apart.filter("birth_date = '1980'").count() == len(rows)
+    got = {r.sr_episode_id: r.speaker_ages for r in archive.attach_ages(episodes, people).collect()}
+    assert got == {i: [39, None, 29 if i == 3 else None, None] for i, _, _ in rows}
+
+
 def test_people_merge(spark):
     fields = files.PEOPLE_FIELDS
     rows = [
