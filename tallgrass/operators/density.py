@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions import vectors as V
 from tallgrass.operators.incremental import numbered
-from tallgrass.operators.neighbours import neighbours
+from tallgrass.operators.neighbours import block_pairs, neighbours
 from tallgrass.staging import stage
 
 #: Edges of the tree that one task joins. Edges of one length are never parted, so a band can be larger by those of its last length.
@@ -69,25 +69,27 @@ def _pack(rows: DataFrame, blocks: int) -> DataFrame:
     return rows.select("own", "id", "part", "core", "v").groupBy("own").applyInPandas(pack, "own int, ids binary, parts binary, cores binary, vs binary")
 
 
-def _ways_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _ways_out(pair: pd.DataFrame) -> pd.DataFrame:
     """For each point of the first block the best point of another part in the second one."""
-    for batch in batches:
-        for row in batch.itertuples():
-            mine, theirs = ([np.frombuffer(getattr(row, f + s), np.int64) for f in ("ids", "parts")] + [np.frombuffer(getattr(row, "cores" + s)), np.frombuffer(getattr(row, "vs" + s))] for s in ("", "2"))
-            own, other = mine[3].reshape(len(mine[0]), -1), theirs[3].reshape(len(theirs[0]), -1)
-            for at in range(0, len(own), PART_ROWS):
-                part = slice(at, at + PART_ROWS)
-                found, best = np.full(len(own[part]), -np.inf), np.zeros(len(own[part]), np.int64)
-                for first in range(0, len(other), PART_ROWS):
-                    there = slice(first, first + PART_ROWS)
-                    s = np.minimum(np.minimum(np.round(own[part] @ other[there].T, 12), mine[2][part, None]), theirs[2][None, there])
-                    s[mine[1][part, None] == theirs[1][None, there]] = -np.inf
-                    top = s.argmax(axis=1)
-                    s = s[np.arange(len(top)), top]
-                    better = s > found
-                    found[better], best[better] = s[better], first + top[better]
-                fine = np.isfinite(found)
-                yield pd.DataFrame({"a": mine[0][part][fine], "b": theirs[0][best[fine]], "s": found[fine]})
+    if len(pair) < 2:  # no point of the first block is open
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "s": np.zeros(0)})
+    mine, theirs = ([np.frombuffer(row.ids, np.int64), np.frombuffer(row.parts, np.int64), np.frombuffer(row.cores), np.frombuffer(row.vs)] for row in pair.sort_values("side").itertuples())
+    own, other, out = mine[3].reshape(len(mine[0]), -1), theirs[3].reshape(len(theirs[0]), -1), []
+    for at in range(0, len(own), PART_ROWS):
+        part = slice(at, at + PART_ROWS)
+        found, best = np.full(len(own[part]), -np.inf), np.zeros(len(own[part]), np.int64)
+        for first in range(0, len(other), PART_ROWS):
+            there = slice(first, first + PART_ROWS)
+            s = own[part] @ other[there].T
+            np.minimum(np.minimum(np.round(s, 12, out=s), mine[2][part, None], out=s), theirs[2][None, there], out=s)
+            s[mine[1][part, None] == theirs[1][None, there]] = -np.inf
+            top = s.argmax(axis=1)
+            s = s[np.arange(len(top)), top]
+            better = s > found
+            found[better], best[better] = s[better], first + top[better]
+        fine = np.isfinite(found)
+        out.append(pd.DataFrame({"a": mine[0][part][fine], "b": theirs[0][best[fine]], "s": found[fine]}))
+    return pd.concat(out)
 
 
 def _roots(links: DataFrame) -> tuple[DataFrame, int]:
@@ -131,14 +133,23 @@ def spanning_tree(points: DataFrame, near: DataFrame, block_rows: int = BLOCK_RO
             edges = stage(joined(edges).select("a", "b", "s"), "near-edges")  # what is inside a part is of no use any more
         pick = F.max(F.struct("s", (-F.least("a", "b")).alias("lo"), (-F.greatest("a", "b")).alias("hi"), "pb")).alias("e")
         best = joined(edges).groupBy("pa").agg(pick)
+        # The largest part, of equally large ones the first, waits where it is open: the others' ways out are enough, and most points are in it when lists no longer lead out of it.
+        largest = now.groupBy("part").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct("n", (-F.col("part")).alias("p"))).alias("m")).select(-F.col("m.p")).first()[0]
         open_ = now.join(best.select(F.col("pa").alias("part"), F.col("e.s").alias("s")), "part", "left").filter("s IS NULL OR most > s")
-        beyond = stage(_pack(open_, blocks).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")).join(_pack(now, blocks).select(F.col("own").alias("other"), *[F.col(c).alias(c + "2") for c in ("ids", "parts", "cores", "vs")]), "other").mapInPandas(_ways_out, "a long, b long, s double"), "ways-out", 1)
+        waits = not open_.filter(F.col("part") == largest).isEmpty()
+        pairs = block_pairs(_pack(open_.filter(F.col("part") != largest), blocks), _pack(now, blocks), blocks)
+        beyond = stage(pairs.applyInPandas(_ways_out, "a long, b long, s double"), "ways-out")
         # Of a point's ways out into all blocks the best is enough; a part's are compared with those of the lists.
         beyond = beyond.groupBy("a").agg(F.max(F.struct("s", (-F.col("b")).alias("nb"))).alias("e")).select("a", (-F.col("e.nb")).alias("b"), F.col("e.s").alias("s"))
         every = joined(edges.union(beyond).union(beyond.select("b", "a", "s")))
+        if waits:
+            every = every.filter(F.col("pa") != largest)
         chosen = stage(every.groupBy("pa").agg(pick).select(F.col("pa").alias("part"), F.col("e.pb").alias("to"), (-F.col("e.lo")).alias("a"), (-F.col("e.hi")).alias("b"), F.col("e.s").alias("s")), "chosen")
         tree.append(chosen.select("a", "b", "s").distinct())
-        roots, number = _roots(chosen.select("part", "to"))
+        links = chosen.select("part", "to")
+        if waits:
+            links = links.union(points.sparkSession.createDataFrame([(largest, largest)], "part long, to long"))
+        roots, number = _roots(links)
         now = stage(now.join(roots, "part").select("id", F.col("root").alias("part"), "core", "most", "v"), "parts")
     out = points.sparkSession.createDataFrame([], "a long, b long, s double")
     for some in tree:

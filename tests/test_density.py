@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallgrass.operators import density
@@ -116,6 +117,19 @@ def test_against_brute_force(spark, monkeypatch, seed, copies, min_cluster, min_
     assert {r.vec_id: r.topic_id for r in found} == {i: expected.get(i, -1) for i, *_ in rows}
 
 
+def test_ways_out_of_a_pair_of_blocks():
+    """A pair of blocks is a group of its own; a block without open points has no way out."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(6, 3))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    parts = np.array([0, 0, 2, 0, 4, 4])
+    row = lambda side, some: {"side": side, "ids": np.arange(6)[some].tobytes(), "parts": parts[some].tobytes(), "cores": np.ones(6)[some].tobytes(), "vs": v[some].tobytes()}
+    assert density._ways_out(pd.DataFrame([row(1, slice(0, 6))])).empty
+    got = density._ways_out(pd.DataFrame([row(1, slice(0, 6)), row(0, slice(0, 3))]))
+    s = np.where(parts[:3, None] == parts[None], -np.inf, np.round(v[:3] @ v.T, 12))
+    assert got["a"].tolist() == [0, 1, 2] and got["b"].tolist() == s.argmax(axis=1).tolist() and np.allclose(got["s"], s.max(axis=1))
+
+
 def test_little(spark):
     """No rows, one, equal ones only, rows without vector or identifier."""
     make = lambda rows: spark.createDataFrame(rows, "id long, v array<double>")
