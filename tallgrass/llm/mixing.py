@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallgrass.llm.workspace import stage, unused, words_in
+from tallgrass.llm.workspace import stage, words_in
 
 MAX_REPEATS = 3
 #: Cost of a token's first, second and third use: convex, so that fresh tokens go first.
@@ -106,12 +106,20 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
     none that is left does; rows that repeat an identifier count as rows of their own. Documents of size 0 are never taken. Reruns agree. Empty tables give
     empty results. ``sources_target`` comes from ``quotas``.
     """
-    spark = df.sparkSession
-    pattern = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
-    rows = df.select(F.col(id_col).alias("id"), pattern.alias("sources"), F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("size"))
-    at = F.xxhash64(F.col("id").cast("string"), "size", F.lit(seed))
-    rows = stage(rows.withColumn("at", at).withColumn("slot", F.pmod("at", F.lit(SLOTS))).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    rows = stage(_hashed(df.select(F.col(id_col).alias("id"), sources.alias("sources"), size.alias("size")), seed).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    out = rows.join(_planned(rows, weights), F.col("sources").eqNullSafe(F.col("of"))).withColumn("repeats", _repeats(F.col("row")))
+    return out.select(F.col("id").alias(id_col), "sources", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+def _hashed(rows: DataFrame, seed: int = 17) -> DataFrame:
+    """``rows`` with ``sources`` in order and ``size`` as a number, and where the seeded hash of (``id``, ``size``) puts them: ``at``, ``slot``."""
+    pattern = F.array_sort(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))))
+    rows = rows.withColumns({"sources": pattern, "size": F.coalesce(F.col("size").cast("long"), F.lit(0).cast("long"))})
+    return rows.withColumn("at", F.xxhash64(F.col("id").cast("string"), "size", F.lit(seed))).withColumn("slot", F.pmod("at", F.lit(SLOTS)))
+
 
+def _planned(rows: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
+    """For each pattern (``of``) how often all of its documents are taken (``times``), and the ``bounds`` of those that are taken once more."""
     totals = rows.groupBy("sources").agg(F.sum("size").alias("tokens")).collect()  # a row for each pattern: the network is on the driver
     patterns = {tuple(r["sources"]): r["tokens"] for r in totals}
     sizes: dict[str | None, int] = {}
@@ -129,11 +137,7 @@ def mix(df: DataFrame, sources: Column, size: Column, id_col: str = "doc_id", we
         times = min(MAX_REPEATS, int(want / tokens + 1e-9)) if tokens else 0
         plan.append((list(p), times, max(0.0, want - times * tokens)))
     bounds = _bounds(rows, {tuple(p): rest for p, _, rest in plan})
-    plan_df = _of_patterns(spark, [(p, times, bounds[tuple(p)]) for p, times, _ in plan], f"of array<string>, times int, bounds {_BOUNDS}")
-    picked = rows.join(plan_df, F.col("sources").eqNullSafe(F.col("of"))).withColumn("more", _within(F.col("bounds")))
-    repeats = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.col("times") + F.col("more").cast("int"), F.lit(MAX_REPEATS)))
-    out = picked.withColumn("repeats", repeats)
-    return out.select(F.col("id").alias(id_col), "sources", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+    return _of_patterns(rows.sparkSession, [(p, times, bounds[tuple(p)]) for p, times, _ in plan], f"of array<string>, times int, bounds {_BOUNDS}")
 
 
 def _of_patterns(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -145,12 +149,18 @@ def _of_patterns(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 _BOUNDS = "array<struct<most:double,slot:long,at:long,row:long>>"
 
 
-def _within(bounds: Column) -> Column:
+def _within(bounds: Column, row: Column) -> Column:
     """Whether a row was taken in one of the rounds: not too large for what was lacking, and not behind the round's last document."""
-    place = F.struct(F.col("slot").cast("long"), "at", "row")
+    place = F.struct(F.col("slot").cast("long"), "at", row)
     return (F.col("size") > 0) & F.exists(bounds, lambda b: (F.col("size") <= b["most"]) & (place <= F.struct(b["slot"], b["at"], b["row"])))
 
 
+def _repeats(row: Column) -> Column:
+    """How often a row is taken, by ``times`` and ``bounds`` of its pattern."""
+    more = _within(F.col("bounds"), row).cast("int")
+    return F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.col("times") + more, F.lit(MAX_REPEATS)))
+
+
 def _cuts(left: DataFrame, column: str) -> dict[tuple, tuple]:
     """For each pattern its tokens, and the value ``at`` of ``column`` in whose rows the gap is passed, with the tokens ``below`` it; None where it is not passed."""
     sums = left.groupBy("of", "gap", column).agg(F.sum("size").alias("tokens"))
@@ -170,7 +180,7 @@ def _bounds(rows: DataFrame, rest: dict[tuple, float]) -> dict[tuple, list[tuple
     bounds: dict[tuple, list[tuple]] = {p: [] for p in rest}
     while gap:
         state = _of_patterns(spark, [(list(p), g, bounds[p]) for p, g in gap.items()], f"of array<string>, gap double, bounds {_BOUNDS}")
-        left = rows.join(state, F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds")))
+        left = rows.join(state, F.col("sources") == F.col("of")).filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_within(F.col("bounds"), F.col("row")))
         # Tokens by slot of the hash show in which slot the rest runs out, those by a second hash in which part of the slot;
         # only that part's documents are summed one by one.
         cuts = _cuts(left, "slot")
@@ -224,21 +234,32 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 def take_mix(docs: DataFrame) -> DataFrame:
     """The documents of the mix, all columns: each as often as it is taken, in the sense of ``mix_documents``.
 
-    Of repeated rows (same identifier, source and size) the selection may end between two; then those whose texts hash
-    lowest are taken more often. An empty table gives none. Columns may have any names.
+    Every row is looked at where it is, by the bounds of its source: no text is moved. Of repeated rows (same identifier, source and
+    size) the selection may end between two; then those whose texts hash highest are taken more often, and only such rows are brought
+    together, at most those of one document for each round of a source. An empty table gives none. Columns may have any names.
     """
-    each, size, repeats, copy = (unused(docs, c) for c in ("each_taken", "mix_size", "mix_repeats", "mix_copy"))
-    found = mix_documents(docs).groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("repeats")).alias(each))
-    found = stage(found.filter(F.array_max(each) > 0), "mix-taken")
-
-    def rows_of(taken: DataFrame) -> DataFrame:
-        same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["source"]) & (words_in(docs["text"]) == taken["size"])
-        return docs.join(taken, same).select(*[docs[c] for c in docs.columns], taken[each], taken["size"].alias(size))
-
-    uneven = F.array_min(each) < F.array_max(each)
-    rows = rows_of(found.filter(~uneven)).withColumn(repeats, F.element_at(each, 1))
-    if found.filter(uneven).limit(1).count():  # repeated rows of which the selection ends between two
-        number = F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64("text")))
-        part = rows_of(found.filter(uneven)).withColumn(repeats, number)
-        rows = rows.unionByName(part.withColumn(repeats, F.element_at(each, F.col(repeats))).filter(F.col(repeats) > 0))
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(repeats)))).drop(each, size, repeats, copy)
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    rows = docs.select(whole, docs["doc_id"].alias("id"), F.array(docs["source"].cast("string")).alias("sources"), words_in(docs["text"]).alias("size"))
+    sizes = stage(_hashed(rows.drop("doc")).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    plan, first = _planned(sizes), F.lit(0).cast("long")
+    of_plan = lambda rows: rows.join(plan, F.col("sources").eqNullSafe(F.col("of")))
+
+    # The number of a row counts only where a round ends between repeated rows: elsewhere any number gives the same.
+    same = lambda a, b: a["id"].eqNullSafe(b["own_id"]) & a["sources"].eqNullSafe(b["own_sources"]) & (a["size"] == b["own_size"])
+    keys = [F.col(c).alias(f"own_{c}") for c in ("id", "sources", "size")]
+    counted = of_plan(sizes).withColumn("repeats", _repeats(F.col("row")))
+    split = stage(counted.filter(F.col("repeats") != _repeats(first)).select(*keys).distinct(), "mix-split")
+    taken = of_plan(_hashed(rows)).withColumn("repeats", _repeats(first)).filter("repeats > 0")
+    if split.limit(1).count():
+        split = F.broadcast(split)  # a document for each round of a source, but for equal hashes of 64 bits
+        taken = taken.join(split, same(taken, split), "left_anti").select("doc", "repeats")
+        numbers = counted.join(split, same(counted, split)).groupBy("own_id", "own_sources", "own_size", "repeats").agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy("own_id", "own_sources", "own_size").orderBy("repeats").rowsBetween(Window.unboundedPreceding, 0)
+        numbers = numbers.withColumn("upto", F.sum("n").over(upto)).withColumn("below", F.col("upto") - F.col("n"))
+        mine = _hashed(rows)
+        mine = mine.join(split, same(mine, split), "left_semi")
+        mine = mine.withColumn("number", F.row_number().over(Window.partitionBy("id", "sources", "size").orderBy(F.xxhash64("doc.text"))))
+        found = mine.join(F.broadcast(numbers), same(mine, numbers) & (F.col("number") > F.col("below")) & (F.col("number") <= F.col("upto")))
+        taken = taken.unionByName(found.filter("repeats > 0").select("doc", "repeats"))
+    each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+    return each.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -30,3 +30,17 @@ def test_repeated_rows_are_taken_as_often_as_the_mix_says(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     taken = sum(r.taken for r in mixing.mix_documents(docs).collect())
     assert sum(len(r.text.split()) for r in mixing.take_mix(docs).collect()) == taken
+
+
+def test_texts_stay_where_they_are(spark):
+    """Documents are taken by the bounds of their source, however large the table: none is shuffled."""
+    docs = spark.createDataFrame([(i, "wort " * (3 + i % 5), "abc"[i % 3]) for i in range(180)], "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = mixing.take_mix(docs)
+        assert sum(len(r.text.split()) for r in found.collect()) == sum(r.taken for r in mixing.mix_documents(docs).collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
