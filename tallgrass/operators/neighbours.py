@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -75,10 +75,11 @@ def _largest(score: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.divmod(np.flatnonzero(mask), score.shape[1])
 
 
-def _best(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> Iterator[pd.DataFrame]:
+def best_of(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, allowed: Callable[[slice, slice], np.ndarray] | None = None) -> Iterator[pd.DataFrame]:
     """The k best of ``theirs`` for each of ``mine`` (identifiers ascending, raw and moved vectors), some rows at a time.
 
-    Of a product only what reaches a row's k-th best so far is looked at, so that nearly all of the work is the product.
+    Of a product only what reaches a row's k-th best so far is looked at, so that nearly all of the work is the product. ``allowed`` says
+    which pairs of some rows of both count, if not all.
     """
     others = theirs[0]
     for at in range(0, len(mine[0]), PART_ROWS):
@@ -87,6 +88,8 @@ def _best(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndar
         least = np.full(len(ids), -np.inf)
         for first in range(0, len(others), PART_ROWS):
             score, there = moved @ theirs[2][first : first + PART_ROWS].T, others[first : first + PART_ROWS]
+            if allowed is not None:
+                score[~allowed(slice(at, at + PART_ROWS), slice(first, first + PART_ROWS))] = -np.inf
             begin, end = np.searchsorted(there, ids), np.searchsorted(there, ids, "right")
             while len(own := np.flatnonzero(begin < end)):
                 score[own, begin[own]] = -np.inf
@@ -124,7 +127,7 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
 
     def alone(part: pd.DataFrame) -> pd.DataFrame:
         whole = _vectors(part, centre)
-        return pd.concat(list(_best(whole, whole, k)))
+        return pd.concat(list(best_of(whole, whole, k)))
 
     def read(ids: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         numbers = np.frombuffer(ids, np.int64)
@@ -134,7 +137,7 @@ def neighbours(df: DataFrame, id_col: str, vector: str, k: int = 8, centred: boo
 
     def compare(pair: pd.DataFrame) -> pd.DataFrame:
         mine, theirs = (read(r.ids, r.raw) for r in pair.sort_values("side").itertuples())
-        return pd.concat(list(_best(mine, theirs, k)))
+        return pd.concat(list(best_of(mine, theirs, k)))
 
     if blocks == 1:
         found = unit.groupBy("own").applyInPandas(alone, out)

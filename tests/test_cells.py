@@ -46,3 +46,13 @@ def test_little(spark):
     assert cells.search(cells.build(make([]), "id", "v")).collect() == []
     assert cells.search(cells.build(make([(1, [1.0, 2.0])]), "id", "v")).collect() == []
     assert [r.related_id for r in cells.search(cells.build(make([(1, [1.0, 2.0]), (2, [1.0, 2.5])]), "id", "v")).orderBy("id").collect()] == [2, 1]
+
+
+def test_vectors_are_shipped_by_block(spark, vectors, monkeypatch):
+    """A vector goes to the blocks that it meets, not to every cell that is looked into."""
+    index = cells.build(vectors.filter("id < 5000"), "id", "v", cells=60, probes=40)
+    asked = spark.range(1000).select("id")
+    seen = {}
+    monkeypatch.setattr(cells, "stage", lambda df, name: seen.setdefault(name, df.cache()))
+    cells.search(index, asked, 5).count()
+    assert seen["pairs"].count() <= 4 and sum(len(r.raw) for r in seen["blocks"].collect()) <= 1500 * 16 * 8
