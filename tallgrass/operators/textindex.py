@@ -7,7 +7,11 @@ runs, intersects them block by block, and reads only the blocks that are left; o
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,15 +22,64 @@ from tallgrass.staging import stage
 
 #: Characters of a run, and what stands behind a text, so that every character begins one: a text of fewer characters is the beginning of runs.
 RUN, END = 3, "\0\0"
+#: Bits of a bitmap of Spark, and bitmaps that are made at once.
+BITS, MAPS = 32_768, 512
 
 
 def runs_of(text: Column) -> Column:
-    """The different runs of three characters of a text and its end; none for null."""
+    """The different runs of three characters of a text and its end, which the index holds; none for null."""
     runs = lambda c: F.array_distinct(F.transform(F.slice(c, 1, F.size(c) - RUN + 1), lambda x, i: F.concat(x, F.get(c, i + 1), F.get(c, i + 2))))
     chars = F.split(F.concat(text, F.lit(END)), "")
     return F.coalesce(F.get(F.transform(F.array(chars), runs), F.lit(0)), F.array().cast("array<string>"))  # so a text is split once
 
 
+def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch (``block``, ``bit``, ``text``) that hold a run, as a list of bits for each run and block: what ``runs_of`` gives, in numpy."""
+    for batch in batches:
+        block, bit, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
+        for text in batch.column(2):
+            codes = np.frombuffer((text.as_py() + END).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            keys.append(np.unique((codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:]))  # 21 bits a character
+        row, key = np.repeat(np.arange(len(keys)), [len(x) for x in keys]), np.concatenate([np.zeros(0, np.int64), *keys])
+        number, names = pd.factorize(key)  # few different ones, by which the rest is sorted: short numbers go quickest
+        blocks, of = np.unique(block, return_inverse=True)
+        number = number * len(blocks) + of[row]
+        order = np.argsort(number.astype(np.uint16) if len(names) * len(blocks) < 1 << 16 else number, kind="stable")
+        row, key, number = row[order], key[order], number[order]
+        new = np.flatnonzero(np.diff(number, prepend=-1))
+        runs = ["".join(chr(k >> s & 0x1FFFFF) for s in (42, 21, 0)) for k in key[new].tolist()]
+        bits = pa.ListArray.from_arrays(pa.array(np.r_[new, len(key)].astype(np.int32)), pa.array(bit[row].astype(np.int16)))
+        yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(block[row[new]]), bits], ["run", "__block", "at"])
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps from lists of bits in the order of ``run`` and ``__block``: a run and block may have several lists, one after another."""
+    last, held = None, np.zeros(BITS, bool)
+
+    def packed(keys: list[tuple], maps: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([m.tobytes() for m in np.packbits(maps, axis=1, bitorder="little")], pa.binary())], ["run", "__block", "bits"])
+
+    for batch in batches:
+        for first in range(0, len(batch), MAPS):
+            part = batch.slice(first, MAPS)
+            keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+            places = [k for i, k in enumerate(keys) if not i or k != keys[i - 1]]
+            group = np.cumsum([i > 0 and k != keys[i - 1] for i, k in enumerate(keys)])
+            lists = part.column(2)
+            maps = np.zeros((len(places), BITS), bool)
+            maps[np.repeat(group, np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
+            if last is not None and last == places[0]:
+                maps[0] |= held
+            elif last is not None:
+                yield packed([last], held[None])
+            last, held = places[-1], maps[-1].copy()
+            if len(places) > 1:
+                yield packed(places[:-1], maps[:-1])
+    if last is not None:
+        yield packed([last], held[None])
+
+
 def runs_wanted(text: str) -> list[str]:
     """The runs that a text has to have if it contains ``text``; of a short one the beginning of the runs of which it needs any."""
     size = min(RUN, len(text))
@@ -44,9 +97,10 @@ def build(rows: DataFrame, ident: str, column: str, path: str) -> None:
     def write(folder: str) -> dict:
         placed.repartition("__block").write.partitionBy("__block").parquet(f"{folder}/rows")
         whole = rows.sparkSession.read.schema(placed.schema).parquet(f"{folder}/rows")
-        runs = whole.select("__block", "__bit", F.explode(runs_of(F.lower(column))).alias("run"))
-        maps = runs.groupBy("run", "__block").agg(F.bitmap_construct_agg("__bit").alias("bits"))
-        maps.repartitionByRange("run", "__block").sortWithinPartitions("run", "__block").write.parquet(f"{folder}/runs")  # a frequent run's blocks lie in many files
+        texts = whole.select(F.col("__block").cast("long").alias("block"), F.col("__bit").cast("int").alias("bit"), F.lower(column).alias("text")).filter("text IS NOT NULL")
+        lists = stage(texts.mapInArrow(_positions, "run string, __block long, at array<short>"), "runs")  # the ranges are sampled, so it would be made twice
+        lists = lists.repartitionByRange("run", "__block").sortWithinPartitions("run", "__block")  # a frequent run's blocks lie in many files
+        lists.mapInArrow(_bitmaps, "run string, __block long, bits binary").write.parquet(f"{folder}/runs")
         return {"ident": ident, "column": column, "schema": whole.schema.json()}
 
     versioned.publish(rows.sparkSession, path, write)

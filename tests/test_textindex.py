@@ -42,3 +42,19 @@ def test_only_blocks_with_candidates_are_read(spark, index):
     assert "dynamicpruning" in plan.lower()
     assert textindex.build(df.limit(0), "id", "description", path + "-none") is None
     assert textindex.containing(spark, path + "-none", "a").count() == 0
+
+
+def test_bitmaps_hold_the_runs(spark, tmp_path, monkeypatch):
+    """The index is what runs and Spark's own bitmaps give, where a run's bits come in several lists and batches too; no row is made for a run of a text."""
+    monkeypatch.setattr(textindex, "MAPS", 3)
+    texts = ["om havet", "Havet igen", "abab", "å😀", "", None, "a\0b", "7"]
+    df = spark.range(40_000).selectExpr("id", "id % 8 AS k").join(spark.createDataFrame(list(enumerate(texts)), "k long, description string"), "k").drop("k").withColumn("description", F.when(F.col("id") % 1000 < 40, F.col("description")))
+    seen = {}
+    monkeypatch.setattr(textindex, "stage", lambda rows, name: seen.setdefault(name, rows.cache()))
+    textindex.build(df, "id", "description", str(tmp_path))
+    folder = textindex.versioned.current(spark, str(tmp_path))
+    found = {(r.run, r["__block"]): bytes(r.bits) for r in spark.read.parquet(f"{folder}/runs").collect()}
+    place = F.col("id") + 1
+    plain = df.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"), F.explode(textindex.runs_of(F.lower("description"))).alias("run"))
+    want = {(r.run, r.b): bytes(r.m) for r in plain.groupBy("run", "b").agg(F.bitmap_construct_agg("p").alias("m")).collect()}
+    assert found == want and seen["runs"].count() < plain.count() / 4
