@@ -29,6 +29,8 @@ MAX_COLUMNS = 6000
 MEMO_BYTES, YOUNG_WORDS = 16 << 20, 1 << 17
 #: Words to a text when new words are encoded.
 JOINED_WORDS = 500
+#: Rows that go to a worker at once, and bytes of text that it works on: words, places and ids of a chunk take some thirty times its size.
+BATCH_ROWS, CHUNK_BYTES = 250, 1 << 18
 #: Bytes of words that keep their length when the tokenizer normalises them: printable ASCII but for the start of a
 #: special token, and U+00C0 to U+01FF.
 _PLAIN = np.zeros(256, bool)
@@ -168,7 +170,7 @@ _WORKER: dict[str, WordIds] = {}
 def token_ids(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For some rows at a time: the first row's place, all ids with ``END_ID`` after each row, and the edges of the rows."""
     memo = _WORKER.get(path) or _WORKER.setdefault(path, WordIds(path))
-    for chunk in chunks(column):
+    for chunk in chunks(column, CHUNK_BYTES):
         words = chunk.words()
         back, own_sizes, own_ids = memo.of(words)
         # The end is a place of its own, behind the words of each row.
@@ -278,7 +280,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     of a sequence lie without gaps from 0; every id of a document is in exactly one piece. An empty table gives none.
     """
     spark = docs.sparkSession
-    pieces = stage(cut_documents(docs, path, id_col, text_col, length), "pieces")
+    pieces = stage(cut_documents(docs, path, id_col, text_col, length), "pieces", BATCH_ROWS)
     sized = pieces.withColumn("size", F.ceil(F.col("length") / UNIT).cast("int"))
     # Ranks within a size: numbers by (size, salt), then rows within. No task holds all rows of a size.
     histogram = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # length / UNIT rows at most
