@@ -16,7 +16,9 @@ def norm(a: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector divided by its length, which is 1e-12 at least."""
-    return scale(a, F.greatest(norm(a), F.lit(1e-12)))
+    length = F.greatest(norm(a), F.lit(1e-12))
+    # Inside the function of an element the length would be computed for every element: it is bound once.
+    return F.get(F.transform(F.array(length), lambda by: scale(a, by)), F.lit(0))
 
 
 def scale(a: Column, by: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Vectors of a block, which is shipped as a whole, the least for which a block of its own is worth it, and of the parts that are multiplied at a time.
 BLOCK_ROWS, LEAST_ROWS, PART_ROWS = 32_768, 1024, 2048
+#: Rows whose neighbours are looked for at a time, so that their scores stay in a processor's cache, and pairs of vectors that are multiplied again at a time.
+QUERY_ROWS, CANDIDATES = 512, 1 << 15
 
 
 def mean_of(df: DataFrame, vector: str, unit: bool = False) -> tuple[list[float], int]:
@@ -75,30 +77,73 @@ def _largest(score: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.divmod(np.flatnonzero(mask), score.shape[1])
 
 
+def _near(score: np.ndarray, least: np.ndarray, k: int, error: float) -> np.ndarray:
+    """Which of the rounded scores, off by ``error`` at most, may be among the k best of their row and reach ``least``."""
+    mask = score >= np.maximum(least - 2 * error, -2)[:, None].astype(np.float32)  # what does not count is below any cosine
+    many = np.flatnonzero(np.count_nonzero(mask, axis=1) > 4 * k)
+    if len(many) and score.shape[1] > k:
+        last = np.partition(score[many], -k, axis=1)[:, -k]
+        mask[many] &= score[many] >= np.maximum(last - np.float32(4 * error), np.float32(-2))[:, None]
+    return mask
+
+
+def _best(mask: np.ndarray, mine: np.ndarray, theirs: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, exact scores and columns of the k best above ``least`` among those in ``mask``, for some rows at a time."""
+    upto = np.cumsum(np.count_nonzero(mask, axis=1))
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(upto, np.arange(CANDIDATES, upto[-1], CANDIDATES)), [len(mask)]]))
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        row, col = np.divmod(np.flatnonzero(mask[begin:end]), mask.shape[1])
+        row += begin
+        # Equal vectors have equal sums here wherever they stand, which isn't so in a matrix product.
+        s = np.concatenate([np.zeros(0), *((mine[row[i : i + CANDIDATES]] * theirs[col[i : i + CANDIDATES]]).sum(axis=1) for i in range(0, len(row), CANDIDATES))])
+        exact = np.full((end - begin, mask.shape[1]), -np.inf) if len(row) > 8 * k * (end - begin) else None
+        s = np.round(s, 12)  # equal ones stay equal whatever the block
+        if exact is not None:  # many copies: of equal ones the first k
+            exact[row - begin, col] = s
+            row, col = _largest(exact, least[begin:end], k)
+            s = exact[row, col]
+            row += begin
+        new = s > least[row]  # of equal ones the first is there already
+        yield row[new], s[new], col[new]
+
+
+def _without_more(copies: np.ndarray, k: int) -> np.ndarray:
+    """The places, ascending, of vectors but for those that stand behind more than ``k`` equal ones: they are among no k best, since of equal ones the first goes before."""
+    equal = np.unique(np.ascontiguousarray(copies).view(f"V{copies.dtype.itemsize * copies.shape[1]}").ravel(), return_inverse=True)[1]
+    order = np.argsort(equal, kind="stable")
+    place = np.arange(len(order)) - np.searchsorted(equal[order], equal[order])
+    return np.sort(order[place <= k])
+
+
 def best_of(mine: tuple[np.ndarray, np.ndarray, np.ndarray], theirs: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, allowed: Callable[[slice, slice], np.ndarray] | None = None) -> Iterator[pd.DataFrame]:
     """The k best of ``theirs`` for each of ``mine`` (identifiers ascending, raw and moved vectors), some rows at a time.
 
-    Of a product only what reaches a row's k-th best so far is looked at, so that nearly all of the work is the product. ``allowed`` says
-    which pairs of some rows of both count, if not all.
+    Moved vectors are of length 1 at most. The product, nearly all of the work, is in single precision: of it only what may reach a row's k-th best so far,
+    with the most that rounding can do, is multiplied again in double precision. ``allowed`` says which pairs of some rows of both count, if not all.
     """
-    others = theirs[0]
-    for at in range(0, len(mine[0]), PART_ROWS):
-        ids, raw, moved = (x[at : at + PART_ROWS] for x in mine)
+    if allowed is None and theirs[2].shape[1] and (np.diff(theirs[0]) > 0).all():
+        first_ones = _without_more(theirs[2], k)
+        theirs = (theirs[0][first_ones], theirs[1][first_ones], theirs[2][first_ones])
+    others, short = theirs[0], theirs[2].astype(np.float32)
+    error = (short.shape[1] + 8) * 2.0**-23  # twice what a sum of so many products, in any order, can be off
+    for at in range(0, len(mine[0]), QUERY_ROWS):
+        ids, raw, moved = (x[at : at + QUERY_ROWS] for x in mine)
+        few = moved.astype(np.float32)
         row, s, col = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
         least = np.full(len(ids), -np.inf)
         for first in range(0, len(others), PART_ROWS):
-            score, there = moved @ theirs[2][first : first + PART_ROWS].T, others[first : first + PART_ROWS]
+            score, there = few @ short[first : first + PART_ROWS].T, others[first : first + PART_ROWS]
             if allowed is not None:
-                score[~allowed(slice(at, at + PART_ROWS), slice(first, first + PART_ROWS))] = -np.inf
+                score[~allowed(slice(at, at + QUERY_ROWS), slice(first, first + PART_ROWS))] = -np.inf
             begin, end = np.searchsorted(there, ids), np.searchsorted(there, ids, "right")
             while len(own := np.flatnonzero(begin < end)):
                 score[own, begin[own]] = -np.inf
                 begin[own] += 1
-            r, c = _largest(score, least, k)
-            if not len(r):
+            mask = _near(score, least, k, error)
+            if not mask.any():
                 continue
-            new = np.round(score[r, c], 12)  # equal ones stay equal whatever the block
-            row, s, col = np.concatenate([row, r]), np.concatenate([s, new]), np.concatenate([col, first + c])
+            for r, new, c in _best(mask, moved, theirs[2][first : first + PART_ROWS], least, k):
+                row, s, col = np.concatenate([row, r]), np.concatenate([s, new]), np.concatenate([col, first + c])
             order = np.lexsort((col, -s, row))  # of equal ones the smaller identifier, which stands first
             row, s, col = row[order], s[order], col[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)
